@@ -15,11 +15,14 @@ segment then counts twice, because one difference in it is found too.  If that
 is not enough either, its empty segments take part, among such sets only.
 
 Signatures travel as packed arrays, one row for each task and bucket, and meet in
-their bucket.  Where many sets share a signature, not all pairs are made: the
-smallest sets of the group are hubs and are compared with the others; groups
-whose members are one component afterwards are done, the rest come again with
-more hubs until no pair of the group is left.  Pairs of sets that are equal
-never need comparing: equal sets stand for one another from the beginning.
+their bucket.  Equal sets stand for one another from the beginning.  Where many
+sets share a signature, not all pairs are made: first each group's hub (its
+smallest key) is compared with the others, and groups whose members are one
+component afterwards are done.  Small groups that are left make their pairs.
+Large ones that overlap are joined to one, in which every set outside its main
+component is compared with all others, block by block: a task counts the common
+shingles of two blocks by a matrix product and returns only links that connect
+something new, so that no list of pairs is ever made.
 
 Nulls and edges: null, empty and blank texts have no shingle and link with
 nothing; a null id links with nothing; rows with equal ids are told apart by
@@ -240,6 +243,76 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> D
     return hubs.unionByName(members).repartition("hub", "part").sortWithinPartitions("hub", "part", "role").mapInArrow(each, "a long, b long")
 
 
+#: Groups of at most so many sets make their pairs; blocks of sets that are compared with one another.
+FEW, BLOCK = 32, 1024
+
+
+def _compare(open_: list[np.ndarray], others: list[np.ndarray], p: int, q: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For some rows of ``open_``, the others that are at least p/q similar; only shingles that occur twice matter."""
+    sets = open_ + others
+    every, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(every, kind="stable")
+    every, own = every[order], own[order]
+    same = np.zeros(len(every) + 1, bool)
+    same[1:-1] = every[1:] == every[:-1]
+    twice = same[1:] | same[:-1]
+    name = np.cumsum(~same[:-1][twice]) - 1
+    own, n = own[twice], len(open_)
+    common = np.zeros((n, len(others)), np.float32)
+    step = 4096
+    for lo in range(0, int(name[-1]) + 1 if len(name) else 0, step):
+        a, b = np.searchsorted(name, [lo, lo + step])
+        table = np.zeros((len(sets), step), np.float32)
+        table[own[a:b], name[a:b] - lo] = 1
+        common += table[:n] @ table[n:].T
+    sizes = np.array([len(x) for x in sets], np.float64)
+    linked = q * common.astype(np.float64) >= p * (sizes[:n, None] + sizes[None, n:] - common)
+    for i in np.flatnonzero(linked.any(1)):
+        yield int(i), np.flatnonzero(linked[i])
+
+
+def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> DataFrame:
+    """Links (a, b) that connect the sets of each large group, from rows (family, component, key)."""
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    sided = members.join(main, "family").withColumn("open", F.col("component") != F.col("main"))
+    blocks = sided.groupBy("family").agg(F.ceil(F.count_if("open") / BLOCK).cast("int").alias("opens"), F.ceil(F.count_if(~F.col("open")) / BLOCK).cast("int").alias("mains"))
+    placed = sided.join(blocks, "family").withColumn("at", F.pmod(F.xxhash64("key"), F.when(F.col("open"), F.col("opens")).otherwise(F.col("mains"))).cast("int"))
+    # a pair of blocks (i, j): i of open sets; j of open sets from i on, or (after those) of the main component
+    side = lambda i, j, role: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(role).alias("role"))
+    all_others = F.transform(F.sequence(F.lit(0), F.col("opens") + F.col("mains") - 1), lambda j: j)
+    first = F.transform(F.filter(all_others, lambda j: j >= F.col("at")), lambda j: side(F.col("at"), j, 0))
+    second = F.transform(F.sequence(F.lit(0), F.col("at")), lambda i: side(i, F.col("at"), 1))
+    of_main = F.transform(F.sequence(F.lit(0), F.col("opens") - 1), lambda i: side(i, F.col("opens") + F.col("at"), 1))
+    to = F.when(F.col("open"), F.concat(first, second)).otherwise(of_main)
+    rows = placed.where("opens > 0").select("family", "component", "key", F.explode(to).alias("to")).select("family", "to.*", "component", "key").join(texts, "key")
+
+    def each(keys: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        role, key, component = (table[c].to_numpy() for c in ("role", "key", "component"))
+        sets = list(shingle_sets(table["text"], width))
+        a, b = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        out: list[tuple[int, int]] = []
+        if len(a) and len(b):
+            of = {int(c): int(c) for c in component}
+
+            def find(x: int) -> int:
+                while of[x] != x:
+                    of[x] = of[of[x]]
+                    x = of[x]
+                return x
+
+            for i, js in _compare([sets[x] for x in a], [sets[x] for x in b], p, q):
+                for j in js:
+                    x, y = find(int(component[a[i]])), find(int(component[b[j]]))
+                    if x != y:
+                        of[x] = y
+                        out.append((int(key[a[i]]), int(key[b[j]])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    return rows.groupBy("family", "i", "j").applyInArrow(each, "a long, b long")
+
+
 def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """One row for each row: (id, n_shingles, component_id).
 
@@ -249,7 +322,7 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     p, q = similarity
     spark = docs.sparkSession
     if buckets is None:
-        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seed = 0
     while True:  # two different sets of one key would be taken for copies: then all keys are drawn anew
         sets = scratch.cut(shingle_keys(docs, width, seed, id_col=id_col, text_col=text_col), "sets")
@@ -258,38 +331,32 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
             break
         seed += 1
     found = scratch.cut(groups(docs, width, p, q, seed, buckets, id_col=id_col, text_col=text_col), "groups")
-    first_ids = named.join(found.select("key").distinct(), "key").select("key", F.col("least").alias("id"))
-    wanted = small(scratch.cut(first_ids, "wanted"))
+    wanted = small(scratch.cut(named.join(found.select("key").distinct(), "key").select("key", F.col("least").alias("id")), "wanted"))
     # one text for each set that shares a signature (rows with equal ids and other texts are told apart by their key)
     texts = scratch.cut(_keyed(_texts(docs, id_col, text_col).join(wanted, "id"), width, seed), "texts")
-    edges = None
-    components_ = None
-    low, high = 1, 1  # ranks of the hubs of a round, from the smallest key of a group
-    left = found
-    while True:
-        if components_ is None:
-            ranked = left.groupBy("gid").agg(F.min("key").alias("hub"))
-            pairs = left.join(ranked, "gid").where("key <> hub").select("hub", "key").distinct()
-        else:
-            from pyspark.sql import Window
-
-            now = left.join(components_.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-            open_ = now.groupBy("gid").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n")).where((F.col("c0") != F.col("c1")) & (F.col("n") > low)).select("gid")
-            ranked = scratch.cut(now.join(open_, "gid").withColumn("rank", F.row_number().over(Window.partitionBy("gid").orderBy("key"))), "ranked")
-            hubs = ranked.where(F.col("rank").between(low, high)).select("gid", F.col("key").alias("hub"), F.col("component").alias("of_hub"), F.col("rank").alias("hub_rank"))
-            pairs = ranked.join(hubs, "gid").where("rank > hub_rank and component <> of_hub").select("hub", "key").distinct()
-            left = ranked.select("gid", "key")
-        pairs = scratch.cut(pairs, "pairs")
-        if components_ is not None and not left.limit(1).count():
-            break
-        new = scratch.cut(_verify(pairs, texts, width, p, q), "edges")
-        edges = new if edges is None else edges.union(new)
-        components_ = components(edges, scratch)
-        low, high = high + 1, high * 8
-    of_key = named.select("key", "least").join(components_.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+
+    hubs = found.groupBy("gid").agg(F.min("key").alias("hub"), F.count("*").alias("n"))
+    pairs = scratch.cut(found.join(hubs, "gid").where("key <> hub").select("hub", "key").distinct(), "pairs")
+    first = scratch.cut(_verify(pairs, texts, width, p, q), "links")
+    so_far = components(first, scratch)
+
+    now = found.join(so_far.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    open_ = now.groupBy("gid").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n")).where("c0 <> c1 and n > 2").select("gid", "n")
+    left = scratch.cut(now.join(open_, "gid"), "left")
+    few = left.where(F.col("n") <= FEW)
+    one, other = few.select("gid", F.col("key").alias("hub"), F.col("component").alias("c")), few.select("gid", "key", "component")
+    pairs = scratch.cut(one.join(other, "gid").where("hub < key and c <> component").select("hub", "key").distinct(), "pairs")
+    second = scratch.cut(_verify(pairs, texts, width, p, q), "links")
+    many = left.where(F.col("n") > FEW)
+    family = components(many.select(F.col("gid").alias("a"), F.col("key").alias("b")), scratch).select(F.col("node").alias("key"), F.col("component").alias("family"))
+    members = many.select("key", "component").distinct().join(family, "key")
+    third = scratch.cut(_verify_blocks(members, texts, width, p, q), "links")
+
+    linked = components(first.union(second).union(third), scratch)
+    of_key = named.select("key", "least").join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     lowest = of_key.groupBy("component").agg(F.min("least").alias("component_id"))
     by_key = scratch.cut(of_key.join(lowest, "component").select("key", "component_id"), "by-key")
-    return sets.join(by_key, "key", "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    return sets.join(by_key, "key", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
 def _keyed(texts: DataFrame, width: int, seed: int) -> DataFrame:
