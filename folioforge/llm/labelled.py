@@ -16,8 +16,8 @@ def fold(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, parts: int, held: int, id_col: str, text_col: str) -> DataFrame:
-    """At most ``bound`` labelled texts, as far as possible half of each class: rows (text, y).
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int, parts: int, held: int, id_col: str, text_col: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    """At most ``bound`` labelled texts, as far as possible half of each class: rows (_id, text, y, extra columns).
 
     Left out are the held-out fold, ids or labels that are null, labels other
     than 0 and 1, and ids with contradicting labels.  Ids are taken in the order
@@ -34,8 +34,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     )
     order = F.xxhash64("_id")
     picked = y.where("y = 0").orderBy(order, "_id").limit(bound // 2).union(y.where("y = 1").orderBy(order, "_id").limit(bound // 2))
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(picked), "_id").select("_id", "text", "y")
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[c.alias(n) for n, c in (extra or {}).items()])
+    return texts.join(F.broadcast(picked), "_id")
 
 
 def with_column(df: DataFrame, inputs: list[str], name: str, values: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:

@@ -1 +1,29 @@
-ORACLES: dict[str, str] = {}
+"""SQL (DuckDB) for the operator queries that SQL can express."""
+
+from __future__ import annotations
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+ORACLES: dict[str, str] = {
+    "op7_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest, CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to FROM f""",
+    "op8_ngram_join": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n, s FROM s), e AS (SELECT doc_id, n, unnest(s) AS x FROM n),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n""",
+    "op9_mixing": rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::BIGINT AS size, md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS z FROM d GROUP BY source),
+k AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s), w AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][(rank % 3 + 1)::INT] AS weight, z * 2.0::DOUBLE AS cap FROM k),
+v AS (SELECT *, (sum(z) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level, row_number() OVER (ORDER BY cap / weight, rank) AS o FROM w WINDOW b AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, z, least(cap, coalesce((SELECT arg_min(level, o) FROM v WHERE level * weight <= cap) * weight, cap)) AS target FROM v),
+q AS (SELECT *, CASE WHEN z > 0 THEN round(target)::BIGINT // z ELSE 0 END AS passes FROM t), x AS (SELECT *, round(target)::BIGINT - passes * z AS extra FROM q),
+c AS (SELECT d.*, x.z, x.target, x.passes, x.extra, sum(d.size) OVER (PARTITION BY d.source ORDER BY key, d.size ROWS UNBOUNDED PRECEDING) - d.size AS before FROM d JOIN x ON x.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, z AS source_size, target, (passes * size + greatest(0, least(size, extra - before)))::BIGINT AS taken FROM c""",
+}

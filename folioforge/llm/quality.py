@@ -131,16 +131,12 @@ def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], dense: np.ndarray, y:
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", metadata: tuple[str, ...] = ("n_chars",), sample: int = 4000, bits: int = 16, parts: int = 4, held: int = 2) -> FactorisationMachine:
     """Fit on at most ``sample`` labelled rows outside the held-out fold."""
-    if metadata:
-        docs = docs.withColumns({m: F.col(m).cast("double") for m in metadata})
-    texts = training_sample(docs, labels, label, sample, parts, held, id_col, text_col)
-    if metadata:  # ids may repeat, so the metadata travel with the text
-        picked = texts.select("_id", "y").distinct()
-        texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *metadata).join(F.broadcast(picked), "_id")
+    extra = {f"m{i}": F.col(m).cast("double") for i, m in enumerate(metadata)}
+    texts, names = training_sample(docs, labels, label, sample, parts, held, id_col, text_col, extra), list(extra)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, dense = features(batch.column("text"), [batch.column(m) for m in metadata], bits)
+            rows, dense = features(batch.column("text"), [batch.column(m) for m in names], bits)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id").cast(pa.string()), batch.column("y"), pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), pa.array(list(dense), pa.list_(pa.float64()))],
                 names=["id", "y", "at", "x", "dense"],
@@ -148,8 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", id_col: s
 
     got = texts.mapInArrow(each, "id string, y int, at array<int>, x array<float>, dense array<double>").toArrow().sort_by("id")
     rows = [(np.asarray(a, np.int64), np.asarray(x, np.float32)) for a, x in zip(got["at"].to_pylist(), got["x"].to_pylist())]
-    dense = np.asarray(got["dense"].to_pylist(), float).reshape(len(rows), -1)
-    return fit_machine(rows, dense if len(rows) else np.zeros((0, N_STATS + len(metadata))), np.asarray(got["y"].to_pylist(), float), bits)
+    dense = np.asarray(got["dense"].to_pylist(), float).reshape(len(rows), N_STATS + len(metadata))
+    return fit_machine(rows, dense, np.asarray(got["y"].to_pylist(), float), bits)
 
 
 def score(docs: DataFrame, model: FactorisationMachine, *, text_col: str = "text", metadata: tuple[str, ...] = ("n_chars",), out: str = "score") -> DataFrame:
