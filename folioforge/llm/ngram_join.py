@@ -348,7 +348,8 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     pairs = scratch.cut(one.join(other, "gid").where("hub < key and c <> component").select("hub", "key").distinct(), "pairs")
     second = scratch.cut(_verify(pairs, texts, width, p, q), "links")
     many = left.where(F.col("n") > FEW)
-    family = components(many.select(F.col("gid").alias("a"), F.col("key").alias("b")), scratch).select(F.col("node").alias("key"), F.col("component").alias("family"))
+    stars = many.join(many.groupBy("gid").agg(F.min("key").alias("a")), "gid").where("a <> key").select("a", F.col("key").alias("b")).distinct()
+    family = components(stars, scratch).select(F.col("node").alias("key"), F.col("component").alias("family"))
     members = many.select("key", "component").distinct().join(family, "key")
     third = scratch.cut(_verify_blocks(members, texts, width, p, q), "links")
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fold, logistic, training_sample, with_column
+from .shared import Scratch
 
 GRAMS = (4, 5, 6)
 _MULT = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0x38495AB5)
@@ -59,22 +60,33 @@ class RatioModel:
         return float(self.b + self.weights[grams(text, self.bits)].sum(dtype=np.float64))
 
 
-def fit_ratio(rows: list[np.ndarray], y: np.ndarray, bits: int, epochs: int = 80, rate: float = 0.02, lasso: float = 3e-3, least: int = 10, smooth: float = 1.0) -> RatioModel:
-    """Log-count ratios, then a lasso-penalised logistic regression (proximal Adam, both classes weighing the same).
+def ratios(p: np.ndarray, q: np.ndarray, texts: int, least: int, most: int, smooth: float = 1.0) -> np.ndarray:
+    """Log-count ratios, 0 for features that are left out.
+
+    Left out are features of fewer than ``least`` texts (of fewer than two in
+    samples under 100 texts), and all but the ``most`` features whose first
+    gradient is largest: the penalty would keep no other.
+    """
+    p, q = p + smooth, q + smooth
+    r = np.log((p / p.sum()) / (q / q.sum()))
+    r[(p + q) < 2 * smooth + min(least, max(2, texts // 50))] = 0
+    pull = np.abs(r) * np.abs(p / p.max() - q / q.max())
+    if np.count_nonzero(r) > most:
+        r[pull < np.partition(pull, -most)[-most]] = 0
+    return r
+
+
+def fit_ratio(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, bits: int, epochs: int = 80, rate: float = 0.02, lasso: float = 3e-3) -> RatioModel:
+    """A lasso-penalised logistic regression on the scaled features (proximal Adam, both classes weighing the same).
 
     The penalty leaves a few hundred n-grams, so that the length of a text adds
-    no noise to its score.  Features of fewer than ``least`` texts are left out
-    (of fewer than two in samples under 100 texts).
+    no noise to its score.  Features whose ratio is 0 are left out.
     """
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
         return RatioModel(bits, float(np.log(share / (1 - share))), np.zeros(1 << bits, np.float32))
     every = np.concatenate(rows).astype(np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    p = smooth + np.bincount(every, y[row], 1 << bits)
-    q = smooth + np.bincount(every, 1 - y[row], 1 << bits)
-    r = np.log((p / p.sum()) / (q / q.sum()))
-    r[(p + q) < 2 * smooth + min(least, max(2, len(y) // 50))] = 0
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
     live = np.flatnonzero(r)
     w, m, s, b = np.zeros(len(live)), np.zeros(len(live)), np.zeros(len(live)), 0.0
     weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
@@ -102,20 +114,44 @@ def fit_ratio(rows: list[np.ndarray], y: np.ndarray, bits: int, epochs: int = 80
     return RatioModel(bits, b, weights)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = 6000, bits: int = 20, parts: int = 3, held: int = 1) -> RatioModel:
-    texts = training_sample(docs, labels, label, sample, parts, held, id_col, text_col)
+def _class_counts(texts: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """In how many toxic and other texts each hashed n-gram is: summed in slices on the executors."""
+    slices = 64
+    width = (1 << bits) // slices
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 1 << bits), np.int32)
+        for batch in batches:
+            for text, y in zip(batch.column("text"), batch.column("y").to_pylist()):
+                counts[y, grams(text.as_py(), bits)] += 1
+        if counts.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([counts[:, i * width : (i + 1) * width].tobytes() for i in range(slices)], pa.binary())], names=["slice", "counts"])
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer(), np.int32) for x in table["counts"])
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((2, 1 << bits), np.float64)
+    sums = texts.select("text", "y").mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary")
+    for r in sums.collect():  # 64 rows, 8 * 2**bits bytes in all
+        out[:, r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["counts"], np.int32).reshape(2, width)
+    return out[1], out[0]
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = 6000, bits: int = 20, parts: int = 3, held: int = 1, least: int = 10, most: int = 20_000) -> RatioModel:
+    """Fit on at most ``sample`` labelled rows outside the held-out fold; the driver gets the ``most`` features at most."""
+    texts = Scratch(docs.sparkSession, "toxicity").cut(training_sample(docs, labels, label, sample, parts, held, id_col, text_col), "sample")
+    p, q = _class_counts(texts, bits)
+    r = ratios(p, q, texts.count(), least, most)
+    wanted = docs.sparkSession.sparkContext.broadcast(r != 0)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in enumerate(batch.column("text").to_pylist()):  # a row at a time: its grams can be many times its bytes
-                yield pa.RecordBatch.from_arrays([batch.column("_id")[i : i + 1].cast(pa.string()), batch.column("y")[i : i + 1], pa.array([grams(text, bits).astype(np.int32)], pa.list_(pa.int32()))], names=["id", "y", "at"])
-
-    got = texts.mapInArrow(each, "id string, y int, at array<int>").toArrow().combine_chunks()
-    order = np.argsort(np.asarray(got["id"].to_pylist(), dtype=object), kind="stable") if got.num_rows else []
-    column = got["at"].combine_chunks() if got.num_rows else None
-    rows = [column[int(i)].values.to_numpy().astype(np.int32) for i in order]
-    y = np.asarray(got["y"].to_pylist(), float)
-    return fit_ratio(rows, y[order] if len(rows) else y, bits)
+            found = [(g := grams(t.as_py(), bits))[wanted.value[g]].astype(np.int32) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("_id").cast(pa.string()), batch.column("y"), pa.array(found, pa.list_(pa.int32()))], names=["id", "y", "at"])
+
+    got = texts.mapInArrow(each, "id string, y int, at array<int>").toArrow().sort_by("id")
+    return fit_ratio([np.asarray(x, np.int32) for x in got["at"].to_pylist()], np.asarray(got["y"].to_pylist(), float), r, bits)
 
 
 def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", out: str = "score") -> DataFrame:
