@@ -348,8 +348,11 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     pairs = scratch.cut(one.join(other, "gid").where("hub < key and c <> component").select("hub", "key").distinct(), "pairs")
     second = scratch.cut(_verify(pairs, texts, width, p, q), "links")
     many = left.where(F.col("n") > FEW)
-    stars = many.join(many.groupBy("gid").agg(F.min("key").alias("a")), "gid").where("a <> key").select("a", F.col("key").alias("b")).distinct()
-    family = components(stars, scratch).select(F.col("node").alias("key"), F.col("component").alias("family"))
+    # large groups that overlap are one family: each set leads to the smallest hub of its groups, so that only hubs are nodes
+    of_group = scratch.cut(many.join(many.groupBy("gid").agg(F.min("key").alias("hub")), "gid").select("hub", "key").distinct(), "hubs")
+    leads = of_group.groupBy("key").agg(F.min("hub").alias("lead"))
+    meet = of_group.join(leads, "key").where("hub <> lead").select(F.col("hub").alias("a"), F.col("lead").alias("b")).distinct()
+    family = leads.join(components(meet, scratch).withColumnRenamed("node", "lead"), "lead", "left").select("key", F.coalesce("component", "lead").alias("family"))
     members = many.select("key", "component").distinct().join(family, "key")
     third = scratch.cut(_verify_blocks(members, texts, width, p, q), "links")
 
