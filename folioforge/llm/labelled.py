@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .words import ROWS
+
 
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text modulo ``parts`` (null ids fall in no fold and give null)."""
@@ -39,7 +41,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
 
 
 def with_column(df: DataFrame, inputs: list[str], name: str, values: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
-    """All columns of ``df`` and a double ``name`` computed from each Arrow batch of ``inputs``.
+    """All columns of ``df`` and a double ``name`` computed from slices of each Arrow batch of ``inputs``.
 
     A column of that name in ``df`` is replaced.  Rows stay in the tasks that
     read them: there is no shuffle and no join back.
@@ -48,7 +50,9 @@ def with_column(df: DataFrame, inputs: list[str], name: str, values: Callable[[p
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = pa.array(values(batch.select(inputs)), pa.float64())
+            inside = batch.select(inputs)
+            parts = [values(inside.slice(a, ROWS)) for a in range(0, len(batch), ROWS)]
+            column = pa.array(np.concatenate(parts) if parts else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
     return df.mapInArrow(each, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))

@@ -34,7 +34,7 @@ _LETTERS = "a-zªµº\xdf-\xf6\xf8-\xff"
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0{_LETTERS}0-9²³¹¼-¾]+")
 _WIDE = re.compile("[^\x00-\xff]|<\\|")
 #: Units whose ids a Python worker keeps, from task to task.
-_STORE = 600_000
+_STORE = 200_000
 _KNOWN: dict[str, dict[str, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
 

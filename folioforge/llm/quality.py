@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import fold, logistic, training_sample, with_column
-from .words import column_bytes, word_hashes
+from .words import ROWS, column_bytes, word_hashes
 
 #: Byte classes whose shares of a text are statistics.
 _CLASSES = ("upper", "lower", "digit", "space", "newline", "stop", "symbol", "beyond")
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", id_col: s
     texts, names = training_sample(docs, labels, label, sample, parts, held, id_col, text_col, extra), list(extra)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(a, ROWS) for whole in batches for a in range(0, len(whole), ROWS)):
             rows, dense = features(batch.column("text"), [batch.column(m) for m in names], bits)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id").cast(pa.string()), batch.column("y"), pa.array([r[0].astype(np.int32) for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), pa.array(list(dense), pa.list_(pa.float64()))],

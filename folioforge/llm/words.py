@@ -3,8 +3,9 @@
 A word is ``[^\\x20\\x09-\\x0D]+`` of the UTF-8 bytes with A-Z lower-cased.  Its
 64-bit hash is a polynomial of its bytes, mixed with its length; a shingle's
 hash mixes the hashes of its words in order.  Texts are worked on in pieces of
-about a megabyte, cut between words, so that a very long text needs no more
-memory than its own bytes and word hashes.
+a quarter of a megabyte, cut between words, and columns in slices of ``ROWS``
+texts, so that a batch needs little more memory than its own bytes and a very
+long text no more than its bytes and word hashes.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_STEP = 1 << 20
+_STEP = 1 << 18
+#: Texts that are hashed at once.
+ROWS = 256
 _P = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -73,7 +76,7 @@ def _hash_piece(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _pieces(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Byte ranges of about a megabyte that end at a text's end or, in long texts, between words."""
+    """Byte ranges of about ``_STEP`` bytes that end at a text's end or, in long texts, between words."""
     at, last = int(offsets[0]), int(offsets[-1])
     while at < last:
         if last - at <= _STEP:
@@ -116,6 +119,8 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
-    bounds, words = word_hashes(column)
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        yield shingles(words[a:b], width)
+    """The shingles of each text, in the order of the column."""
+    for at in range(0, len(column), ROWS):
+        bounds, words = word_hashes(column.slice(at, ROWS))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            yield shingles(words[a:b], width)
