@@ -28,6 +28,29 @@ def _window(t: Column, start: Column, size) -> Column:
     return F.struct(text.alias("text"), before.cast("int").alias("start_char"), (before + F.length(text)).cast("int").alias("end_char"), start.cast("int").alias("first_token"), F.least(start + size, F.size(t)).cast("int").alias("end_token"))
 
 
+def token_offsets(df: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, block: int = 256) -> DataFrame:
+    """Where every token begins among the tokens joined by single spaces.
+
+    Running sums are taken over blocks of tokens and within a block, so that the
+    work does not grow with the square of a text's length.
+    """
+    keep = keep or ["doc_id"]
+    zero = F.lit(0).cast("long")
+
+    def starts(sizes: Column, first: Column) -> Column:
+        """Running sums before each size, from ``first`` on."""
+        grown = lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all"))
+        return F.aggregate(sizes, F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("all")), grown, lambda a: a["all"])
+
+    df = df.select(*keep, F.transform(tokens(F.col(text_col)), lambda t: F.length(t).cast("long") + 1).alias("_n")).where(F.size("_n") > 0)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_n") - 1) / block).cast("int")), lambda b: F.slice("_n", b * block + 1, block))
+    df = df.select(*keep, blocks.alias("_b"))
+    firsts = starts(F.transform("_b", lambda b: F.aggregate(b, zero, lambda a, n: a + n)), zero)
+    df = df.select(*keep, F.posexplode(F.arrays_zip(F.col("_b").alias("n"), firsts.alias("first"))).alias("_k", "_c"))
+    df = df.select(*keep, "_k", F.posexplode(starts(F.col("_c")["n"], F.col("_c")["first"])).alias("_i", "start_char"))
+    return df.select(*keep, (F.col("_k") * block + F.col("_i")).alias("pos"), "start_char")
+
+
 def token_windows(df: DataFrame, *, size: int = 1000, overlap: int = 200, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Windows of ``size`` tokens with an overlap; the first window that reaches the end is the last."""
     if not 0 <= overlap < size:

@@ -73,7 +73,7 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), e AS (SELECT doc_id, i, length(t[i]) AS n FROM (SELECT doc_id, t, unnest(generate_series(1, least(len(t), 200))) AS i FROM d WHERE len(t) > 0))
 SELECT doc_id, (i - 1)::INT AS pos, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::BIGINT AS start_char FROM e""")
 def token_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets of the first 200 tokens (a cap of the feature: a preview of the alignment)."""
+    """Offsets of the first 200 tokens: a preview, as its SQL has it; ``token_offsets_all`` has those of every token."""
     from pyspark.sql import Window
 
     t = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.slice(X.tokens(F.col("text")), 1, 200)).alias("pos", "tok"))
@@ -81,6 +81,12 @@ def token_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("doc_id", "pos", F.coalesce(F.sum(F.length("tok") + 1).over(w), F.lit(0)).alias("start_char"))
 
 
+@query(f"""WITH d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), e AS (SELECT doc_id, i, length(t[i]) AS n FROM (SELECT doc_id, t, unnest(generate_series(1, len(t))) AS i FROM d WHERE len(t) > 0))
+SELECT doc_id, (i - 1)::INT AS pos, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::BIGINT AS start_char FROM e""")
+def token_offsets_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.token_offsets(table(spark, sf_dir, "documents"))
+
+
 @query(r"""WITH s AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, chr(32) || chr(9) || chr(10) || chr(13))), lambda x: x <> '') AS s FROM documents)
 SELECT doc_id, len(s)::INT AS n, md5(array_to_string(s, chr(2))) AS digest FROM s""")
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:

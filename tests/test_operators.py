@@ -19,6 +19,21 @@ def texts(spark, *values):
     return spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
 
 
+@pytest.mark.parametrize("block", [3, 256])
+def test_token_offsets_of_every_token(spark, block):
+    long = " ".join("w" * (i % 7 + 1) for i in range(1000))
+    values = [long, None, " \n", "one", "é  日本語\ttwo\n", long]
+    want = []
+    for i, t in enumerate(values):
+        at = 0
+        for k, w in enumerate((t or "").split()):
+            want.append((i % 5, k, at))
+            at += len(w) + 1
+    df = spark.createDataFrame([(i % 5, t) for i, t in enumerate(values)], "doc_id long, text string")  # an id may come twice
+    assert sorted(tuple(r) for r in C.token_offsets(df, block=block).collect()) == sorted(want)
+    assert len(want) > 2 * 200
+
+
 @pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 17, 18, 26, 34])
 def test_token_windows_cover_all(spark, n):
     out = C.token_windows(texts(spark, " ".join(f"w{i}" for i in range(n))), size=10, overlap=2).orderBy("chunk_index").collect()
