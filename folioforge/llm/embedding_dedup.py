@@ -9,8 +9,13 @@ by pair, and every list keeps its best.  A list whose last entry still reaches
 the threshold is saturated: its length is doubled, up to ``longest``.  Rounds
 end when hardly any list changes.
 
-Pairs at the threshold are kept.  Groups that links connect are then completed
-in blocks: each block of a group's vectors is compared with each other block of
+Pairs at the threshold are kept.  A node with ``k`` links or more may have others
+that its list or the joins left out, so these nodes are searched again without
+lists: they are put into cells (blocks of a group's nodes, with a centre and a
+radius), every cell meets every cell of the label that the triangle inequality
+of angles does not rule out, and links between different groups join the groups.
+If the audit stays under the recall in the end, cells of all nodes are searched
+in the same way, which is exact.  Groups are then completed in blocks: each block of a group's vectors is compared with each other block of
 the same group, and only counts and the audit leave the task, so that long lists
 are not needed for exact link counts.
 
@@ -22,7 +27,7 @@ their own (they link with one another); a null id never becomes a component's id
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +62,31 @@ def _runs(*columns: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(at.tolist(), [*at[1:].tolist(), n]))
 
 
+def _in_blocks(keys: tuple[str, ...], most: int, each: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that cuts sorted rows into blocks of up to ``most`` rows with equal keys and gives each block to ``each``."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            held = yield from done(table.combine_chunks(), False)
+        if held is not None:
+            yield from done(held, True)
+
+    def done(table: pa.Table, last: bool):
+        rest = len(table)
+        for a, b in _runs(*(table[c].to_numpy() for c in keys)):
+            for at in range(a, b, most):
+                to = min(b, at + most)
+                if not last and b == len(table) and to - at < most:
+                    rest = at
+                    break
+                yield from each(table.slice(at, to - at).combine_chunks())
+        return table.slice(rest) if rest < len(table) else None
+
+    return blocks
+
+
 def _best(ids: np.ndarray, sims: np.ndarray, k: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(src, dst, sim) of each row's k best others in a block; at the threshold, of up to 4 k."""
     np.fill_diagonal(sims, -2)
@@ -85,31 +115,13 @@ def first_graph(nodes: DataFrame, k: int, codes: int, threshold: float, seed: in
             for c in range(codes):
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("node", "label", "dim", "vec")), pa.array(np.full(len(batch), c, np.int32)), pa.array(code[c])], names=["node", "label", "dim", "vec", "tree", "code"])
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            held = yield from done(table.combine_chunks(), False)
-        if held is not None:
-            yield from done(held, True)
-
-    def done(table: pa.Table, last: bool):
-        runs = _runs(*(table[c].to_numpy() for c in ("tree", "label", "dim")))
-        rest = len(table)
-        for a, b in runs:
-            for at in range(a, b, BLOCK):
-                to = min(b, at + BLOCK)
-                if not last and b == len(table) and to - at < BLOCK:
-                    rest = at
-                    break
-                if to - at > 1:
-                    part = table.slice(at, to - at).combine_chunks()
-                    x = _unit(part["vec"].combine_chunks())
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _best(part["node"].to_numpy(), x @ x.T, k, threshold)], names=["src", "dst", "sim"])
-        return table.slice(rest) if rest < len(table) else None
+    def best(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        if len(part) > 1:
+            x = _unit(part["vec"].combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _best(part["node"].to_numpy(), x @ x.T, k, threshold)], names=["src", "dst", "sim"])
 
     rows = nodes.mapInArrow(coded, "node long, label long, dim int, vec array<double>, tree int, code long")
-    return rows.repartitionByRange("tree", "label", "dim", "code", "node").sortWithinPartitions("tree", "label", "dim", "code", "node").mapInArrow(blocks, _EDGE)
+    return rows.repartitionByRange("tree", "label", "dim", "code", "node").sortWithinPartitions("tree", "label", "dim", "code", "node").mapInArrow(_in_blocks(("tree", "label", "dim"), BLOCK, best), _EDGE)
 
 
 def _lists(edges: DataFrame, k: int, threshold: float, longest: int) -> DataFrame:
@@ -156,6 +168,84 @@ def _round(lists: DataFrame, nodes: DataFrame, k: int, threshold: float) -> Data
     return meet.repartition("pivot").sortWithinPartitions("pivot").select("pivot", "node", "floor", "vec").mapInArrow(each, _EDGE)
 
 
+def cells(members: DataFrame, by_group: bool, most: int = BLOCK, seed: int = 0) -> DataFrame:
+    """Rows (cell, label, dim, center, radius, nodes, groups, vecs) from rows (node, label, dim, group, vec).
+
+    A cell holds up to ``most`` nodes that are next to each other in the order of a hyperplane code, of one group if ``by_group``.
+    radius is the largest angle to the center.
+    """
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, lengths = np.zeros(len(batch), np.int64), batch.column("dim").to_numpy()
+            for dim in np.unique(lengths):
+                at = np.flatnonzero(lengths == dim)
+                bits = _unit(batch.column("vec").take(pa.array(at))) @ np.random.default_rng([seed, int(dim)]).normal(size=(int(dim), 32)) > 0
+                code[at] = bits @ (1 << np.arange(31, -1, -1, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code)], names=[*batch.schema.names, "code"])
+
+    def cell(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        x = _unit(part["vec"].combine_chunks())
+        center = x.mean(0)
+        size = np.sqrt(center @ center)
+        center = center / size if size > 1e-6 else x[0]
+        radius = float(np.arccos(np.clip(x @ center, -1, 1)).max())
+        one = lambda v, kind: pa.array([v], kind)
+        yield pa.RecordBatch.from_arrays(
+            [one(part["label"][0].as_py(), pa.int64()), one(part["dim"][0].as_py(), pa.int32()), one(center, pa.list_(pa.float64())), one(radius, pa.float64()), one(part["node"].to_numpy(), pa.list_(pa.int64())), one(part["group"].to_numpy(), pa.list_(pa.int64())), one(x.ravel(), pa.list_(pa.float64()))],
+            names=["label", "dim", "center", "radius", "nodes", "groups", "vecs"],
+        )
+
+    keys = ("label", "dim", "group") if by_group else ("label", "dim")
+    order = [*keys, "code", "node"]
+    rows = members.select("node", "label", "dim", "group", "vec").mapInArrow(coded, "node long, label long, dim int, group long, vec array<double>, code long").repartitionByRange(*order).sortWithinPartitions(*order)
+    out = rows.mapInArrow(_in_blocks(keys, most, cell), "label long, dim int, center array<double>, radius double, nodes array<long>, groups array<long>, vecs array<double>")
+    return out.withColumn("cell", F.monotonically_increasing_id())
+
+
+def between(found: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that join groups: for each two groups in two cells, one link at the threshold if there is any.  Exact."""
+    found = scratch.cut(found, "cells")
+    reach = float(np.arccos(threshold)) + 1e-5
+    heads = found.select("cell", "label", "dim", "center", "radius", F.array_min("groups").alias("low"), F.array_max("groups").alias("high"))
+    rows = heads.join(heads.groupBy("label", "dim").agg(F.ceil(F.count("*") / 1024).cast("int").alias("blocks")), ["label", "dim"]).withColumn("block", F.pmod(F.xxhash64("cell"), F.col("blocks")).cast("int"))
+    names = ["label", "dim", "i", "j", "side", "cell", "center", "radius", "low", "high"]
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    here = rows.withColumn("i", F.col("block")).withColumn("j", others).withColumn("side", F.lit(0)).where("i <= j").select(*names)
+    there = rows.withColumn("j", F.col("block")).withColumn("i", others).withColumn("side", F.lit(1)).where("i <= j").select(*names)
+
+    def near(keys: tuple, table: pa.Table) -> pa.Table:
+        side, x = table["side"].to_numpy(), _unit(table["center"].combine_chunks())
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        cell, radius, low, high = (table[c].to_numpy() for c in ("cell", "radius", "low", "high"))
+        same = (low[a] == high[a])[:, None] & (low[b] == high[b])[None, :] & (low[a][:, None] == low[b][None, :])
+        ok = (np.arccos(np.clip(x[a] @ x[b].T, -1, 1)) <= reach + radius[a][:, None] + radius[b][None, :]) & ~same
+        if keys[2].as_py() == keys[3].as_py():
+            ok &= cell[a][:, None] <= cell[b][None, :]
+        i, j = np.nonzero(ok)
+        return pa.table({"p": cell[a][i], "q": cell[b][j]})
+
+    pairs = here.unionByName(there).groupBy("label", "dim", "i", "j").applyInArrow(near, "p long, q long")
+    side = lambda key, s: found.select(F.col("cell").alias(key), F.col("nodes").alias(f"n{s}"), F.col("groups").alias(f"g{s}"), F.col("vecs").alias(f"v{s}"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], []]
+            for r in range(len(batch)):
+                n, g, v = ([batch.column(f"{c}{s}")[r].values.to_numpy() for s in "ab"] for c in "ngv")
+                x, y = (v[s].reshape(len(n[s]), -1) for s in (0, 1))
+                i, j = np.nonzero((x @ y.T >= threshold) & (g[0][:, None] != g[1][None, :]))
+                if len(i):
+                    one = np.unique(np.stack([g[0][i], g[1][j]]), axis=1, return_index=True)[1]
+                    out[0].append(n[0][i[one]])
+                    out[1].append(n[1][j[one]])
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["a", "b"])
+
+    both = pairs.join(side("p", "a"), "p").join(side("q", "b"), "q").select("na", "nb", "ga", "gb", "va", "vb")
+    return both.mapInArrow(compare, "a long, b long")
+
+
 def complete(members: DataFrame, threshold: float) -> DataFrame:
     """Link counts (node, links) within groups, from rows (node, group, dim, mult, vec): every block against every block."""
     sized = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks >= 1")
@@ -205,12 +295,20 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, *, threshold: float =
     """One row for each vector: (id, n_links, component_id, kept).
 
     With ``recall`` the audit runs as well, and codes are added (twice as many,
-    up to twice) while the share of links found is below it.
+    up to twice) while the share of links found is below it; then all nodes are
+    compared through cells.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
     good = rows.where(usable(F.col("vec")) & F.col("label").isNotNull()).withColumn("vec", F.transform("vec", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
     nodes = good.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("mult")).withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("vec"))
     nodes = scratch.cut(nodes.select("node", "label", "dim", "rep", "mult", "vec"), "nodes")
+
+    def grouped(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Components, and the link counts within them."""
+        comps = components(edges, scratch)
+        members = nodes.join(comps, "node").select("node", F.col("component").alias("group"), "dim", "mult", "vec")
+        return comps, scratch.cut(complete(members, threshold), "links")
+
     for attempt in range(3):
         lists = scratch.cut(_lists(first_graph(nodes, k, codes << attempt, threshold, seed + attempt), k, threshold, 2 * k), "lists")
         n, bound = lists.count(), 2 * k
@@ -225,13 +323,19 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, *, threshold: float =
                 break
         edges = lists.where(F.col("sim") >= threshold).select(F.col("src").alias("a"), F.col("dst").alias("b"))
         comps = components(edges, scratch)
-        members = nodes.join(comps, "node").select("node", F.col("component").alias("group"), "dim", "mult", "vec")
-        linked = scratch.cut(complete(members, threshold), "links")
+        # lists and joins take k links of a node for certain: nodes with as many are searched without lists
+        dense = edges.union(edges.select("b", "a")).distinct().groupBy("a").count().where(F.col("count") >= k).select(F.col("a").alias("node"))
+        sought = nodes.join(comps, "node").join(dense, "node").withColumnRenamed("component", "group")
+        joined = scratch.cut(edges.union(between(cells(sought, True, seed=seed), threshold, scratch)), "joined")
+        comps, linked = grouped(joined)
         if recall is None:
             break
         seen = audit(nodes, linked, threshold).first()
         if seen["found"] >= recall * seen["pairs"]:
             break
+        if attempt == 2:
+            everyone = nodes.join(comps, "node", "left").withColumn("group", F.coalesce("component", "node"))
+            comps, linked = grouped(joined.union(between(cells(everyone, False, seed=seed), threshold, scratch)))
     named = nodes.select("node", "label", "vec", "rep", "mult").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     full = named.join(least, "component").join(linked, "node", "left").select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")

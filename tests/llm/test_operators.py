@@ -87,6 +87,36 @@ def test_embedding_dedup(spark):
     assert sum(g[1] for g in got) >= 0.98 * sum(w[1] for w in want) and sum(g != w for g, w in zip(got, want)) <= 0.03 * len(want)
 
 
+def clumps(size):
+    """Two tight clumps of distinct vectors whose members also reach each other's."""
+    rng, angle = np.random.default_rng(5), np.arccos(0.95)
+    ends = np.eye(32)[0], np.cos(angle) * np.eye(32)[0] + np.sin(angle) * np.eye(32)[1]
+    out = [e + np.r_[0, 0, rng.normal(size=30) * 0.008] for _ in range(size) for e in ends]
+    return [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(out)]
+
+
+@pytest.mark.parametrize("size", [20, 100])
+def test_embedding_dedup_joins_clumps(spark, size):
+    rows = clumps(size)
+    want = brute_links(rows, 0.93)
+    assert all(w[1:] == (2 * size - 1, 0) for w in want)
+    out = embedding_dedup.near_duplicates(vectors(spark, rows), Scratch(spark, "t"), recall=0.98)
+    assert sorted((r.id, r.n_links, r.component_id) for r in out.collect()) == want
+
+
+def test_cells_are_exact(spark):
+    """Nodes in groups of their own, through many cells: the components are those of all links."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(30, 16))
+    x = np.concatenate([base + rng.normal(size=base.shape) * 0.2 for _ in range(10)])
+    rows = [(i, [float(v) for v in x[i]], i % 2) for i in range(len(x))]
+    nodes = spark.createDataFrame([(i, lab, 16, i, v) for i, v, lab in rows], "node long, label long, dim int, group long, vec array<double>")
+    edges = embedding_dedup.between(embedding_dedup.cells(nodes, False, most=7), 0.93, Scratch(spark, "t")).collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {(i, j) for i, j in zip(*np.nonzero(u @ u.T >= 0.93)) if i < j and i % 2 == j % 2}
+    assert {(min(e.a, e.b), max(e.a, e.b)) for e in edges} == want and len(want) > 300
+
+
 def test_embedding_dedup_empty(spark):
     assert embedding_dedup.near_duplicates(vectors(spark, []), Scratch(spark, "t")).count() == 0
 
