@@ -14,8 +14,8 @@ every source's count from the multivariate hypergeometric distribution and keeps
 the blocks disjoint.  Rows are then shuffled within a shard by a hash.
 
 Everything is DataFrame expressions.  Running totals are taken over blocks and
-within a block, never over a whole source, and texts are not shuffled.  "Random"
-is MD5 of a seed and the id: reruns agree.
+within a block, never over a whole source; texts are shuffled once, where rows of
+the mix are asked for.  "Random" is MD5 of a seed and the id: reruns agree.
 
 Nulls and edges: a null text has size 0 and nothing is taken from it; null is a
 source of its own and sorts last; sources without words have target 0; rows with
@@ -38,6 +38,10 @@ def _key(seed: str, *columns: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]))
 
 
+def _range(key: Column) -> Column:
+    return F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, repeats: float) -> DataFrame:
     """Rows (source, source_size, rank, weight, target) from rows (source, source_size); rank is the code-point order."""
     cycle = F.array(*[F.lit(float(w)) for w in weights])
@@ -77,7 +81,7 @@ def plan(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...], share
     rows = scratch.cut(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
         .withColumn("key", _key(seed, "id"))
-        .withColumn("range", F.conv(F.substring("key", 1, 3), 16, 10).cast("int")),
+        .withColumn("range", _range(F.col("key"))),
         "sizes",
     )
     by_range = scratch.cut(rows.groupBy("source", "range").agg(F.sum("size").alias("words")), "ranges")
@@ -105,49 +109,51 @@ def extra_words(key: Column, size: Column) -> Column:
     return F.when(end.isNull(), F.lit(0)).when(at < limit, size).when(at == limit, F.least(end["words"], size)).otherwise(0).cast("long")
 
 
-def mix(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: float = 2.0, shards: int = 16, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row for each document: (id, source, size, source_size, target, taken, draws).
-
-    draws: array of (pass, words, shard, place): each pass that takes words of
-    the document, the shard its block went to, and its place there (a hash; the
-    shard's rows are read in its order).
-    """
-    rows, sources = plan(docs, scratch, weights=weights, share=share, repeats=repeats, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col)
+def draw(rows: DataFrame, sources: DataFrame, scratch: Scratch, repeats: float, shards: int, seed: str) -> DataFrame:
+    """``rows`` (source, size, key, range and any others) with what ``plan`` says of their source, and with draws (see ``mix``)."""
     top = int(repeats) + 1
     of_source = sources.withColumnRenamed("source", "_s")
     taken = rows.join(F.broadcast(of_source) if sources.limit(100_001).count() <= 100_000 else of_source, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     taken = taken.withColumn("more", extra_words(F.col("key"), F.col("size"))).withColumn("block", F.floor(F.col("range") / 64).cast("int"))
     # blocks of 64 ranges: at most 64 for each source and pass
     spans = sources.select(F.col("rank").alias("source_rank"), F.col("passes"), F.col("end"), F.explode(F.sequence(F.lit(0), F.lit(top - 1))).alias("pass")).where("pass < passes or (pass = passes and end is not null)")
-    lists = spans.select("source_rank", "pass", F.explode(F.sequence(F.lit(0), F.when(F.col("pass") < F.col("passes"), F.lit(RANGES // 64 - 1)).otherwise(F.floor(F.conv(F.substring(F.col("end")["key"], 1, 3), 16, 10).cast("int") / 64).cast("int")))).alias("range"))
+    lists = spans.select("source_rank", "pass", F.explode(F.sequence(F.lit(0), F.when(F.col("pass") < F.col("passes"), F.lit(RANGES // 64 - 1)).otherwise(F.floor(_range(F.col("end")["key"]) / 64).cast("int")))).alias("range"))
     dealt = split_tree(lists, shards, seed).groupBy(F.col("source_rank").alias("rank"), F.col("range").alias("block")).agg(F.map_from_entries(F.collect_list(F.struct("pass", "shard"))).alias("shard_of"))
     dealt = scratch.cut(dealt, "dealt")
     joined = taken.join(F.broadcast(dealt) if dealt.limit(200_001).count() <= 200_000 else dealt, ["rank", "block"], "left")
     words = lambda p: F.when(p < F.col("passes"), F.col("size")).when(p == F.col("passes"), F.col("more")).otherwise(F.lit(0)).cast("long")
     draws = F.transform(F.sequence(F.lit(0), F.lit(top - 1)), lambda p: F.struct(p.alias("pass"), words(p).alias("words"), F.col("shard_of")[p].alias("shard"), F.xxhash64(F.lit(seed), p, F.col("key")).alias("place")))
-    return joined.select(
-        "id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.col("more")).alias("taken"), F.filter(draws, lambda d: d["words"] > 0).alias("draws")
-    )
+    return joined.withColumn("draws", F.filter(draws, lambda d: (d["words"] > 0) & d["shard"].isNotNull()))
+
+
+def mix(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: float = 2.0, shards: int = 16, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row for each document: (id, source, size, source_size, target, taken, draws).
+
+    draws: array of (pass, words, shard, place): each pass that takes words of
+    the document, the shard its block went to, and its place there (a hash; the
+    shard's rows are read in its order).
+    """
+    rows, sources = plan(docs, scratch, weights=weights, share=share, repeats=repeats, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col)
+    taken = F.col("passes") * F.col("size") + F.col("more")
+    return draw(rows, sources, scratch, repeats, shards, seed).select("id", "source", "size", "source_size", "target", taken.alias("taken"), "draws")
 
 
-def rows_of_mix(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars") -> DataFrame:
-    """The mix as rows with the columns of ``docs``: each row once for each pass that takes words of it.
+def rows_of_mix(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: float = 2.0, shards: int = 16, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars") -> DataFrame:
+    """The mix as rows with the columns of ``docs``: one row for each draw, by shard and by place within it.
 
     A row that the quota cuts has its first words, joined by single spaces, and
-    its new length in ``length_col`` if ``docs`` has that column.  What a row
-    gives follows from its key and its source's end, so texts are not shuffled.
+    its new length in ``length_col`` if ``docs`` has that column.  Shards are
+    ranges of the partitions: a partition may end within a shard, so that no
+    task grows with a shard.
     """
     names = docs.columns
     _, sources = plan(docs, scratch, weights=weights, share=share, repeats=repeats, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col)
-    table = sources.select(F.col("source").alias("_source"), F.col("passes").alias("_passes"), F.col("end").alias("end"))
-    table = F.broadcast(table) if table.limit(100_001).count() <= 100_000 else table
-    own = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")).withColumn("_id", F.col("_row")[id_col])
     size = F.coalesce(F.regexp_count(F.col("_row")[text_col], F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(own).withColumn("_id", F.col("_row")[id_col]).withColumn("_size", size).withColumn("_key", _key(seed, "_id"))
-    rows = rows.join(table, F.col("_row")[source_col].cast("string").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("_more", extra_words(F.col("_key"), F.col("_size")))
-    takes = F.filter(F.concat(F.array_repeat("_size", F.col("_passes").cast("int")), F.array("_more")), lambda n: n > 0)
-    rows = rows.select("_row", "_size", F.explode(takes).alias("_take"))
+    rows = own.select("_row", F.col("_row")[source_col].cast("string").alias("source"), size.alias("size"), _key(seed, "_id").alias("key")).withColumn("range", _range(F.col("key")))
+    rows = draw(rows, sources, scratch, repeats, shards, seed).select("_row", F.col("size").alias("_size"), F.explode("draws").alias("_draw"))
+    rows = rows.select("_row", "_size", F.col("_draw")["words"].alias("_take"), F.col("_draw")["shard"].alias("_shard"), F.col("_draw")["place"].alias("_place"))
+    rows = rows.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")
     words = F.filter(F.split(F.col("_row")[text_col], r"[\x20\x09-\x0D]+"), lambda w: w != "")
     text = F.when(F.col("_take") < F.col("_size"), F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("_take"), F.lit(1)).cast("int")), " ")).otherwise(F.col("_row")[text_col])
     out = rows.withColumn("_text", text)

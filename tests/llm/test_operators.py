@@ -464,6 +464,14 @@ def test_mix_rows(spark, odd, none):
     assert mixing.mix(none, Scratch(spark, "t")).count() == 0 and mixing.rows_of_mix(none, Scratch(spark, "t")).count() == 0
 
 
+def test_mix_rows_are_dealt(spark):
+    df = documents(spark, *[" ".join(["w"] * (i % 9 + 1)) for i in range(300)])
+    draws = [(d.shard, d.place, r.id, d.words) for r in mixing.mix(df, Scratch(spark, "t")).collect() for d in r.draws]
+    got = [(r.doc_id, len(WORD.findall(r.text))) for r in mixing.rows_of_mix(df, Scratch(spark, "t")).collect()]
+    assert got == [d[2:] for d in sorted(draws)] and len(got) > 300
+    assert sum(a[0] == b[0] for a, b in zip(got, got[1:])) < 10  # the passes of a document are apart
+
+
 # 10
 
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style><script>var t="</p>";</script></head><body>
