@@ -134,7 +134,8 @@ def mix(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...] = (3, 1
     shard's rows are read in its order).
     """
     rows, sources = plan(docs, scratch, weights=weights, share=share, repeats=repeats, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col)
-    taken = F.col("passes") * F.col("size") + F.col("more")
+    # what is taken is what the tree has dealt
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"])
     return draw(rows, sources, scratch, repeats, shards, seed).select("id", "source", "size", "source_size", "target", taken.alias("taken"), "draws")
 
 

@@ -472,6 +472,15 @@ def test_mix_rows_are_dealt(spark):
     assert sum(a[0] == b[0] for a, b in zip(got, got[1:])) < 10  # the passes of a document are apart
 
 
+def test_taken_is_what_the_tree_dealt(spark, monkeypatch):
+    df = documents(spark, *["one two three"] * 200)
+    tree = mixing.split_tree
+    whole = sum(r.taken for r in mixing.mix(df, Scratch(spark, "t")).collect())
+    monkeypatch.setattr(mixing, "split_tree", lambda *a: tree(*a).where("range % 2 = 0"))
+    lost = mixing.mix(df, Scratch(spark, "t")).collect()
+    assert sum(r.taken for r in lost) < 0.8 * whole and all(r.taken == sum(d.words for d in r.draws) for r in lost)
+
+
 # 10
 
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style><script>var t="</p>";</script></head><body>
