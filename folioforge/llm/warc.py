@@ -6,12 +6,13 @@ that payloads may hold any text.  Archives are read as binary files and parsed
 record by record in the tasks.
 
 Only headers (digest, id, length) are shuffled to find the first response of
-each payload; a row then learns from a join by id what it revisits.
+each payload; a row then learns from a join by id and digest what it revisits.
 
 Nulls and edges: a null payload counts as empty; payloads under ``least`` bytes
 are always responses; a null id is a record of its own that nothing can revisit
 or be told apart by, and stays a response.  Rows with equal ids and payloads are
-one response and its revisits only if their ids differ, so they stay responses.
+one response and its revisits only if their ids differ, so they stay responses;
+rows with equal ids and other payloads are resolved each by its own payload.
 """
 
 from __future__ import annotations
@@ -37,10 +38,10 @@ def headers(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
 
 
 def resolve(records: DataFrame, *, least: int = 100) -> DataFrame:
-    """Rows (id, refers_to) of the records that revisit another: those with the payload of a smaller id."""
+    """Rows (id, payload_digest, refers_to) of the records that revisit another: those with the payload of a smaller id."""
     heads = records.where((F.col("payload_bytes") >= least) & F.col("id").isNotNull()).select("id", "payload_digest")
     firsts = heads.groupBy("payload_digest").agg(F.min("id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return heads.join(firsts, "payload_digest").where("id <> refers_to").select("id", "refers_to").distinct()
+    return heads.join(firsts, "payload_digest").where("id <> refers_to").select("id", "payload_digest", "refers_to").distinct()
 
 
 def _uuid(id_: Column) -> Column:
@@ -71,7 +72,7 @@ def write(records: DataFrame, revisits: DataFrame, path: str, *, date: str = "20
         F.lit("\r\n"),
     )
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
-    joined = records.join(revisits.withColumnRenamed("id", "_rid"), F.col("id") == F.col("_rid"), "left")
+    joined = records.join(revisits.withColumnsRenamed({"id": "_rid", "payload_digest": "_digest"}), (F.col("id") == F.col("_rid")) & (F.col("payload_digest") == F.col("_digest")), "left")
     joined.select(F.concat(head, body)).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 20_000).text(path)
 
 
@@ -156,6 +157,8 @@ def deduplicate(pages: DataFrame, path: str, *, least: int = 100, **columns) ->
     write(records, resolve(records, least=least), path)
     back = read(pages.sparkSession, path).withColumn("of_payload", F.sha2(F.col("payload"), 256))
     back = back.select("page_id", "url", "record_type", "payload_digest", "refers_to", "content_length", F.when(F.col("record_type") == "response", F.col("of_payload")).otherwise(F.col("payload_digest")).alias("found_digest"))
-    cited = back.where("refers_to is not null").select(F.col("refers_to").alias("page_id")).distinct()
-    lengths = back.where("record_type = 'response'").select("page_id", "content_length").join(cited, "page_id").groupBy(F.col("page_id").alias("refers_to")).agg(F.max("content_length").alias("original_length"))
-    return back.join(lengths, "refers_to", "left").select("page_id", "url", F.coalesce("original_length", "content_length").alias("payload_bytes"), F.col("found_digest").alias("payload_digest"), "record_type", "refers_to")
+    cited = back.where("refers_to is not null").select("found_digest").distinct()
+    lengths = back.where("record_type = 'response'").join(cited, "found_digest").groupBy("found_digest").agg(F.max("content_length").alias("original_length"))
+    lengths = lengths.withColumnRenamed("found_digest", "_digest")
+    back = back.join(lengths, F.col("refers_to").isNotNull() & (F.col("found_digest") == F.col("_digest")), "left")
+    return back.select("page_id", "url", F.coalesce("original_length", "content_length").alias("payload_bytes"), F.col("found_digest").alias("payload_digest"), "record_type", "refers_to")

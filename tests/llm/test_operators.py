@@ -339,6 +339,16 @@ def test_warc(spark, tmp_path):
     assert back["1"] == long.encode() and back["2"] == b"" and back["10"] == b"z" * 100 and back[None] == long.encode()
 
 
+def test_warc_repeated_ids(spark, tmp_path):
+    x, y, z = "x" * 200, "y" * 300, "z" * 150
+    pages = [(3, x), (5, x), (5, y), (4, z), (5, z)]
+    df = spark.createDataFrame([(i, f"u{k}", h) for k, (i, h) in enumerate(pages)], "page_id long, url string, html string")
+    out = warc.deduplicate(df, str(tmp_path / "a")).collect()
+    digest = lambda h: hashlib.sha256(h.encode()).hexdigest()
+    want = [("3", 200, digest(x), None), ("5", 200, digest(x), "3"), ("5", 300, digest(y), None), ("4", 150, digest(z), None), ("5", 150, digest(z), "4")]
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to) for r in out) == sorted(want, key=lambda w: w[:3])
+
+
 def test_warc_empty(spark, tmp_path):
     assert warc.deduplicate(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "w")).count() == 0
 
