@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +34,48 @@ from pyspark.sql import functions as F
 _LETTERS = "a-zªµº\xdf-\xf6\xf8-\xff"
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0{_LETTERS}0-9²³¹¼-¾]+")
 _WIDE = re.compile("[^\x00-\xff]|<\\|")
-#: Units whose ids a Python worker keeps, from task to task.
+_SPACE = re.compile(r"\s")
+#: Units whose ids a Python worker keeps in each of two generations, from task to task.
 _STORE = 200_000
-_KNOWN: dict[str, dict[str, bytes]] = {}
-_TOKENIZERS: dict[str, object] = {}
+#: Characters that are split into units at once; longer texts go through in slices cut before white space.
+_SLICE = 1 << 20
+_STORES: dict[str, "_Store"] = {}
+
+
+class _Store:
+    """A tokenizer and the ids of units seen lately: those of the young generation and, behind it, of the one before."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, units: set[str]) -> None:
+        """Put the units' ids into the young generation; unknown ones are encoded together, side by side."""
+        if len(self.young) + len(units) > _STORE:
+            self.old, self.young = self.young, {}
+        old = self.old
+        found = {u: old[u] for u in units if u in old}
+        new = [u for u in units if u not in found]
+        self.young.update(found)
+        for a in range(0, len(new), 2_000):
+            part = new[a : a + 2_000]
+            ids = self.encode([" ".join(part)])[0]
+            ends = np.flatnonzero(self.ends[ids]) + 1  # the last token of a unit carries the end-of-word sign
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                raw = ids.tobytes()
+                bounds = [0, *(4 * ends).tolist()]
+                self.young.update(zip(part, map(raw.__getitem__, map(slice, bounds[:-1], bounds[1:]))))
+            else:
+                self.young.update(zip(part, (x.tobytes() for x in self.encode(part))))
 
 
 class CachedEncoder:
@@ -44,29 +83,46 @@ class CachedEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path not in _TOKENIZERS:
-            from tokenizers import Tokenizer
-
-            _TOKENIZERS[path] = Tokenizer.from_file(path)
-        self.tokenizer, self.known = _TOKENIZERS[path], _KNOWN.setdefault(path, {})
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> bytes:
-        if _WIDE.search(text):  # other scripts and the strings of special tokens: the tokenizer splits
-            return self._encode([text])[0]
-        units, known = _SPLIT.findall(text.lower()), self.known
-        try:
-            return b"".join(map(known.__getitem__, units))
-        except KeyError:
-            new = list({u for u in units if u not in known})
-        if len(known) + len(new) > _STORE:
-            known.clear()
-            new = list(set(units))
-        for a in range(0, len(new), 10_000):
-            known.update(zip(new[a : a + 10_000], self._encode(new[a : a + 10_000])))
-        return b"".join(map(known.__getitem__, units))
+        if path not in _STORES:
+            _STORES[path] = _Store(path)
+        self.store = _STORES[path]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; texts are worked on in slices of about a megabyte."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, str]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                to = len(text)
+                if to - at > _SLICE:
+                    space = _SPACE.search(text, at + _SLICE)
+                    to = space.start() if space else to
+                waiting.append((i, text[at:to]))
+                size, at = size + to - at, to
+                if size >= _SLICE:
+                    self._work(waiting, out)
+                    waiting, size = [], 0
+        self._work(waiting, out)
+        return [b"".join(parts) for parts in out]
+
+    def _work(self, waiting: list[tuple[int, str]], out: list[list[bytes]]) -> None:
+        store, split = self.store, []
+        for i, text in waiting:
+            if _WIDE.search(text):  # other scripts and the strings of special tokens: the tokenizer splits
+                out[i].append(store.encode([text])[0].tobytes())
+            else:
+                split.append((i, _SPLIT.findall(text.lower())))
+        unknown = set().union(*(units for _, units in split)).difference(store.young)
+        if unknown:
+            store.learn(unknown)
+        for i, units in split:
+            try:
+                out[i].append(b"".join(map(store.young.__getitem__, units)))
+            except KeyError:  # the generation changed within this slice
+                store.learn({u for u in units if u not in store.young})
+                out[i].append(b"".join(map(store.young.__getitem__, units)))
 
 
 class Packer:
@@ -135,14 +191,16 @@ class Packer:
         return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 2, tokens: int = 4096, segments: int = 64, loss: int = 4096) -> DataFrame:
-    """Rows (id, start, length, token_bytes, doc_tokens, sequence_id, offset), one for each piece.
+def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 2, tokens: int = 4096, segments: int = 64, loss: int = 4096, with_bytes: bool = True) -> DataFrame:
+    """Rows (id, start, length, ids_crc32, token_bytes, doc_tokens, sequence_id, offset), one for each piece.
 
+    ids_crc32 is the unsigned CRC-32 of the piece's token_bytes (little-endian
+    unsigned 32-bit ids); without ``with_bytes`` these bytes stay in the task.
     ``prompt_col`` may count the leading tokens of a row that bear no loss (null: 0).
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), (F.coalesce(F.col(prompt_col), F.lit(0)) if prompt_col else F.lit(0)).cast("long").alias("free"))
     kind = dict(rows.dtypes)["id"]
-    names = ["id", "start", "length", "token_bytes", "doc_tokens", "sequence_id", "offset"]
+    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["token_bytes"] if with_bytes else [])]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer, end = CachedEncoder(tokenizer_path), Packer(tokens, segments, loss), np.asarray([end_id], "<u4").tobytes()
@@ -158,18 +216,20 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
                 offset = 0
                 for r, start, n in pieces:
                     id_, ids = held[r]
-                    out.append((id_, start, n, ids[4 * start : 4 * (start + n)], len(ids) // 4, sequence, offset))
+                    piece = ids[4 * start : 4 * (start + n)]
+                    out.append((id_, start, n, zlib.crc32(piece), len(ids) // 4, sequence, offset, *([piece] if with_bytes else [])))
                     offset += n
                 sequence += 1
-            kinds = (id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (id_type, *(pa.int64(),) * 6, *([pa.binary()] if with_bytes else []))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names=names)
 
         for batch in batches:
             id_type = batch.schema.field("id").type
             for a in range(0, len(batch), 500):
                 part, size = batch.slice(a, 500), 0
-                for id_, text, free in zip(*(part.column(c).to_pylist() for c in ("id", "text", "free"))):
-                    ids = encode(text) + end
+                ids_, texts, frees = (part.column(c).to_pylist() for c in ("id", "text", "free"))
+                for id_, ids, free in zip(ids_, encode(texts), frees):
+                    ids += end
                     held[row] = (id_, ids)
                     wait.append((row, 0, len(ids) // 4, free))
                     row, size = row + 1, size + len(ids)
@@ -183,4 +243,4 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
         if wait:
             yield placed(packer.pack(wait, True)[0])
 
-    return rows.mapInArrow(each, f"id {kind}, start long, length long, token_bytes binary, doc_tokens long, sequence_id long, offset long")
+    return rows.mapInArrow(each, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", token_bytes binary" if with_bytes else ""))

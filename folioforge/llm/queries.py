@@ -44,8 +44,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
-    return out.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("token_bytes").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    out = packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, with_bytes=False)
+    return out.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
