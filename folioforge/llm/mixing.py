@@ -8,14 +8,18 @@ then the beginning of one more pass, so that exactly its quota is taken and a
 document is cut only where the quota ends.
 
 The passes are divided into blocks: hash ranges of a source's documents.  A tree
-splits the blocks among the output shards: at each node half of the shards take
-a simple random sample without replacement of the node's blocks, which draws
-every source's count from the multivariate hypergeometric distribution and keeps
-the blocks disjoint.  Rows are then shuffled within a shard by a hash.
-
-Everything is DataFrame expressions.  Running totals are taken over blocks and
-within a block, never over a whole source; texts are shuffled once, where rows of
-the mix are asked for.  "Random" is MD5 of a seed and the id: reruns agree.
+splits every source's quota of blocks among the output shards: at each node the
+blocks of all sources draw tickets, and the lower half of the shards gets the
+counts of the smallest tickets, which is a draw from the multivariate
+hypergeometric distribution of the sources' counts, exactly.  The leaves' counts
+of a source then cut its blocks, in an order that is permuted anew for each
+source, so that the shards' blocks are disjoint and together are all blocks.
+Rows are then shuffled within a shard by a hash.
+
+Everything is DataFrame expressions.  Running totals are taken over ranges and
+within a range, never over all sources, all blocks or a whole source in one task;
+texts are shuffled once, where rows of the mix are asked for.  "Random" is MD5 of
+a seed and the id: reruns agree.
 
 Nulls and edges: a null text has size 0 and nothing is taken from it; null is a
 source of its own and sorts last; sources without words have target 0; rows with
@@ -28,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, Scratch
+from .shared import WORD, Scratch, running, small
 
 #: Hash ranges that each source's documents fall into: running totals go over these, then within one.
 RANGES = 4096
@@ -42,38 +46,51 @@ def _range(key: Column) -> Column:
     return F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
 
 
-def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, repeats: float) -> DataFrame:
+def targets(sizes: DataFrame, scratch: Scratch, weights: tuple[float, ...], share: float, repeats: float) -> DataFrame:
     """Rows (source, source_size, rank, weight, target) from rows (source, source_size); rank is the code-point order."""
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).withColumn("weight", F.element_at(cycle, (F.col("rank") % len(weights) + 1).cast("int")))
-    # in the order of cap / weight: if the first sources are capped, the level is what is left over the weights that are left
-    order = Window.orderBy((F.col("source_size") * repeats / F.col("weight")), "rank")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
     cap = F.col("source_size") * F.lit(float(repeats))
-    level = (F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    levelled = ranked.withColumn("level", level).withColumn("cap", cap)
+    ranked = running(sizes, [F.col("source").asc_nulls_last()], {"rank": F.lit(1)}, scratch).withColumn("weight", F.element_at(cycle, (F.col("rank") % len(weights) + 1).cast("int")))
+    # in the order of cap / weight: if the first sources are capped, the level is what is left over the weights that are left
+    levelled = running(ranked.withColumn("cap", cap), [F.col("cap") / F.col("weight"), F.col("rank")], {"caps_before": F.col("cap"), "weights_before": F.col("weight")}, scratch)
+    levelled = scratch.cut(levelled, "levelled")
+    total = levelled.agg(F.sum("source_size").alias("sizes"), F.sum("weight").alias("weights")).first()
+    level = (F.lit(total["sizes"]) * F.lit(float(share)) - F.col("caps_before")) / (F.lit(total["weights"]) - F.col("weights_before"))
     # the level that holds is the first one that does not lift its own source above its cap
-    holds = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct((F.col("cap") / F.col("weight")).alias("o"), "rank", "level"))).over(everything)
-    return levelled.withColumn("water", holds["level"]).select("source", "source_size", "rank", "weight", F.least("cap", F.coalesce(F.col("water") * F.col("weight"), "cap")).alias("target"))
+    with_level = levelled.withColumn("level", level).where(F.col("level") * F.col("weight") <= F.col("cap"))
+    water = with_level.agg(F.min(F.struct((F.col("cap") / F.col("weight")).alias("o"), "rank", "level")).alias("w")).select("w.level").first()["level"]
+    return levelled.select("source", "source_size", "rank", "weight", F.least("cap", F.coalesce(F.lit(water).cast("double") * F.col("weight"), "cap")).alias("target"))
 
 
-def split_tree(blocks: DataFrame, shards: int, seed: str) -> DataFrame:
-    """Rows (block columns, shard): each block to one of ``shards``, by halving the shards of a node again and again.
+def split_tree(blocks: DataFrame, shards: int, seed: str, scratch: Scratch) -> DataFrame:
+    """Rows (source_rank, pass, range, shard): each block to one of ``shards``, by splitting quotas down a tree.
 
-    blocks: rows (source_rank, pass, range), a bounded list (a few thousand for each source).
+    blocks: rows (source_rank, pass, range).  A node's threshold is found among
+    4,096 ranges of tickets first and then within one range.
     """
-    out = blocks.withColumns({"lo": F.lit(0), "hi": F.lit(shards)})
-    depth = max(0, (shards - 1).bit_length())
-    for level in range(depth):
-        node = Window.partitionBy("lo", "hi")
-        draw = node.orderBy(_key(f"{seed}:{level}", "source_rank", "pass", "range"), "source_rank", "pass", "range")
+    names = ["source_rank", "pass", "range"]
+    out = blocks.select(*names).withColumns({"lo": F.lit(0), "hi": F.lit(shards)})
+    for level in range(max(0, (shards - 1).bit_length())):
+        ticket = _key(f"{seed}:{level}", *names)
+        drawn = scratch.cut(out.withColumn("ticket", ticket).withColumn("digit", _range(F.col("ticket"))), "tickets")
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-        left = F.row_number().over(draw) <= F.round(F.count("*").over(node) * (mid - F.col("lo")) / (F.col("hi") - F.col("lo")))
-        out = out.withColumns({"left": left, "mid": mid}).withColumns(
-            {"hi": F.when(F.col("hi") - F.col("lo") <= 1, F.col("hi")).when(F.col("left"), F.col("mid")).otherwise(F.col("hi")), "lo": F.when(F.col("hi") - F.col("lo") <= 1, F.col("lo")).when(F.col("left"), F.col("lo")).otherwise(F.col("mid"))}
-        ).drop("left", "mid")
-    return out.select("source_rank", "pass", "range", F.col("lo").alias("shard"))
+        node = Window.partitionBy("lo", "hi")
+        counts = drawn.groupBy("lo", "hi", "digit").agg(F.count("*").alias("n"))
+        counts = counts.withColumn("through", F.sum("n").over(node.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)))
+        counts = counts.withColumn("want", F.round(F.sum("n").over(node) * (mid - F.col("lo")) / (F.col("hi") - F.col("lo"))))
+        edge = counts.where("through >= want and through - n < want").select("lo", "hi", F.col("digit").alias("edge"), (F.col("want") - F.col("through") + F.col("n")).alias("more"))
+        at = F.row_number().over(Window.partitionBy("lo", "hi", "digit").orderBy("ticket", *names))
+        low = (F.col("digit") < F.col("edge")) | ((F.col("digit") == F.col("edge")) & (at <= F.col("more")))
+        split = drawn.join(F.broadcast(edge), ["lo", "hi"], "left").withColumns({"low": F.coalesce(low, F.lit(False)), "mid": mid})  # a row for each node at most
+        leaf = F.col("hi") - F.col("lo") <= 1
+        out = split.select(*names, F.when(leaf | F.col("low"), F.col("lo")).otherwise(F.col("mid")).alias("lo"), F.when(leaf | ~F.col("low"), F.col("hi")).otherwise(F.col("mid")).alias("hi"))
+    # what the leaves have of a source is its quota there; the source's blocks are dealt in a permuted order
+    leaves = scratch.cut(out, "leaves")
+    quotas = leaves.groupBy("source_rank", "lo").agg(F.count("*").alias("n"))
+    through = F.sum("n").over(Window.partitionBy("source_rank").orderBy("lo").rowsBetween(Window.unboundedPreceding, 0))
+    ends = quotas.withColumn("end", through).groupBy("source_rank").agg(F.sort_array(F.collect_list(F.struct("end", "lo"))).alias("ends"))  # at most ``shards`` entries
+    permuted = leaves.withColumn("at", F.row_number().over(Window.partitionBy("source_rank").orderBy(_key(f"{seed}:permuted", *names), *names)))
+    return permuted.join(ends, "source_rank").select(*names, F.filter("ends", lambda e: e["end"] >= F.col("at"))[0]["lo"].alias("shard"))
 
 
 def plan(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...], share: float, repeats: float, seed: str, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
@@ -85,15 +102,15 @@ def plan(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...], share
         "sizes",
     )
     by_range = scratch.cut(rows.groupBy("source", "range").agg(F.sum("size").alias("words")), "ranges")
-    sources = targets(by_range.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, repeats)
+    sources = targets(scratch.cut(by_range.groupBy("source").agg(F.sum("words").alias("source_size")), "totals"), scratch, weights, share, repeats)
     quota = F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(quota / F.col("source_size"))).otherwise(0).cast("long")
     sources = scratch.cut(sources.withColumn("passes", passes).withColumn("extra", quota - F.col("passes") * F.col("source_size")), "sources")
     # the range in which the last, partial pass ends, and then the document
     so_far = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    ends = by_range.withColumn("through", F.sum("words").over(so_far)).withColumnRenamed("source", "_s").join(F.broadcast(sources.select("source", "extra")), F.col("_s").eqNullSafe(F.col("source")))
-    ends = ends.where("extra > through - words and extra <= through and words > 0").select("source", F.col("range").alias("end_range"), (F.col("extra") - F.col("through") + F.col("words")).alias("left"))
-    inside = rows.withColumnRenamed("source", "_s").join(F.broadcast(ends), F.col("_s").eqNullSafe(F.col("source")) & (F.col("range") == F.col("end_range"))).drop("_s")
+    ends = by_range.withColumn("through", F.sum("words").over(so_far)).withColumnRenamed("source", "_s").join(small(sources.select("source", "extra")), F.col("_s").eqNullSafe(F.col("source")))
+    ends = scratch.cut(ends.where("extra > through - words and extra <= through and words > 0").select("source", F.col("range").alias("end_range"), (F.col("extra") - F.col("through") + F.col("words")).alias("left")), "ends")
+    inside = rows.withColumnRenamed("source", "_s").join(small(ends), F.col("_s").eqNullSafe(F.col("source")) & (F.col("range") == F.col("end_range"))).drop("_s")
     within = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
     last = inside.withColumn("through", F.sum("size").over(within)).where("left > through - size and left <= through and size > 0")
     last = last.groupBy("source").agg(F.min_by(F.struct("key", "size", (F.col("left") - F.col("through") + F.col("size")).alias("words")), F.struct("key", "size")).alias("end"))
@@ -113,14 +130,14 @@ def draw(rows: DataFrame, sources: DataFrame, scratch: Scratch, repeats: float,
     """``rows`` (source, size, key, range and any others) with what ``plan`` says of their source, and with draws (see ``mix``)."""
     top = int(repeats) + 1
     of_source = sources.withColumnRenamed("source", "_s")
-    taken = rows.join(F.broadcast(of_source) if sources.limit(100_001).count() <= 100_000 else of_source, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    taken = rows.join(small(of_source), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     taken = taken.withColumn("more", extra_words(F.col("key"), F.col("size"))).withColumn("block", F.floor(F.col("range") / 64).cast("int"))
     # blocks of 64 ranges: at most 64 for each source and pass
     spans = sources.select(F.col("rank").alias("source_rank"), F.col("passes"), F.col("end"), F.explode(F.sequence(F.lit(0), F.lit(top - 1))).alias("pass")).where("pass < passes or (pass = passes and end is not null)")
     lists = spans.select("source_rank", "pass", F.explode(F.sequence(F.lit(0), F.when(F.col("pass") < F.col("passes"), F.lit(RANGES // 64 - 1)).otherwise(F.floor(_range(F.col("end")["key"]) / 64).cast("int")))).alias("range"))
-    dealt = split_tree(lists, shards, seed).groupBy(F.col("source_rank").alias("rank"), F.col("range").alias("block")).agg(F.map_from_entries(F.collect_list(F.struct("pass", "shard"))).alias("shard_of"))
+    dealt = split_tree(lists, shards, seed, scratch).groupBy(F.col("source_rank").alias("rank"), F.col("range").alias("block")).agg(F.map_from_entries(F.collect_list(F.struct("pass", "shard"))).alias("shard_of"))
     dealt = scratch.cut(dealt, "dealt")
-    joined = taken.join(F.broadcast(dealt) if dealt.limit(200_001).count() <= 200_000 else dealt, ["rank", "block"], "left")
+    joined = taken.join(small(dealt), ["rank", "block"], "left")
     words = lambda p: F.when(p < F.col("passes"), F.col("size")).when(p == F.col("passes"), F.col("more")).otherwise(F.lit(0)).cast("long")
     draws = F.transform(F.sequence(F.lit(0), F.lit(top - 1)), lambda p: F.struct(p.alias("pass"), words(p).alias("words"), F.col("shard_of")[p].alias("shard"), F.xxhash64(F.lit(seed), p, F.col("key")).alias("place")))
     return joined.withColumn("draws", F.filter(draws, lambda d: (d["words"] > 0) & d["shard"].isNotNull()))
@@ -129,7 +146,7 @@ def draw(rows: DataFrame, sources: DataFrame, scratch: Scratch, repeats: float,
 def mix(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: float = 2.0, shards: int = 16, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row for each document: (id, source, size, source_size, target, taken, draws).
 
-    draws: array of (pass, words, shard, place): each pass that takes words of
+    Null ids and texts: see above.  draws: array of (pass, words, shard, place): each pass that takes words of
     the document, the shard its block went to, and its place there (a hash; the
     shard's rows are read in its order).
     """

@@ -4,6 +4,19 @@ from __future__ import annotations
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
+
+def _tree(blocks: str, levels: int) -> str:
+    """Common table expressions that split the table ``blocks`` (rank, pass, block) among 2 ** levels shards: the last one is ``dealt``."""
+    steps = [f"t0 AS (SELECT rank, pass, block, 0 AS lo, {1 << levels} AS hi FROM {blocks})"]
+    for k in range(levels):
+        low = f"row_number() OVER (PARTITION BY lo ORDER BY md5('mix:{k}:' || rank || ':' || pass || ':' || block)) <= round(count(*) OVER (PARTITION BY lo) / 2)"
+        steps.append(f"u{k} AS (SELECT *, {low} AS low, (lo + hi) // 2 AS mid FROM t{k})")
+        steps.append(f"t{k + 1} AS (SELECT rank, pass, block, CASE WHEN low THEN lo ELSE mid END AS lo, CASE WHEN low THEN mid ELSE hi END AS hi FROM u{k})")
+    steps.append(f"quota AS (SELECT rank, lo, count(*) AS n FROM t{levels} GROUP BY rank, lo), ends AS (SELECT *, sum(n) OVER (PARTITION BY rank ORDER BY lo ROWS UNBOUNDED PRECEDING) AS last FROM quota)")
+    steps.append(f"permuted AS (SELECT rank, pass, block, row_number() OVER (PARTITION BY rank ORDER BY md5('mix:permuted:' || rank || ':' || pass || ':' || block)) AS at FROM t{levels})")
+    steps.append("dealt AS (SELECT p.rank, p.pass, p.block, e.lo AS shard FROM permuted p JOIN ends e ON e.rank = p.rank AND p.at > e.last - e.n AND p.at <= e.last)")
+    return ",\n".join(steps)
+
 ORACLES: dict[str, str] = {
     "op7_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
@@ -22,8 +35,12 @@ WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_
 s AS (SELECT source, sum(size)::BIGINT AS z FROM d GROUP BY source),
 k AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s), w AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][(rank % 3 + 1)::INT] AS weight, z * 2.0::DOUBLE AS cap FROM k),
 v AS (SELECT *, (sum(z) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level, row_number() OVER (ORDER BY cap / weight, rank) AS o FROM w WINDOW b AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT source, z, least(cap, coalesce((SELECT arg_min(level, o) FROM v WHERE level * weight <= cap) * weight, cap)) AS target FROM v),
+t AS (SELECT source, z, rank, least(cap, coalesce((SELECT arg_min(level, o) FROM v WHERE level * weight <= cap) * weight, cap)) AS target FROM v),
 q AS (SELECT *, CASE WHEN z > 0 THEN round(target)::BIGINT // z ELSE 0 END AS passes FROM t), x AS (SELECT *, round(target)::BIGINT - passes * z AS extra FROM q),
-c AS (SELECT d.*, x.z, x.target, x.passes, x.extra, sum(d.size) OVER (PARTITION BY d.source ORDER BY key, d.size ROWS UNBOUNDED PRECEDING) - d.size AS before FROM d JOIN x ON x.source IS NOT DISTINCT FROM d.source)
-SELECT doc_id, size, z AS source_size, target, (passes * size + greatest(0, least(size, extra - before)))::BIGINT AS taken FROM c""",
+c AS (SELECT d.*, x.z, x.rank, x.target, x.passes, x.extra, ('0x' || substr(key, 1, 3))::INT // 64 AS block, sum(d.size) OVER (PARTITION BY d.source ORDER BY key, d.size ROWS UNBOUNDED PRECEDING) - d.size AS before FROM d JOIN x ON x.source IS NOT DISTINCT FROM d.source),
+e AS (SELECT *, greatest(0, least(size, extra - before)) AS more FROM c), last AS (SELECT rank, max(block) AS block FROM e WHERE more > 0 GROUP BY rank),
+passes AS (SELECT rank, unnest(generate_series(0, passes)) AS pass, passes FROM x), b AS (SELECT p.rank, p.pass, unnest(generate_series(0, CASE WHEN p.pass < p.passes THEN 63 ELSE l.block END)) AS block FROM passes p LEFT JOIN last l USING (rank) WHERE p.pass < p.passes OR l.block IS NOT NULL),
+{_tree("b", 4)},
+g AS (SELECT e.doc_id, e.key, string_agg(dealt.shard, ',' ORDER BY dealt.pass) AS shards FROM e JOIN dealt ON dealt.rank = e.rank AND dealt.block = e.block WHERE e.size > 0 AND (dealt.pass < e.passes OR e.more > 0) GROUP BY e.doc_id, e.key)
+SELECT e.doc_id, e.size, e.z AS source_size, e.target, (e.passes * e.size + e.more)::BIGINT AS taken, coalesce(g.shards, '') AS shards FROM e LEFT JOIN g ON g.doc_id IS NOT DISTINCT FROM e.doc_id""",
 }

@@ -55,12 +55,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.join(_table(spark, sf_dir, "documents"), Scratch(spark, "op8"))
-    return out.withColumnRenamed("id", "doc_id")
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(_table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
-    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    shards = F.array_join(F.transform("draws", lambda d: d["shard"].cast("string")), ",")
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", shards.alias("shards"))
 
 
 def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,24 +5,28 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Word characters of the digest contracts: everything but space and \t..\r.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of (at most a few) longs that may be broadcast: about 16 MB on each executor.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of rows, by their types and measured strings, that may be broadcast to each executor.
+BROADCAST_BYTES = 24 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the session has none (tests on one machine) a temporary one is set.
+    Where a session on one machine (a ``local`` master, as in tests) has none, a
+    temporary one is set; on a cluster that is an error, as a driver's own folder
+    is not seen by the executors.
     """
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="folioforge-")
         sc.setCheckpointDir(found)
     return found.rstrip("/")
@@ -41,6 +45,7 @@ class Scratch:
         self.spark = spark
         self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        self.seed = 0  # of hashes that a step had to draw anew
 
     def path(self, name: str = "t") -> str:
         self.n += 1
@@ -59,10 +64,44 @@ class Scratch:
         _delete(self.spark, df._scratch_path)
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if its counted rows are within the bound; else leave Spark's shuffled join."""
-    bound = BROADCAST_ROWS if rows is None else rows
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: fixed widths by type, strings, binaries and lists as they are."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif kind in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+        else:
+            total = total + 8
+    return total
+
+
+def small(df: DataFrame, most: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only if its measured bytes are within the bound; else leave Spark's shuffled join.
+
+    ``df`` is read once for that, so it should be a written table or a cheap plan.
+    """
+    size = df.agg(F.sum(_row_bytes(df).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= (BROADCAST_BYTES if most is None else most) else df
+
+
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column], scratch: Scratch) -> DataFrame:
+    """``df`` with, for each name of ``sums``, the total of that column over all rows that come before in ``order``.
+
+    Rows are cut into ranges of the order, one for each partition: totals of the
+    ranges (a row each) are added up first, and then each range by itself, so
+    that no task holds more than a range.
+    """
+    pieces = df.withColumns({f"_of_{n}": c for n, c in sums.items()}).repartitionByRange(*order).withColumn("_piece", F.spark_partition_id())
+    pieces = scratch.cut(pieces, "pieces")
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    totals = pieces.groupBy("_piece").agg(*[F.sum(f"_of_{n}").alias(f"_all_{n}") for n in sums])
+    starts = totals.select("_piece", *[F.sum(f"_all_{n}").over(before).alias(f"_start_{n}") for n in sums])
+    within = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = pieces.join(F.broadcast(starts), "_piece")  # a row for each partition
+    return out.select(*df.columns, *[(F.coalesce(F.col(f"_start_{n}"), F.lit(0)) + F.coalesce(F.sum(f"_of_{n}").over(within), F.lit(0))).alias(n) for n in sums])
 
 
 def plain_string(column: str) -> Column:
