@@ -14,10 +14,14 @@ has too few non-empty segments uses one-deletion neighbourhoods as well: a
 segment then counts twice, because one difference in it is found too.  If that
 is not enough either, its empty segments take part, among such sets only.
 
-Signatures travel as packed arrays, one row for each task and bucket, and meet in
-their bucket.  Equal sets stand for one another from the beginning.  Where many
-sets share a signature, not all pairs are made: first each group's hub (its
-smallest key) is compared with the others, and groups whose members are one
+Signatures travel as packed arrays (40 bits of each, the bucket besides), one row
+for each task and bucket, and meet in their bucket.  Equal sets stand for one
+another from the beginning.  A pair is first held against parity sketches of its
+sets: these differ in no more bits than the sets do in shingles, so a pair whose
+sketches differ in too many is no link for certain, and texts are moved and
+compared exactly for the others only.  Where many sets share a signature, not all
+pairs are made: first each group's hub (its smallest key) is compared with the
+others, and groups whose members are one
 component afterwards are done.  Small groups that are left make their pairs.
 Large ones that overlap are joined to one, in which every set outside its main
 component is compared with all others, block by block: a task counts the common
@@ -37,12 +41,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import Scratch, components, small
 from .words import mix, shingle_sets
 
 #: Mean size of a segment; a set with n shingles has about n * (1 - e^-MEAN) / MEAN segments that are not empty.
-MEAN = 3.0
+MEAN = 3.6
+
+#: Bytes of packed signatures that a bucket's task should hold, and what a signature takes.
+BUCKET_BYTES, SIGNATURE_BYTES = 64 << 20, 13
 
 
 def most_different(a: int, b: int, p: int, q: int) -> int:
@@ -143,9 +151,10 @@ def groups(docs: DataFrame, width: int, p: int, q: int, seed: int, buckets: int,
 
         def rows() -> pa.RecordBatch:
             sig, key = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
-            to = ((sig >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+            to = ((sig >> np.uint64(1) & np.uint64(0x7FFFFF)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
-            sig, key, to = sig[order], key[order], to[order]
+            key, to = key[order], to[order]
+            sig = (sig >> np.uint64(25) << np.uint64(1) | sig & np.uint64(1))[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
             cut = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
             ends = np.r_[cut[1:], len(to)]
             return pa.RecordBatch.from_arrays(
@@ -174,7 +183,9 @@ def groups(docs: DataFrame, width: int, p: int, q: int, seed: int, buckets: int,
         sigs, keys = [], []
         for batch in batches:
             for s, k in zip(batch.column("sigs"), batch.column("keys")):
-                sigs.append(np.frombuffer(s.as_buffer(), np.uint64))
+                packed = np.zeros((len(s.as_buffer()) // 5, 8), np.uint8)
+                packed[:, :5] = np.frombuffer(s.as_buffer(), np.uint8).reshape(-1, 5)
+                sigs.append(packed.view("<u8").ravel())
                 keys.append(np.frombuffer(k.as_buffer(), np.uint64))
         if not sigs:
             return
@@ -186,17 +197,19 @@ def groups(docs: DataFrame, width: int, p: int, q: int, seed: int, buckets: int,
         again = np.zeros(len(name) + 1, bool)
         again[1:-1] = name[1:] == name[:-1]
         shared = again[1:] | again[:-1]  # most signatures are of one set
+        if not shared.any():
+            return
         order, name = order[shared], name[shared]
         sig, key = sig[order], key[order]
         order = np.lexsort((key, name))
         name, key, probe = name[order], key[order], sig[order] & np.uint64(1)
         first = np.r_[True, name[1:] != name[:-1]]
         group = np.cumsum(first) - 1
-        probed = np.bincount(group, probe.astype(np.int64)) > 0 if len(group) else np.zeros(0, bool)
+        probed = np.bincount(group, probe.astype(np.int64)) > 0
         own = np.r_[True, (name[1:] != name[:-1]) | (key[1:] != key[:-1])][: len(name)]
         group, key = group[own], key[own]
         many = np.bincount(group, minlength=len(probed)) > 1
-        keep = (many & probed)[group] if len(group) else np.zeros(0, bool)
+        keep = (many & probed)[group]
         group, key = group[keep], key[keep]
         if not len(group):
             return
@@ -214,15 +227,59 @@ def groups(docs: DataFrame, width: int, p: int, q: int, seed: int, buckets: int,
     return sent.repartition(buckets, "bucket").mapInArrow(meet, "gid long, key long").distinct()
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> DataFrame:
-    """The pairs (hub, key) whose sets have q * intersection >= p * union.
+def sketch(values: np.ndarray) -> bytes:
+    """For about each shingle one bit: the parity of the number of shingles that hash to it."""
+    bits = 1 << max(6, (len(values) - 1).bit_length())
+    at = (mix(values ^ np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1, bitorder="little").astype(np.uint8).tobytes()
+
 
-    A hub's text goes once to each part of at most about 500 of its partners.
+def may_link(one: bytes, n: int, other: bytes, m: int, p: int, q: int) -> bool:
+    """False only if sets of n and m shingles with these sketches are less than p/q similar."""
+    if min(n, m) * q < max(n, m) * p:
+        return False
+    x, y = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    while len(x) > len(y):  # a sketch of half the length is the parity of the two halves
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) <= most_different(n, m, p, q)
+
+
+def _with_hubs(pairs: DataFrame, of_key: DataFrame) -> DataFrame:
+    """Rows (hub, part, role, key, columns of ``of_key``) for pairs (hub, key), where parts of about 500 pairs follow their hub (role 0).
+
+    ``of_key`` has a row for each key, and moves once.
     """
     parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / 500).cast("int").alias("parts"))
-    with_parts = pairs.join(parts, "hub").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    members = with_parts.join(texts, "key").select("hub", "part", F.lit(1).alias("role"), "key", "text")
-    hubs = parts.join(texts.withColumnRenamed("key", "hub"), "hub").select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("hub").alias("key"), "text")
+    members = pairs.join(small(parts), "hub").select("key", "hub", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"))
+    hubs = parts.select(F.col("hub").alias("key"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
+    rows = of_key.join(small(members.unionByName(hubs)), "key")
+    return rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "role")
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs (hub, key) that their sketches (key, n, sketch) do not rule out."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, mine, size = None, b"", 0
+        for batch in batches:
+            out = []
+            for h, part, role, key, n, own in zip(*(batch.column(c).to_pylist() for c in ("hub", "part", "role", "key", "n", "sketch"))):
+                if not role:
+                    hub, mine, size = (h, part), own, n
+                elif hub != (h, part):
+                    raise ValueError("a hub's sketch is missing")
+                elif may_link(mine, size, own, n, p, q):
+                    out.append((h, key))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["hub", "key"])
+
+    return _with_hubs(pairs, sketches).select("hub", "part", "role", "key", "n", "sketch").mapInArrow(each, "hub long, key long")
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> DataFrame:
+    """The pairs (hub, key) whose sets have q * intersection >= p * union."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, mine = None, None
@@ -240,7 +297,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> D
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    return hubs.unionByName(members).repartition("hub", "part").sortWithinPartitions("hub", "part", "role").mapInArrow(each, "a long, b long")
+    return _with_hubs(pairs, texts).select("hub", "part", "role", "key", "text").mapInArrow(each, "a long, b long")
 
 
 #: Groups of at most so many sets make their pairs; blocks of sets that are compared with one another.
@@ -285,7 +342,8 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q:
     second = F.transform(F.sequence(F.lit(0), F.col("at")), lambda i: side(i, F.col("at"), 1))
     of_main = F.transform(F.sequence(F.lit(0), F.col("opens") - 1), lambda i: side(i, F.col("opens") + F.col("at"), 1))
     to = F.when(F.col("open"), F.concat(first, second)).otherwise(of_main)
-    rows = placed.where("opens > 0").select("family", "component", "key", F.explode(to).alias("to")).select("family", "to.*", "component", "key").join(texts, "key")
+    rows = placed.where("opens > 0").select("family", "component", "key", F.explode(to).alias("to")).select("family", "to.*", "component", "key")
+    rows = texts.join(small(rows), "key")
 
     def each(keys: tuple, table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -314,30 +372,41 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q:
 
 
 def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """One row for each row: (id, n_shingles, component_id).
+    """One row for each row: (id, n_shingles, component_id, key, component).
 
     Two texts link when q * |intersection| >= p * |union| for similarity (p, q);
     component_id is the smallest id that links reach, the id itself included.
+    key names the row's set of shingles and component the group of sets it is in
+    (null where the row links with nothing).
     """
     p, q = similarity
     spark = docs.sparkSession
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seed = 0
     while True:  # two different sets of one key would be taken for copies: then all keys are drawn anew
         sets = scratch.cut(shingle_keys(docs, width, seed, id_col=id_col, text_col=text_col), "sets")
-        named = sets.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("least"), F.min("proof").alias("low"), F.max("proof").alias("high"))
+        by_row = sets.where("key is not null and id is not null").groupBy("key", "id").agg(F.count("*").alias("rows"), F.min("proof").alias("low"), F.max("proof").alias("high"), F.min("n_shingles").alias("n"))
+        named = by_row.groupBy("key").agg(F.min("id").alias("least"), F.min_by("rows", "id").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("n").alias("n"))
+        named = scratch.cut(named, "keys")
         if not named.where("low <> high").limit(1).count():
             break
         seed += 1
+    scratch.seed = seed
+    if buckets is None:  # a set sends about half as many signatures as it has shingles, 13 bytes each
+        shingled = named.agg(F.sum("n")).first()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shingled * SIGNATURE_BYTES // BUCKET_BYTES))
     found = scratch.cut(groups(docs, width, p, q, seed, buckets, id_col=id_col, text_col=text_col), "groups")
-    wanted = small(scratch.cut(named.join(found.select("key").distinct(), "key").select("key", F.col("least").alias("id")), "wanted"))
+    wanted = small(scratch.cut(named.join(found.select("key").distinct(), "key").select("key", F.col("least").alias("id"), (F.col("rows") > 1).alias("again")), "wanted"))
     # one text for each set that shares a signature (rows with equal ids and other texts are told apart by their key)
-    texts = scratch.cut(_keyed(_texts(docs, id_col, text_col).join(wanted, "id"), width, seed), "texts")
+    keyed = scratch.cut(_keyed(_texts(docs, id_col, text_col).join(wanted, "id"), width, seed), "keyed")
+    once = keyed.where("again").dropDuplicates(["key"])  # only ids that repeat with their text have more than one
+    sketches = keyed.where("not again").select("key", "n", "sketch").union(once.select("key", "n", "sketch"))
+    texts = keyed.where("not again").select("key", "text").union(once.select("key", "text"))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        return scratch.cut(_verify(scratch.cut(_likely(scratch.cut(pairs, "pairs"), sketches, p, q), "likely"), texts, width, p, q), "links")
 
     hubs = found.groupBy("gid").agg(F.min("key").alias("hub"), F.count("*").alias("n"))
-    pairs = scratch.cut(found.join(hubs, "gid").where("key <> hub").select("hub", "key").distinct(), "pairs")
-    first = scratch.cut(_verify(pairs, texts, width, p, q), "links")
+    first = links(found.join(hubs, "gid").where("key <> hub").select("hub", "key").distinct())
     so_far = components(first, scratch)
 
     now = found.join(so_far.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -345,8 +414,7 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     left = scratch.cut(now.join(open_, "gid"), "left")
     few = left.where(F.col("n") <= FEW)
     one, other = few.select("gid", F.col("key").alias("hub"), F.col("component").alias("c")), few.select("gid", "key", "component")
-    pairs = scratch.cut(one.join(other, "gid").where("hub < key and c <> component").select("hub", "key").distinct(), "pairs")
-    second = scratch.cut(_verify(pairs, texts, width, p, q), "links")
+    second = links(one.join(other, "gid").where("hub < key and c <> component").select("hub", "key").distinct())
     many = left.where(F.col("n") > FEW)
     # large groups that overlap are one family: each set leads to the smallest hub of its groups, so that only hubs are nodes
     of_group = scratch.cut(many.join(many.groupBy("gid").agg(F.min("key").alias("hub")), "gid").select("hub", "key").distinct(), "hubs")
@@ -359,17 +427,61 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     linked = components(first.union(second).union(third), scratch)
     of_key = named.select("key", "least").join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     lowest = of_key.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_key = scratch.cut(of_key.join(lowest, "component").select("key", "component_id"), "by-key")
-    return sets.join(by_key, "key", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+    by_key = scratch.cut(of_key.join(lowest, "component").select("key", "component", "component_id"), "by-key")
+    named_row = F.col("id").isNotNull()
+    return sets.join(by_key, "key", "left").select("id", "n_shingles", F.when(named_row, F.coalesce("component_id", "id")).alias("component_id"), F.when(named_row, F.col("key")).alias("key"), F.when(named_row, F.col("component")).alias("component"))
 
 
-def _keyed(texts: DataFrame, width: int, seed: int) -> DataFrame:
-    """Rows (key, text) from rows (id, text, key): the rows whose text has the wanted key, once."""
+def keep_one(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` but for near duplicates: one row of each group stays, with the group's smallest id.
+
+    Rows without an id or without a word stay.  Rows with equal ids are told
+    apart by their texts: each is judged by its own group, and of several rows
+    with a group's smallest id one stays, that with the smallest key.
+    """
+    rows = scratch.cut(join(docs, scratch, width=width, similarity=similarity, id_col=id_col, text_col=text_col), "rows")
+    counted = rows.where("id is not null").groupBy("id").agg(F.count("*").alias("rows"), F.min("component_id").alias("c"))
+    repeated = scratch.cut(counted.where("rows > 1").select("id"), "repeated")
+    gone = scratch.cut(counted.where("rows = 1 and id <> c").select("id"), "gone")
+    # rows travel as one column, so that no other name can clash with theirs
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumn("_own", F.col("_row")[id_col].cast("long"))
+    names = lambda ids: small(ids.withColumnRenamed("id", "_own"))
+    out = whole.join(names(gone), "_own", "left_anti").join(names(repeated), "_own", "left_anti").select("_row.*")
+    if not repeated.limit(1).count():
+        return out
+    again = _with_key(whole.join(names(repeated), "_own", "left_semi").withColumn("_text", F.coalesce(F.col("_row")[text_col].cast("string"), F.lit(""))), width, scratch.seed)
+    places = rows.join(small(repeated), "id").where("key is not null").select(F.col("key").alias("_key"), F.col("component").alias("_group"), F.col("component_id").alias("_least")).distinct()
+    placed = again.join(small(places), "_key", "left")
+    empty = placed.where("_group is null").select("_row")
+    least = placed.where("_least = _own").groupBy("_group").agg(F.min_by("_row", "_key").alias("_row")).select("_row")
+    return out.union(empty.union(least).select("_row.*"))
+
+
+def _with_key(rows: DataFrame, width: int, seed: int) -> DataFrame:
+    """All columns of ``rows`` but _text, and _key, the name of _text's set of shingles (null without words), as ``join`` gives it."""
+    kept = [f for f in rows.schema.fields if f.name != "_text"]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([set_key(v, seed)[0] if len(v) else 0 for v in shingle_sets(batch.column("text"), width)], np.uint64).view(np.int64)
-            own = pa.array(keys == batch.column("key").to_numpy(zero_copy_only=False))
-            yield batch.select(["key", "text"]).filter(own)
+            keys = [int(set_key(v, seed)[0].view(np.int64)) if len(v) else None for v in shingle_sets(batch.column("_text"), width)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(keys, pa.int64())], names=[*(f.name for f in kept), "_key"])
+
+    return rows.mapInArrow(each, T.StructType([*kept, T.StructField("_key", T.LongType())]))
 
-    return texts.select("key", "text").mapInArrow(each, "key long, text string").dropDuplicates(["key"])
+
+def _keyed(texts: DataFrame, width: int, seed: int) -> DataFrame:
+    """Rows (key, again, n, sketch, text) from rows (id, text, key, again): those whose text has the wanted key."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, sizes, sketches = [], [], []
+            for values, key in zip(shingle_sets(batch.column("text"), width), batch.column("key").to_pylist()):
+                same = len(values) > 0 and int(set_key(values, seed)[0].view(np.int64)) == key
+                own.append(same)
+                if same:
+                    sizes.append(len(values))
+                    sketches.append(sketch(values))
+            kept = batch.select(["key", "again", "text"]).filter(pa.array(own, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column("key"), kept.column("again"), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), kept.column("text")], names=["key", "again", "n", "sketch", "text"])
+
+    return texts.select("key", "again", "text").mapInArrow(each, "key long, again boolean, n long, sketch binary, text string")
