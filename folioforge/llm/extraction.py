@@ -1,18 +1,23 @@
 """HTML extraction: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clusters.
 
 The standard library's streaming parser turns a page into lines: a line ends
-where a block element begins or ends and at a line break.  Lines in elements
-that never belong to an article (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, comments: by element, role or class word) are
-left out.  Of the others, the text-to-tag ratios are smoothed with a Gaussian,
-and lines above a threshold form the content cluster.  Their containers (the
-article or main element around them, else the nearest division) are the content
-regions; all lines of a region are kept, short ones too, but for nested
-containers that are mostly links.
+where a block element begins or ends and at a line break.  Each line has the
+logarithm of its text-to-tag ratio (characters outside links for each tag).  The
+ratios are smoothed with a Gaussian over the lines' order, and a line belongs to
+the content if its smoothed ratio, plus the weight of the landmarks around it,
+reaches the threshold: a share of the mean of the smoothed ratios, weighted by
+text length.  Landmarks only weigh: an article or main element and a heading
+raise a line, an element, role or class word of menus, headers, footers,
+sidebars, notices, adverts, forms and comments lowers it.  A container (the
+nearest division, list or table cell) of which the chosen lines hold most of the
+text is one cluster with them: its other lines join, but for those that are
+mostly links or lowered.
 
 Nulls and edges: a null or empty page gives an empty text; markup without text
-gives an empty text; unclosed elements end with the element around them; a page
-that the parser refuses is read once more with its declarations as text.
+gives an empty text; unclosed elements end with the element around them, and a
+menu or form that is still open ends where an article or main element begins; an
+unfinished tag, comment or declaration takes what follows it with it.  The work
+grows in proportion to the page, however deep its elements are nested.
 """
 
 from __future__ import annotations
@@ -27,7 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SKIP = frozenset("head title script style noscript template nav header footer aside form button select textarea input iframe object svg canvas dialog menu".split())
+#: What is in these is no text of the page.
+SKIP = frozenset("head title script style noscript template select textarea button iframe object svg canvas".split())
+#: Elements, roles and words of classes and ids whose lines are lowered.
+LOWERED = frozenset("nav header footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar sidebars nav navbar navigation menu breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus replies respond share sharing social related recommended widget widgets toolbar pagination pager paywall".split()
@@ -35,95 +43,168 @@ WORDS = frozenset(
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset("article main section div td body ul ol".split())
-#: 2: all of it is one region; 0: never a region of its own.
-RANK = {"article": 2, "main": 2, "ul": 0, "ol": 0}
+RAISED = frozenset("article main".split())
+#: Open elements of these end where an article or main element begins: nothing of an article is in them.
+ENDED = frozenset("nav header menu form button select option ul ol li a title".split())
 #: A start of one of these ends an open one of the set, up to the nearest container.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
+_BOUNDS = frozenset([*CONTAINERS, "table", "dl"])
 _SPLIT = re.compile(r"[^a-z0-9]+")
+#: Weights of landmarks, on the scale of the logarithm of characters for each tag.
+IN_ARTICLE, HEADING, LOW = 6.0, 1.0, -12.0
 
 
 class _Lines(HTMLParser):
-    """Collects lines as [texts, tags, link characters, path of containers]."""
+    """Collects lines as [text, tags, link characters, container number, weight]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[list] = []
+        self.lines: list[tuple[str, int, int, int, float]] = []
         self.texts: list[str] = []
-        self.tags = self.linked = self.skips = self.links = self.n = 0
-        self.stack: list[tuple[str, bool, int]] = []  # (tag, starts a skipped part, container number or -1)
-        self.path: list[tuple[int, int]] = []  # (container number, rank)
+        self.tags = self.linked = self.skips = self.links = self.low = self.raised = self.headings = self.n = 0
+        self.head = False  # the line has text inside a heading
+        self.stack: list[tuple[str, int, int, int]] = []  # (tag, skipped, lowered, container number or -1)
+        self.open: dict[str, int] = {}
+        self.path: list[int] = [-1]  # numbers of the open containers
+        self.scopes: list[dict[str, int]] = [{}]  # open elements since each element of _BOUNDS
 
-    def _end_line(self) -> None:
+    # what the base class would give out as text at the end of a page, or refuse
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        end = self.rawdata.find("-->", i + 4)
+        if end < 0 and self.rawdata.startswith("<!-->", i):
+            return i + 5
+        return end + 3 if end >= 0 else len(self.rawdata)
+
+    def parse_html_declaration(self, i: int) -> int:
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        sign = "]]>" if self.rawdata.startswith("<![CDATA[", i) else ">"
+        end = self.rawdata.find(sign, i)
+        return end + len(sign) if end >= 0 else len(self.rawdata)
+
+    def parse_starttag(self, i: int) -> int:
+        k = super().parse_starttag(i)
+        return k if k >= 0 else len(self.rawdata)
+
+    def parse_endtag(self, i: int) -> int:
+        k = super().parse_endtag(i)
+        return k if k >= 0 else len(self.rawdata)
+
+    def parse_pi(self, i: int) -> int:
+        k = super().parse_pi(i)
+        return k if k >= 0 else len(self.rawdata)
+
+    def end_line(self) -> None:
         if self.texts:
             text = " ".join("".join(self.texts).split())
             if text:
-                self.lines.append([text, self.tags, self.linked, tuple(self.path)])
+                weight = (LOW if self.low else 0.0) + (IN_ARTICLE if self.raised else 0.0) + (HEADING if self.head else 0.0)
+                self.lines.append((text, self.tags, self.linked, self.path[-1], weight))
             self.texts.clear()
             self.tags = self.linked = 0
+        self.head = False
 
     def _pop(self, to: int) -> None:
         while len(self.stack) > to:
-            tag, skip, container = self.stack.pop()
+            tag, skip, low, container = self.stack.pop()
             self.skips -= skip
+            self.low -= low
             self.links -= tag == "a"
+            self.raised -= tag in RAISED
+            self.headings -= tag in _HEADINGS
+            self.open[tag] -= 1
+            if tag in _BOUNDS:
+                self.scopes.pop()
+            self.scopes[-1][tag] -= 1
             if container >= 0:
                 self.path.pop()
 
+    def _close(self, tag: str) -> None:
+        """End an open element that the start of ``tag`` ends, unless a container is in between."""
+        scope = self.scopes[-1]
+        if any(scope.get(x) for x in CLOSES[tag]):
+            i = len(self.stack) - 1
+            while self.stack[i][0] not in CLOSES[tag]:
+                i -= 1
+            self._pop(i)
+        elif len(self.scopes) > 1 and (tag in ("td", "th", "tr")) and self.open.get("td"):
+            i = len(self.stack) - 1
+            while self.stack[i][0] not in _BOUNDS:
+                i -= 1
+            if self.stack[i][0] == "td":
+                self._pop(i)
+
+    def _recover(self, main: bool) -> None:
+        """End the open menus and forms around a new article, and anything lowered around a main element."""
+        for i, (tag, skip, low, _) in enumerate(self.stack):
+            if (skip or low) and (main or tag in ENDED):
+                self.end_line()
+                self._pop(i)
+                return
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
-            self._end_line()
+            self.end_line()
         self.tags += 1
         if tag in VOID:
             return
         if tag in CLOSES:
-            for i in range(len(self.stack) - 1, -1, -1):
-                name = self.stack[i][0]
-                if name in CLOSES[tag]:
-                    self._pop(i)
-                    break
-                if name in CONTAINERS or name in ("table", "ul", "ol", "dl"):
-                    break
-        skip = tag in SKIP
-        if not skip and attrs and tag not in ("html", "body"):
+            self._close(tag)
+        if tag in RAISED and (self.skips or self.low):
+            self._recover(tag == "main")
+        skip, low = tag in SKIP, tag in LOWERED
+        if not skip and not low and attrs and tag not in ("html", "body"):
             for name, value in attrs:
-                if name in ("class", "id") and value and not WORDS.isdisjoint(_SPLIT.split(value.lower())):
-                    skip = tag not in ("article", "main") or not WORDS.isdisjoint({"comment", "comments", "ad", "advert", "sponsored", "related"} & set(_SPLIT.split(value.lower())))
+                if name in ("class", "id") and value and not WORDS.isdisjoint(found := _SPLIT.split(value.lower())):
+                    low = low or tag not in RAISED or not {"comment", "comments", "ad", "advert", "sponsored", "related"}.isdisjoint(found)
                 elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-                    skip = True
+                    low = True
+        if low and tag not in BLOCKS and tag not in LOWERED:  # inside a line: left out of it
+            skip, low = True, False
+        if low and tag not in BLOCKS:
+            self.end_line()
         container = -1
         if tag in CONTAINERS:
             container, self.n = self.n, self.n + 1
-            self.path.append((container, RANK.get(tag, 1)))
+            self.path.append(container)
         self.skips += skip
+        self.low += low
         self.links += tag == "a"
-        self.stack.append((tag, skip, container))
+        self.raised += tag in RAISED
+        self.headings += tag in _HEADINGS
+        self.stack.append((tag, int(skip), int(low), container))
+        self.open[tag] = self.open.get(tag, 0) + 1
+        self.scopes[-1][tag] = self.scopes[-1].get(tag, 0) + 1
+        if tag in _BOUNDS:
+            self.scopes.append({})
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS:
-            self._end_line()
+        if tag in BLOCKS or tag in LOWERED:
+            self.end_line()
         self.tags += 1
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._pop(i)
-                return
+        if self.open.get(tag):
+            i = len(self.stack) - 1
+            while self.stack[i][0] != tag:
+                i -= 1
+            self._pop(i)
 
     def handle_data(self, data: str) -> None:
         if not self.skips:
             self.texts.append(data)
             if self.links:
                 self.linked += len(data)
+            if self.headings:
+                self.head = True
+
+
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-def lines(html: str) -> list[list]:
+def lines(html: str) -> list[tuple[str, int, int, int, float]]:
     parser = _Lines()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:
-        parser = _Lines()
-        parser.feed(html.replace("<!", "&lt;!"))
-        parser.close()
-    parser._end_line()
+    parser.feed(html)
+    parser.close()
+    parser.end_line()
     return parser.lines
 
 
@@ -135,33 +216,34 @@ def smooth(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(values, kernel)[middle] / np.convolve(np.ones(len(values)), kernel)[middle]
 
 
-def main_text(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
-    """The main text of a page: the lines of its content regions, joined by one space.
+def ratios(found: list[tuple[str, int, int, int, float]]) -> np.ndarray:
+    """The logarithm of one more than each line's characters outside links for each tag."""
+    length = np.array([len(x[0]) for x in found], float)
+    return np.log1p((length - np.array([x[2] for x in found], float)).clip(0) / np.array([max(1, x[1]) for x in found], float))
+
+
+def main_text(html: str | None, sigma: float = 1.0, share: float = 0.6) -> str:
+    """The main text of a page: the lines of its content clusters in their order, joined by one space.
 
-    The threshold is ``share`` of the mean of the smoothed ratios, weighted by text length.
+    The threshold is ``share`` of the mean of the smoothed ratios of the lines
+    that no landmark lowers, weighted by text length.
     """
     found = lines(html or "")
     if not found:
         return ""
-    length = np.array([len(x[0]) for x in found], float)
-    ratio = smooth((length - np.array([x[2] for x in found])).clip(0) / np.array([max(1, x[1]) for x in found]), sigma)
-    threshold = share * float(ratio @ length) / float(length.sum())
-    regions = set()
-    for (_, _, _, path), r in zip(found, ratio):
-        if r >= threshold and path:
-            regions.add(next((c for c, rank in path if rank == 2), next((c for c, rank in reversed(path) if rank), path[0][0])))
-    if not regions:
-        return " ".join(x[0] for x in found)
-    articles = {c for x in found for c, rank in x[3] if rank == 2}
-    if articles & regions:  # an article element is content: divisions outside it are not
-        regions &= articles
-    linked: dict[int, list[int]] = {}
-    for text, _, link, path in found:
-        for c, _ in path:
-            n = linked.setdefault(c, [0, 0])
-            n[0], n[1] = n[0] + len(text), n[1] + link
-    heavy = {c for c, (n, link) in linked.items() if link > 0.6 * n and c not in regions} if not articles & regions else set()
-    return " ".join(x[0] for x in found if any(c in regions for c, _ in x[3]) and not any(c in heavy for c, _ in x[3]))
+    length, weight, box = np.array([len(x[0]) for x in found], float), np.array([x[4] for x in found]), np.array([x[3] for x in found])
+    ratio = smooth(ratios(found), sigma)
+    plain = weight > LOW / 2
+    if not plain.any():
+        return ""
+    threshold = share * float((ratio * length)[plain].sum() / length[plain].sum())
+    chosen = ratio + weight >= threshold
+    # a container that is mostly content takes its other lines along
+    size, inside = (np.bincount(box + 1, w) for w in (length, length * chosen))
+    cluster = (2 * inside >= size)[box + 1] & (box >= 0)
+    linked = np.array([x[2] for x in found], float) > 0.6 * length
+    chosen |= cluster & plain & ~linked
+    return " ".join(x[0] for x, c in zip(found, chosen) if c)
 
 
 def extract(pages: DataFrame, *, html_col: str = "html", out: str = "text") -> DataFrame:

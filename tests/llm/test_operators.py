@@ -1,8 +1,10 @@
 """Each operator against a brute-force version, a round trip or held-out labels, and on odd tables."""
 
 import hashlib
+import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -14,7 +16,7 @@ from tokenizers import Tokenizer
 
 from folioforge.llm import embedding_dedup, extraction, fingerprint, mixing, ngram_join, packing, quality, sharding, toxicity, warc
 from folioforge.llm import words as W
-from folioforge.llm.shared import Scratch
+from folioforge.llm.shared import Scratch, running
 
 from .conftest import ODD, documents
 
@@ -454,6 +456,22 @@ def test_pigeonhole():
 
 def test_ngram_join_empty(spark, none):
     assert ngram_join.join(none, Scratch(spark, "t")).count() == 0
+    assert ngram_join.keep_one(none, Scratch(spark, "t")).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark, odd):
+    """Rows with equal ids are judged by their own texts; null ids and texts without words stay."""
+    a, y, z = (" ".join(f"{w}{i}" for i in range(60)) for w in "ayz")
+    rows = [(1, a), (5, a), (5, z), (7, y), (7, y), (9, y + " end"), (None, a), (None, a), (8, ""), (8, ""), (8, None), (8, z + " end"), (3, "b c"), (4, "B  c\n")]
+    df = documents(spark, *[t for _, t in rows], ids=[i for i, _ in rows]).withColumns({c: F.lit(c) for c in ("id", "key", "_key", "rows", "component")}).repartition(3)
+    for docs in (df, df.drop("_key")):
+        out = ngram_join.keep_one(docs, Scratch(spark, "t"))
+        assert out.columns == docs.columns
+        got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+        assert got == sorted([(1, a), (5, z), (7, y), (None, a), (None, a), (8, ""), (8, ""), (8, None), (3, "b c")], key=str)
+    groups = {r.component_id for r in ngram_join.join(odd, Scratch(spark, "t")).where("key is not null").collect()}
+    kept = ngram_join.keep_one(odd, Scratch(spark, "t")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(groups | {i for i, t in enumerate(ODD) if not WORD.findall(t or "")})
 
 
 # 9
@@ -493,8 +511,34 @@ def test_mixing(spark):
 
 def test_split_tree_is_exact(spark):
     blocks = spark.createDataFrame([(s, 0, b) for s in range(3) for b in range(40)], "source_rank int, pass int, range int")
-    out = mixing.split_tree(blocks, 6, "seed").collect()
+    out = mixing.split_tree(blocks, 6, "seed", Scratch(spark, "t")).collect()
     assert len(out) == 120 and Counter(r.shard for r in out) == {i: 20 for i in range(6)}
+    assert len({(r.source_rank, r.range) for r in out}) == 120
+    assert mixing.split_tree(blocks.limit(0), 6, "seed", Scratch(spark, "t")).count() == 0
+
+
+def test_running_totals(spark):
+    rows = [(i * 7919 % 1000, i % 5) for i in range(1000)] + [(None, 3)]
+    got = running(spark.createDataFrame(rows, "k int, v int").repartition(5), [F.col("k").asc_nulls_last()], {"n": F.lit(1), "t": F.col("v")}, Scratch(spark, "t")).collect()
+    before, total = 0, 0
+    for r in sorted(got, key=lambda r: (r.k is None, r.k)):
+        assert (r.n, r.t) == (before, total)
+        before, total = before + 1, total + r.v
+    assert before == 1001
+
+
+def test_sketches_never_hide_a_link():
+    rng = np.random.default_rng(3)
+    kept = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.choice([0.2, 0.8, 0.9, 1])], rng.integers(0, 1 << 63, int(rng.integers(0, n // 4 + 2))).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        guess = ngram_join.may_link(ngram_join.sketch(a), len(a), ngram_join.sketch(b), len(b), 80, 100)
+        assert guess or 100 * both < 80 * (len(a) + len(b) - both)
+        kept += guess
+    assert kept < 250
 
 
 def test_mix_rows(spark, odd, none):
@@ -550,3 +594,113 @@ def test_extraction_edges(spark):
 
 def test_smoothing():
     assert np.allclose(extraction.smooth(np.ones(7), 1.0), 1) and extraction.smooth(np.array([0, 0, 9.0, 0, 0]), 1.0).argmax() == 2
+
+
+def words_of(rng, n):
+    return " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "of", "to"]) for _ in range(n))
+
+
+def soup(rng, paragraphs):
+    """A page without landmarks: links, paragraphs (some short), links."""
+    menu = lambda: "<div><ul>" + "".join(f'<li><a href="/{i}">{words_of(rng, 2)}</a></li>' for i in range(6)) + "</ul></div>"
+    return f"<html><body>{menu()}<div><div>{''.join(f'<p>{p}</p>' for p in paragraphs)}</div></div>{menu()}</body></html>"
+
+
+def test_pages_without_landmarks_need_the_threshold():
+    """With no article, element, role or class to go by, ratio, smoothing and threshold find the text; a changed threshold loses it."""
+    rng = random.Random(12)
+    found = {share: 0 for share in (0.0, 0.6, 1.6)}
+    for _ in range(60):
+        paragraphs = [words_of(rng, rng.choice([3, 20, 60, 90])) for _ in range(rng.randint(4, 12))] + [words_of(rng, 50)]
+        page = soup(rng, paragraphs)
+        for share in found:
+            found[share] += extraction.main_text(page, share=share) == " ".join(paragraphs)
+    assert found[0.6] >= 57 and found[0.0] == 0 and found[1.6] == 0
+
+
+def test_ratios_decide_without_landmarks(monkeypatch):
+    rng = random.Random(13)
+    pages = [soup(rng, [words_of(rng, 60) for _ in range(5)]) for _ in range(10)]
+    right = [extraction.main_text(p) for p in pages]
+    monkeypatch.setattr(extraction, "ratios", lambda found: np.ones(len(found)))
+    assert all(extraction.main_text(p) != r for p, r in zip(pages, right))
+
+
+def naive_text(html, sigma, share):
+    found = extraction.lines(html)
+    if not found:
+        return ""
+    ratio = [math.log(1 + max(0, len(t) - link) / max(1, tags)) for t, tags, link, _, _ in found]
+    kernel = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-int(3 * sigma), int(3 * sigma) + 1)]
+    even = []
+    for i in range(len(found)):
+        near = [(ratio[i + d], k) for d, k in zip(range(-int(3 * sigma), int(3 * sigma) + 1), kernel) if 0 <= i + d < len(found)]
+        even.append(sum(r * k for r, k in near) / sum(k for _, k in near))
+    plain = [i for i, x in enumerate(found) if x[4] > extraction.LOW / 2]
+    if not plain:
+        return ""
+    threshold = share * sum(even[i] * len(found[i][0]) for i in plain) / sum(len(found[i][0]) for i in plain)
+    chosen = {i for i, x in enumerate(found) if even[i] + x[4] >= threshold}
+    for box in {x[3] for x in found if x[3] >= 0}:
+        inside = [i for i, x in enumerate(found) if x[3] == box]
+        if 2 * sum(len(found[i][0]) for i in inside if i in chosen) >= sum(len(found[i][0]) for i in inside):
+            chosen |= {i for i in inside if i in plain and found[i][2] <= 0.6 * len(found[i][0])}
+    return " ".join(found[i][0] for i in sorted(chosen))
+
+
+def test_extraction_against_brute_force():
+    rng = random.Random(14)
+    bits = ["<p>", "</p>", "<div>", "</div>", '<div class="ad">', "<article>", "</article>", "<ul><li>", "</ul>", "<a href=x>", "</a>", "<h2>", "</h2>", "<br>", "<nav>", "</nav>", "<table><tr><td>", "</table>", "<b>", "</b>"]
+    for _ in range(300):
+        page = "".join(rng.choice(bits) + (words_of(rng, rng.choice([1, 4, 30])) if rng.random() < 0.7 else "") for _ in range(rng.randint(1, 40)))
+        assert extraction.main_text(page) == naive_text(page, 1.0, 0.6)
+
+
+def test_adverts_inside_the_article():
+    page = "<article><p>%s</p><div class='ad promo'>Buy this thing now, it is as long as a paragraph of text can be, and even longer.</div><p>cut<span class='share'>tweet</span> here</p><div class='x'><p>Tail.</p></div></article>"
+    body = "First words of the text, of which there are many, and more and more of them."
+    assert extraction.main_text(page % body) == body + " cut here Tail."
+
+
+def test_page_lines():
+    found = extraction.lines("<body><h1>A <b>b</b></h1>one<br>two <a href=x>link</a><div class='ad'>buy</div><article>x</article></body>")
+    assert [(t, link, box, w) for t, _, link, box, w in found] == [("A b", 0, 0, 1.0), ("one", 0, 0, 0.0), ("two link", 4, 0, 0.0), ("buy", 0, 1, -12.0), ("x", 0, 2, 6.0)]
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<!-- c --><p>Hi there</p><![weird[x]]>", "Hi there"),
+        ("<p>ok</p><!-- open <p>x</p>", "ok"),
+        ("<p>a<![CDATA[ b > c ]]>d</p>", "ad"),
+        ("<nav><a href=x>menu</a><article><p>Long enough text here.</p></article>", "Long enough text here."),
+        ("<form><select><option>a<article>Text.</article>", "Text."),
+        ("<aside><main>All of it.</main>", "All of it."),
+        ('<div class="comments"><article class="comment">Nice read!</article></div>', ""),
+        ("<p>cut <b", "cut"),
+        ("<nav>only a menu</nav>", ""),
+        ("a &amp; b &lt;c&gt; &#233; &nosuch;", "a & b <c> é &nosuch;"),
+    ],
+)
+def test_broken_pages(html, text):
+    assert extraction.main_text(html) == text
+
+
+def test_nesting_is_linear():
+    def work(page):
+        """Lines of Python that run for a page."""
+        n, before = 0, sys.gettrace()
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += 1
+            return count
+
+        sys.settrace(count)
+        extraction.main_text(page)
+        sys.settrace(before)
+        return n
+
+    for page in ("<div>a %s", "<p><div>%s<span>", "<li>%s</p>"):
+        one, two = (work("".join(page % "" for _ in range(n))) for n in (1_000, 2_000))
+        assert two < 2.3 * one
