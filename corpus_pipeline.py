@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import mixing, ngram_join, packing, quality, toxicity
 from folioforge.llm.queries import TOKENIZER
-from folioforge.llm.shared import Scratch, small
+from folioforge.llm.shared import Scratch
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +29,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id (null ids stay)."""
-    groups = ngram_join.join(docs, Scratch(spark, "near"))
-    gone = small(groups.where("id <> component_id").select(F.col("id").alias("doc_id")).distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates: that with the smallest id.
+
+    Null ids and texts without words stay; rows that share an id are judged each
+    by its own text.
+    """
+    return ngram_join.keep_one(docs, Scratch(spark, "near"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
