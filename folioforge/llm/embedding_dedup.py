@@ -5,9 +5,11 @@ another from the beginning.  The neighbour graph starts from bounded blocks of
 vectors that are next to each other in the order of a random hyperplane code,
 for a few codes.  Each round then joins neighbours of neighbours: what meets at
 a vector (its neighbours and those that have it as neighbour) is compared pair
-by pair, and every list keeps its best.  A list whose last entry still reaches
-the threshold is saturated: its length is doubled, up to ``longest``.  Rounds
-end when hardly any list changes.
+by pair, and every list keeps its best; pairs that have met before do not meet
+again.  A list is saturated while its last entry still reaches the threshold: it
+then takes every entry at the threshold, its length is doubled, up to
+``longest``, and joins use its whole length.  Rounds end when hardly any list
+changes.
 
 Pairs at the threshold are kept.  A node with ``k`` links or more may have others
 that its list or the joins left out, so these nodes are searched again without
@@ -15,9 +17,9 @@ lists: they are put into cells (blocks of a group's nodes, with a centre and a
 radius), every cell meets every cell of the label that the triangle inequality
 of angles does not rule out, and links between different groups join the groups.
 If the audit stays under the recall in the end, cells of all nodes are searched
-in the same way, which is exact.  Groups are then completed in blocks: each block of a group's vectors is compared with each other block of
-the same group, and only counts and the audit leave the task, so that long lists
-are not needed for exact link counts.
+in the same way, which is exact.  Groups are then completed: each packed block of
+a group's vectors meets each block from itself on, and only counts leave the
+task, so that long lists are not needed for exact link counts.
 
 Nulls and edges: null labels, null vectors, zero vectors and vectors with null
 or non-finite components link with nothing and are components of their own;
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, components
+from .shared import Scratch, components, small
 
 BLOCK = 256
 
@@ -125,18 +127,24 @@ def first_graph(nodes: DataFrame, k: int, codes: int, threshold: float, seed: in
 
 
 def _lists(edges: DataFrame, k: int, threshold: float, longest: int) -> DataFrame:
-    """The best of each list, without repeats: k entries, or twice as many again and again while the list is saturated."""
-    ranked = edges.groupBy("src", "dst").agg(F.max("sim").alias("sim")).withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst")))
-    return ranked.where((F.col("rank") <= k) | ((F.col("sim") >= threshold) & (F.col("rank") <= longest))).select("src", "dst", "sim")
+    """The best of each list, without repeats: k entries, or as many as ``longest`` at the threshold; fresh: not in the list before."""
+    ranked = edges.groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh")).withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst")))
+    return ranked.where((F.col("rank") <= k) | ((F.col("sim") >= threshold) & (F.col("rank") <= longest))).select("src", "dst", "sim", "fresh")
 
 
-def _round(lists: DataFrame, nodes: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Edges that join neighbours of neighbours and improve a list."""
-    last = lists.groupBy("src").agg(F.min("sim").alias("floor"))
-    back = lists.select(F.col("dst").alias("pivot"), F.col("src").alias("node"), "sim")
-    back = back.withColumn("rank", F.row_number().over(Window.partitionBy("pivot").orderBy(F.desc("sim"), "node"))).where(F.col("rank") <= k).select("pivot", "node")
-    forth = lists.withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))).where(F.col("rank") <= k).select(F.col("src").alias("pivot"), F.col("dst").alias("node"))
-    meet = forth.union(back).distinct().join(nodes.select("node", F.col("vec").cast("array<float>").alias("vec")), "node").join(last.withColumnRenamed("src", "node"), "node", "left")
+def _round(lists: DataFrame, nodes: DataFrame, k: int, threshold: float, bound: int, kind: str) -> DataFrame:
+    """Edges that join neighbours of neighbours and may improve a list.
+
+    At a node meet its list and the ``bound`` best that have it in theirs.  A list
+    that is not full takes all; a full one takes what is better than its last
+    entry, and what reaches the threshold.  Vectors travel as ``kind``, float if they were that before.
+    """
+    last = lists.groupBy("src").agg(F.when(F.count("*") < k, F.lit(-2.0)).otherwise(F.least(F.min("sim"), F.lit(threshold - 1e-12))).alias("floor"))
+    back = lists.select(F.col("dst").alias("pivot"), F.col("src").alias("node"), "sim", "fresh")
+    back = back.withColumn("rank", F.row_number().over(Window.partitionBy("pivot").orderBy(F.desc("sim"), "node"))).where(F.col("rank") <= bound).select("pivot", "node", "fresh")
+    forth = lists.select(F.col("src").alias("pivot"), F.col("dst").alias("node"), "fresh")
+    both = forth.union(back).groupBy("pivot", "node").agg(F.max("fresh").alias("fresh"))
+    meet = both.join(nodes.select("node", F.col("vec").cast(f"array<{kind}>").alias("vec")), "node").join(last.withColumnRenamed("src", "node"), "node", "left")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -150,22 +158,23 @@ def _round(lists: DataFrame, nodes: DataFrame, k: int, threshold: float) -> Data
         runs = _runs(table["pivot"].to_numpy())
         if not last:
             held, runs = table.slice(runs[-1][0]), runs[:-1]
-        nodes_, floors = table["node"].to_numpy(), table["floor"].fill_null(-2).to_numpy()
+        nodes_, floors, fresh = table["node"].to_numpy(), table["floor"].fill_null(-2).to_numpy(), table["fresh"].to_numpy().astype(bool)
         vec = table["vec"].combine_chunks()
         found: list[list[np.ndarray]] = [[], [], []]
         for a, b in runs:
-            if b - a < 2:
+            new = fresh[a:b]
+            if b - a < 2 or not new.any():
                 continue
             x = _unit(vec.slice(a, b - a))
             sims = x @ x.T
-            i, j = np.nonzero((sims > floors[a:b, None]) & ~np.eye(b - a, dtype=bool))
+            i, j = np.nonzero((sims > floors[a:b, None]) & ~np.eye(b - a, dtype=bool) & (new[:, None] | new[None, :]))
             for out, values in zip(found, (nodes_[a:b][i], nodes_[a:b][j], sims[i, j])):
                 out.append(values)
         if found[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], names=["src", "dst", "sim"])
         return None if last else held
 
-    return meet.repartition("pivot").sortWithinPartitions("pivot").select("pivot", "node", "floor", "vec").mapInArrow(each, _EDGE)
+    return meet.repartition("pivot").sortWithinPartitions("pivot").select("pivot", "node", "floor", "fresh", "vec").mapInArrow(each, _EDGE)
 
 
 def cells(members: DataFrame, by_group: bool, most: int = BLOCK, seed: int = 0) -> DataFrame:
@@ -246,24 +255,42 @@ def between(found: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long")
 
 
-def complete(members: DataFrame, threshold: float) -> DataFrame:
-    """Link counts (node, links) within groups, from rows (node, group, dim, mult, vec): every block against every block."""
-    sized = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks >= 1")
-    rows = members.join(sized, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    here = rows.select("group", F.col("block").alias("i"), others, F.lit(0).alias("side"), "node", "mult", "vec").withColumnRenamed("other", "j")
-    there = rows.select("group", F.col("block").alias("j"), others, F.lit(1).alias("side"), "node", "mult", "vec").withColumnRenamed("other", "i")
+def complete(members: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Link counts (node, links) within groups, from rows (node, group, dim, mult, vec): every packed block meets every block from itself on."""
+    sized = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(small(sized), "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    order = ["group", "block", "blocks"]
 
-    def each(keys: tuple, table: pa.Table) -> pa.Table:
-        side = table["side"].to_numpy()
-        x = _unit(table["vec"].combine_chunks())
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        node, mult = table["node"].to_numpy(), table["mult"].to_numpy()
-        links = (x[a] @ x[b].T >= threshold) & (node[a][:, None] != node[b][None, :])
-        return pa.table({"node": node[a], "links": links @ mult[b]})
+    def pack(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        one = lambda v, kind: pa.array([v], kind)
+        x = _unit(part["vec"].combine_chunks())
+        yield pa.RecordBatch.from_arrays(
+            [*(one(part[c][0].as_py(), kind) for c, kind in zip(order, (pa.int64(), pa.int32(), pa.int32()))), one(part["node"].to_numpy(), pa.list_(pa.int64())), one(part["mult"].to_numpy(), pa.list_(pa.int64())), one(x.ravel(), pa.list_(pa.float64()))], names=[*order, "nodes", "mults", "vecs"]
+        )
+
+    sorted_ = rows.select(*order, "node", "mult", "vec").repartition("group", "block").sortWithinPartitions("group", "block", "node")
+    # a block of more rows than are packed at once becomes several rows of the same number
+    packed = scratch.cut(sorted_.mapInArrow(_in_blocks(("group", "block"), 2 * BLOCK, pack), "group long, block int, blocks int, nodes array<long>, mults array<long>, vecs array<double>").withColumn("part", F.monotonically_increasing_id()), "packed")
+    side = lambda s: packed.select("group", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "part", "nodes", "mults", "vecs")])
+    here = packed.select("group", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block_b"), *[F.col(c).alias(f"{c}_a") for c in ("block", "part", "nodes", "mults", "vecs")])
+    met = here.join(side("b"), ["group", "block_b"]).where("block_a < block_b or part_a <= part_b")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, counts = [], []
+            for r in range(len(batch)):
+                (n, m, v), (o, w, u) = ([batch.column(f"{c}_{s}")[r].values.to_numpy() for c in ("nodes", "mults", "vecs")] for s in "ab")
+                links = (v.reshape(len(n), -1) @ u.reshape(len(o), -1).T >= threshold) & (n[:, None] != o[None, :])
+                nodes.append(n)
+                counts.append(links @ w)
+                if batch.column("part_a")[r].as_py() != batch.column("part_b")[r].as_py():
+                    nodes.append(o)
+                    counts.append(m @ links)
+            if nodes:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(counts).astype(np.int64))], names=["node", "links"])
 
-    pairs = here.select("group", "i", "j", "side", "node", "mult", "vec").unionByName(there.select("group", "i", "j", "side", "node", "mult", "vec"))
-    return pairs.groupBy("group", "i", "j").applyInArrow(each, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    found = met.select("part_a", "part_b", *[f"{c}_{s}" for s in "ab" for c in ("nodes", "mults", "vecs")]).mapInArrow(each, "node long, links long")
+    return found.groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def audit(nodes: DataFrame, linked: DataFrame, threshold: float, every: int = 100) -> DataFrame:
@@ -291,36 +318,48 @@ def audit(nodes: DataFrame, linked: DataFrame, threshold: float, every: int = 10
     return truth.join(linked, "node", "left").agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum(F.least("pairs", F.coalesce("links", F.lit(0)))), F.lit(0)).alias("found"))
 
 
-def near_duplicates(vectors: DataFrame, scratch: Scratch, *, threshold: float = 0.93, k: int = 8, longest: int = 64, codes: int = 6, rounds: int = 3, settled: float = 0.002, seed: int = 11, recall: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_duplicates(vectors: DataFrame, scratch: Scratch, *, threshold: float = 0.93, k: int = 8, longest: int = 64, codes: int = 6, rounds: int = 3, settled: float = 0.002, seed: int = 11, recall: float | None = None, report: dict | None = None, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row for each vector: (id, n_links, component_id, kept).
 
     With ``recall`` the audit runs as well, and codes are added (twice as many,
     up to twice) while the share of links found is below it; then all nodes are
-    compared through cells.
+    compared through cells and audited again, and a recall that is still below is
+    an error.  ``report`` takes what was measured: pairs (links of the audited
+    vectors), found, attempts, and longest_list of the last graph.
     """
+    report = {} if report is None else report
+    kind = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
     good = rows.where(usable(F.col("vec")) & F.col("label").isNotNull()).withColumn("vec", F.transform("vec", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
-    nodes = good.groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("mult")).withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("vec"))
-    nodes = scratch.cut(nodes.select("node", "label", "dim", "rep", "mult", "vec"), "nodes")
+    # 128 bits name a vector within its label, so that no later join moves or compares vectors
+    good = good.withColumns({"h1": F.xxhash64("label", "vec"), "h2": F.xxhash64(F.lit("second"), "vec", "label")})
+    nodes = good.groupBy("label", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("mult"), F.first("vec").alias("vec")).withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("vec"))
+    nodes = scratch.cut(nodes.select("node", "label", "h1", "h2", "dim", "rep", "mult", "vec"), "nodes")
 
     def grouped(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Components, and the link counts within them."""
         comps = components(edges, scratch)
-        members = nodes.join(comps, "node").select("node", F.col("component").alias("group"), "dim", "mult", "vec")
-        return comps, scratch.cut(complete(members, threshold), "links")
+        members = scratch.cut(nodes.join(comps, "node").select("node", F.col("component").alias("group"), "dim", "mult", "vec"), "members")
+        return comps, scratch.cut(complete(members, threshold, scratch), "links")
+
+    def audited(linked: DataFrame) -> bool:
+        seen = audit(nodes, linked, threshold).first()
+        report.update(pairs=seen["pairs"], found=seen["found"])
+        return seen["found"] >= recall * seen["pairs"]
 
     for attempt in range(3):
-        lists = scratch.cut(_lists(first_graph(nodes, k, codes << attempt, threshold, seed + attempt), k, threshold, 2 * k), "lists")
+        lists = scratch.cut(_lists(first_graph(nodes, k, codes << attempt, threshold, seed + attempt).withColumn("fresh", F.lit(1)), k, threshold, 2 * k), "lists")
         n, bound = lists.count(), 2 * k
         for _ in range(rounds):
+            new = _round(lists, nodes, k, threshold, bound, kind)
             bound = min(longest, 2 * bound)
-            new = _round(lists, nodes, k, threshold)
-            better = scratch.cut(_lists(lists.union(new), k, threshold, bound), "lists")
-            changed = better.join(lists, ["src", "dst"], "left_anti").count()
+            better = scratch.cut(_lists(lists.withColumn("fresh", F.lit(0)).union(new.withColumn("fresh", F.lit(1))), k, threshold, bound), "lists")
+            changed = better.where("fresh = 1").count()
             scratch.drop(lists)
             lists = better
             if changed <= settled * max(1, n):
                 break
+        report.update(attempts=attempt + 1, longest_list=lists.groupBy("src").count().agg(F.max("count")).first()[0] or 0)
         edges = lists.where(F.col("sim") >= threshold).select(F.col("src").alias("a"), F.col("dst").alias("b"))
         comps = components(edges, scratch)
         # lists and joins take k links of a node for certain: nodes with as many are searched without lists
@@ -328,17 +367,16 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, *, threshold: float =
         sought = nodes.join(comps, "node").join(dense, "node").withColumnRenamed("component", "group")
         joined = scratch.cut(edges.union(between(cells(sought, True, seed=seed), threshold, scratch)), "joined")
         comps, linked = grouped(joined)
-        if recall is None:
-            break
-        seen = audit(nodes, linked, threshold).first()
-        if seen["found"] >= recall * seen["pairs"]:
+        if recall is None or audited(linked):
             break
         if attempt == 2:
             everyone = nodes.join(comps, "node", "left").withColumn("group", F.coalesce("component", "node"))
             comps, linked = grouped(joined.union(between(cells(everyone, False, seed=seed), threshold, scratch)))
-    named = nodes.select("node", "label", "vec", "rep", "mult").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            if not audited(linked):
+                raise ValueError(f"recall {report['found']} of {report['pairs']} links is below {recall}")
+    named = nodes.select("node", "h1", "h2", "label", "rep", "mult").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    full = named.join(least, "component").join(linked, "node", "left").select("label", "vec", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
+    full = scratch.cut(named.join(least, "component").join(linked, "node", "left").select("label", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id"), "full")
     apart = rows.where(~(F.coalesce(usable(F.col("vec")), F.lit(False)) & F.col("label").isNotNull())).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    answered = good.join(full, ["label", "vec"]).select("id", F.col("n_links").cast("long"), "component_id")
+    answered = good.select("id", "label", "h1", "h2").join(small(full), ["label", "h1", "h2"]).select("id", F.col("n_links").cast("long"), "component_id")
     return answered.union(apart).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))

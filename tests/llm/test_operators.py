@@ -119,6 +119,27 @@ def test_cells_are_exact(spark):
     assert {(min(e.a, e.b), max(e.a, e.b)) for e in edges} == want and len(want) > 300
 
 
+def test_saturated_lists_grow(spark):
+    """Nearly all of 300 vectors reach one another: lists double as far as they may, and the links are all of them."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(np.float32(x)) for x in np.eye(24)[0] + rng.normal(size=24) * 0.05], 0) for i in range(300)]
+    report = {}
+    out = embedding_dedup.near_duplicates(vectors(spark, rows), Scratch(spark, "t"), recall=0.9, report=report)
+    want = brute_links(rows, 0.93)
+    assert sum(w[1] for w in want) > 200 * len(want)
+    assert sorted((r.id, r.n_links, r.component_id) for r in out.collect()) == want
+    assert report["longest_list"] == 64 and report["found"] == report["pairs"] > 0
+
+
+def test_embedding_dedup_odd_rows(spark):
+    """Repeated ids, clashing columns, and cosines at the threshold (0.6 of exact values, and just below it)."""
+    rows = [(1, [1.0, 0.0, 0.0], 0), (1, [1.0, 0.0, 0.0], 0), (2, [3.0, 4.0, 0.0], 0), (3, [0.0, 0.0, 1.0], 0), (3, [0.0, 3.0, 4.000001], 0), (4, [1e30, 0.0, 0.0], 0), (None, [0.0, 0.0, -1.0], 0), (5, [1.0, 0.0, 0.0], 1)]
+    df = vectors(spark, rows).withColumns({c: F.lit(c) for c in ("id", "node", "vec", "h1", "rep", "group", "dim")})
+    out = embedding_dedup.near_duplicates(df, Scratch(spark, "t"), threshold=0.6, recall=0.9)
+    got = sorted(((r.id, r.n_links, r.component_id) for r in out.collect()), key=str)
+    assert got == sorted([(1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 1, 3), (3, 1, 3), (4, 3, 1), (None, 0, None), (5, 0, 5)], key=str)
+
+
 def test_embedding_dedup_empty(spark):
     assert embedding_dedup.near_duplicates(vectors(spark, []), Scratch(spark, "t")).count() == 0
 
