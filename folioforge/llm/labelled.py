@@ -23,8 +23,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
 
     Left out are the held-out fold, ids or labels that are null, labels other
     than 0 and 1, and ids with contradicting labels.  Ids are taken in the order
-    of a hash of the id, so a rerun takes the same rows.  Only the ids' bounded
-    list is broadcast.
+    of a hash of the id, so a rerun takes the same rows; of rows with equal ids
+    one is taken, that with the smallest text.  Only the ids' bounded list is
+    broadcast.
     """
     y = (
         labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y"))
@@ -37,7 +38,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int,
     order = F.xxhash64("_id")
     picked = y.where("y = 0").orderBy(order, "_id").limit(bound // 2).union(y.where("y = 1").orderBy(order, "_id").limit(bound // 2))
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[c.alias(n) for n, c in (extra or {}).items()])
-    return texts.join(F.broadcast(picked), "_id")
+    found = texts.join(F.broadcast(picked), "_id")  # at most ``bound`` ids
+    rest = [c for c in found.columns if c != "_id"]
+    return found.groupBy("_id").agg(F.min(F.struct(*rest)).alias("_row")).select("_id", "_row.*")
 
 
 def with_column(df: DataFrame, inputs: list[str], name: str, values: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
@@ -58,5 +61,12 @@ def with_column(df: DataFrame, inputs: list[str], name: str, values: Callable[[p
     return df.mapInArrow(each, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
+def lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of an Arrow column as views of one NumPy array."""
+    column = column.combine_chunks()
+    offsets = column.offsets.to_numpy()
+    return np.split(column.values.to_numpy()[: offsets[-1]], offsets[1:-1]) if len(column) else []
+
+
 def logistic(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))

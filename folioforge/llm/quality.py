@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import fold, logistic, training_sample, with_column
+from .labelled import fold, lists, logistic, training_sample, with_column
 from .words import ROWS, column_bytes, word_hashes
 
 #: Byte classes whose shares of a text are statistics.
@@ -143,9 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", id_col: s
             )
 
     got = texts.mapInArrow(each, "id string, y int, at array<int>, x array<float>, dense array<double>").toArrow().sort_by("id")
-    rows = [(np.asarray(a, np.int64), np.asarray(x, np.float32)) for a, x in zip(got["at"].to_pylist(), got["x"].to_pylist())]
-    dense = np.asarray(got["dense"].to_pylist(), float).reshape(len(rows), N_STATS + len(metadata))
-    return fit_machine(rows, dense, np.asarray(got["y"].to_pylist(), float), bits)
+    rows = list(zip(lists(got["at"]), lists(got["x"])))  # 2**bits slots a text at most
+    dense = np.asarray(lists(got["dense"]), float).reshape(len(rows), N_STATS + len(metadata))
+    return fit_machine(rows, dense, got["y"].to_numpy().astype(float), bits)
 
 
 def score(docs: DataFrame, model: FactorisationMachine, *, text_col: str = "text", metadata: tuple[str, ...] = ("n_chars",), out: str = "score") -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import fold, logistic, training_sample, with_column
+from .labelled import fold, lists, logistic, training_sample, with_column
 from .shared import Scratch
 
 GRAMS = (4, 5, 6)
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", id_col: str
             yield pa.RecordBatch.from_arrays([batch.column("_id").cast(pa.string()), batch.column("y"), pa.array(found, pa.list_(pa.int32()))], names=["id", "y", "at"])
 
     got = texts.mapInArrow(each, "id string, y int, at array<int>").toArrow().sort_by("id")
-    return fit_ratio([np.asarray(x, np.int32) for x in got["at"].to_pylist()], np.asarray(got["y"].to_pylist(), float), r, bits)
+    return fit_ratio(lists(got["at"]), got["y"].to_numpy().astype(float), r, bits)
 
 
 def score(docs: DataFrame, model: RatioModel, *, text_col: str = "text", out: str = "score") -> DataFrame:
