@@ -23,7 +23,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, plain_string, small
+from .shared import Scratch, plain_string, running, small
 
 #: Blocks in a summary that the driver holds.
 BLOCKS = 2_000
@@ -101,30 +101,43 @@ def _divide(groups: DataFrame, order, pieces: list[tuple], split: list[int], blo
         (F.col("lowest") | (order >= F.struct(F.col("k0").alias("key"), F.col("d0").alias("digest")))) & (F.col("highest") | (order < F.struct(F.col("k1").alias("key"), F.col("d1").alias("digest")))),
     ).select("piece", "key", "digest", "bytes")
     each = max(2, blocks // len(split))
-    marks = inside.groupBy("piece").agg(F.percentile_approx("key", [i / each for i in range(1, each)], 50 * each).alias("marks"))
-    # a block ends where the key passes a mark; when all keys of a piece are equal, every group is a block (ids that repeat)
+    marks = inside.groupBy("piece").agg(F.percentile_approx("key", [i / each for i in range(1, each)], 50 * each).alias("marks"), F.min("key").alias("least"))
+    # a block ends where the key passes a mark, and after the least key, so that a piece that stays whole has one key
+    passed = F.size(F.filter("marks", lambda m: m <= F.col("key"))) + F.coalesce((F.col("key") > F.col("least")).cast("int"), F.lit(0))
     part = (
         inside.join(F.broadcast(marks), "piece")
-        .withColumn("part", F.size(F.filter("marks", lambda m: m <= F.col("key"))))
+        .withColumn("part", passed)
         .groupBy("piece", "part")
         .agg(F.min(order).alias("first"), F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
         .orderBy("piece", "first")
-        .collect()  # at most ``blocks`` rows
+        .collect()  # at most ``blocks`` rows and one for each piece
     )
     done: dict[int, list[tuple]] = {}
     for r in part:
         done.setdefault(r["piece"], []).append(((r["first"]["key"], r["first"]["digest"]), r["bytes"], r["n"]))
-    for i, new in done.items():
-        if len(new) == 1 and new[0][2] > 1:  # equal keys: by the digest
-            rows = inside.where(F.col("piece") == i).orderBy("key", "digest").collect()
-            done[i] = [((r["key"], r["digest"]), r["bytes"], 1) for r in rows]
+    equal = [i for i, new in done.items() if len(new) == 1 and new[0][2] > 1]
+    if equal:  # pieces of one key (ids that repeat, or null): divided by the digest, each again at about equal numbers
+        alike = inside.where(F.col("piece").isin(equal)).withColumn("number", F.conv(F.substring("digest", 1, 13), 16, 10).cast("double"))
+        ends = alike.groupBy("piece").agg(F.percentile_approx("number", [i / each for i in range(1, each)], 50 * each).alias("marks"), F.min("digest").alias("d0"), F.max("digest").alias("d1"))
+        by_digest = (
+            alike.join(F.broadcast(ends), "piece")  # as many rows as pieces
+            # the last digest is a block of its own, so that every round makes blocks smaller
+            .withColumn("part", F.when(F.col("digest") == F.col("d1"), each).otherwise(F.size(F.filter("marks", lambda m: m <= F.col("number")))))
+            .groupBy("piece", "part")
+            .agg(F.min(order).alias("first"), F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
+            .orderBy("piece", "first")
+            .collect()  # at most ``blocks`` rows and one for each piece
+        )
+        done.update({i: [] for i in equal})
+        for r in by_digest:
+            done[r["piece"]].append(((r["first"]["key"], r["first"]["digest"]), r["bytes"], r["n"]))
     return [q for i, p in enumerate(pieces) for q in done.get(i, [p])]
 
 
-def shard(docs: DataFrame, shards: int, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", per_block: int = 20_000) -> DataFrame:
+def shard(docs: DataFrame, shards: int, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, size, text_crc32, digest, shard, slot): one for each row; texts stay where they are.
 
-    slot counts from 0 within a shard, in blocks of ids that are numbered side by side.
+    slot counts from 0 within a shard in the order of the ids; ranges of rows are numbered side by side.
     """
     text = plain_string(text_col)
     raw = F.encode(text, "UTF-8")
@@ -134,7 +147,7 @@ def shard(docs: DataFrame, shards: int, scratch: Scratch, *, id_col: str = "doc_
     groups = scratch.cut(rows.groupBy("digest").agg(F.min("id").alias("key"), F.sum("size").alias("bytes"), F.count("*").alias("n")), "groups")
     cuts = cut_points(groups, shards, scratch)
     number = F.lit(0)
-    for key, digest in cuts:
+    for key, digest in cuts:  # one for each shard
         number = number + F.when(F.struct("key", "digest") >= F.struct(F.lit(key).cast(dict(groups.dtypes)["key"]).alias("key"), F.lit(digest).alias("digest")), 1).otherwise(0)
     placed = groups.select("digest", number.alias("shard"), "n")
     alone = F.col("n") == 1
@@ -145,19 +158,6 @@ def shard(docs: DataFrame, shards: int, scratch: Scratch, *, id_col: str = "doc_
         .withColumn("shard", F.coalesce("of_group", number))
         .select("id", "size", "text_crc32", "digest", "shard")
     )
-    # slots: rows are numbered within blocks of ids, and a block starts after the blocks before it
-    n = max(1, min(5_000, -(-rows.count() // per_block)))
-    marks = sorted(set(rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 50 * n).alias("c")).first()["c"] or [])) if n > 1 else []
-    block = F.size(F.filter(F.array(*[F.lit(m) for m in marks]), lambda m: m <= F.col("id"))) if marks else F.lit(0)
-    blocked = with_shard.withColumn("block", F.when(F.col("id").isNull(), -1).otherwise(block))
-    from pyspark.sql import Window
-
-    counts = blocked.groupBy("shard", "block").count()
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("shard", "block").orderBy(F.col("id").asc_nulls_first(), "digest")
-    return (
-        blocked.join(F.broadcast(starts), ["shard", "block"])  # at most 5,000 blocks for each shard
-        .withColumn("slot", F.col("start") + F.row_number().over(within) - 1)
-        .select("id", "size", "text_crc32", "digest", "shard", "slot")
-    )
+    places = running(with_shard.select("id", "size", "text_crc32", "digest", "shard"), [F.col("shard"), F.col("id").asc_nulls_first(), F.col("digest")], {"at": F.lit(1)}, scratch)
+    firsts = places.groupBy("shard").agg(F.min("at").alias("first"))
+    return places.join(F.broadcast(firsts), "shard").select("id", "size", "text_crc32", "digest", "shard", (F.col("at") - F.col("first")).alias("slot"))  # a row for each shard

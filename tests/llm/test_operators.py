@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from folioforge.llm import embedding_dedup, extraction, fingerprint, mixing, ngram_join, packing, quality, sharding, toxicity, warc
 from folioforge.llm import words as W
+from folioforge.llm.labelled import training_sample
 from folioforge.llm.shared import Scratch, running
 
 from .conftest import ODD, documents
@@ -189,6 +190,67 @@ def test_classifier_on_odd_tables(spark, odd, none, module):
     assert flat.select("score").distinct().count() == 1
 
 
+def naive_grams(text, bits):
+    """Each n-gram's hash by itself, with Python integers."""
+    padded, found = f" {text.lower()} ", set()
+    for n in toxicity.GRAMS:
+        for at in range(len(padded) - n + 1):
+            h = 0
+            for i, c in enumerate(padded[at : at + n]):
+                h = (h + ord(c) * toxicity._MULT[i]) & 0xFFFFFFFF
+                h ^= h >> 15
+            found.add((h * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - bits))
+    return found
+
+
+def test_toxicity_against_brute_force(spark):
+    """n-grams, class counts, log-count ratios and margins against a naive count."""
+    rng, bits = random.Random(21), 12
+    texts = ["".join(rng.choice("abc é.") for _ in range(rng.randint(0, 40))) + (" vile" if i % 3 == 0 else "") for i in range(120)]
+    for t in texts[:30]:
+        assert set(toxicity.grams(t, bits).tolist()) == naive_grams(t, bits)
+    sample = spark.createDataFrame([(t, int(i % 3 == 0)) for i, t in enumerate(texts)], "text string, y int").repartition(5)
+    p, q = toxicity._class_counts(sample, bits)
+    counts = [Counter(g for i, t in enumerate(texts) if (i % 3 == 0) == bad for g in naive_grams(t, bits)) for bad in (True, False)]
+    for have, want in zip((p, q), counts):
+        assert {int(g): int(have[g]) for g in np.flatnonzero(have)} == dict(want)
+    r = toxicity.ratios(p, q, len(texts), 2, 1 << bits)
+    total = [sum(c.values()) + (1 << bits) for c in counts]
+    for g in range(1 << bits):
+        a, b = counts[0][g], counts[1][g]
+        assert math.isclose(r[g], math.log(((a + 1) / total[0]) / ((b + 1) / total[1])) if a + b >= 2 else 0, abs_tol=1e-9)
+    model = toxicity.fit_ratio([toxicity.grams(t, bits) for t in texts], np.array([i % 3 == 0 for i in range(120)], float), r, bits)
+    for t in texts[:20]:
+        assert math.isclose(model.margin(t), model.b + sum(float(model.weights[g]) for g in naive_grams(t, bits)), abs_tol=1e-6)
+
+
+def test_quality_features_against_brute_force():
+    import pyarrow as pa
+
+    texts = ["", "A b, b  1!\n\u00e9", "x y x"]
+    rows, dense = quality.features(pa.array([None, *texts]), [pa.array([None, 3, -1, 9])], 16)
+    assert len(rows[0][0]) == 0 and not dense[0].any() and math.isclose(dense[3, -1], math.log1p(9))
+    for k, t in enumerate(texts, 1):
+        words, raw = WORD.findall(lower(t)), t.encode()
+        if not words:
+            continue
+        n = Counter(words)
+        weights = sorted(math.log1p(c) for c in n.values())
+        norm = math.sqrt(sum(w * w for w in weights))
+        assert np.allclose(sorted(rows[k][1]), [w / norm for w in weights], atol=1e-6)
+        assert math.isclose(dense[k, 0], sum(chr(b).isupper() and b < 128 for b in raw) / len(raw)) and math.isclose(dense[k, 2], sum(48 <= b < 58 for b in raw) / len(raw))
+        assert np.allclose(dense[k, 8:14], [math.log1p(len(raw)), math.log1p(len(words)), len(raw) / len(words), len(n) / len(words), max(n.values()) / len(words), sum(a == b for a, b in zip(words, words[1:])) / len(words)])
+
+
+def test_training_sample_is_bounded(spark):
+    """Rows with equal ids do not pass the bound."""
+    docs = documents(spark, *[f"text {i}" for i in range(200)], ids=[i % 4 for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(4)], "doc_id long, quality int, toxic int")
+    got = training_sample(docs, labels, "toxic", 4, 1000, 999, "doc_id", "text").collect()
+    assert sorted(r["_id"] for r in got) == [0, 1, 2, 3] and {r.text for r in got} == {"text 0", "text 1", "text 10", "text 103"}
+    assert toxicity.classify(docs, labels).count() == 200 and quality.classify(docs, labels).count() == 200
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(1)
     bits, d, rank = 4, 3, 5
@@ -257,7 +319,7 @@ def test_sharding(spark, monkeypatch, seed, blocks, shards):
     monkeypatch.setattr(sharding, "BLOCKS", blocks)
     plain = sharding.cut_points
     monkeypatch.setattr(sharding, "cut_points", lambda g, s, x: plain(g, s, x, blocks))
-    got = {r.id: r for r in sharding.shard(documents(spark, *texts), shards, Scratch(spark, "t"), per_block=50).collect()}
+    got = {r.id: r for r in sharding.shard(documents(spark, *texts), shards, Scratch(spark, "t")).collect()}
     first, size = {}, Counter()
     for i, t in enumerate(texts):
         t = t or ""
@@ -277,6 +339,23 @@ def test_sharding(spark, monkeypatch, seed, blocks, shards):
         assert slots == list(range(len(slots)))
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_sharding_of_one_key(spark, monkeypatch, key):
+    """Half of the groups have one id or none: they are divided by their digests, a few blocks at a time."""
+    plain = sharding.cut_points
+    monkeypatch.setattr(sharding, "cut_points", lambda g, s, x: plain(g, s, x, 6))
+    rng = random.Random(31)
+    rows = [(key, f"t{i}" * rng.randint(1, 30)) for i in range(150)] + [(i + 10, f"u{i}" * rng.randint(1, 30)) for i in range(150)]
+    got = sharding.shard(documents(spark, *[t for _, t in rows], ids=[i for i, _ in rows]), 5, Scratch(spark, "t")).collect()
+    order = sorted(got, key=lambda r: (r.id is not None, r.id or 0, r.digest))
+    assert len(got) == 300 and [r.shard for r in order] == sorted(r.shard for r in got)
+    load = Counter()
+    for r in got:
+        load[r.shard] += r.size
+    assert max(load.values()) == best_capacity([r.size for r in order], 5)
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got))) for s in load)
+
+
 def test_sharding_odd(spark, odd, none):
     assert sharding.shard(odd, 16, Scratch(spark, "t")).count() == len(ODD)
     assert sharding.shard(none, 16, Scratch(spark, "t")).count() == 0
