@@ -13,7 +13,7 @@ share the part before the cut.  Texts are shuffled once, into ranges of the id;
 the first rows of each range also go to the range before it, so that every row
 meets its successor without a window over all rows.
 
-Nulls and edges: null and empty texts have the empty fingerprint ""; two empty
+Ids are numbers.  Nulls and edges: null and empty texts have the empty fingerprint ""; two empty
 fingerprints are alike (1.0), an empty and another are not (0.0).  Null ids come
 first.  Rows with equal ids follow one another in the order of their texts.
 Equal texts have equal fingerprints.
@@ -108,31 +108,44 @@ class Parsed:
 
 
 def _span(column: str, cuts: list):
-    """The number of cuts at or below the column, by a balanced tree of comparisons; null counts as lowest."""
+    """The number of cuts at or below the column; null counts as lowest.
 
-    def tree(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
+    A balanced tree of comparisons finds one of up to 200 runs of cuts, and a
+    filter counts within the run.
+    """
+    width = -(-len(cuts) // 200) if cuts else 1
+    runs = [cuts[a : a + width] for a in range(0, len(cuts), width)]
+    id_ = F.col(column)
+
+    def tree(lo: int, hi: int):  # runs lo to hi - 1 may hold the last cut at or below
+        if hi - lo == 1:
+            inside = F.size(F.filter(F.array(*map(F.lit, runs[lo])), lambda m: m <= id_)) if width > 1 else (id_ >= F.lit(runs[lo][0])).cast("int")
+            return F.lit(lo * width) + inside
         mid = (lo + hi) // 2
-        return F.when(F.col(column) < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(id_ < F.lit(runs[mid][0]), tree(lo, mid)).otherwise(tree(mid, hi))
+
+    return F.when(id_.isNull() if cuts else F.lit(True), F.lit(0)).otherwise(tree(0, len(runs)) if cuts else F.lit(0))
+
 
-    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(tree(0, len(cuts)))
+#: Spans at most, whose bounds the driver and each task's plan hold; beyond it spans grow, and stream through a task all the same.
+SPANS = 20_000
 
 
-def ranges(docs: DataFrame, id_col: str, text_col: str, per_range: int) -> DataFrame:
+def ranges(docs: DataFrame, id_col: str, text_col: str, span_bytes: int) -> DataFrame:
     """Rows (span, ghost, id, text), each span within one partition and in the order of the id.
 
-    A span is a range of ids with about ``per_range`` rows (fewer in small
-    tables; at most 1,000 spans); its ghosts, which come last, are the rows with
-    the first id of the following span, or after the last span of the first.
+    A span is a range of ids with about ``span_bytes`` of text (less in small
+    tables); its ghosts, which come last, are the rows with the first id of the
+    following span, or after the last span of the first.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), plain_string(text_col).alias("text"))
     ids, kind = rows.select("id"), dict(rows.dtypes)["id"]
-    n = max(2, min(1_000, max(-(-ids.count() // per_range), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(2, min(SPANS, max(-(-size // span_bytes), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
     cuts = ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 100 * n).alias("c")).first()["c"]
     span = _span("id", sorted(set(cuts or [])))
-    found = ids.groupBy(span.alias("span")).agg(F.min("id").alias("first"), F.max(F.col("id").isNull()).alias("none")).orderBy("span").collect()  # at most 1,000 rows
+    found = ids.groupBy(span.alias("span")).agg(F.min("id").alias("first"), F.max(F.col("id").isNull()).alias("none")).orderBy("span").collect()  # a row for each span
     heads = [(r["span"], None if r["none"] else r["first"], found[i - 1]["span"]) for i, r in enumerate(found)]
     table = spark.createDataFrame(heads or [(0, None, 0)], f"span int, first {kind}, before int")
     to = F.array(F.struct("span", F.lit(0).alias("ghost")))
@@ -147,9 +160,9 @@ def ranges(docs: DataFrame, id_col: str, text_col: str, per_range: int) -> DataF
     )
 
 
-def probe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", per_range: int = 5_000) -> DataFrame:
+def probe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", span_bytes: int = 64 << 20) -> DataFrame:
     """Rows (id, n_chars, edited_text, fingerprint, edited_fingerprint, near_edited, near_next), one for each row."""
-    rows = ranges(docs, id_col, text_col, per_range)
+    rows = ranges(docs, id_col, text_col, span_bytes)
     names = ["id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     strings, double = (pa.string(),) * 3, pa.float64()
 
