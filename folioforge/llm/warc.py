@@ -7,6 +7,10 @@ record by record in the tasks.
 
 Only headers (digest, id, length) are shuffled to find the first response of
 each payload; a row then learns from a join by id and digest what it revisits.
+While the measured list of revisits is within the bound for a broadcast, payloads
+stay where they are; beyond it Spark shuffles them once.  Records are written by
+classes of size with as many records to a file as keep it under ``FILE_BYTES``,
+so that a reading task never holds more than that.
 
 Nulls and edges: a null payload counts as empty; payloads under ``least`` bytes
 are always responses; a null id is a record of its own that nothing can revisit
@@ -24,11 +28,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import small
+
 END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FIELDS = "page_id string, url string, record_type string, payload_digest string, refers_to string, content_length long, payload binary"
 
 
+#: Uncompressed bytes of payload in a file at most (a single larger payload has a file of its own).
+FILE_BYTES = 256 << 20
+#: Upper bounds of the classes of payload size.
+CLASSES = (16 << 10, 1 << 20)
+
+
 def headers(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """Rows (id, url, payload, payload_bytes, payload_digest); the digest is the SHA-256 in lower-case hex."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
@@ -72,8 +84,14 @@ def write(records: DataFrame, revisits: DataFrame, path: str, *, date: str = "20
         F.lit("\r\n"),
     )
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
-    joined = records.join(revisits.withColumnsRenamed({"id": "_rid", "payload_digest": "_digest"}), (F.col("id") == F.col("_rid")) & (F.col("payload_digest") == F.col("_digest")), "left")
-    joined.select(F.concat(head, body)).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 20_000).text(path)
+    named = small(revisits.withColumnsRenamed({"id": "_rid", "payload_digest": "_digest"}))
+    size = F.col("payload_bytes")
+    of = F.when(size <= CLASSES[0], 0).when(size <= CLASSES[1], 1).otherwise(2)
+    most = {r["of"]: r["most"] for r in records.select(of.alias("of"), size.alias("n")).groupBy("of").agg(F.max("n").alias("most")).collect()}  # three rows
+    for k in sorted(most) or [0]:
+        joined = records.where(of == k).join(named, (F.col("id") == F.col("_rid")) & (F.col("payload_digest") == F.col("_digest")), "left")
+        per_file = max(1, FILE_BYTES // max(1, CLASSES[k] if k < len(CLASSES) else most[k]))
+        joined.select(F.concat(head, body)).write.mode("append").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def _records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:

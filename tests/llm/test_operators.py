@@ -276,9 +276,9 @@ def brute_phrases(text):
     return set(seen) | ({tuple(run)} if run else set())
 
 
-@pytest.mark.parametrize("per_range", [2, 5_000])
-def test_fingerprint(spark, odd, per_range):
-    got = {r.id: r for r in fingerprint.probe(odd, per_range=per_range).collect()}
+@pytest.mark.parametrize("span_bytes", [200, 64 << 20])
+def test_fingerprint(spark, odd, span_bytes):
+    got = {r.id: r for r in fingerprint.probe(odd, span_bytes=span_bytes).collect()}
     texts = [t or "" for t in ODD]
     for i, t in enumerate(texts):
         following, r = texts[(i + 1) % len(texts)], got[i]
@@ -292,6 +292,15 @@ def test_fingerprint(spark, odd, per_range):
     assert got[12].fingerprint == got[13].fingerprint and got[12].near_next == 1.0
 
 
+@pytest.mark.parametrize("cuts", [0, 1, 150, 1234])
+def test_spans(spark, cuts):
+    """The number of cuts at or below an id, with one run of cuts or many."""
+    marks = sorted(random.Random(cuts).sample(range(5000), cuts))
+    got = spark.range(0, 5000, 37).select("id", fingerprint._span("id", marks).alias("n")).collect()
+    assert all(r.n == sum(m <= r.id for m in marks) for r in got)
+    assert spark.sql("SELECT CAST(NULL AS LONG) AS id").select(fingerprint._span("id", marks)).first()[0] == 0
+
+
 def test_fingerprint_repeats(spark, none):
     docs = documents(spark, "a b", "c d", "a b", None, ids=[5, 5, 5, None])
     assert fingerprint.probe(docs).count() == 4
@@ -486,6 +495,19 @@ def test_warc_repeated_ids(spark, tmp_path):
     assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to) for r in out) == sorted(want, key=lambda w: w[:3])
 
 
+def test_warc_files_are_bounded(spark, tmp_path, monkeypatch):
+    """Small and large payloads are written apart, so many to a file as its bytes allow, and all are read back."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 4_000)
+    monkeypatch.setattr(warc, "CLASSES", (100, 1_000))
+    pages = [(i, "u", f"{i} " + "x" * n) for i, n in enumerate([5, 50, 500, 900, 2_500, 9_000] * 12)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    records = warc.headers(df)
+    warc.write(records, warc.resolve(records), str(tmp_path / "w"))
+    sizes = [sum(len(p) for _, p in warc._records(warc._unzip(f.read_bytes()))) for f in (tmp_path / "w").glob("*.gz")]
+    assert len(sizes) > 10 and max(s for s in sizes if s < 9_000) <= 4_000 and all(s < 9_010 for s in sizes)
+    assert sorted(bytes(r.payload).decode() for r in warc.read(spark, str(tmp_path / "w")).collect()) == sorted(p[2] for p in pages)
+
+
 def test_warc_empty(spark, tmp_path):
     assert warc.deduplicate(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "w")).count() == 0
 
