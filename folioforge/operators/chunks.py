@@ -21,11 +21,36 @@ def _explode(df: DataFrame, chunks: Column, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.posexplode(chunks).alias("chunk_index", "c")).select(*keep, "chunk_index", "c.*")
 
 
-def _window(t: Column, start: Column, size) -> Column:
-    """struct of one window of tokens; characters are counted in the tokens joined by single spaces."""
-    text = _joined(t, start, size)
-    before = F.when(start > 0, F.length(_joined(t, F.lit(0), start)) + 1).otherwise(0)
-    return F.struct(text.alias("text"), before.cast("int").alias("start_char"), (before + F.length(text)).cast("int").alias("end_char"), start.cast("int").alias("first_token"), F.least(start + size, F.size(t)).cast("int").alias("end_token"))
+def _before(sizes: Column, block: int = 256) -> Column:
+    """For each size the sum of those before it: over blocks and then within each, so that a long list is not copied at each step."""
+    zero = F.lit(0).cast("long")
+
+    def starts(of: Column, first: Column) -> Column:
+        grown = lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all"))
+        return F.aggregate(of, F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("all")), grown, lambda a: a["all"])
+
+    last = F.floor((F.size(sizes) - 1) / block).cast("int")
+    blocks = F.when(F.size(sizes) > 0, F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(sizes, b * block + 1, block))).otherwise(F.array().cast("array<array<bigint>>"))
+    sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda a, n: a + n))
+    return F.flatten(F.zip_with(blocks, starts(sums, zero), starts))
+
+
+def _windows(df: DataFrame, starts: Column, size: int, step: int, text_col: str, keep: list[str]) -> DataFrame:
+    """One row for each window of ``size`` tokens (array column _t) at ``starts``; characters are counted in the tokens joined by single spaces.
+
+    Lengths are summed over runs of ``step`` tokens once for each text.
+    """
+    t, n = F.col("_t"), F.size("_t")
+    runs = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1, F.lit(step)), lambda r: F.length(_joined(t, r, step)).cast("long") + 1)).otherwise(F.array().cast("array<bigint>"))
+    df = df.select(*keep, "_t", starts.alias("_s"), runs.alias("_r")).select(*keep, "_t", "_s", _before(F.col("_r")).alias("_p"))
+
+    def one(start: Column) -> Column:
+        text, whole, more = _joined(t, start, size), F.floor(start / step).cast("int"), start % step
+        before = F.get(F.col("_p"), whole) + F.when(more > 0, F.length(_joined(t, whole * step, more)) + 1).otherwise(0)
+        return F.struct(text.alias("text"), before.cast("int").alias("start_char"), start.cast("int").alias("first_token"), F.least(start + size, n).cast("int").alias("end_token"))
+
+    out = _explode(df, F.transform("_s", one), keep)
+    return out.select(*keep, "chunk_index", "text", "start_char", (F.col("start_char") + F.length("text")).alias("end_char"), "first_token", "end_token")
 
 
 def token_offsets(df: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, block: int = 256) -> DataFrame:
@@ -35,20 +60,9 @@ def token_offsets(df: DataFrame, *, text_col: str = "text", keep: list[str] | No
     work does not grow with the square of a text's length.
     """
     keep = keep or ["doc_id"]
-    zero = F.lit(0).cast("long")
-
-    def starts(sizes: Column, first: Column) -> Column:
-        """Running sums before each size, from ``first`` on."""
-        grown = lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all"))
-        return F.aggregate(sizes, F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("all")), grown, lambda a: a["all"])
-
-    df = df.select(*keep, F.transform(tokens(F.col(text_col)), lambda t: F.length(t).cast("long") + 1).alias("_n")).where(F.size("_n") > 0)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_n") - 1) / block).cast("int")), lambda b: F.slice("_n", b * block + 1, block))
-    df = df.select(*keep, blocks.alias("_b"))
-    firsts = starts(F.transform("_b", lambda b: F.aggregate(b, zero, lambda a, n: a + n)), zero)
-    df = df.select(*keep, F.posexplode(F.arrays_zip(F.col("_b").alias("n"), firsts.alias("first"))).alias("_k", "_c"))
-    df = df.select(*keep, "_k", F.posexplode(starts(F.col("_c")["n"], F.col("_c")["first"])).alias("_i", "start_char"))
-    return df.select(*keep, (F.col("_k") * block + F.col("_i")).alias("pos"), "start_char")
+    sizes = F.transform(tokens(F.col(text_col)), lambda t: F.length(t).cast("long") + 1)
+    df = df.select(*keep, sizes.alias("_n")).where(F.size("_n") > 0)
+    return df.select(*keep, F.posexplode(_before(F.col("_n"), block)).alias("pos", "start_char"))
 
 
 def token_windows(df: DataFrame, *, size: int = 1000, overlap: int = 200, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -60,7 +74,7 @@ def token_windows(df: DataFrame, *, size: int = 1000, overlap: int = 200, text_c
     n = F.size("_t")
     count = F.when(n == 0, 0).when(n <= size, 1).otherwise(F.ceil((n - size) / step) + 1)
     starts = F.when(count > 0, F.transform(F.sequence(F.lit(0), count.cast("int") - 1), lambda i: i * step)).otherwise(F.array().cast("array<int>"))
-    return _explode(df, F.transform(starts, lambda s: _window(F.col("_t"), s, size)), keep)
+    return _windows(df, starts, size, step, text_col, keep)
 
 
 def stepped_windows(df: DataFrame, *, size: int = 1000, overlap: int = 200, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -71,7 +85,7 @@ def stepped_windows(df: DataFrame, *, size: int = 1000, overlap: int = 200, text
     df = df.withColumn("_t", tokens(F.col(text_col)))
     n = F.size("_t")
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return _explode(df, F.transform(starts, lambda s: _window(F.col("_t"), s, size)), keep)
+    return _windows(df, starts, size, step, text_col, keep)
 
 
 def sliding_windows(df: DataFrame, *, window: int = 512, step: int = 256, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -87,7 +101,7 @@ def sliding_windows(df: DataFrame, *, window: int = 512, step: int = 256, text_c
         .when(n <= window, F.array(F.lit(0)))
         .otherwise(F.concat(F.transform(F.sequence(F.lit(0), full), lambda i: i * step), F.when(full * step + window < n, F.array(full * step + window)).otherwise(F.array().cast("array<int>"))))
     )
-    return _explode(df, F.transform(starts, lambda s: _window(F.col("_t"), s, window)), keep).withColumn("remainder", (F.col("first_token") > 0) & (F.col("end_token") - F.col("first_token") < window))
+    return _windows(df, starts, window, step, text_col, keep).withColumn("remainder", (F.col("first_token") > 0) & (F.col("end_token") - F.col("first_token") < window))
 
 
 def sentence_packs(df: DataFrame, *, most: int = 1500, respect_sentences: bool = True, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -97,18 +111,19 @@ def sentence_packs(df: DataFrame, *, most: int = 1500, respect_sentences: bool =
     ``respect_sentences`` the tokens are cut into runs of ``most``.
     """
     keep = keep or ["doc_id"]
-    df = df.withColumn("_c", clean(F.coalesce(F.col(text_col), F.lit("")))).withColumn("_n", F.size(tokens(F.col("_c"))))
+    df = df.select(*keep, clean(F.coalesce(F.col(text_col), F.lit(""))).alias("_c")).withColumn("_n", F.size(tokens(F.col("_c"))))
     if respect_sentences:
-        start = F.struct(F.array().cast("array<array<string>>").alias("done"), F.array().cast("array<string>").alias("cur"), F.lit(0).alias("n"))
+        # the fold goes over numbers of tokens and keeps where chunks begin; texts are joined once
+        df = df.withColumn("_s", F.when(F.col("_n") > most, sentences(F.col("_c"))).otherwise(F.array().cast("array<string>")))
+        df = df.withColumn("_k", F.transform("_s", lambda s, i: F.struct(i.alias("i"), F.size(tokens(s)).alias("n"))))
+        start = F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("n"))
 
         def add(acc: Column, s: Column) -> Column:
-            more = F.size(tokens(s))
-            over = acc["n"] + more > most
-            done = F.when(over & (F.size(acc["cur"]) > 0), F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"])
-            return F.struct(done.alias("done"), F.when(over, F.array(s)).otherwise(F.concat(acc["cur"], F.array(s))).alias("cur"), F.when(over, more).otherwise(acc["n"] + more).alias("n"))
+            new = (s["i"] == 0) | (acc["n"] + s["n"] > most)
+            return F.struct(F.when(new, F.concat(acc["at"], F.array(s["i"]))).otherwise(acc["at"]).alias("at"), F.when(new, s["n"]).otherwise(acc["n"] + s["n"]).alias("n"))
 
-        packed = F.aggregate(sentences(F.col("_c")), start, add, lambda acc: F.filter(F.concat(acc["done"], F.array(acc["cur"])), lambda x: F.size(x) > 0))
-        long = F.transform(packed, lambda x: F.array_join(x, " "))
+        df = df.withColumn("_a", F.aggregate("_k", start, add, lambda acc: acc["at"]))
+        long = F.transform("_a", lambda a, i: F.array_join(F.slice("_s", a + 1, F.coalesce(F.get(F.col("_a"), i + 1), F.size("_s")) - a), " "))
     else:
         t = tokens(F.col("_c"))
         long = F.transform(F.sequence(F.lit(0), F.greatest(F.col("_n") - 1, F.lit(0)), F.lit(most)), lambda s: _joined(t, s, most))

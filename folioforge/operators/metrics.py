@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut, totals_before
+
 
 def _seconds(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) / 1e6
@@ -23,8 +25,9 @@ def rate(df: DataFrame, series: str, value: str = "value", ts: str = "ts", seq:
 
 
 def running(df: DataFrame, series: str, value: Column, ts: str = "ts", seq: str = "event_id") -> DataFrame:
-    """Running counter of each series."""
-    return df.withColumn("counter", F.sum(value).over(Window.partitionBy(series).orderBy(ts, seq).rowsBetween(Window.unboundedPreceding, 0)))
+    """Running counter of each series; a long series is spread over many tasks."""
+    out = totals_before(df.withColumn("_value", value), [series], [F.col(ts), F.col(seq)], {"counter": F.col("_value")})
+    return out.withColumn("counter", F.col("counter") + F.coalesce("_value", F.lit(0))).drop("_value")
 
 
 def trailing(df: DataFrame, series: str, seconds: int, value: str = "value", ts: str = "ts") -> DataFrame:
@@ -33,11 +36,46 @@ def trailing(df: DataFrame, series: str, seconds: int, value: str = "value", ts:
     return df.withColumn("n_window", F.count("*").over(w)).withColumn("mean_window", F.avg(value).over(w))
 
 
-def quantiles(df: DataFrame, by: list[str], value: str, at: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
-    """Exact quantiles by linear interpolation, and min, max and mean."""
-    q = F.percentile(value, F.array(*[F.lit(x) for x in at]))
-    out = df.groupBy(*by).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"), q.alias("q"))
-    return out.select(*by, "low", "high", "mean", *[F.col("q")[i].alias(f"p{round(100 * x)}") for i, x in enumerate(at)])
+def quantiles(df: DataFrame, by: list[str], value: str, at: tuple[float, ...] = (0.5, 0.95, 0.99), buckets: int = 256) -> DataFrame:
+    """Exact quantiles by linear interpolation, and min, max and mean; nulls do not count.
+
+    Values are counted in buckets between approximate quantiles of their group, and
+    only the buckets that hold a wanted rank are ordered, by distinct value, so
+    that no task holds a group.
+    """
+    rows = df.select(*by, F.col(value).cast("double").alias("_v"))
+    known = rows.where("_v is not null")
+    heads = rows.groupBy(*by).agg(F.min("_v").alias("low"), F.max("_v").alias("high"), F.avg("_v").alias("mean"), F.count("_v").alias("_n"), F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("_m"))
+    heads = cut(heads)
+    keys = [F.col(c).alias(f"_by_{c}") for c in by]
+
+    def same() -> Column:
+        cond = F.lit(True)
+        for c in by:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+        return cond
+
+    placed = known.join(heads.select(*keys, "_m"), same()).select(*by, "_v", F.size(F.filter("_m", lambda m: m <= F.col("_v"))).alias("_b"))
+    values = cut(placed.groupBy(*by, "_b", "_v").agg(F.count("*").alias("_c")))
+    sizes = values.groupBy(*by, "_b").agg(F.sum("_c").alias("_c"))
+    first = F.coalesce(F.sum("_c").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.withColumn("_start", first).select(*keys, F.col("_b").alias("_at"), "_start", (F.col("_start") + F.col("_c")).alias("_end"))
+    ranks = [F.floor(q * (F.col("_n") - 1)) + d for q in map(F.lit, at) for d in (0, 1)]
+    wanted = heads.select(*by, "_n", F.array_distinct(F.array(*[F.least(r, F.col("_n") - 1).cast("long") for r in ranks])).alias("_ranks"))
+    needed = starts.join(wanted, same()).where(F.exists("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_end")))).select(*[f"_by_{c}" for c in by], "_at", "_start", "_ranks")
+    inside = values.join(needed, same() & (F.col("_b") == F.col("_at")))
+    through = F.col("_start") + F.sum("_c").over(Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    found = inside.withColumn("_through", through).withColumn("_hit", F.filter("_ranks", lambda r: (r < F.col("_through")) & (r >= F.col("_through") - F.col("_c")))).where(F.size("_hit") > 0)
+    of_rank = found.groupBy(*by).agg(F.map_from_entries(F.flatten(F.collect_list(F.transform("_hit", lambda r: F.struct(r.alias("k"), F.col("_v").alias("v")))))).alias("_q")).select(*keys, "_q")
+    out = heads.join(of_rank, same(), "left")
+
+    def one(q: float) -> Column:
+        place = F.lit(q) * (F.col("_n") - 1)
+        lo = F.floor(place)
+        a, b = (F.element_at("_q", F.least(lo + d, F.col("_n") - 1).cast("long")) for d in (0, 1))
+        return F.when(a == b, a).otherwise((lo + 1 - place) * a + (place - lo) * b)
+
+    return out.select(*by, "low", "high", "mean", *[one(q).alias(f"p{round(100 * q)}") for q in at])
 
 
 def dimension_scores(df: DataFrame, dimension: str, series: str, value: str = "value", ts: str = "ts", seq: str = "seq") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..functions.vectors import cosine
+from .lineage import cut
 
 
 def top_k(vectors: DataFrame, query: list[float], k: int, id_col: str, vector_col: str) -> DataFrame:
@@ -31,14 +32,17 @@ def bm25(docs: DataFrame, terms: list[str], k: int, *, id_col: str = "doc_id", t
     """The k best texts for the terms.
 
     Only the query's terms are counted; document frequencies and the mean length are
-    one row of aggregates, joined as one row, and a text's own counts are made in its row.
+    one row of aggregates, joined as one row, and a text's own counts are made in its row
+    and kept, so that the texts are read once.
     """
+    words = [w.lower() for w in terms]
     t = tokens(F.lower(F.col(text_col)))
+    hits = docs.select(id_col, t.alias("_t")).select(id_col, F.size("_t").alias("len"), F.filter("_t", lambda x: x.isin(words)).alias("_h"))
 
     def count_of(word: str) -> Column:
-        return F.size(F.filter("_t", lambda x: x == word))
+        return F.size(F.filter("_h", lambda x: x == word))
 
-    counted = docs.select(id_col, t.alias("_t")).select(id_col, F.size("_t").alias("len"), *[count_of(w).alias(f"tf{i}") for i, w in enumerate(terms)])
+    counted = cut(hits.select(id_col, "len", *[count_of(w).alias(f"tf{i}") for i, w in enumerate(words)]))
     totals = counted.agg(F.count("*").alias("n"), F.avg("len").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
     score = F.lit(0.0)
     for i in range(len(terms)):

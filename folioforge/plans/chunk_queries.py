@@ -70,21 +70,20 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", X.token_count(F.col("text")).alias("tokens"), X.token_estimate(F.col("text")).alias("estimate"))
 
 
-@query(f"""WITH d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), e AS (SELECT doc_id, i, length(t[i]) AS n FROM (SELECT doc_id, t, unnest(generate_series(1, least(len(t), 200))) AS i FROM d WHERE len(t) > 0))
-SELECT doc_id, (i - 1)::INT AS pos, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::BIGINT AS start_char FROM e""")
-def token_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets of the first 200 tokens: a preview, as its SQL has it; ``token_offsets_all`` has those of every token."""
-    from pyspark.sql import Window
+_OFFSETS = f"""WITH d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), e AS (SELECT doc_id, i, length(t[i]) AS n FROM (SELECT doc_id, t, unnest(generate_series(1, len(t))) AS i FROM d WHERE len(t) > 0))
+SELECT doc_id, (i - 1)::INT AS pos, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::BIGINT AS start_char FROM e"""
 
-    t = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.slice(X.tokens(F.col("text")), 1, 200)).alias("pos", "tok"))
-    w = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return t.select("doc_id", "pos", F.coalesce(F.sum(F.length("tok") + 1).over(w), F.lit(0)).alias("start_char"))
 
+@query(_OFFSETS)
+def token_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every token of every text begins."""
+    return C.token_offsets(table(spark, sf_dir, "documents"))
 
-@query(f"""WITH d AS (SELECT doc_id, {_TOKENS} AS t FROM documents), e AS (SELECT doc_id, i, length(t[i]) AS n FROM (SELECT doc_id, t, unnest(generate_series(1, len(t))) AS i FROM d WHERE len(t) > 0))
-SELECT doc_id, (i - 1)::INT AS pos, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::BIGINT AS start_char FROM e""")
+
+@query(_OFFSETS)
 def token_offsets_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.token_offsets(table(spark, sf_dir, "documents"))
+    """The same under the name that an earlier version gave it."""
+    return token_offsets(spark, sf_dir)
 
 
 @query(r"""WITH s AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, chr(32) || chr(9) || chr(10) || chr(13))), lambda x: x <> '') AS s FROM documents)
@@ -118,7 +117,10 @@ _IDS = "SELECT * FROM (VALUES ('2301.00303'), ('2301.00303v2'), ('cs/0601001'),
 
 @query(rf"""SELECT id, CASE WHEN regexp_extract(id, '(v\d+)$', 1) = '' THEN 'v1' ELSE regexp_extract(id, '(v\d+)$', 1) END AS version, regexp_replace(id, 'v\d+$', '') AS base,
 (regexp_matches(id, '^\d{{4}}\.\d{{4,5}}(v\d+)?$') OR regexp_matches(id, '^[a-z-]+(\.[A-Z]{{2}})?/\d{{7}}(v\d+)?$')) AS valid,
-CASE WHEN regexp_matches(id, '^\d{{4}}\.\d{{4,5}}(v\d+)?$') THEN left(id, 4) WHEN regexp_matches(id, '^[a-z-]+(\.[A-Z]{{2}})?/\d{{7}}(v\d+)?$') THEN substring(string_split(id, '/')[2], 1, 4) ELSE '0000' END AS folder FROM ({_IDS})""")
+CASE WHEN regexp_matches(id, '^\d{{4}}\.\d{{4,5}}(v\d+)?$') THEN left(id, 4) WHEN regexp_matches(id, '^[a-z-]+(\.[A-Z]{{2}})?/\d{{7}}(v\d+)?$') THEN substring(string_split(id, '/')[2], 1, 4) ELSE '0000' END AS folder,
+nullif(CASE WHEN id LIKE '%/%' THEN substring(regexp_extract(id, '^[a-z-]+(\.[A-Z]{{2}})?/(\d{{7}})(v\d+)?$', 2), 1, 4) ELSE regexp_extract(id, '^(\d{{4}})\.\d{{4,5}}(v\d+)?$', 1) END, '') AS yymm,
+nullif(CASE WHEN id LIKE '%/%' THEN substring(regexp_extract(id, '^[a-z-]+(\.[A-Z]{{2}})?/(\d{{7}})(v\d+)?$', 2), 5, 3) ELSE regexp_extract(id, '^\d{{4}}\.(\d{{4,5}})(v\d+)?$', 1) END, '') AS number,
+nullif(regexp_extract(id, '^([a-z-]+(\.[A-Z]{{2}})?)/\d{{7}}(v\d+)?$', 1), '') AS category FROM ({_IDS})""")
 def id_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("id")
-    return spark.sql(_IDS).select("id", X.id_parts(c)["version"].alias("version"), X.id_parts(c)["base"].alias("base"), X.valid_id(c).alias("valid"), X.month_folder(c).alias("folder"))
+    return spark.sql(_IDS).select("id", X.id_parts(c)["version"].alias("version"), X.id_parts(c)["base"].alias("base"), X.valid_id(c).alias("valid"), X.month_folder(c).alias("folder"), X.id_parts(c)["yymm"].alias("yymm"), X.id_parts(c)["number"].alias("number"), X.id_parts(c)["category"].alias("category"))
