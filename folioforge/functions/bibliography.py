@@ -75,6 +75,12 @@ def fields(raw: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in ids.items()], year.alias("year"), title.alias("title"), authors.alias("authors"), venue.alias("venue"), F.round(F.least(F.lit(1.0), sure), 2).alias("confidence"))
 
 
+def of_paper(text: Column) -> Column:
+    """array<struct<number, raw, fields>>: the entries of a paper's references section with their fields, empty where it has none."""
+    found = entries(F.coalesce(section(text), F.lit("")))
+    return F.transform(found, lambda e: F.struct(e["number"].alias("number"), e["raw"].alias("raw"), fields(e["raw"]).alias("fields")))
+
+
 def in_text(text: Column) -> Column:
     """array<string>: the numbers cited in a text as [1] or [1, 2-4 ...] (ranges stay as they are written)."""
     return F.filter(F.flatten(F.transform(F.regexp_extract_all(text, F.lit(r"\[(\d+(?:\s*,\s*\d+)*)\]"), F.lit(1)), lambda x: F.split(x, r"\s*,\s*"))), lambda x: x != "")

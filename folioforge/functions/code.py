@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import count_of
+from .text import WS, count_of
 
 #: File suffixes and their languages.
 LANGUAGES = {
-    "py": "python", "pyx": "python", "js": "javascript", "jsx": "javascript", "ts": "typescript", "tsx": "typescript", "java": "java", "go": "go", "rs": "rust", "c": "c", "h": "c",
-    "cpp": "cpp", "cc": "cpp", "cxx": "cpp", "hpp": "cpp", "rb": "ruby", "php": "php", "cs": "csharp", "swift": "swift", "kt": "kotlin", "scala": "scala", "sh": "bash", "bash": "bash",
-    "json": "json", "yaml": "yaml", "yml": "yaml", "xml": "xml", "toml": "toml", "html": "html", "css": "css", "sql": "sql", "md": "markdown", "r": "r", "lua": "lua", "pl": "perl",
+    "py": "python", "js": "javascript", "jsx": "javascript", "ts": "typescript", "tsx": "typescript", "java": "java", "go": "go", "rs": "rust", "cpp": "cpp", "cc": "cpp", "cxx": "cpp",
+    "c": "c", "h": "c", "hpp": "cpp", "cs": "c_sharp", "rb": "ruby", "php": "php", "swift": "swift", "kt": "kotlin", "scala": "scala", "r": "r", "lua": "lua", "jl": "julia", "m": "objc", "mm": "objc",
+    "sh": "bash", "bash": "bash", "zsh": "bash", "yaml": "yaml", "yml": "yaml", "json": "json", "xml": "xml", "html": "html", "css": "css", "scss": "scss", "sql": "sql", "md": "markdown",
+    "markdown": "markdown", "toml": "toml", "ini": "ini", "cfg": "ini", "conf": "ini", "properties": "ini", "env": "ini",
 }
+#: Fixed value: what ends a line of source.
+LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def suffix(path: Column) -> Column:
-    return F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
+    """The suffix of a file's name in lower case; a name that only begins with a dot has none."""
+    return F.lower(F.regexp_extract(path, r"[^/]\.([^./]+)$", 1))
 
 
 def language(path: Column) -> Column:
@@ -25,20 +29,27 @@ def language(path: Column) -> Column:
     return table[suffix(path)]
 
 
-def _lines_like(content: Column, pattern: str) -> Column:
-    return F.size(F.filter(F.split(content, "\r\n|\n|\r"), lambda x: F.ltrim(x).rlike(pattern)))
-
-
 def metadata(path: Column, content: Column) -> Column:
-    """struct of line and character counts, and of imports, functions and classes by simple signs of the language."""
-    lang = language(path)
-    script = lang.isin("javascript", "typescript")
-    lines = F.when(content == "", 0).otherwise(F.size(F.split(F.regexp_replace(content, "(\r\n|\n|\r)$", ""), "\r\n|\n|\r")))
-    imports = F.when(lang == "python", _lines_like(content, "^(import|from) ")).when(script, _lines_like(content, "^import ")).when(lang == "java", _lines_like(content, "^import "))
-    functions = F.when(lang == "python", _lines_like(content, "^def ")).when(script, count_of(content, "function ") + count_of(content, "=>"))
-    classes = F.when(lang == "python", _lines_like(content, "^class ")).when(script | (lang == "java"), count_of(content, "class "))
-    docstring = F.when(lang == "python", content.contains('"""') | content.contains("'''"))
-    return F.struct(lang.alias("language"), lines.alias("lines"), F.length(content).alias("chars"), imports.alias("imports"), functions.alias("functions"), classes.alias("classes"), docstring.alias("has_docstring"))
+    """struct of line and character counts, and of imports, functions and classes by simple signs.
+
+    Signs are those of Python, of scripts (js, jsx, ts, tsx) and of Java; files of
+    other kinds count 0 of each.  A null content counts as empty.
+    """
+    text, ext = F.coalesce(content, F.lit("")), suffix(path)
+    python, script, java = ext == "py", ext.isin("js", "jsx", "ts", "tsx"), ext == "java"
+    lines = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(text, rf"({LINE_END})\z", ""), LINE_END))
+
+    def lines_where(test) -> Column:
+        return F.size(F.filter(lines, test))
+
+    def begins(*words: str) -> Column:
+        return lines_where(lambda x: x.rlike(f"^(?:{WS})?(?:{'|'.join(words)})"))
+
+    imports = F.when(python, begins("import ", "from ")).when(script, lines_where(lambda x: x.contains("import ") | x.contains("require("))).when(java, begins("import ")).otherwise(0)
+    functions = F.when(python, begins("def ")).when(script, count_of(text, "function ") + count_of(text, "=>")).otherwise(0)
+    classes = F.when(python | script, begins("class ")).when(java, lines_where(lambda x: x.contains("class ") & x.contains("{"))).otherwise(0)
+    docstring = python & (text.contains('"""') | text.contains("'''"))
+    return F.struct(language(path).alias("language"), F.size(lines).alias("lines"), F.length(text).alias("chars"), imports.alias("imports"), functions.alias("functions"), classes.alias("classes"), F.coalesce(docstring, F.lit(False)).alias("has_docstring"))
 
 
 def identifiers(content: Column, most: int = 100) -> Column:

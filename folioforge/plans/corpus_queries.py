@@ -18,8 +18,14 @@ _LINES = """SELECT * FROM (VALUES
 ('{"id":"2301.00004","title":"Bare","abstract":"Third one"}')) AS v(value)"""
 
 
-@query("""SELECT * FROM (VALUES ('2301_00001','2301.00001','A',9,'Ann B.|Cy D|Ed F','cs.AI|cs.LG','2023-01-01'),('cs_0601001','cs/0601001','',5,'X Y|Z','cs.CL','2006-01-02'),('2301_00004','2301.00004','Bare',9,'','',NULL))
-AS v(_key, arxiv_id, title, abstract_length, authors, categories, update_date)""")
+_FROM_JSON = """j AS (SELECT CASE WHEN json_valid(value) THEN value::JSON END AS j FROM ({lines})),
+r AS (SELECT j->>'id' AS id, j->>'title' AS title, j->>'abstract' AS abstract, json_type(j, '$.authors') = 'ARRAY' AS many, j->'authors' AS a, j->>'authors' AS a1, json_type(j, '$.categories') = 'ARRAY' AS several, j->'categories' AS c, j->>'categories' AS c1, j->>'update_date' AS update_date FROM j WHERE j IS NOT NULL),
+m AS (SELECT translate(id, './', '__') AS _key, id AS arxiv_id, coalesce(title, '') AS title, length(abstract)::INT AS abstract_length,
+CASE WHEN many THEN array_to_string(from_json(a, '["VARCHAR"]'), '|') WHEN a1 IS NULL THEN '' ELSE array_to_string(list_filter(list_transform(regexp_split_to_array(a1, '[;,]\\s*'), lambda x: trim(x)), lambda x: x <> ''), '|') END AS authors,
+CASE WHEN several THEN array_to_string(from_json(c, '["VARCHAR"]'), '|') WHEN c1 IS NULL THEN '' ELSE array_to_string(list_filter(regexp_split_to_array(c1, '\\s+'), lambda x: x <> ''), '|') END AS categories, update_date FROM r WHERE id IS NOT NULL AND coalesce(abstract, '') <> '')"""
+
+
+@query(f"WITH {_FROM_JSON.format(lines=_LINES)} SELECT * FROM m")
 def normalize_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = C.metadata_rows(spark.sql(_LINES))
     return m.select("_key", "arxiv_id", "title", "abstract_length", F.array_join("authors", "|").alias("authors"), F.array_join("categories", "|").alias("categories"), "update_date")

@@ -147,6 +147,7 @@ def unit_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINES = "SELECT * FROM (VALUES (1, '0, Card A, 2048, 49152, 37'), (2, '1, Card B, N/A, 49152, 5'), (3, 'broken line'), (4, '2,C,1024,2048')) AS v(id, line)"
 
 
-@query("SELECT * FROM (VALUES (1, 0, 'Card A', 2.0::DOUBLE, 48.0::DOUBLE, 37.0::DOUBLE), (2, 1, 'Card B', NULL, 48.0, 5.0), (3, NULL, NULL, NULL, NULL, NULL), (4, 2, 'C', 1.0, 2.0, NULL)) AS v(id, index, name, used_gb, total_gb, load)")
+@query(f"""WITH p AS (SELECT id, list_transform(string_split(line, ','), lambda x: trim(x)) AS p FROM ({_LINES})), n AS (SELECT id, p, len(p) >= 4 AS ok FROM p)
+SELECT id, CASE WHEN ok THEN try_cast(p[1] AS INT) END AS index, CASE WHEN ok THEN p[2] END AS name, CASE WHEN ok THEN try_cast(p[3] AS DOUBLE) / 1024 END AS used_gb, CASE WHEN ok THEN try_cast(p[4] AS DOUBLE) / 1024 END AS total_gb, CASE WHEN ok THEN try_cast(p[5] AS DOUBLE) END AS load FROM n""")
 def gpu_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_LINES).select("id", S.gpu_line(F.col("line")).alias("g")).select("id", "g.*")

@@ -53,8 +53,9 @@ def weighted_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH t AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT label, max(pos) + 1 AS n FROM t GROUP BY label),
 w AS (SELECT t.label, pos, v, unnest(generate_series(greatest(0, ceil((pos - 16 + 1) / 12.0)::BIGINT), least(pos // 12, CASE WHEN n <= 16 THEN 0 ELSE ceil((n - 16) / 12.0)::BIGINT END))) AS w FROM t JOIN n ON n.label = t.label),
-m AS (SELECT label, w, i, avg(v[i]) AS m FROM (SELECT label, w, v, unnest(generate_series(1, 64)) AS i FROM w) GROUP BY label, w, i), s AS (SELECT label, w, sqrt(sum(m * m)) AS norm, sum(m) AS total FROM m GROUP BY label, w)
-SELECT label, w::INT AS chunk_index, (w * 12)::BIGINT AS first_token, round(total / norm, 5) AS total FROM s""")
+m AS (SELECT label, w, i, avg(v[i]) AS m FROM (SELECT label, w, v, unnest(generate_series(1, 64)) AS i FROM w) GROUP BY label, w, i), s AS (SELECT label, w, sqrt(sum(m * m)) AS norm FROM m GROUP BY label, w)
+SELECT m.label, m.w::INT AS chunk_index, count(DISTINCT m.w) OVER (PARTITION BY m.label) AS total_chunks, (m.w * 12)::BIGINT AS first_token, least(m.w * 12 + 16, n.n)::BIGINT AS end_token, (m.w * 60)::BIGINT AS start_char, (least(m.w * 12 + 16, n.n) * 5 - 1)::BIGINT AS end_char, i::INT AS dim, round(m.m / s.norm, 5) AS value
+FROM m JOIN s ON s.label = m.label AND s.w = m.w JOIN n ON n.label = m.label""")
 def late_chunk_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
@@ -62,7 +63,8 @@ def late_chunk_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos = (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).cast("long")
     t = e.select("label", pos.alias("pos"), (pos * 5).alias("start"), (pos * 5 + 4).alias("end"), F.lit(0).alias("special"), F.col("embedding").alias("vec"))
     out = C.pooled_windows(t, size=16, overlap=4, by="label")
-    return out.select("label", "chunk_index", "first_token", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x), 5).alias("total"))
+    one = out.select("label", "chunk_index", "total_chunks", "first_token", "end_token", "start_char", "end_char", F.posexplode("embedding").alias("dim", "value"))
+    return one.withColumns({"dim": F.col("dim") + 1, "value": F.round("value", 5)})
 
 
 @query(r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS t FROM documents), q AS (SELECT unnest(['that', 'under', 'para']) AS w),
