@@ -20,10 +20,15 @@ def metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def metadata_cache(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each id: the last line of the last file wins."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
-    rows = lines.select("file", "line", "value", F.get_json_object("value", "$.id").alias("id")).where("id is not null")
-    return metadata_rows(latest_per_key(rows, ["id"], [F.desc("file"), F.desc("line")]))
+    """One row for each id: the last line of the last file wins.
+
+    A line's place is where its piece of the file begins, and then its number
+    within the task that read the piece.
+    """
+    place = {"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"), "line": F.monotonically_increasing_id()}
+    lines = spark.read.text(path).select("value", *[c.alias(n) for n, c in place.items()])
+    rows = lines.select(*place, "value", F.get_json_object("value", "$.id").alias("id")).where("id is not null")
+    return metadata_rows(latest_per_key(rows, ["id"], [F.desc(n) for n in place]))
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,10 +81,18 @@ def latex_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def checked_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Rows (path, length, problem): empty files, and .pdf files without the header, have a problem."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    bad_header = F.lower("path").endswith(".pdf") & (F.substring("content", 1, 4) != F.lit(b"%PDF"))
-    return files.select("path", "length", F.when(F.col("length") == 0, "empty").when(bad_header, "no PDF header").alias("problem"))
+    """Rows (path, length, problem): empty files, and .pdf files without the header, have a problem.
+
+    Files are listed with their lengths; only the contents of .pdf files are read.
+    Spark's reader passes over empty files, so these come from the listing.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
+    listed = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root) or []
+    empty = spark.createDataFrame([(s.getPath().toString(), 0, "empty") for s in listed if s.isFile() and not s.getLen()], "path string, length long, problem string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path", "length")
+    pdfs = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
+    heads = pdfs.select("path", (F.substring("content", 1, 4) == F.lit(b"%PDF")).alias("_good"))
+    return files.where("length > 0").join(heads, "path", "left").select("path", "length", F.when(~F.col("_good"), "no PDF header").alias("problem")).union(empty)
 
 
 def kind_of(path: Column) -> Column:

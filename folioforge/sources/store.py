@@ -1,93 +1,207 @@
 """A store of keyed tables on plain Parquet, with an atomic commit of several tables at once.
 
-Every commit writes new versions of the tables it changes and then one small
-manifest file, by a rename; readers resolve tables through the newest manifest,
-so they see all of a commit or nothing of it.
+A commit writes what it changes, and nothing else, as new parts of its tables and
+then one small manifest with the number that follows the one it has read.  Readers
+resolve tables through the newest manifest, so they see all of a commit or nothing
+of it; of the parts of a table the newest row of each key counts.  Where another
+commit has taken the number, the manifest is read again and the parts are added to
+that: no commit undoes another.  After ``COMPACT`` parts a table is rewritten.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.corpus import latest_per_key
 
 #: Statements that a read-only session refuses.
 WRITES = ("INSERT", "UPDATE", "DELETE", "MERGE", "DROP", "CREATE", "ALTER", "TRUNCATE", "REPLACE", "UPSERT", "REMOVE")
+#: Parts of a table from which on a commit rewrites it.
+COMPACT = 16
+#: How often a commit tries to publish its manifest.
+ATTEMPTS = 20
 
 
 class Store:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._path = self._hadoop.Path
+        self._fs = self._path(self.folder).getFileSystem(self._conf)
         self._fs.mkdirs(self._path(f"{self.folder}/manifests"))
 
-    def _manifests(self) -> list[str]:
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.folder}/manifests")) if s.getPath().getName().endswith(".json"))
-
-    def manifest(self) -> dict[str, str]:
-        """Table names and the folders of their newest versions."""
-        names = self._manifests()
+    def _read(self) -> tuple[int, dict]:
+        """The number of the newest manifest (-1 if there is none) and its tables."""
+        names = sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.folder}/manifests")) if s.getPath().getName().endswith(".json"))
         if not names:
-            return {}
-        return json.loads("\n".join(r.value for r in self.spark.read.text(f"{self.folder}/manifests/{names[-1]}").collect()))
+            return -1, {}
+        text = "\n".join(r.value for r in self.spark.read.text(f"{self.folder}/manifests/{names[-1]}").collect())
+        return int(names[-1].split(".")[0]), json.loads(text)
+
+    def manifest(self) -> dict:
+        """Table names, with the keys and parts of each."""
+        return self._read()[1]
+
+    def _publish(self, number: int, manifest: dict) -> bool:
+        """Write the manifest that follows ``number``; False if another commit has done so."""
+        temporary = self._path(f"{self.folder}/manifests/.{uuid.uuid4().hex}")
+        out = self._fs.create(temporary)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        target = self._fs.makeQualified(self._path(f"{self.folder}/manifests/{number + 1:012d}.json"))
+        plain = self.spark.sparkContext._gateway.new_array(getattr(self._hadoop, "Options$Rename"), 0)
+        try:  # a rename that does not overwrite
+            self._hadoop.FileContext.getFileContext(target.toUri(), self._conf).rename(self._fs.makeQualified(temporary), target, plain)
+            return True
+        except Exception:
+            self._fs.delete(temporary, False)
+            if self._fs.exists(target):
+                return False
+            raise
+
+    def _change(self, change, expected: int | None = None) -> dict:
+        """Apply ``change`` to the newest manifest and publish it; with ``expected`` only if that is still the newest."""
+        for _ in range(ATTEMPTS):
+            number, now = self._read()
+            if expected is not None and number != expected:
+                break
+            changed = change(now)
+            if self._publish(number, changed):
+                return changed
+        raise RuntimeError("another commit came first")
+
+    def _table(self, entry: dict | None) -> DataFrame | None:
+        if entry is None:
+            return None
+        parts = [(self.spark.read.parquet(path), kind) for path, kind in entry["parts"]]
+        if len(parts) == 1 and parts[0][1] == "rows":
+            return parts[0][0]
+        marked = [df.withColumns({"_part": F.lit(i), "_gone": F.lit(kind == "gone")}) for i, (df, kind) in enumerate(parts)]
+        every = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+        return latest_per_key(every, entry["keys"], [F.desc("_part")]).where("not _gone").drop("_part", "_gone")
 
     def table(self, name: str) -> DataFrame | None:
-        path = self.manifest().get(name)
-        return self.spark.read.parquet(path) if path else None
+        return self._table(self.manifest().get(name))
+
+    def _written(self, name: str, rows: DataFrame) -> str:
+        path = f"{self.folder}/tables/{name}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return path
 
-    def commit(self, changes: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, int]:
-        """Upsert several tables at once: name -> (rows, key columns); returns the rows of each table.
+    def commit(self, changes: dict[str, tuple], *, counted: bool = True, expected: int | None = None) -> dict[str, int]:
+        """Upsert several tables at once: name -> (rows, key columns[, order columns]); returns the rows of each table if ``counted``.
 
-        A row takes the place of the stored one with its key (null equals null);
-        of several new rows with one key the last in the order of all columns stays.
+        A row takes the place of the stored one with its key (null equals null).  Of
+        several new rows with one key the last in the order columns stays (without
+        them: in the order of all columns).
         """
-        now, counts = self.manifest(), {}
-        for name, (rows, keys) in changes.items():
-            rows = latest_per_key(rows, keys, [F.desc_nulls_last(c) for c in rows.columns if c not in keys] or [F.lit(1)])
-            old = self.table(name)
-            if old is not None:
-                same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
-                rows = old.alias("o").join(rows.select(*keys).alias("n"), same, "left_anti").unionByName(rows, allowMissingColumns=True)
-            path = f"{self.folder}/tables/{name}/{uuid.uuid4().hex}"
-            rows.write.parquet(path)
-            now[name], counts[name] = path, self.spark.read.parquet(path).count()
-        self._publish(now)
-        return counts
+        new = {}
+        for name, (rows, keys, *order) in changes.items():
+            by = order[0] if order else [c for c in rows.columns if c not in keys]
+            rows = latest_per_key(rows, keys, [F.desc_nulls_last(c) for c in by] or [F.lit(1)])
+            new[name] = (self._written(name, rows), list(keys))
+
+        def change(now: dict) -> dict:
+            out = dict(now)
+            for name, (path, keys) in new.items():
+                entry = out.get(name, {"keys": keys, "parts": []})
+                if entry["keys"] != keys:
+                    raise ValueError(f"the keys of {name} are {entry['keys']}")
+                out[name] = {"keys": keys, "parts": [*entry["parts"], [path, "rows"]]}
+            return out
+
+        now = self._change(change, expected)
+        for name in new:
+            if len(now[name]["parts"]) >= COMPACT:
+                self.compact(name)
+        return {name: self._table(now[name]).count() for name in new} if counted else {}
 
     def append(self, name: str, rows: DataFrame, keys: list[str]) -> int:
         """Add rows; a key that is stored already, or given twice, is an error and nothing is written."""
-        old = self.table(name)
+        number, now = self._read()
+        old = self._table(now.get(name))
         twice = rows.groupBy(*keys).count().where("count > 1").limit(1).count()
         stored = 0 if old is None else rows.join(old.select(*keys), keys, "left_semi").limit(1).count()
         if twice or stored:
             raise ValueError(f"duplicate key in {name}")
-        return self.commit({name: (rows, keys)})[name]
+        return self.commit({name: (rows, keys)}, expected=number)[name]
+
+    def delete(self, name: str, keys: DataFrame) -> None:
+        """Take out the rows with the given keys (a frame of the key columns); keys that are not stored change nothing."""
+        entry = self.manifest()[name]
+        path = self._written(name, keys.select(*entry["keys"]).distinct())
+        self._change(lambda now: {**now, name: {**now[name], "parts": [*now[name]["parts"], [path, "gone"]]}})
+
+    def retrieve(self, name: str, **key) -> DataFrame:
+        """The row with the key, or no row."""
+        return self._named(name).where(functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in key.items()]))
+
+    def exists(self, name: str, **key) -> bool:
+        return name in self.manifest() and self.retrieve(name, **key).limit(1).count() > 0
+
+    def keys(self, name: str, prefix: str = "") -> DataFrame:
+        """The keys of a table whose first key column begins with ``prefix``."""
+        entry = self.manifest()[name]
+        return self._table(entry).select(*entry["keys"]).where(self._begins(entry, prefix))
+
+    def clear(self, name: str, prefix: str = "") -> int:
+        """Take out the rows whose first key column begins with ``prefix``; returns how many there were."""
+        keys = self.keys(name, prefix)
+        n = keys.count()
+        if n:
+            self.delete(name, keys)
+        return n
+
+    @staticmethod
+    def _begins(entry: dict, prefix: str) -> Column:
+        return F.col(entry["keys"][0]).cast("string").startswith(prefix) if prefix else F.lit(True)
+
+    def _named(self, name: str) -> DataFrame:
+        found = self.table(name)
+        if found is None:
+            raise KeyError(name)
+        return found
+
+    def compact(self, name: str) -> None:
+        """Rewrite a table as one part; parts that other commits add meanwhile stay behind it."""
+        entry = self.manifest()[name]
+        path = self._written(name, self._table(entry))
+
+        def change(now: dict) -> dict:
+            parts = now[name]["parts"]
+            if parts[: len(entry["parts"])] != entry["parts"]:  # compacted or dropped by another: nothing to do
+                return now
+            return {**now, name: {**entry, "parts": [[path, "rows"], *parts[len(entry["parts"]) :]]}}
+
+        self._change(change)
 
     def drop(self, name: str) -> bool:
-        now = self.manifest()
-        found = now.pop(name, None) is not None
+        found = name in self.manifest()
         if found:
-            self._publish(now)
+            self._change(lambda now: {k: v for k, v in now.items() if k != name})
         return found
 
     def counts(self, names: list[str]) -> dict[str, int]:
-        return {n: (0 if (t := self.table(n)) is None else t.count()) for n in names}
+        now = self.manifest()
+        return {n: (0 if (t := self._table(now.get(n))) is None else t.count()) for n in names}
 
-    def _publish(self, manifest: dict[str, str]) -> None:
-        names = self._manifests()
-        number = int(names[-1].split(".")[0]) + 1 if names else 0
-        temporary = self._path(f"{self.folder}/manifests/.{uuid.uuid4().hex}")
-        out = self._fs.create(temporary)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        if not self._fs.rename(temporary, self._path(f"{self.folder}/manifests/{number:012d}.json")):
-            raise RuntimeError("another commit came first")
+
+def chunk_tables(papers: DataFrame, chunks: DataFrame, *, paper_key: str = "_key") -> dict[str, tuple]:
+    """What a write of papers with their chunks commits: papers, chunks and embeddings by key.
+
+    chunks: rows (paper_key, chunk_index, text, embedding); a paper without an id,
+    and chunks of no paper, are left out; chunks and embeddings share their key.
+    """
+    known = papers.where(F.col(paper_key).isNotNull())
+    own = chunks.join(known.select(paper_key).distinct(), paper_key, "left_semi").withColumn("chunk_key", F.concat_ws("_chunk_", F.col(paper_key), F.col("chunk_index").cast("string")))
+    vectors = own.where("embedding is not null").select("chunk_key", F.col(paper_key), "embedding", F.size("embedding").alias("dim"))
+    return {"papers": (known, [paper_key]), "chunks": (own.drop("embedding"), ["chunk_key"]), "embeddings": (vectors, ["chunk_key"])}
 
 
 def read_only(spark: SparkSession, statement: str) -> DataFrame:

@@ -44,7 +44,7 @@ def ingest(spark: SparkSession, folder: str, store: Store, table: str, checkpoin
     def write(batch: DataFrame, _: int) -> None:
         rows = metadata_rows(batch)
         old = store.table(table)
-        store.commit({table: (unprocessed(rows, old, "_key") if old is not None else rows, ["_key"])})
+        store.commit({table: (unprocessed(rows, old, "_key") if old is not None else rows, ["_key"])}, counted=False)
 
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

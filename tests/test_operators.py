@@ -13,6 +13,7 @@ from folioforge.operators import graph as G
 from folioforge.operators import progress as P
 from folioforge.sources import readers
 from folioforge.sources.store import Store, read_only
+from folioforge.sources.store import chunk_tables as S_chunk_tables
 
 
 def texts(spark, *values):
@@ -154,3 +155,79 @@ def test_feed(spark):
     entries = readers.feed_entries(spark.createDataFrame([(xml,)], "payload string"))
     out = readers.requested(spark.createDataFrame([("2301.1v3",), ("9999.9",)], "arxiv_id string"), entries).orderBy("arxiv_id").collect()
     assert [(r.arxiv_id, r.title, r.authors) for r in out] == [("2301.1v3", "A B", ["N"]), ("9999.9", None, None)]
+
+
+def test_store_two_writers(spark, tmp_path):
+    """A commit that others overtake is added to theirs; nothing is lost."""
+    one, two = Store(spark, str(tmp_path / "s")), Store(spark, str(tmp_path / "s"))
+    row = lambda k, v: spark.createDataFrame([(k, v)], "k int, v string")
+    one.commit({"t": (row(1, "a"), ["k"])})
+    read = one._read
+    late = [lambda: two.commit({"t": (row(2, "b"), ["k"])})]
+
+    def overtaken():
+        found = read()
+        if late:
+            late.pop()()
+        return found
+
+    one._read = overtaken
+    assert one.commit({"t": (row(3, "c"), ["k"])}) == {"t": 3}
+    one._read = read
+    assert {(r.k, r.v) for r in two.table("t").collect()} == {(1, "a"), (2, "b"), (3, "c")}
+    late.append(lambda: two.commit({"t": (row(4, "d"), ["k"])}))
+    one._read = overtaken
+    number = read()[0]
+    with pytest.raises(RuntimeError):  # what was checked against an older manifest is not published
+        one.commit({"t": (row(5, "e"), ["k"])}, expected=number - 1)
+    with pytest.raises(ValueError):
+        two.commit({"t": (row(5, "e"), ["v"])})
+
+
+def test_store_keys(spark, tmp_path, monkeypatch):
+    from folioforge.sources import store as S
+
+    monkeypatch.setattr(S, "COMPACT", 4)
+    store = Store(spark, str(tmp_path / "s"))
+    rows = spark.createDataFrame([("a1", 1, "x"), ("a1", 3, "b"), ("a1", 2, "z"), ("b1", 1, "y"), ("a2", 1, None)], "k string, at int, v string")
+    assert store.commit({"t": (rows, ["k"], ["at"])}) == {"t": 3}
+    assert store.retrieve("t", k="a1").first().v == "b" and store.retrieve("t", k="no").count() == 0  # the last written, not the largest
+    assert store.exists("t", k="b1") and not store.exists("t", k="b") and not store.exists("u", k="b1")
+    assert sorted(r.k for r in store.keys("t", "a").collect()) == ["a1", "a2"]
+    store.delete("t", spark.createDataFrame([("b1",), ("none",)], "k string"))
+    assert not store.exists("t", k="b1")
+    store.commit({"t": (spark.createDataFrame([("b1", 9, "again", 1.5)], "k string, at int, v string, more double"), ["k"])})
+    assert store.retrieve("t", k="b1").first().more == 1.5 and store.retrieve("t", k="a1").first().more is None
+    for i in range(6):
+        store.commit({"t": (spark.createDataFrame([("c", i, str(i))], "k string, at int, v string"), ["k"])}, counted=False)
+    assert len(store.manifest()["t"]["parts"]) < 4 and store.retrieve("t", k="c").first().v == "5" and store.counts(["t"]) == {"t": 4}
+    assert store.clear("t", "a") == 2 and store.clear("t", "zz") == 0 and store.clear("t") == 2 and store.counts(["t"]) == {"t": 0}
+    with pytest.raises(KeyError):
+        store.retrieve("u", k=1)
+
+
+def test_chunk_tables(spark, tmp_path):
+    papers = spark.createDataFrame([("p1", "T"), ("p2", "U"), (None, "V")], "_key string, title string")
+    chunks = spark.createDataFrame([("p1", 0, "a", [1.0, 2.0]), ("p1", 1, "b", None), ("p9", 0, "c", [1.0])], "_key string, chunk_index int, text string, embedding array<double>")
+    store = Store(spark, str(tmp_path / "s"))
+    assert store.commit(S_chunk_tables(papers, chunks)) == {"papers": 2, "chunks": 2, "embeddings": 1}
+    assert store.commit(S_chunk_tables(papers, chunks)) == {"papers": 2, "chunks": 2, "embeddings": 1}
+    assert store.table("embeddings").first().asDict() == {"chunk_key": "p1_chunk_0", "_key": "p1", "embedding": [1.0, 2.0], "dim": 2}
+
+
+def test_files_and_cache(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    for name, data in {"a.pdf": b"%PDF-1.4", "b.PDF": b"text", "c.txt": b"hello", "d.pdf": b""}.items():
+        (tmp_path / "f" / name).write_bytes(data)
+    got = {r.path.rsplit("/", 1)[1]: (r.length, r.problem) for r in readers.checked_files(spark, str(tmp_path / "f")).collect()}
+    assert got == {"a.pdf": (8, None), "b.PDF": (4, "no PDF header"), "c.txt": (5, None), "d.pdf": (0, "empty")}
+    line = '{"id":"%s","abstract":"%s"}\n'
+    (tmp_path / "m1.jsonl").write_text("".join(line % (i % 50, f"{i:06d}") for i in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:  # several pieces of one file
+        cache = readers.metadata_cache(spark, str(tmp_path / "m1.jsonl")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.abstract for r in cache} == {f"{i:06d}" for i in range(3950, 4000)}
+    kinds = spark.createDataFrame([("x/a.PDF",), ("b.tex",), ("c.md",), ("d.py",), ("e",)], "p string").select(readers.kind_of(F.col("p")).alias("k")).collect()
+    assert [r.k for r in kinds] == ["pdf", "latex", "text", "code", "unknown"]
