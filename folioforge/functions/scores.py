@@ -89,3 +89,38 @@ def alerts(values: dict[str, Column], thresholds: dict[str, tuple[float, float]]
         for n, v in values.items()
     ]
     return F.array_compact(F.array(*one))
+
+
+#: Parts of metric names and the dimension they belong to, in the order of the search.
+DIMENSIONS = {
+    "where": ("file_paths_processed", "component_transitions", "storage_locations", "network_hops", "processing_stages"),
+    "what": ("documents_processed", "text_extracted", "embeddings_generated", "validation_success_rate", "content_quality_score"),
+    "who": ("cpu_utilization", "memory_usage", "gpu_utilization", "worker_efficiency", "resource_availability"),
+    "time": ("processing_latency", "throughput_rate", "phase_duration", "queue_wait_time", "response_time"),
+}
+
+
+def dimension_of(metric: Column) -> Column:
+    """The first dimension with a part of the metric's name, else unknown."""
+    out = F.lit("unknown")
+    for name in reversed(DIMENSIONS):
+        hit = F.lit(False)
+        for part in DIMENSIONS[name]:
+            hit = hit | F.lower(metric).contains(part)
+        out = F.when(hit, name).otherwise(out)
+    return out
+
+
+def from_dimensions(where: Column, what: Column, who: Column, time: Column, alpha: float = 1.8) -> Column:
+    """A third variant: the context is the mean of the four scores; 0 where the time's score is not positive."""
+    ctx = 0.25 * (where + what + who + time)
+    gate = time <= 0
+    return F.when(gate, 0.0).otherwise(where * what * who / F.when(gate, F.lit(1.0)).otherwise(time) * F.pow(ctx, F.lit(alpha)))
+
+
+def from_progress(where: Column, completed: Column, failed: Column, skipped: Column, total: Column, elapsed: Column, ctx: Column, alpha: float = 1.8) -> Column:
+    """A fourth variant: success for what, use of capacity for who, an hour over the elapsed seconds (1 at most) for time."""
+    time = F.least(F.lit(1.0), 3600.0 / F.greatest(F.lit(1.0), elapsed))
+    what = completed / F.greatest(F.lit(1), completed + failed)
+    who = (completed + failed + skipped) / F.greatest(F.lit(1), total)
+    return F.when(elapsed.isNull(), 0.0).otherwise(where * what * who / time * F.pow(ctx, F.lit(alpha)))

@@ -7,6 +7,9 @@ not copied for each chunk.  A null or blank text has no chunks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,6 +145,62 @@ def character_windows(df: DataFrame, *, size: int = 131_072, overlap: int = 4_00
     return _explode(df, chunks, keep).withColumn("end_char", F.col("start_char") + F.length("text"))
 
 
+def context_windows(df: DataFrame, *, size: int = 4_000, overlap: int = 800, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Windows of characters, each with the text from one window before it to one behind it as its context."""
+    out = character_windows(df.withColumn("_whole", F.col(text_col)), size=size, overlap=overlap, text_col=text_col, keep=[*(keep or ["doc_id"]), "_whole"])
+    first = F.greatest(F.lit(0), F.col("start_char") - size)
+    return out.withColumn("context", F.substring(F.col("_whole"), first + 1, F.col("end_char") + size - first)).drop("_whole")
+
+
+def snapped_windows(df: DataFrame, *, size: int = 4_000, overlap: int = 800, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Windows of characters that end behind the first full stop and space of their last 100 characters, if there is one.
+
+    Where a window begins depends on where the one before it ended, so a task
+    goes through each text once.
+    """
+    if size <= overlap + 98:
+        raise ValueError("size has to be more than the overlap and the 98 characters that a window may lose")
+    keep = keep or ["doc_id"]
+    kinds = dict(df.dtypes)
+
+    def spans(text: str) -> Iterator[tuple[int, int]]:
+        start = 0
+        while start < len(text):
+            end = min(start + size, len(text))
+            if end < len(text) and (stop := text.find(". ", max(start, end - 100), end)) >= 0:
+                end = stop + 2
+            yield start, end
+            if end >= len(text):
+                return
+            start = end - overlap
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, found, held = [], [], 0
+            texts = batch.column(text_col)
+
+            def made() -> pa.RecordBatch:
+                own = pa.RecordBatch.from_arrays([batch.column(c) for c in keep], names=keep).take(pa.array(row, pa.int64()))
+                columns = [pa.array(c, k) for c, k in zip(zip(*found), (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string()))]
+                return pa.RecordBatch.from_arrays([*own.columns, *columns], names=[*keep, "chunk_index", "total_chunks", "start_char", "end_char", "text"])
+
+            for i in range(len(batch)):
+                text = texts[i].as_py() or ""
+                cuts = list(spans(text))
+                for n, (a, b) in enumerate(cuts):
+                    row.append(i)
+                    found.append((n, len(cuts), a, b, text[a:b]))
+                    held += b - a
+                    if held > 4_000_000:
+                        yield made()
+                        row, found, held = [], [], 0
+            if row:
+                yield made()
+
+    out = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "chunk_index int, total_chunks int, start_char int, end_char int, text string"])
+    return df.select(*keep, F.col(text_col)).mapInArrow(each, out)
+
+
 def pooled_windows(tokens_: DataFrame, *, size: int, overlap: int, by: str = "doc_id") -> DataFrame:
     """Late chunks over token vectors: rows (by, pos, start, end, special, vec) to one mean vector, of length 1, for each window.
 
