@@ -332,9 +332,9 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q:
     """Links (a, b) that connect the sets of each large group, from rows (family, component, key)."""
     sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    sided = members.join(main, "family").withColumn("open", F.col("component") != F.col("main"))
+    sided = members.join(small(main), "family").withColumn("open", F.col("component") != F.col("main"))
     blocks = sided.groupBy("family").agg(F.ceil(F.count_if("open") / BLOCK).cast("int").alias("opens"), F.ceil(F.count_if(~F.col("open")) / BLOCK).cast("int").alias("mains"))
-    placed = sided.join(blocks, "family").withColumn("at", F.pmod(F.xxhash64("key"), F.when(F.col("open"), F.col("opens")).otherwise(F.col("mains"))).cast("int"))
+    placed = sided.join(small(blocks), "family").withColumn("at", F.pmod(F.xxhash64("key"), F.when(F.col("open"), F.col("opens")).otherwise(F.col("mains"))).cast("int"))
     # a pair of blocks (i, j): i of open sets; j of open sets from i on, or (after those) of the main component
     side = lambda i, j, role: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(role).alias("role"))
     all_others = F.transform(F.sequence(F.lit(0), F.col("opens") + F.col("mains") - 1), lambda j: j)
@@ -421,7 +421,7 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     leads = of_group.groupBy("key").agg(F.min("hub").alias("lead"))
     meet = of_group.join(leads, "key").where("hub <> lead").select(F.col("hub").alias("a"), F.col("lead").alias("b")).distinct()
     family = leads.join(components(meet, scratch).withColumnRenamed("node", "lead"), "lead", "left").select("key", F.coalesce("component", "lead").alias("family"))
-    members = many.select("key", "component").distinct().join(family, "key")
+    members = scratch.cut(many.select("key", "component").distinct().join(family, "key"), "members")
     third = scratch.cut(_verify_blocks(members, texts, width, p, q), "links")
 
     linked = components(first.union(second).union(third), scratch)

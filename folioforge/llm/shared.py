@@ -39,13 +39,20 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 class Scratch:
-    """Tables written to the shared folder; a written table cuts the lineage and survives lost executors."""
+    """Tables written to the shared folder; a written table cuts the lineage and survives lost executors.
+
+    They are read as long as a result is: whoever has written a result down may
+    ``close`` the scratch folders that were opened for it.
+    """
+
+    opened: list[Scratch] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
         self.seed = 0  # of hashes that a step had to draw anew
+        Scratch.opened.append(self)
 
     def path(self, name: str = "t") -> str:
         self.n += 1
@@ -59,6 +66,12 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def close(self) -> None:
+        """Delete all tables of this scratch folder."""
+        _delete(self.spark, self.base)
+        if self in Scratch.opened:
+            Scratch.opened.remove(self)
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table that nothing reads any more."""
         _delete(self.spark, df._scratch_path)
