@@ -173,7 +173,7 @@ def groups(docs: DataFrame, width: int, p: int, q: int, seed: int, buckets: int,
                 sig, probe = signatures(values, p, q, limits)
                 parts.append((sig & ~np.uint64(1) | probe, np.full(len(sig), key, np.uint64)))
                 size += len(sig)
-                if size > 1_000_000:
+                if size > 400_000:
                     yield rows()
                     parts, size = [], 0
         if parts:

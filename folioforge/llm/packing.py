@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import threading
 import zlib
 from collections.abc import Iterator
 
@@ -40,6 +41,23 @@ _STORE = 200_000
 #: Characters that are split into units at once; longer texts go through in slices cut before white space.
 _SLICE = 1 << 20
 _STORES: dict[str, "_Store"] = {}
+#: Seconds after which a worker that packs nothing more lets its stores go.
+_IDLE = 10.0
+_RELEASE: list[threading.Timer] = []
+
+
+def _hold() -> None:
+    while _RELEASE:
+        _RELEASE.pop().cancel()
+
+
+def _let_go() -> None:
+    """The stores are there for the next task; a worker that goes on to other work does without them."""
+    _hold()
+    timer = threading.Timer(_IDLE, _STORES.clear)
+    timer.daemon = True
+    _RELEASE.append(timer)
+    timer.start()
 
 
 class _Store:
@@ -203,6 +221,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["token_bytes"] if with_bytes else [])]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _hold()
         encode, packer, end = CachedEncoder(tokenizer_path), Packer(tokens, segments, loss), np.asarray([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 40
         held: dict[int, tuple] = {}  # texts with tokens that wait: row -> (id, token bytes)
@@ -242,5 +261,6 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
                 held = {r[0]: held[r[0]] for r in wait}
         if wait:
             yield placed(packer.pack(wait, True)[0])
+        _let_go()
 
     return rows.mapInArrow(each, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", token_bytes binary" if with_bytes else ""))

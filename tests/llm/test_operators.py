@@ -5,6 +5,7 @@ import math
 import random
 import re
 import sys
+import time
 import zlib
 from collections import Counter
 
@@ -411,6 +412,18 @@ def test_encoder_is_exact(monkeypatch, store, piece):
             assert ids == np.asarray(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
 
+def test_idle_workers_let_their_stores_go(monkeypatch):
+    monkeypatch.setattr(packing, "_IDLE", 0.2)
+    encode = packing.CachedEncoder(TOKENIZER)
+    packing._let_go()
+    packing._hold()
+    time.sleep(0.5)
+    assert TOKENIZER in packing._STORES
+    packing._let_go()
+    time.sleep(1)
+    assert not packing._STORES and len(encode(["a b"])[0]) == 8
+
+
 def test_packer_takes_the_largest_dot_product():
     """Every choice is compared with all items that wait and fit whole; a cut piece is only taken where none fits."""
     rng = random.Random(9)

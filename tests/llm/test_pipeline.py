@@ -47,3 +47,23 @@ def test_stages(spark, sf, tmp_path):
 
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_stages_on_odd_tables(spark, sf, odd, none):
+    """Null and odd texts, repeated rows and ids, clashing columns and an empty table go through every stage but packing's own columns."""
+    docs = odd.union(odd.limit(3)).repartition(3)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        assert stage(spark, none, sf).count() == 0
+        if name != "packing":
+            assert out.columns == docs.columns and {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()}
+        else:
+            assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_run_deletes_what_it_has_read(spark, sf):
+    from folioforge.llm.shared import Scratch
+
+    before = len(Scratch.opened)
+    rows_ = corpus_pipeline.run(spark, sf)
+    assert len(Scratch.opened) == before + 1 and rows_.count() > 0
