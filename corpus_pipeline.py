@@ -17,13 +17,17 @@ from folioforge.llm.shared import Scratch
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts as good.  The model is fitted on labelled rows of ``docs``."""
+    """Documents that the quality classifier predicts as good.  The model is fitted on labelled rows of ``docs``.
+
+    Null and empty texts are scored like any other; null ids stay out of the fit
+    only; rows with equal ids are scored each by its own text.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.classify(docs, labels).where("predicted = 1").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not predict as toxic."""
+    """Documents that the toxicity classifier does not predict as toxic; odd rows as in ``keep_quality``."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.classify(docs, labels).where("predicted = 0").select(*docs.columns)
 
@@ -38,12 +42,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; where a quota ends within a document, its first words."""
+    """Documents as often as the mix takes them; where a quota ends within a document, its first words.
+
+    Null and blank texts have no words and are not taken; null sources are one
+    source; rows with equal ids are mixed as rows of their own.
+    """
     return mixing.rows_of_mix(docs, Scratch(spark, "mix"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences; a null or empty text is its end token."""
     out = packing.pack(docs, TOKENIZER, with_bytes=False)
     return out.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
@@ -61,9 +69,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``; each is written to the shared folder and read again."""
-    scratch = Scratch(spark, "pipeline")
+    """All stages on the documents of ``sf_dir``; each is written to the shared folder and read again.
+
+    What a stage has written for itself, and what it has read, is deleted when its result is written.
+    """
+    scratch, held = Scratch(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
+        before = list(Scratch.opened)
         docs = scratch.cut(stage(spark, docs, sf_dir), name)
+        for own in [s for s in Scratch.opened if s not in before]:
+            own.close()
+        if held is not None:
+            scratch.drop(held)
+        held = docs
     return docs
