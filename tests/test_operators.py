@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import io
 import json
 import tarfile
@@ -10,6 +11,7 @@ from folioforge.functions import scores as S
 from folioforge.functions import text as X
 from folioforge.operators import chunks as C
 from folioforge.operators import graph as G
+from folioforge.operators import metrics
 from folioforge.operators import progress as P
 from folioforge.sources import readers
 from folioforge.sources.store import Store, read_only
@@ -231,3 +233,56 @@ def test_files_and_cache(spark, tmp_path):
     assert {r.abstract for r in cache} == {f"{i:06d}" for i in range(3950, 4000)}
     kinds = spark.createDataFrame([("x/a.PDF",), ("b.tex",), ("c.md",), ("d.py",), ("e",)], "p string").select(readers.kind_of(F.col("p")).alias("k")).collect()
     assert [r.k for r in kinds] == ["pdf", "latex", "text", "code", "unknown"]
+
+
+def test_small_functions(spark):
+    from folioforge.functions import code as K
+    from folioforge.functions import scores as N
+    from folioforge.functions import text as X
+    from folioforge.functions import vectors as V
+
+    one = spark.sql("SELECT '' AS e, 'x' AS x, array('p', 'q') AS pages, map('b', array('2', '1'), 'a', array('z')) AS symbols, CAST(NULL AS ARRAY<DOUBLE>) AS v, array(0.6D, 0.8D) AS u")
+    r = one.select(
+        X.first_nonempty(F.col("e"), F.lit(None).cast("string"), F.col("x")).alias("first"),
+        X.fenced(F.lit("a = 1"), F.lit("python")).alias("fenced"),
+        X.page_join(F.col("pages")).alias("pages"),
+        K.symbol_digest(F.col("symbols")).alias("digest"),
+        V.stored_dim(F.col("v"), F.lit(5)).alias("dim"),
+        V.valid(F.col("u"), 2).alias("valid"),
+        V.fuse(F.col("u"), F.col("v"), 2).alias("one_side"),
+        V.fuse(F.col("v"), F.col("v"), 2).alias("none"),
+        N.inverse_who(N.efficiency(F.lit(0.5), F.lit(0.5), F.lit(0.7), F.lit(2.0), F.lit(0.4), 1.5), F.lit(0.5), F.lit(0.5), F.lit(2.0), F.lit(0.4), 1.5).alias("who"),
+        K.language(F.lit("a/b.CS")).alias("cs"),
+        K.language(F.lit("a/.env")).alias("hidden"),
+    ).first()
+    assert (r.first, r.fenced, r.pages) == ("x", "```python\na = 1\n```", "--- Page 1 ---\np\n\n--- Page 2 ---\nq")
+    assert r.digest == hashlib.sha256(b"a:z;b:1,2;").hexdigest() and (r.dim, r.valid, r.none) == (5, True, [0.0, 0.0])
+    assert abs(r.one_side[0] - 0.6) < 1e-6 and abs(r.who - 0.7) < 1e-9 and (r.cs, r.hidden) == ("c_sharp", None)
+
+
+def test_quantiles_with_ties_and_nulls(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [("t", 1.0)] * 500 + [("t", 2.0)] * 3 + [("u", float(x)) for x in rng.normal(size=777)] + [("n", None), ("o", 5.0)] + [(None, 1.0), (None, 2.0)]
+    got = {r.k: r for r in metrics.quantiles(spark.createDataFrame(rows, "k string, v double").repartition(5), ["k"], "v", buckets=8).collect()}
+    for k in ("t", "u", "o", None):
+        values = [v for x, v in rows if x == k]
+        assert np.allclose([got[k].p50, got[k].p95, got[k].p99], np.quantile(values, [0.5, 0.95, 0.99])) and got[k].high == max(values)
+    assert got["n"].p50 is None and got["n"].mean is None
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    """A row that comes after the watermark has passed its window does not count."""
+    from folioforge.streaming import jobs
+
+    def put(i, rows):
+        spark.createDataFrame(rows, "k string, ts string, value double").selectExpr("k", "CAST(ts AS timestamp) AS ts", "value").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = jobs.windowed(spark.readStream.schema("k string, ts timestamp, value double").parquet(str(tmp_path / "in")), 60, 10, ["k"])
+        out.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+
+    put(0, [("a", "2024-01-01 00:00:05", 1.0), ("a", "2024-01-01 00:05:00", 1.0)])
+    put(1, [("a", "2024-01-01 00:00:06", 1.0), ("a", "2024-01-01 00:20:00", 1.0)])
+    put(2, [("a", "2024-01-01 00:40:00", 1.0)])
+    got = sorted((str(r.window_start), r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("2024-01-01 00:00:00", 1), ("2024-01-01 00:05:00", 1), ("2024-01-01 00:20:00", 1)]
