@@ -138,12 +138,12 @@ class Store:
         path = self._written(name, keys.select(*entry["keys"]).distinct())
         self._change(lambda now: {**now, name: {**now[name], "parts": [*now[name]["parts"], [path, "gone"]]}})
 
-    def retrieve(self, name: str, **key) -> DataFrame:
+    def retrieve(self, table: str, /, **key) -> DataFrame:
         """The row with the key, or no row."""
-        return self._named(name).where(functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in key.items()]))
+        return self._named(table).where(functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in key.items()]))
 
-    def exists(self, name: str, **key) -> bool:
-        return name in self.manifest() and self.retrieve(name, **key).limit(1).count() > 0
+    def exists(self, table: str, /, **key) -> bool:
+        return table in self.manifest() and self.retrieve(table, **key).limit(1).count() > 0
 
     def keys(self, name: str, prefix: str = "") -> DataFrame:
         """The keys of a table whose first key column begins with ``prefix``."""

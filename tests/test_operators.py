@@ -286,3 +286,24 @@ def test_late_rows_are_dropped(spark, tmp_path):
     put(2, [("a", "2024-01-01 00:40:00", 1.0)])
     got = sorted((str(r.window_start), r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("2024-01-01 00:00:00", 1), ("2024-01-01 00:05:00", 1), ("2024-01-01 00:20:00", 1)]
+
+
+def test_sinks_and_checkpoints(spark, tmp_path):
+    from folioforge.sources import sinks
+
+    rows = spark.createDataFrame([("a", 1.0), (None, 2.0)], "k string, v double")
+    for _ in range(2):
+        sinks.payloads(rows, str(tmp_path / "p"), "k")
+        sinks.append_lines(rows, str(tmp_path / "l"))
+    (tmp_path / "l" / "bad.json").write_text("{broken\n")
+    assert [tuple(r) for r in sinks.read_lines(spark, str(tmp_path / "p"), "k string, v double").collect()] == [("a", 1.0)]
+    assert sorted(r.v for r in sinks.read_lines(spark, str(tmp_path / "l"), "k string, v double").collect()) == [1.0, 1.0, 2.0, 2.0]
+    sinks.summary(rows, "k", "v", str(tmp_path / "s"))
+    assert spark.read.json(str(tmp_path / "s")).count() == 2
+    points = sinks.Checkpoints(Store(spark, str(tmp_path / "store")))
+    assert points.load("x") is None and points.names() == [] and points.load("x", {"n": 1}) == {"n": 1}
+    points.save("x", {"done": ["p1"], "n": 1})
+    points.save("y", {})
+    assert points.add("x", n=2, m=1) == {"done": ["p1"], "n": 3, "m": 1} and points.load("x")["m"] == 1
+    points.remove("y")
+    assert points.names() == ["x"]
