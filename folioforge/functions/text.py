@@ -11,6 +11,8 @@ WS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+
 #: arXiv identifiers, new style and old style.
 NEW_ID = r"^\d{4}\.\d{4,5}(v\d+)?$"
 OLD_ID = r"^[a-z-]+(\.[A-Z]{2})?/\d{7}(v\d+)?$"
+#: Fixed value: the old style as the store's own paths have it, in lower case only.
+OLD_ID_LOWER = r"^[a-z\-.]+/\d{7}(v\d+)?$"
 
 
 def _nonempty(parts: Column) -> Column:
@@ -89,6 +91,12 @@ def valid_id(c: Column) -> Column:
     return c.rlike(NEW_ID) | c.rlike(OLD_ID)
 
 
+def valid_path_id(c: Column) -> Column:
+    """The store's own grammar: the version is taken off first, and an old category is in lower case with dots anywhere."""
+    base = F.regexp_replace(c, r"v\d+$", "")
+    return base.rlike(NEW_ID) | base.rlike(OLD_ID_LOWER)
+
+
 def month_folder(c: Column) -> Column:
     """YYMM of an id, 0000 where there is none."""
     return F.coalesce(id_parts(c)["yymm"], F.lit("0000"))

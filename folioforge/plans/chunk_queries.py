@@ -112,7 +112,7 @@ def page_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", X.store_key(F.col("url")).alias("key"), X.id_of_url(F.col("url")).alias("segment"))
 
 
-_IDS = "SELECT * FROM (VALUES ('2301.00303'), ('2301.00303v2'), ('cs/0601001'), ('math.GT/0309136v1'), ('cs.AI/0601001'), ('bad id'), ('2301.123')) AS v(id)"
+_IDS = "SELECT * FROM (VALUES ('2301.00303'), ('2301.00303v2'), ('cs/0601001'), ('math.GT/0309136v1'), ('cs.AI/0601001'), ('bad id'), ('2301.123'), ('hep-th/9901001v3'), ('a.b/1234567'), ('2301.00303v1v2')) AS v(id)"
 
 
 @query(rf"""SELECT id, CASE WHEN regexp_extract(id, '(v\d+)$', 1) = '' THEN 'v1' ELSE regexp_extract(id, '(v\d+)$', 1) END AS version, regexp_replace(id, 'v\d+$', '') AS base,
@@ -120,7 +120,8 @@ _IDS = "SELECT * FROM (VALUES ('2301.00303'), ('2301.00303v2'), ('cs/0601001'),
 CASE WHEN regexp_matches(id, '^\d{{4}}\.\d{{4,5}}(v\d+)?$') THEN left(id, 4) WHEN regexp_matches(id, '^[a-z-]+(\.[A-Z]{{2}})?/\d{{7}}(v\d+)?$') THEN substring(string_split(id, '/')[2], 1, 4) ELSE '0000' END AS folder,
 nullif(CASE WHEN id LIKE '%/%' THEN substring(regexp_extract(id, '^[a-z-]+(\.[A-Z]{{2}})?/(\d{{7}})(v\d+)?$', 2), 1, 4) ELSE regexp_extract(id, '^(\d{{4}})\.\d{{4,5}}(v\d+)?$', 1) END, '') AS yymm,
 nullif(CASE WHEN id LIKE '%/%' THEN substring(regexp_extract(id, '^[a-z-]+(\.[A-Z]{{2}})?/(\d{{7}})(v\d+)?$', 2), 5, 3) ELSE regexp_extract(id, '^\d{{4}}\.(\d{{4,5}})(v\d+)?$', 1) END, '') AS number,
-nullif(regexp_extract(id, '^([a-z-]+(\.[A-Z]{{2}})?)/\d{{7}}(v\d+)?$', 1), '') AS category FROM ({_IDS})""")
+nullif(regexp_extract(id, '^([a-z-]+(\.[A-Z]{{2}})?)/\d{{7}}(v\d+)?$', 1), '') AS category,
+regexp_matches(regexp_replace(id, 'v\d+$', ''), '^(\d{{4}}\.\d{{4,5}}|[a-z.-]+/\d{{7}})(v\d+)?$') AS valid_path FROM ({_IDS})""")
 def id_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("id")
-    return spark.sql(_IDS).select("id", X.id_parts(c)["version"].alias("version"), X.id_parts(c)["base"].alias("base"), X.valid_id(c).alias("valid"), X.month_folder(c).alias("folder"), X.id_parts(c)["yymm"].alias("yymm"), X.id_parts(c)["number"].alias("number"), X.id_parts(c)["category"].alias("category"))
+    return spark.sql(_IDS).select("id", X.id_parts(c)["version"].alias("version"), X.id_parts(c)["base"].alias("base"), X.valid_id(c).alias("valid"), X.month_folder(c).alias("folder"), X.id_parts(c)["yymm"].alias("yymm"), X.id_parts(c)["number"].alias("number"), X.id_parts(c)["category"].alias("category"), X.valid_path_id(c).alias("valid_path"))
