@@ -105,17 +105,21 @@ def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], dense: np.ndarray, y:
     w, v, b = np.zeros(k + d), rng.normal(0, 0.02, (k + d, rank)), 0.0
     state = [np.zeros((k + d, rank + 1)), np.zeros((k + d, rank + 1))]
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    gather = lambda per, ix, size: np.stack([np.bincount(ix, per[:, f], size) for f in range(per.shape[1])], 1)
     for t in range(1, epochs + 1):
-        vx = v[col] * val[:, None]
-        s = gather(vx, row, n) + z @ v[k:]
-        q = gather(vx**2, row, n) + (z**2) @ (v[k:] ** 2)
-        out = b + np.bincount(row, w[col] * val, n) + z @ w[k:] + 0.5 * (s**2 - q).sum(1)
+        # one factor after the other: the driver holds a few numbers for each word of the sample, not times the rank
+        out = b + np.bincount(row, w[col] * val, n) + z @ w[k:]
+        sums = np.empty((n, rank))
+        for f in range(rank):
+            vx = v[col, f] * val
+            sums[:, f] = np.bincount(row, vx, n) + z @ v[k:, f]
+            out += 0.5 * (sums[:, f] ** 2 - np.bincount(row, vx * vx, n) - (z**2) @ (v[k:, f] ** 2))
         g = (logistic(out) - y) * weight
-        gv = gather(g[row, None] * val[:, None] * (s[row] - vx), col, k)
+        gx = g[row] * val
         grad = np.zeros((k + d, rank + 1))
-        grad[:k, 0], grad[k:, 0] = np.bincount(col, g[row] * val, k), z.T @ g
-        grad[:k, 1:], grad[k:, 1:] = gv, z.T @ (g[:, None] * s) - v[k:] * ((z**2).T @ g)[:, None]
+        grad[:k, 0], grad[k:, 0] = np.bincount(col, gx, k), z.T @ g
+        for f in range(rank):
+            grad[:k, f + 1] = np.bincount(col, gx * (sums[row, f] - v[col, f] * val), k)
+        grad[k:, 1:] = z.T @ (g[:, None] * sums) - v[k:] * ((z**2).T @ g)[:, None]
         grad[:, 0] += ridge * w
         grad[:, 1:] += ridge * v
         b -= rate * g.sum()
