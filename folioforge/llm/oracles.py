@@ -43,4 +43,43 @@ passes AS (SELECT rank, unnest(generate_series(0, passes)) AS pass, passes FROM
 {_tree("b", 4)},
 g AS (SELECT e.doc_id, e.key, string_agg(dealt.shard, ',' ORDER BY dealt.pass) AS shards FROM e JOIN dealt ON dealt.rank = e.rank AND dealt.block = e.block WHERE e.size > 0 AND (dealt.pass < e.passes OR e.more > 0) GROUP BY e.doc_id, e.key)
 SELECT e.doc_id, e.size, e.z AS source_size, e.target, (e.passes * e.size + e.more)::BIGINT AS taken, coalesce(g.shards, '') AS shards FROM e LEFT JOIN g ON g.doc_id IS NOT DISTINCT FROM e.doc_id""",
+    "op11_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+b AS (SELECT doc_id, n, at, substr(x, 2 * at + 1, 1098) AS x FROM (SELECT *, unnest(range(0, n - 49, 500)) AS at FROM d)),
+p AS (SELECT doc_id, at + i AS i, md5(substr(x, 2 * i + 1, 100)) AS h FROM (SELECT *, unnest(range(0, least(500, n - 49 - at))) AS i FROM b)),
+f AS (SELECT h, min(doc_id) AS first FROM p GROUP BY h),
+u AS (SELECT doc_id, i FROM p JOIN f USING (h) WHERE doc_id > first),
+g AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS new FROM u),
+k AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM g),
+s AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, k),
+e AS (SELECT doc_id, k, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY k), 0) AS before FROM s),
+j AS (SELECT doc_id, string_agg(substr(d.x, 2 * before + 1, 2 * (a - before)), '' ORDER BY k) AS head, sum(b - a) AS removed, count(*) AS spans, max(b) AS last FROM e JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN j USING (doc_id)""",
+    "op12_periodic_runs": rf"""
+WITH h AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(generate_series(1, length(doc_id::VARCHAR)), lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), generate_series(1, 8)), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) AS h FROM documents),
+g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS hit, h // 10 AS g FROM h),
+a AS (SELECT *, CASE WHEN hit THEN g % n END AS a FROM g), p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+t AS (SELECT doc_id, n, unnest(CASE WHEN hit THEN list_transform(w, lambda x, i: CASE WHEN i - 1 >= a THEN w[a + (i - 1 - a) % p + 1] ELSE x END) ELSE w END) AS word, unnest(range(0, n)) AS i FROM p),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 4),
+k AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM m),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM k GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY doc_id, start, length),
+l AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS o FROM r),
+c AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM t WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = t.doc_id AND t.i >= r.start + r.period AND t.i < r.start + r.length) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, o.start::BIGINT AS start, o.length::BIGINT AS length, o.period::BIGINT AS period, (1000 * o.length // o.period)::BIGINT AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256, sha256(coalesce(c.kept, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN (FROM o WHERE o = 1) o USING (doc_id) LEFT JOIN c USING (doc_id)""",
+    "op13_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+w AS (SELECT id, lang, source, unnest(t) AS t FROM d), k AS (SELECT lang, t, count(*) AS n FROM w GROUP BY lang, t HAVING count(DISTINCT id) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang), c AS (SELECT w.lang, w.source, w.t, count(*) AS n FROM w JOIN k ON k.lang = w.lang AND k.t = w.t GROUP BY w.lang, w.source, w.t),
+s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source), g AS (SELECT DISTINCT lang, source FROM d),
+p AS (SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.n, 0) + 2 * l.v) AS p, 1 + (1000000000::HUGEINT * (k.n + 2)) // (l.n + 2 * l.v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN s ON s.lang = g.lang AND s.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) FROM p x JOIN p y ON y.lang = x.lang AND y.t = x.t WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  UNION ALL SELECT lang, source, 'term', t, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM o WHERE part = 'pair' OR rank <= 10""",
 }

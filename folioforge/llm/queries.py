@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, extraction, fingerprint, mixing, ngram_join, packing, quality, sharding, toxicity, warc
+from . import divergence, embedding_dedup, extraction, fingerprint, mixing, ngram_join, packing, periodic_runs, quality, sharding, suffix_dedup, toxicity, warc
 from .shared import Scratch
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -69,6 +70,35 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), Scratch(spark, "op11"), length=50)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's words of a document: a tenth of them become periodic from some word on.  A null id has no decimal form and keeps its words."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    unit, rest = words[a : a + p], n - a
+    return words[:a] + (unit * (rest // len(unit) + 1))[:rest]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find(_table(spark, sf_dir, "documents").select("doc_id", "text"), least=6, times=4, before=_planted)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    best = F.col("runs")[F.col("first_run")]
+    milli = F.floor(best["length"].cast("decimal(19,0)") * 1000 / best["period"]).cast("long")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"), milli.alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), Scratch(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_fingerprint, op4_toxicity, op5_sharding, op6_packing, op7_warc, op8_ngram_join, op9_mixing, op10_extraction)
+    f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_fingerprint, op4_toxicity, op5_sharding, op6_packing, op7_warc, op8_ngram_join, op9_mixing, op10_extraction, op11_suffix_dedup, op12_periodic_runs, op13_divergence)
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -77,6 +78,12 @@ class Scratch:
         _delete(self.spark, df._scratch_path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: Spark deletes them when the driver has collected what stood for them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """About the bytes of a row: fixed widths by type, strings, binaries and lists as they are."""
     total = F.lit(16)
