@@ -45,8 +45,8 @@ g AS (SELECT e.doc_id, e.key, string_agg(dealt.shard, ',' ORDER BY dealt.pass) A
 SELECT e.doc_id, e.size, e.z AS source_size, e.target, (e.passes * e.size + e.more)::BIGINT AS taken, coalesce(g.shards, '') AS shards FROM e LEFT JOIN g ON g.doc_id IS NOT DISTINCT FROM e.doc_id""",
     "op11_suffix_dedup": """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-b AS (SELECT doc_id, n, at, substr(x, 2 * at + 1, 1098) AS x FROM (SELECT *, unnest(range(0, n - 49, 500)) AS at FROM d)),
-p AS (SELECT doc_id, at + i AS i, md5(substr(x, 2 * i + 1, 100)) AS h FROM (SELECT *, unnest(range(0, least(500, n - 49 - at))) AS i FROM b)),
+b AS (SELECT doc_id, n, o, substr(x, 2 * o + 1, 1098) AS x FROM (SELECT *, unnest(range(0, n - 49, 500)) AS o FROM d)),
+p AS (SELECT doc_id, o + i AS i, md5(substr(x, 2 * i + 1, 100)) AS h FROM (SELECT *, unnest(range(0, least(500, n - 49 - o))) AS i FROM b)),
 f AS (SELECT h, min(doc_id) AS first FROM p GROUP BY h),
 u AS (SELECT doc_id, i FROM p JOIN f USING (h) WHERE doc_id > first),
 g AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS new FROM u),
