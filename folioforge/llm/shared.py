@@ -79,8 +79,12 @@ class Scratch:
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished jobs: Spark deletes them when the driver has collected what stood for them."""
+    """Let go of the shuffle files of finished jobs: Spark deletes them when the driver has collected what stood for them.
+
+    The session's listeners hold the last query until another one ends, so a small one is run first.
+    """
     gc.collect()
+    spark.range(1).count()
     spark.sparkContext._jvm.System.gc()
 
 

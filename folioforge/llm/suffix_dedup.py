@@ -53,7 +53,8 @@ _PIECE, _BATCH = 1 << 18, 16 << 20
 GROUP = 200_000
 #: Kinds of facts: all strings of an anchor are repeated; those that reach half-way to the right, to the left are to be compared.
 ALL, RIGHT, LEFT = 1, 2, 4
-_ROWS = "key long, next long, doc long, tag long, at long, run int, sides int, settled boolean"
+#: place: the position with eight bits of what is half-way further on each side.
+_ROWS = "key long, next long, place long, doc long, tag long, run int, settled boolean"
 _FACTS = "doc long, tag long, at long, run int, kind int"
 
 
@@ -124,7 +125,7 @@ def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
 
 
 def _rows_of_anchors(offsets: np.ndarray, data: np.ndarray, docs: np.ndarray, tags: np.ndarray, length: int) -> list[np.ndarray]:
-    """Columns key, next, doc, tag, at, run, sides of all anchors of the texts."""
+    """Columns key, next, place, doc, tag, run of all anchors of the texts."""
     reach, half = length - ANCHOR, (length - ANCHOR) // 2
     found = []
     for k, to, a, b in _pieces(offsets):
@@ -138,18 +139,18 @@ def _rows_of_anchors(offsets: np.ndarray, data: np.ndarray, docs: np.ndarray, ta
         of = np.searchsorted(ends, x, "right")
         left, right = np.minimum(x - starts[of], reach), np.minimum(ends[of] - x - ANCHOR, reach)
         around = _pair(_pair(whole[x - left], whole[x + ANCHOR + right - length]), (left * 65536 + right).astype(np.uint64))
-        # sixteen bits of what is half-way further on each side; 0: the text ends before
-        on = np.where(right >= reach - half, (first[np.minimum(x + reach - half, len(first) - 1)] >> np.uint64(40)).astype(np.int64) % 65535 + 1, 0)
-        back = np.where(left >= half + 1, (first[np.maximum(x - half - 1, 0)] >> np.uint64(40)).astype(np.int64) % 65535 + 1, 0)
+        # eight bits of what is half-way further on each side; 0: the text ends before
+        on = np.where(right >= reach - half, (first[np.minimum(x + reach - half, len(first) - 1)] >> np.uint64(40)).astype(np.int64) % 255 + 1, 0)
+        back = np.where(left >= half + 1, (first[np.maximum(x - half - 1, 0)] >> np.uint64(40)).astype(np.int64) % 255 + 1, 0)
         one, run = _runs(x, first[x], around)
         x, of = x[one], of[one]
-        found.append([first[x].view(np.int64), around[one].view(np.int64), docs[k + of], tags[k + of], x - starts[of], run, (on * 65536 + back)[one].astype(np.uint32).view(np.int32)])
+        found.append([first[x].view(np.int64), around[one].view(np.int64), (x - starts[of]) * 65536 + (on * 256 + back)[one], docs[k + of], tags[k + of], run])
     return [np.concatenate(c) for c in zip(*found)] if found else []
 
 
 def _settle(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Rows of a batch: those of the smallest document for each pair of names; others are settled, and dealt by document."""
-    key, nxt, doc, tag = columns[:4]
+    key, nxt, place, doc, tag, run = columns
     order = np.lexsort((doc, nxt, key))
     new = np.ones(len(order), bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (nxt[order][1:] != nxt[order][:-1])
@@ -157,7 +158,7 @@ def _settle(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     settled = np.zeros(len(order), bool)
     settled[order] = doc[order] > least
     key = np.where(settled, mix(doc.astype(np.uint64) + tag.view(np.uint64)).view(np.int64), key)
-    columns = [key, np.where(settled, 0, nxt), *columns[2:5], columns[5].astype(np.int32), columns[6], settled]
+    columns = [key, np.where(settled, 0, nxt), place, doc, tag, run.astype(np.int32), settled]
     for a in range(0, len(key), 50_000):
         yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 50_000]) for c in columns], names=[f.split()[0] for f in _ROWS.split(", ")])
 
@@ -210,7 +211,7 @@ def _scan(halfway: bool):
     def facts(c: list[np.ndarray], kind: np.ndarray) -> Iterator[pa.RecordBatch]:
         keep = np.flatnonzero(kind)
         if len(keep):
-            yield pa.RecordBatch.from_arrays([*(pa.array(v[keep]) for v in c[2:6]), pa.array(kind[keep].astype(np.int32))], names=["doc", "tag", "at", "run", "kind"])
+            yield pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in (c[3], c[4], c[2] >> 16, c[5], kind.astype(np.int32))], names=["doc", "tag", "at", "run", "kind"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -218,7 +219,7 @@ def _scan(halfway: bool):
 
         def ranked(c: list[np.ndarray], large: bool) -> Iterator[pa.RecordBatch]:
             nonlocal seen
-            key, nxt, doc, sides, settled = c[0], c[1], c[2], c[6], c[7]
+            key, nxt, place, doc, settled = c[0], c[1], c[2], c[3], c[6]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (nxt[1:] != nxt[:-1])
             least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -235,8 +236,7 @@ def _scan(halfway: bool):
                     left = np.zeros(len(key), bool)
                 rest = np.flatnonzero(~repeated & ~left)
                 if len(rest):
-                    marks = sides[rest].view(np.uint32)
-                    on, back = (marks >> np.uint32(16)).astype(np.int64), (marks & np.uint32(65535)).astype(np.int64)
+                    on, back = (place[rest] >> 8) & 255, place[rest] & 255
                     kind[rest] = RIGHT * _shared(key[rest], on, doc[rest]) + LEFT * _shared(key[rest], back, doc[rest])
             seen = (key[-1], nxt[-1], least[-1]) if large else None
             yield from facts(c, kind)
@@ -261,7 +261,7 @@ def _scan(halfway: bool):
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key").sortWithinPartitions("key", "next", "doc", "tag", "at")
+    return rows.repartition("key").sortWithinPartitions("key", "next", "doc", "tag", "place")
 
 
 def _with_facts(texts: DataFrame, facts: DataFrame, how: str) -> DataFrame:
@@ -312,7 +312,7 @@ def _rows_of_strings(batch: pa.RecordBatch, length: int) -> list[np.ndarray]:
                 one, two = name[own - base], name[own - base + length - h]
                 firsts, n = _runs(own, one, two)
                 m = len(firsts)
-                found.append([one[firsts].view(np.int64), two[firsts].view(np.int64), np.full(m, docs[i]), np.full(m, tags[i]), own[firsts], n, np.zeros(m, np.int32)])
+                found.append([one[firsts].view(np.int64), two[firsts].view(np.int64), own[firsts] * 65536, np.full(m, docs[i]), np.full(m, tags[i]), n])
     return [np.concatenate(c) for c in zip(*found)] if found else []
 
 

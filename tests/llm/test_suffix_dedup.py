@@ -96,7 +96,7 @@ def test_small_pieces_and_groups(spark, monkeypatch, sizes):
         return S._rows_of_anchors(o, d, b.column("doc").to_numpy(), b.column("tag").to_numpy(), 50)
 
     def run(rows_of, batches, halfway):
-        out = pa.Table.from_batches(list(S._batched(rows_of)(iter(batches)))).sort_by([(c, "ascending") for c in ("key", "next", "doc", "tag", "at")])
+        out = pa.Table.from_batches(list(S._batched(rows_of)(iter(batches)))).sort_by([(c, "ascending") for c in ("key", "next", "doc", "tag", "place")])
         return pa.Table.from_batches(list(S._scan(halfway)(iter(out.to_batches(max_chunksize=7)))))
 
     whole = pa.record_batch({"doc": ids, "tag": np.zeros(len(ids), np.int64), "text": texts})
