@@ -28,7 +28,7 @@ def leaves(df: DataFrame, key: str, layer: str, text: str) -> DataFrame:
         open_ = [([], value)]
         while open_:
             path, here = open_.pop()
-            if isinstance(here, dict) and (here or not path):
+            if isinstance(here, dict) and here:
                 open_.extend(([*path, k], v) for k, v in here.items())
             else:
                 yield path, json.dumps(here, ensure_ascii=False, sort_keys=True)
