@@ -53,7 +53,7 @@ _PIECE, _BATCH = 1 << 18, 16 << 20
 GROUP = 200_000
 #: Kinds of facts: all strings of an anchor are repeated; those that reach half-way to the right, to the left are to be compared.
 ALL, RIGHT, LEFT = 1, 2, 4
-#: place: the position with eight bits of what is half-way further on each side.
+#: place: the position with sixteen bits of what is half-way further on each side.
 _ROWS = "key long, next long, place long, doc long, tag long, run int, settled boolean"
 _FACTS = "doc long, tag long, at long, run int, kind int"
 
@@ -139,12 +139,12 @@ def _rows_of_anchors(offsets: np.ndarray, data: np.ndarray, docs: np.ndarray, ta
         of = np.searchsorted(ends, x, "right")
         left, right = np.minimum(x - starts[of], reach), np.minimum(ends[of] - x - ANCHOR, reach)
         around = _pair(_pair(whole[x - left], whole[x + ANCHOR + right - length]), (left * 65536 + right).astype(np.uint64))
-        # eight bits of what is half-way further on each side; 0: the text ends before
-        on = np.where(right >= reach - half, (first[np.minimum(x + reach - half, len(first) - 1)] >> np.uint64(40)).astype(np.int64) % 255 + 1, 0)
-        back = np.where(left >= half + 1, (first[np.maximum(x - half - 1, 0)] >> np.uint64(40)).astype(np.int64) % 255 + 1, 0)
+        # sixteen bits of what is half-way further on each side; 0: the text ends before
+        on = np.where(right >= reach - half, (first[np.minimum(x + reach - half, len(first) - 1)] >> np.uint64(40)).astype(np.int64) % 65535 + 1, 0)
+        back = np.where(left >= half + 1, (first[np.maximum(x - half - 1, 0)] >> np.uint64(40)).astype(np.int64) % 65535 + 1, 0)
         one, run = _runs(x, first[x], around)
         x, of = x[one], of[one]
-        found.append([first[x].view(np.int64), around[one].view(np.int64), (x - starts[of]) * 65536 + (on * 256 + back)[one], docs[k + of], tags[k + of], run])
+        found.append([first[x].view(np.int64), around[one].view(np.int64), (x - starts[of] << 32) + (on * 65536 + back)[one], docs[k + of], tags[k + of], run])
     return [np.concatenate(c) for c in zip(*found)] if found else []
 
 
@@ -211,7 +211,7 @@ def _scan(halfway: bool):
     def facts(c: list[np.ndarray], kind: np.ndarray) -> Iterator[pa.RecordBatch]:
         keep = np.flatnonzero(kind)
         if len(keep):
-            yield pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in (c[3], c[4], c[2] >> 16, c[5], kind.astype(np.int32))], names=["doc", "tag", "at", "run", "kind"])
+            yield pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in (c[3], c[4], c[2] >> 32, c[5], kind.astype(np.int32))], names=["doc", "tag", "at", "run", "kind"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -236,7 +236,7 @@ def _scan(halfway: bool):
                     left = np.zeros(len(key), bool)
                 rest = np.flatnonzero(~repeated & ~left)
                 if len(rest):
-                    on, back = (place[rest] >> 8) & 255, place[rest] & 255
+                    on, back = (place[rest] >> 16) & 65535, place[rest] & 65535
                     kind[rest] = RIGHT * _shared(key[rest], on, doc[rest]) + LEFT * _shared(key[rest], back, doc[rest])
             seen = (key[-1], nxt[-1], least[-1]) if large else None
             yield from facts(c, kind)
@@ -312,7 +312,7 @@ def _rows_of_strings(batch: pa.RecordBatch, length: int) -> list[np.ndarray]:
                 one, two = name[own - base], name[own - base + length - h]
                 firsts, n = _runs(own, one, two)
                 m = len(firsts)
-                found.append([one[firsts].view(np.int64), two[firsts].view(np.int64), own[firsts] * 65536, np.full(m, docs[i]), np.full(m, tags[i]), n])
+                found.append([one[firsts].view(np.int64), two[firsts].view(np.int64), own[firsts] << 32, np.full(m, docs[i]), np.full(m, tags[i]), n])
     return [np.concatenate(c) for c in zip(*found)] if found else []
 
 
