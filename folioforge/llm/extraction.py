@@ -2,16 +2,17 @@
 
 The standard library's streaming parser turns a page into lines: a line ends
 where a block element begins or ends and at a line break.  Each line has the
-logarithm of its text-to-tag ratio (characters outside links for each tag).  The
-ratios are smoothed with a Gaussian over the lines' order, and a line belongs to
-the content if its smoothed ratio, plus the weight of the landmarks around it,
-reaches the threshold: a share of the mean of the smoothed ratios, weighted by
-text length.  Landmarks only weigh: an article or main element and a heading
-raise a line, an element, role or class word of menus, headers, footers,
-sidebars, notices, adverts, forms and comments lowers it.  A container (the
-nearest division, list or table cell) of which the chosen lines hold most of the
-text is one cluster with them: its other lines join, but for those that are
-mostly links or lowered.
+logarithm of its text-to-tag ratio: characters outside links for each tag.  A
+landmark is markup that speaks against the text in it, so it counts as that many
+tags more: an element, role or class name of menus, headers, footers, sidebars,
+notices, adverts, forms and comments as ``FULL``, a class name of which only a part
+says so as ``PART``; in an article or main element a line counts as ``RAISE``
+characters longer.  The ratios are smoothed with a Gaussian over the lines' order;
+the threshold is a share of the mean of the smoothed ratios, weighted by text
+length.  A line is chosen if its smoothed ratio reaches the threshold and its own
+ratio a part of it (under a whole landmark, also ``WHOLE``).  A container (the nearest division, list or table cell) of which
+the chosen lines hold most of the text is one cluster with them: its other lines
+join, but for those that are mostly links or under a whole landmark.
 
 Nulls and edges: a null or empty page gives an empty text; markup without text
 gives an empty text; unclosed elements end with the element around them, and a
@@ -50,20 +51,23 @@ ENDED = frozenset("nav header menu form button select option ul ol li a title".s
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 _BOUNDS = frozenset([*CONTAINERS, "table", "dl"])
 _SPLIT = re.compile(r"[^a-z0-9]+")
-#: Weights of landmarks, on the scale of the logarithm of characters for each tag.
-IN_ARTICLE, HEADING, LOW = 6.0, 1.0, -12.0
+#: Class names that stand for the text of a page: beside one of these, others count in part.
+CONTENT = frozenset("content article main post entry story text".split())
+#: Tags that a landmark counts as: one that is named in whole, and one that is a part of a class name.
+FULL, PART = 1000, 30
+#: Characters that a line of an article gains, and the ratio that a line under a whole landmark needs: text of some 650 characters.
+RAISE, WHOLE = 40, 0.5
 
 
 class _Lines(HTMLParser):
-    """Collects lines as [text, tags, link characters, container number, weight]."""
+    """Collects lines as (text, tags, link characters, container number, tags of landmarks, whether in an article)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, float]] = []
+        self.lines: list[tuple[str, int, int, int, int, bool]] = []
         self.texts: list[str] = []
-        self.tags = self.linked = self.skips = self.links = self.low = self.raised = self.headings = self.n = 0
-        self.head = False  # the line has text inside a heading
-        self.stack: list[tuple[str, int, int, int]] = []  # (tag, skipped, lowered, container number or -1)
+        self.tags = self.linked = self.skips = self.links = self.low = self.raised = self.n = 0
+        self.stack: list[tuple[str, int, int, int]] = []  # (tag, skipped, tags of landmarks, container number or -1)
         self.open: dict[str, int] = {}
         self.path: list[int] = [-1]  # numbers of the open containers
         self.scopes: list[dict[str, int]] = [{}]  # open elements since each element of _BOUNDS
@@ -98,11 +102,9 @@ class _Lines(HTMLParser):
         if self.texts:
             text = " ".join("".join(self.texts).split())
             if text:
-                weight = (LOW if self.low else 0.0) + (IN_ARTICLE if self.raised else 0.0) + (HEADING if self.head else 0.0)
-                self.lines.append((text, self.tags, self.linked, self.path[-1], weight))
+                self.lines.append((text, self.tags, self.linked, self.path[-1], self.low, self.raised > 0))
             self.texts.clear()
             self.tags = self.linked = 0
-        self.head = False
 
     def _pop(self, to: int) -> None:
         while len(self.stack) > to:
@@ -111,7 +113,6 @@ class _Lines(HTMLParser):
             self.low -= low
             self.links -= tag == "a"
             self.raised -= tag in RAISED
-            self.headings -= tag in _HEADINGS
             self.open[tag] -= 1
             if tag in _BOUNDS:
                 self.scopes.pop()
@@ -137,11 +138,17 @@ class _Lines(HTMLParser):
     def _recover(self, main: bool) -> None:
         """End the open menus and forms around a new article, and anything lowered around a main element."""
         for i, (tag, skip, low, _) in enumerate(self.stack):
-            if (skip or low) and (main or tag in ENDED):
+            if (skip or low >= FULL) and (main or tag in ENDED):
                 self.end_line()
                 self._pop(i)
                 return
 
+    @staticmethod
+    def landmark(names: list[str]) -> int:
+        """Tags that class names count as: one is named in whole if all of its words are landmarks."""
+        whole = any(WORDS.issuperset(w for w in _SPLIT.split(n) if w) for n in names if n.strip("-_"))
+        return FULL if whole and CONTENT.isdisjoint(names) else PART
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self.end_line()
@@ -150,17 +157,18 @@ class _Lines(HTMLParser):
             return
         if tag in CLOSES:
             self._close(tag)
-        if tag in RAISED and (self.skips or self.low):
+        if tag in RAISED and (self.skips or self.low >= FULL):
             self._recover(tag == "main")
-        skip, low = tag in SKIP, tag in LOWERED
+        skip, low = tag in SKIP, FULL if tag in LOWERED else 0
         if not skip and not low and attrs and tag not in ("html", "body"):
             for name, value in attrs:
                 if name in ("class", "id") and value and not WORDS.isdisjoint(found := _SPLIT.split(value.lower())):
-                    low = low or tag not in RAISED or not {"comment", "comments", "ad", "advert", "sponsored", "related"}.isdisjoint(found)
+                    if tag not in RAISED or not {"comment", "comments", "ad", "advert", "sponsored", "related"}.isdisjoint(found):
+                        low = max(low, self.landmark(value.lower().split()))
                 elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-                    low = True
-        if low and tag not in BLOCKS and tag not in LOWERED:  # inside a line: left out of it
-            skip, low = True, False
+                    low = FULL
+        if low >= FULL and tag not in BLOCKS and tag not in LOWERED:  # inside a line: left out of it
+            skip, low = True, 0
         if low and tag not in BLOCKS:
             self.end_line()
         container = -1
@@ -171,7 +179,6 @@ class _Lines(HTMLParser):
         self.low += low
         self.links += tag == "a"
         self.raised += tag in RAISED
-        self.headings += tag in _HEADINGS
         self.stack.append((tag, int(skip), int(low), container))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.scopes[-1][tag] = self.scopes[-1].get(tag, 0) + 1
@@ -193,14 +200,9 @@ class _Lines(HTMLParser):
             self.texts.append(data)
             if self.links:
                 self.linked += len(data)
-            if self.headings:
-                self.head = True
-
 
-_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-
-def lines(html: str) -> list[tuple[str, int, int, int, float]]:
+def lines(html: str) -> list[tuple[str, int, int, int, int, bool]]:
     parser = _Lines()
     parser.feed(html)
     parser.close()
@@ -216,33 +218,34 @@ def smooth(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(values, kernel)[middle] / np.convolve(np.ones(len(values)), kernel)[middle]
 
 
-def ratios(found: list[tuple[str, int, int, int, float]]) -> np.ndarray:
-    """The logarithm of one more than each line's characters outside links for each tag."""
-    length = np.array([len(x[0]) for x in found], float)
-    return np.log1p((length - np.array([x[2] for x in found], float)).clip(0) / np.array([max(1, x[1]) for x in found], float))
+def ratios(found: list[tuple[str, int, int, int, int, bool]]) -> np.ndarray:
+    """The logarithm of one more than each line's characters outside links for each tag; landmarks count as tags."""
+    of = lambda f: np.array([f(x) for x in found], float)
+    gained = of(lambda x: RAISE if x[5] and len(x[0]) > x[2] else 0)
+    return np.log1p(((of(lambda x: len(x[0]) - x[2])).clip(0) + gained) / of(lambda x: max(1, x[1]) + x[4]))
 
 
-def main_text(html: str | None, sigma: float = 1.0, share: float = 0.6) -> str:
+def main_text(html: str | None, sigma: float = 0.6, share: float = 0.85, least: float = 0.4) -> str:
     """The main text of a page: the lines of its content clusters in their order, joined by one space.
 
-    The threshold is ``share`` of the mean of the smoothed ratios of the lines
-    that no landmark lowers, weighted by text length.
+    The threshold is ``share`` of the mean of the smoothed ratios, weighted by text
+    length; a line's own ratio has to reach ``least`` of the threshold, so that
+    smoothing lifts no line that is nothing by itself.
     """
     found = lines(html or "")
     if not found:
         return ""
-    length, weight, box = np.array([len(x[0]) for x in found], float), np.array([x[4] for x in found]), np.array([x[3] for x in found])
-    ratio = smooth(ratios(found), sigma)
-    plain = weight > LOW / 2
-    if not plain.any():
-        return ""
-    threshold = share * float((ratio * length)[plain].sum() / length[plain].sum())
-    chosen = ratio + weight >= threshold
+    length, box = np.array([len(x[0]) for x in found], float), np.array([x[3] for x in found])
+    ratio = ratios(found)
+    smoothed = smooth(ratio, sigma)
+    threshold = share * float((smoothed * length).sum() / length.sum())
+    whole = np.array([x[4] >= FULL for x in found])
+    chosen = (smoothed >= threshold) & (ratio >= np.where(whole, np.maximum(WHOLE, least * threshold), least * threshold))
     # a container that is mostly content takes its other lines along
     size, inside = (np.bincount(box + 1, w) for w in (length, length * chosen))
     cluster = (2 * inside >= size)[box + 1] & (box >= 0)
     linked = np.array([x[2] for x in found], float) > 0.6 * length
-    chosen |= cluster & plain & ~linked
+    chosen |= cluster & ~whole & ~linked
     return " ".join(x[0] for x, c in zip(found, chosen) if c)
 
 

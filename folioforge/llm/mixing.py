@@ -23,8 +23,10 @@ a seed and the id: reruns agree.
 
 Nulls and edges: a null text has size 0 and nothing is taken from it; null is a
 source of its own and sorts last; sources without words have target 0; rows with
-equal ids are ordered by size and, being equal then, each taken alike up to one
-word; an empty table gives no rows.
+equal ids are ordered by size and by a hash of their text, rows without id by that
+of their text alone; rows that are equal in all of these are counted together, and
+where a quota ends among them they are numbered, so that as many are taken whole as
+fit and one in part; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,6 +44,12 @@ def _key(seed: str, *columns: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]))
 
 
+def _own_key(seed: str, id_: Column, text: Column) -> Column:
+    """A row's place in its source's order: a hash of its id, or of its text where it has none."""
+    name = F.coalesce(id_.cast("string"), F.concat(F.lit("null:"), F.md5(text)), F.lit("null"))
+    return F.md5(F.concat_ws(":", F.lit(seed), name))
+
+
 def _range(key: Column) -> Column:
     return F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
 
@@ -96,8 +104,7 @@ def split_tree(blocks: DataFrame, shards: int, seed: str, scratch: Scratch) -> D
 def plan(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...], share: float, repeats: float, seed: str, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
     """(rows (id, source, size, key, range), sources with their quota and where it ends)."""
     rows = scratch.cut(
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-        .withColumn("key", _key(seed, "id"))
+        docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64(text_col).alias("hash"), _own_key(seed, F.col(id_col), F.col(text_col)).alias("key"))
         .withColumn("range", _range(F.col("key"))),
         "sizes",
     )
@@ -111,27 +118,45 @@ def plan(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...], share
     ends = by_range.withColumn("through", F.sum("words").over(so_far)).withColumnRenamed("source", "_s").join(small(sources.select("source", "extra")), F.col("_s").eqNullSafe(F.col("source")))
     ends = scratch.cut(ends.where("extra > through - words and extra <= through and words > 0").select("source", F.col("range").alias("end_range"), (F.col("extra") - F.col("through") + F.col("words")).alias("left")), "ends")
     inside = rows.withColumnRenamed("source", "_s").join(small(ends), F.col("_s").eqNullSafe(F.col("source")) & (F.col("range") == F.col("end_range"))).drop("_s")
-    within = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
-    last = inside.withColumn("through", F.sum("size").over(within)).where("left > through - size and left <= through and size > 0")
-    last = last.groupBy("source").agg(F.min_by(F.struct("key", "size", (F.col("left") - F.col("through") + F.col("size")).alias("words")), F.struct("key", "size")).alias("end"))
+    # rows that nothing tells apart are one step
+    steps = inside.where("size > 0").groupBy("source", "left", "key", "size", "hash").agg(F.count("*").alias("copies")).withColumn("words", F.col("copies") * F.col("size"))
+    within = Window.partitionBy("source").orderBy("key", "size", "hash").rowsBetween(Window.unboundedPreceding, 0)
+    last = steps.withColumn("through", F.sum("words").over(within)).where("left > through - words and left <= through")
+    last = last.select("source", F.struct("key", "size", "hash", "copies", (F.col("left") - F.col("through") + F.col("words")).alias("words")).alias("end"))
     full = sources.withColumnRenamed("source", "_s").join(last, F.col("_s").eqNullSafe(F.col("source")), "left").drop("source").withColumnRenamed("_s", "source")
     return rows, scratch.cut(full, "quotas")
 
 
-def extra_words(key: Column, size: Column) -> Column:
-    """Words that the partial pass takes from a row, next to its source's ``end``."""
+def extra_words(key: Column, size: Column, hash_: Column, number: Column) -> Column:
+    """Words that the partial pass takes from a row, next to its source's ``end``; number: of the row among those equal to the end."""
     end = F.col("end")
-    at = F.struct(key.alias("key"), size.alias("size"))
-    limit = F.struct(end["key"].alias("key"), end["size"].alias("size"))
-    return F.when(end.isNull(), F.lit(0)).when(at < limit, size).when(at == limit, F.least(end["words"], size)).otherwise(0).cast("long")
+    at = F.struct(key.alias("key"), size.alias("size"), hash_.alias("hash"))
+    limit = F.struct(end["key"].alias("key"), end["size"].alias("size"), end["hash"].alias("hash"))
+    here = F.greatest(F.lit(0), F.least(end["words"] - (number - 1) * size, size))
+    return F.when(end.isNull(), F.lit(0)).when(at < limit, size).when(at == limit, here).otherwise(0).cast("long")
+
+
+def numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` (with their source's ``end``) with a number for those that the end has more than one of: 1, 2 ... within their source; else 1.
+
+    They are numbered within the partitions that they were written in, behind those of the partitions before.
+    """
+    same = F.coalesce((F.col("end")["copies"] > 1) & (F.col("key") == F.col("end")["key"]) & (F.col("size") == F.col("end")["size"]) & (F.col("hash") == F.col("end")["hash"]), F.lit(False))
+    equal = scratch.cut(rows.where(same).withColumn("_piece", F.spark_partition_id()), "equal")
+    before = Window.partitionBy("rank").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = equal.groupBy("rank", "_piece").agg(F.count("*").alias("n")).select("rank", "_piece", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    own = equal.join(small(starts), ["rank", "_piece"]).withColumn("number", F.col("_start") + F.row_number().over(Window.partitionBy("rank", "_piece").orderBy(F.lit(1))))
+    return rows.where(~same).withColumn("number", F.lit(1).cast("long")).unionByName(own.select(*rows.columns, F.col("number").cast("long")))
 
 
 def draw(rows: DataFrame, sources: DataFrame, scratch: Scratch, repeats: float, shards: int, seed: str) -> DataFrame:
-    """``rows`` (source, size, key, range and any others) with what ``plan`` says of their source, and with draws (see ``mix``)."""
+    """``rows`` (source, size, hash, key, range and any others) with what ``plan`` says of their source, and with draws (see ``mix``)."""
     top = int(repeats) + 1
     of_source = sources.withColumnRenamed("source", "_s")
     taken = rows.join(small(of_source), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    taken = taken.withColumn("more", extra_words(F.col("key"), F.col("size"))).withColumn("block", F.floor(F.col("range") / 64).cast("int"))
+    several = sources.where("end.copies > 1").limit(1).count()
+    taken = numbered(taken, scratch) if several else taken.withColumn("number", F.lit(1).cast("long"))
+    taken = taken.withColumn("more", extra_words(F.col("key"), F.col("size"), F.col("hash"), F.col("number"))).withColumn("block", F.floor(F.col("range") / 64).cast("int"))
     # blocks of 64 ranges: at most 64 for each source and pass
     spans = sources.select(F.col("rank").alias("source_rank"), F.col("passes"), F.col("end"), F.explode(F.sequence(F.lit(0), F.lit(top - 1))).alias("pass")).where("pass < passes or (pass = passes and end is not null)")
     lists = spans.select("source_rank", "pass", F.explode(F.sequence(F.lit(0), F.when(F.col("pass") < F.col("passes"), F.lit(RANGES // 64 - 1)).otherwise(F.floor(_range(F.col("end")["key"]) / 64).cast("int")))).alias("range"))
@@ -168,7 +193,7 @@ def rows_of_mix(docs: DataFrame, scratch: Scratch, *, weights: tuple[float, ...]
     _, sources = plan(docs, scratch, weights=weights, share=share, repeats=repeats, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")).withColumn("_id", F.col("_row")[id_col])
     size = F.coalesce(F.regexp_count(F.col("_row")[text_col], F.lit(WORD)), F.lit(0)).cast("long")
-    rows = own.select("_row", F.col("_row")[source_col].cast("string").alias("source"), size.alias("size"), _key(seed, "_id").alias("key")).withColumn("range", _range(F.col("key")))
+    rows = own.select("_row", F.col("_row")[source_col].cast("string").alias("source"), size.alias("size"), F.xxhash64(F.col("_row")[text_col]).alias("hash"), _own_key(seed, F.col("_id"), F.col("_row")[text_col]).alias("key")).withColumn("range", _range(F.col("key")))
     rows = draw(rows, sources, scratch, repeats, shards, seed).select("_row", F.col("size").alias("_size"), F.explode("draws").alias("_draw"))
     rows = rows.select("_row", "_size", F.col("_draw")["words"].alias("_take"), F.col("_draw")["shard"].alias("_shard"), F.col("_draw")["place"].alias("_place"))
     rows = rows.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")

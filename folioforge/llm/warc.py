@@ -10,7 +10,11 @@ each payload; a row then learns from a join by id and digest what it revisits.
 While the measured list of revisits is within the bound for a broadcast, payloads
 stay where they are; beyond it Spark shuffles them once.  Records are written by
 classes of size with as many records to a file as keep it under ``FILE_BYTES``,
-so that a reading task never holds more than that.
+so that a reading task never holds more than that.  A file is one gzip member: it
+is read from its beginning, and nothing can seek to a record in it.
+
+A record is named by its id, its payload's digest and an ordinal, which is 0 unless
+rows have both in common; a revisit names the record with ordinal 0.
 
 Nulls and edges: a null payload counts as empty; payloads under ``least`` bytes
 are always responses; a null id is a record of its own that nothing can revisit
@@ -25,7 +29,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import small
@@ -38,7 +42,7 @@ _FIELDS = "page_id string, url string, record_type string, payload_digest string
 #: Uncompressed bytes of payload in a file at most (a single larger payload has a file of its own).
 FILE_BYTES = 256 << 20
 #: Upper bounds of the classes of payload size.
-CLASSES = (16 << 10, 1 << 20)
+CLASSES = tuple((16 << 10) * 4**k for k in range(8))
 
 
 def headers(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -56,16 +60,32 @@ def resolve(records: DataFrame, *, least: int = 100) -> DataFrame:
     return heads.join(firsts, "payload_digest").where("id <> refers_to").select("id", "payload_digest", "refers_to").distinct()
 
 
-def _uuid(id_: Column) -> Column:
-    h = F.md5(F.concat(F.lit("record:"), id_.cast("string")))
+def _uuid(id_: Column, digest: Column, ordinal: Column) -> Column:
+    h = F.md5(F.concat_ws(":", F.lit("record"), F.coalesce(id_.cast("string"), F.lit("")), digest, ordinal.cast("string")))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
+def _ordinals(records: DataFrame) -> DataFrame:
+    """``records`` with an ordinal that tells rows of one id and payload apart; it is 0 for one of them.
+
+    Rows without an id are never named by others, so theirs is any number of their
+    own.  Only rows that share both are shuffled, usually none.
+    """
+    heads = records.where(F.col("id").isNotNull()).groupBy("id", "payload_digest").agg(F.count("*").alias("n")).where("n > 1")
+    shared = small(heads.select(F.col("id").alias("_sid"), F.col("payload_digest").alias("_sdigest")))
+    same = (F.col("id") == F.col("_sid")) & (F.col("payload_digest") == F.col("_sdigest"))
+    alone = records.join(shared, same, "left_anti").withColumn("ordinal", F.when(F.col("id").isNull(), F.monotonically_increasing_id() + 1).otherwise(0).cast("long"))
+    if not heads.limit(1).count():
+        return alone
+    place = F.row_number().over(Window.partitionBy("id", "payload_digest").orderBy("url"))
+    return alone.unionByName(records.join(shared, same, "left_semi").withColumn("ordinal", (place - 1).cast("long")))
+
+
 def write(records: DataFrame, revisits: DataFrame, path: str, *, date: str = "2024-01-01T00:00:00Z") -> None:
     """Write the archive; revisits get a record without content that names the original.
 
-    The date is a parameter: a rerun writes the same bytes.
+    The date is a parameter: a rerun writes the same bytes, but for the order of rows that Spark reads in another order.
     """
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     clean = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[\\r\\n]", " ")
@@ -73,21 +93,22 @@ def write(records: DataFrame, revisits: DataFrame, path: str, *, date: str = "20
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", F.coalesce(_uuid(F.col("id")), F.lit("<urn:uuid:00000000-0000-0000-0000-000000000000>"))),
+        line("WARC-Record-ID", _uuid(F.col("id"), F.col("payload_digest"), F.col("ordinal"))),
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", clean(F.col("url"))),
         F.coalesce(line("X-Page-ID", F.col("id").cast("string")), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
-        F.when(revisit, F.concat(line("WARC-Profile", F.lit(_PROFILE)), line("WARC-Refers-To", _uuid(F.col("refers_to"))), line("X-Refers-To-Page-ID", F.col("refers_to").cast("string")))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(line("WARC-Profile", F.lit(_PROFILE)), line("WARC-Refers-To", _uuid(F.col("refers_to"), F.col("payload_digest"), F.lit(0))), line("X-Refers-To-Page-ID", F.col("refers_to").cast("string")))).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes")).cast("string")),
         F.lit("\r\n"),
     )
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
+    records = _ordinals(records)
     named = small(revisits.withColumnsRenamed({"id": "_rid", "payload_digest": "_digest"}))
     size = F.col("payload_bytes")
-    of = F.when(size <= CLASSES[0], 0).when(size <= CLASSES[1], 1).otherwise(2)
-    most = {r["of"]: r["most"] for r in records.select(of.alias("of"), size.alias("n")).groupBy("of").agg(F.max("n").alias("most")).collect()}  # three rows
+    of = F.coalesce(*[F.when(size <= bound, k) for k, bound in enumerate(CLASSES)], F.lit(len(CLASSES)))
+    most = {r["of"]: r["most"] for r in records.select(of.alias("of"), size.alias("n")).groupBy("of").agg(F.max("n").alias("most")).collect()}  # a row for each class
     for k in sorted(most) or [0]:
         joined = records.where(of == k).join(named, (F.col("id") == F.col("_rid")) & (F.col("payload_digest") == F.col("_digest")), "left")
         per_file = max(1, FILE_BYTES // max(1, CLASSES[k] if k < len(CLASSES) else most[k]))
