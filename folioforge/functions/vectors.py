@@ -15,10 +15,16 @@ def norm(a: Column) -> Column:
 
 
 def normalise(a: Column, epsilon: float = 0.0) -> Column:
-    """Length 1; a zero vector stays as it is (with an epsilon, every vector is divided)."""
-    if epsilon:
-        return F.transform(a, lambda x: x.cast("double") / (norm(a) + epsilon))
-    return F.when(norm(a) > 0, F.transform(a, lambda x: x.cast("double") / norm(a))).otherwise(F.transform(a, lambda x: x.cast("double")))
+    """Length 1; a zero vector stays as it is (with an epsilon, every vector is divided).
+
+    The norm is bound once for a vector, not computed for each of its components.
+    """
+
+    def by(n: Column) -> Column:
+        divide = lambda x: x.cast("double") / (n + epsilon if epsilon else n)
+        return F.transform(a, divide) if epsilon else F.when(n > 0, F.transform(a, divide)).otherwise(F.transform(a, lambda x: x.cast("double")))
+
+    return F.get(F.transform(F.array(norm(a)), by), F.lit(0))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -29,9 +29,12 @@ def totals_before(df: DataFrame, by: list[str], order: list[Column], sums: dict[
     """``df`` with, for each name of ``sums``, the total of that column over the rows with the same ``by`` that come before in ``order``.
 
     Rows are cut into ranges of (by, order), one for each partition.  Totals of the
-    ranges are added up first (a row for each range and key), and then each range
+    ranges are added up first (a row for each range and key; without ``by`` all rows
+    are one series), and then each range
     by itself, so that one long series is spread over many tasks.
     """
+    if not by:
+        return totals_before(df.withColumn("_all_rows", F.lit(0)), ["_all_rows"], order, sums).drop("_all_rows")
     named = df.withColumns({f"_of_{n}": c for n, c in sums.items()})
     pieces = cut(named.repartitionByRange(*[F.col(c) for c in by], *order).withColumn("_piece", F.spark_partition_id()))
     whole = pieces.groupBy(*by, "_piece").agg(*[F.sum(f"_of_{n}").alias(f"_all_{n}") for n in sums])

@@ -108,3 +108,18 @@ def rate_limited(df: DataFrame, key: str, ts: str, seconds: int, most: int) -> D
     """Flags the events beyond ``most`` in the seconds up to them."""
     w = Window.partitionBy(key).orderBy(F.unix_micros(F.col(ts).cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)
     return df.withColumn("in_window", F.count("*").over(w)).withColumn("limited", F.col("in_window") > most)
+
+
+def exponents(df: DataFrame, series: str, order: list[str], score: str, context: str) -> DataFrame:
+    """The exponent of a power law between two values of each series, from pairs of neighbours and from all points.
+
+    by_pairs is the mean of the slopes between neighbours in ``order`` on logarithmic
+    scales, by_regression the slope of least squares.  Points with a value that is
+    missing or not positive are left out, pairs whose contexts are equal too; null
+    where nothing is left.
+    """
+    good = df.where((F.col(score) > 0) & (F.col(context) > 0)).withColumns({"_y": F.ln(F.col(score).cast("double")), "_x": F.ln(F.col(context).cast("double"))})
+    w = Window.partitionBy(series).orderBy(*order)
+    steps = good.withColumns({"_dy": F.col("_y") - F.lag("_y").over(w), "_dx": F.col("_x") - F.lag("_x").over(w)})
+    slope = F.when(F.col("_dx") != 0, F.col("_dy") / F.col("_dx"))
+    return steps.groupBy(series).agg(F.count("*").alias("points"), F.count(slope).alias("pairs"), F.avg(slope).alias("by_pairs"), F.regr_slope("_y", "_x").alias("by_regression"))

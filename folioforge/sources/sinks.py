@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import Store
+from .store import ATTEMPTS, Conflict, Store
 
 
 def payloads(rows: DataFrame, folder: str, key: str) -> None:
@@ -28,7 +28,7 @@ def read_lines(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 
 def summary(points: DataFrame, series: str, value: str, folder: str) -> None:
     """Count, minimum, maximum and mean of each series as JSON lines, in place of the summary before."""
-    points.groupBy(series).agg(F.count("*").alias("count"), F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean")).coalesce(1).write.mode("overwrite").json(folder)
+    points.groupBy(series).agg(F.count("*").alias("count"), F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean")).write.mode("overwrite").json(folder)
 
 
 class Checkpoints:
@@ -39,10 +39,10 @@ class Checkpoints:
     def __init__(self, store: Store, table: str = "checkpoints"):
         self.store, self.table = store, table
 
-    def save(self, name: str, state: dict) -> None:
+    def save(self, name: str, state: dict, expected: int | None = None) -> None:
         number = self.store._read()[0] + 1
         row = self.store.spark.createDataFrame([(name, number, json.dumps(state, sort_keys=True))], self.SCHEMA)
-        self.store.commit({self.table: (row, ["name"])}, counted=False)
+        self.store.commit({self.table: (row, ["name"])}, counted=False, expected=expected)
 
     def load(self, name: str, default: dict | None = None) -> dict | None:
         if self.table not in self.store.manifest():
@@ -51,11 +51,20 @@ class Checkpoints:
         return json.loads(row.state) if row else default
 
     def add(self, name: str, **counts: int) -> dict:
-        """Add to counters of a state; counters that are not there begin at 0."""
-        state = self.load(name, {})
-        state = {**state, **{k: state.get(k, 0) + n for k, n in counts.items()}}
-        self.save(name, state)
-        return state
+        """Add to counters of a state; counters that are not there begin at 0.
+
+        A commit that another one came before is made again on what that has left, so that no count is lost.
+        """
+        for _ in range(ATTEMPTS):
+            number = self.store._read()[0]
+            state = self.load(name, {})
+            state = {**state, **{k: state.get(k, 0) + n for k, n in counts.items()}}
+            try:
+                self.save(name, state, expected=number)
+                return state
+            except Conflict:
+                continue
+        raise Conflict("other commits came first")
 
     def remove(self, name: str) -> None:
         if self.table in self.store.manifest():

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import json
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,10 @@ COMPACT = 16
 ATTEMPTS = 20
 
 
+class Conflict(RuntimeError):
+    """Another commit came first."""
+
+
 class Store:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -35,6 +40,7 @@ class Store:
         self._path = self._hadoop.Path
         self._fs = self._path(self.folder).getFileSystem(self._conf)
         self._fs.mkdirs(self._path(f"{self.folder}/manifests"))
+        self._fresh: list[str] = []  # parts of the commit that is under way
 
     def _read(self) -> tuple[int, dict]:
         """The number of the newest manifest (-1 if there is none) and its tables."""
@@ -74,33 +80,61 @@ class Store:
             changed = change(now)
             if self._publish(number, changed):
                 return changed
-        raise RuntimeError("another commit came first")
+        raise Conflict("another commit came first")
 
     def _table(self, entry: dict | None) -> DataFrame | None:
         if entry is None:
             return None
-        parts = [(self.spark.read.parquet(path), kind) for path, kind in entry["parts"]]
+        held: list[tuple[DataFrame, str]] = []
+        for path, kind, *columns in entry["parts"]:
+            part = self.spark.read.parquet(path)
+            if kind == "without":  # takes the rows before it that belong to one of its parents
+                held = [(self._newest(held, entry["keys"]).join(part, columns[0], "left_anti"), "rows")] if held else []
+            else:
+                held.append((part, kind))
+        return self._newest(held, entry["keys"]) if held else None
+
+    @staticmethod
+    def _newest(parts: list[tuple[DataFrame, str]], keys: list[str]) -> DataFrame:
+        """Of each key the row of the newest part, unless it is gone there."""
         if len(parts) == 1 and parts[0][1] == "rows":
             return parts[0][0]
         marked = [df.withColumns({"_part": F.lit(i), "_gone": F.lit(kind == "gone")}) for i, (df, kind) in enumerate(parts)]
         every = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
-        return latest_per_key(every, entry["keys"], [F.desc("_part")]).where("not _gone").drop("_part", "_gone")
+        return latest_per_key(every, keys, [F.desc("_part")]).where("not _gone").drop("_part", "_gone")
 
     def table(self, name: str) -> DataFrame | None:
         return self._table(self.manifest().get(name))
 
     def _written(self, name: str, rows: DataFrame) -> str:
         path = f"{self.folder}/tables/{name}/{uuid.uuid4().hex}"
+        self._fresh.append(path)
         rows.write.parquet(path)
         return path
 
-    def commit(self, changes: dict[str, tuple], *, counted: bool = True, expected: int | None = None) -> dict[str, int]:
+    def commit(self, changes: dict[str, tuple], *, counted: bool = True, expected: int | None = None, replacing: dict[str, DataFrame] | None = None) -> dict[str, int]:
         """Upsert several tables at once: name -> (rows, key columns[, order columns]); returns the rows of each table if ``counted``.
 
         A row takes the place of the stored one with its key (null equals null).  Of
         several new rows with one key the last in the order columns stays (without
         them: in the order of all columns).
+
+        replacing: name -> frame of parent columns; the stored rows of that table with
+        one of these parents go in the same commit, before the new ones are there.
+        A commit that fails leaves nothing: what it has written is deleted.
         """
+        try:
+            return self._commit(changes, counted, expected, replacing or {})
+        except BaseException:
+            for path in self._fresh:
+                self._fs.delete(self._path(path), True)
+            raise
+        finally:
+            self._fresh = []
+
+    def _commit(self, changes: dict[str, tuple], counted: bool, expected: int | None, replacing: dict[str, DataFrame]) -> dict[str, int]:
+        self._fresh = []
+        without = {name: (self._written(name, parents.distinct()), list(parents.columns)) for name, parents in replacing.items()}
         new = {}
         for name, (rows, keys, *order) in changes.items():
             by = order[0] if order else [c for c in rows.columns if c not in keys]
@@ -113,10 +147,15 @@ class Store:
                 entry = out.get(name, {"keys": keys, "parts": []})
                 if entry["keys"] != keys:
                     raise ValueError(f"the keys of {name} are {entry['keys']}")
-                out[name] = {"keys": keys, "parts": [*entry["parts"], [path, "rows"]]}
+                gone = [[without[name][0], "without", without[name][1]]] if name in without and entry["parts"] else []
+                out[name] = {"keys": keys, "parts": [*entry["parts"], *gone, [path, "rows"]]}
+            for name in set(without) - set(new):
+                if name in out:
+                    out[name] = {**out[name], "parts": [*out[name]["parts"], [without[name][0], "without", without[name][1]]]}
             return out
 
         now = self._change(change, expected)
+        self._fresh = []  # named by a manifest: theirs to keep
         for name in new:
             if len(now[name]["parts"]) >= COMPACT:
                 self.compact(name)
@@ -187,6 +226,29 @@ class Store:
             self._change(lambda now: {k: v for k, v in now.items() if k != name})
         return found
 
+    def vacuum(self, keep: int = 2, seconds: float = 3600.0) -> int:
+        """Delete parts that none of the last ``keep`` manifests names and that are older than ``seconds``, and manifests before those; returns how many parts went.
+
+        Commits that are under way have parts that no manifest names yet: ``seconds`` is
+        longer than any of them takes, and than a reader of an older manifest reads.
+        """
+        folder = self._path(f"{self.folder}/manifests")
+        files = sorted((s.getPath() for s in self._fs.listStatus(folder) if s.getPath().getName().endswith(".json")), key=lambda p: p.getName())
+        named = set()
+        for path in files[-keep:]:
+            text = "\n".join(r.value for r in self.spark.read.text(path.toString()).collect())
+            named |= {part[0].rsplit("/", 1)[-1] for entry in json.loads(text).values() for part in entry["parts"]}
+        before, gone = time.time() * 1000 - seconds * 1000, 0
+        tables = self._path(f"{self.folder}/tables")
+        for table in self._fs.listStatus(tables) if self._fs.exists(tables) else []:
+            for part in self._fs.listStatus(table.getPath()):
+                if part.getPath().getName() not in named and part.getModificationTime() < before:
+                    self._fs.delete(part.getPath(), True)
+                    gone += 1
+        for path in files[:-keep]:
+            self._fs.delete(path, False)
+        return gone
+
     def counts(self, names: list[str]) -> dict[str, int]:
         now = self.manifest()
         return {n: (0 if (t := self._table(now.get(n))) is None else t.count()) for n in names}
@@ -204,6 +266,19 @@ def chunk_tables(papers: DataFrame, chunks: DataFrame, *, paper_key: str = "_key
     return {"papers": (known, [paper_key]), "chunks": (own.drop("embedding"), ["chunk_key"]), "embeddings": (vectors, ["chunk_key"])}
 
 
+def write_papers(store: Store, papers: DataFrame, chunks: DataFrame, structures: DataFrame | None = None, *, paper_key: str = "_key") -> dict[str, int]:
+    """Papers with their chunks, embeddings and structures in one commit: what was stored of these papers before goes, so a paper that shrank keeps no old chunk.
+
+    structures: rows (paper_key, kind, position, content), such as equations, tables and images.
+    """
+    changes = chunk_tables(papers, chunks, paper_key=paper_key)
+    parents = changes["papers"][0].select(paper_key).distinct()
+    if structures is not None:
+        own = structures.join(parents, paper_key, "left_semi")
+        changes["structures"] = (own, [paper_key, "kind", "position"])
+    return store.commit(changes, replacing={name: parents for name in ("chunks", "embeddings", "structures") if name in changes or name in store.manifest()})
+
+
 def read_only(spark: SparkSession, statement: str) -> DataFrame:
     """Run a statement that does not write; others are refused."""
     words = set("".join(ch if ch.isalpha() else " " for ch in statement.upper()).split())
