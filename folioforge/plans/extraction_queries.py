@@ -1,4 +1,7 @@
-"""Queries on LaTeX, bibliographies and code. In the fixtures @ stands for a backslash and ~ for a line end."""
+"""Queries on LaTeX, bibliographies and code, made of every document in Spark and in SQL alike: its text stands in one of several frames.
+
+In the frames @ is a backslash, ~ a line end and # the letters of the text.
+"""
 
 from __future__ import annotations
 
@@ -9,42 +12,42 @@ from ..functions import bibliography as B
 from ..functions import code as K
 from ..functions import latex as L
 from ..operators import search as S
-from .registry import query, table
+from .registry import derived, duck, query, table
 
-_TEX = """SELECT id, replace(replace(t, '@', chr(92)), '~', chr(10)) AS tex FROM (VALUES
-(1, 'A @begin{equation}@label{eq:a} x^2 @end{equation} and @begin{equation*} y @end{equation*} with $xy$ and $z$ @cite{k1, k2} @citep{k2,k3} @cite[p. 3]{no}'),
-(2, '@section{Intro} text ~@subsection{More} @begin{align} a &= b @label{eq:b}~@end{align} @paragraph{P}'),
-(3, '@begin{table}@caption{A {nested} one}@label{t:1}@begin{tabular}{ll} a & b @end{tabular}@end{table} @begin{table*}@begin{array}{c} q @end{array}@end{table*}'),
-(4, ''), (5, '@subsubsection{Deep} @section{A} @section{B}@paragraph{é}@section*{no} @begin{table}@label{only}x@end{table}')) AS v(id, t)"""
+_TEX = """SELECT doc_id AS id, replace(replace(replace(t, '@', chr(92)), '~', chr(10)), '#', PLAIN(text)) AS tex FROM documents JOIN (VALUES
+(1, 'A @begin{equation}@label{eq:a} x^2 # @end{equation} and @begin{equation*} y @end{equation*} with $xy$ and $z$ @cite{k1, k2} @citep{k2,k3} @cite[p. 3]{no}'),
+(2, '@section{Intro} # ~@subsection{More} @begin{align} a &= b # @label{eq:b}~@end{align} @paragraph{P}'),
+(3, '@begin{table}@caption{A {nested #} one}@label{t:1}@begin{tabular}{ll} a & b @end{tabular}@end{table} @begin{table*}@begin{array}{c} q @end{array}@end{table*}'),
+(4, '#'), (5, '# @subsubsection{Deep} @section{A} @section{B}@paragraph{é}@section*{no} @begin{table}@label{only}#@end{table}')) AS v(k, t) ON k = doc_id % 5 + 1"""
 
 
-@query(rf"""WITH f AS ({_TEX}), e AS (
+@query(duck(rf"""WITH f AS ({_TEX}), e AS (
 SELECT id, 0 AS g, 'display' AS type, unnest(regexp_extract_all(tex, '(?s)\\begin\{{equation\}}(.*?)\\end\{{equation\}}', 1)) AS x FROM f UNION ALL
 SELECT id, 1, 'display_unnumbered', unnest(regexp_extract_all(tex, '(?s)\\begin\{{equation\*\}}(.*?)\\end\{{equation\*\}}', 1)) FROM f UNION ALL
 SELECT id, 2, 'align', unnest(regexp_extract_all(tex, '(?s)\\begin\{{align\*?\}}(.*?)\\end\{{align\*?\}}', 1)) FROM f UNION ALL
 SELECT id, 3, 'inline', unnest(regexp_extract_all(tex, '\$([^$]{{2,200}})\$', 1)) FROM f)
-SELECT id, type, CASE WHEN g = 3 THEN x ELSE trim(regexp_replace(x, '\\label\{{[^}}]+\}}', '', 'g'), ' ' || chr(10)) END AS latex, CASE WHEN g IN (0, 2) THEN nullif(regexp_extract(x, '\\label\{{([^}}]+)\}}', 1), '') END AS label FROM e""")
+SELECT id, type, CASE WHEN g = 3 THEN x ELSE trim(regexp_replace(x, '\\label\{{[^}}]+\}}', '', 'g'), ' ' || chr(10)) END AS latex, CASE WHEN g IN (0, 2) THEN nullif(regexp_extract(x, '\\label\{{([^}}]+)\}}', 1), '') END AS label FROM e"""))
 def latex_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_TEX).select("id", F.explode(L.equations(F.col("tex"))).alias("e")).select("id", "e.type", "e.latex", "e.label")
+    return derived(spark, sf_dir, _TEX).select("id", F.explode(L.equations(F.col("tex"))).alias("e")).select("id", "e.type", "e.latex", "e.label")
 
 
-@query(rf"""WITH f AS ({_TEX}), c AS (SELECT id, list_transform(flatten(list_transform(regexp_extract_all(tex, '\\cite[pt]?\{{([^}}]+)\}}', 1), lambda x: string_split(x, ','))), lambda y: trim(y)) AS k FROM f)
-SELECT id, array_to_string(list_filter(k, lambda x, i: list_position(k, x) = i), '|') AS keys FROM c""")
+@query(duck(rf"""WITH f AS ({_TEX}), c AS (SELECT id, list_transform(flatten(list_transform(regexp_extract_all(tex, '\\cite[pt]?\{{([^}}]+)\}}', 1), lambda x: string_split(x, ','))), lambda y: trim(y)) AS k FROM f)
+SELECT id, array_to_string(list_filter(k, lambda x, i: list_position(k, x) = i), '|') AS keys FROM c"""))
 def latex_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_TEX).select("id", F.array_join(L.citations(F.col("tex")), "|").alias("keys"))
+    return derived(spark, sf_dir, _TEX).select("id", F.array_join(L.citations(F.col("tex")), "|").alias("keys"))
 
 
-@query(rf"""WITH f AS ({_TEX}), m AS (SELECT id, tex, unnest(regexp_extract_all(tex, '\\(section|subsection|subsubsection|paragraph)\{{[^}}]+\}}')) AS m FROM f)
-SELECT id, regexp_extract(m, '^.([a-z]+)', 1) AS level, regexp_extract(m, '\{{([^}}]+)', 1) AS title, (strpos(tex, m) - 1)::INT AS position FROM m""")
+@query(duck(rf"""WITH f AS ({_TEX}), m AS (SELECT id, tex, unnest(regexp_extract_all(tex, '\\(section|subsection|subsubsection|paragraph)\{{[^}}]+\}}')) AS m FROM f)
+SELECT id, regexp_extract(m, '^.([a-z]+)', 1) AS level, regexp_extract(m, '\{{([^}}]+)', 1) AS title, (strpos(tex, m) - 1)::INT AS position FROM m"""))
 def latex_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_TEX).select("id", F.explode(L.sections(F.col("tex"))).alias("s")).select("id", "s.level", "s.title", "s.position")
+    return derived(spark, sf_dir, _TEX).select("id", F.explode(L.sections(F.col("tex"))).alias("s")).select("id", "s.level", "s.title", "s.position")
 
 
-@query(rf"""WITH f AS ({_TEX}), a AS (SELECT id, regexp_extract_all(tex, '(?s)\\begin\{{table\*?\}}(.*?)\\end\{{table\*?\}}', 1) AS a FROM f), t AS (SELECT id, i - 1 AS pos, a[i] AS x FROM (SELECT id, a, unnest(generate_series(1, len(a))) AS i FROM a))
+@query(duck(rf"""WITH f AS ({_TEX}), a AS (SELECT id, regexp_extract_all(tex, '(?s)\\begin\{{table\*?\}}(.*?)\\end\{{table\*?\}}', 1) AS a FROM f), t AS (SELECT id, i - 1 AS pos, a[i] AS x FROM (SELECT id, a, unnest(generate_series(1, len(a))) AS i FROM a))
 SELECT id, pos::INT AS pos, nullif(regexp_extract(x, '\\caption\{{((?:[^{{}}]|\{{[^}}]*\}})*)\}}', 1), '') AS caption, nullif(regexp_extract(x, '\\label\{{([^}}]+)\}}', 1), '') AS label,
-nullif(coalesce(nullif(regexp_extract(x, '\\begin\{{tabular\}}\{{([^}}]+)\}}', 1), ''), regexp_extract(x, '\\begin\{{array\}}\{{([^}}]+)\}}', 1)), '') AS column_spec FROM t""")
+nullif(coalesce(nullif(regexp_extract(x, '\\begin\{{tabular\}}\{{([^}}]+)\}}', 1), ''), regexp_extract(x, '\\begin\{{array\}}\{{([^}}]+)\}}', 1)), '') AS column_spec FROM t"""))
 def latex_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_TEX).select("id", F.posexplode(L.tables(F.col("tex"))).alias("pos", "t")).select("id", "pos", "t.caption", "t.label", "t.column_spec")
+    return derived(spark, sf_dir, _TEX).select("id", F.posexplode(L.tables(F.col("tex"))).alias("pos", "t")).select("id", "pos", "t.caption", "t.label", "t.column_spec")
 
 
 @query(r"SELECT doc_id, len(regexp_extract_all(text, '\$([^$]{2,200})\$', 1))::INT AS n, md5(array_to_string(regexp_extract_all(text, '\$([^$]{2,200})\$', 1)[1:100], '|')) AS digest FROM documents")
@@ -53,12 +56,12 @@ def inline_math(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.size(every).alias("n"), F.md5(F.array_join(F.slice(every, 1, L.INLINE_LIMIT), "|")).alias("digest"))
 
 
-_BIB = """SELECT id, replace(t, '~', chr(10)) AS text FROM (VALUES
-('p1', 'References~[1] Smith, J. and Doe, A. "A long title about graphs". In Conference on Graphs, 2019. arXiv:1901.12345~[2] Too short~[3] Brown, B. Study of numbers and their many uses. Journal 2020. doi: 10.1145/12345.678'),
-('p2', 'Bibliography~Knuth, D. The art of programming in several volumes. 1968.~~Smith et al. _An italic title here for all_ Proceedings of Something Big 2001~~tiny'),
-('p3', 'Works Cited~Alpha and Beta wrote a long paper of~many words that goes on and on for a while, 1999~Gamma wrote another~of them in a very long line indeed that lasts, 2005'),
-('p4', ''), ('p5', 'Literature Cited~[7] PMID: 12345 exactly twenty~[8] exactly twenty-one!!~[9] Lee et al. *Starred titles are read as well here* SSRN: 998877, Proceedings of The Tenth Meeting, 2011'),
-('p6', 'No header here, but a paragraph of well over thirty characters.~~exactly thirty characters, ok!~~thirty-one characters this is!!')) AS v(id, t)"""
+_BIB = """SELECT 'd' || doc_id AS id, replace(replace(t, '~', chr(10)), '#', PLAIN(text)) AS text FROM documents JOIN (VALUES
+(1, 'References~[1] Smith, J. and Doe, A. "A long title about graphs". In Conference on Graphs, 2019. arXiv:1901.12345~[2] Too short~[3] Brown, B. Study of numbers and their many uses. Journal 2020. doi: 10.1145/12345.678~[4] # in all of it, 2011'),
+(2, 'Bibliography~Knuth, D. The art of programming in several volumes. 1968.~~Smith et al. _An italic title here for all_ Proceedings of Something Big 2001~~tiny~~# and so on, 1999'),
+(3, 'Works Cited~Alpha and Beta wrote a long paper of~many words that goes on and on for a while, 1999~Gamma wrote another~of them in a very long line indeed that lasts, 2005~And # last'),
+(4, ''), (5, 'Literature Cited~[7] PMID: 12345 exactly twenty~[8] exactly twenty-one!!~[9] Lee et al. *Starred titles are read as well here* SSRN: 998877, Proceedings of The Tenth Meeting, 2011~[10] #'),
+(6, 'No header here, but a paragraph of well over thirty characters.~~exactly thirty characters, ok!~~thirty-one characters this is!!~~#')) AS v(k, t) ON k = doc_id % 6 + 1"""
 
 _HEADER = "'(?i)^(References|Bibliography|Works Cited|Literature Cited)\\s*\\n?'"
 
@@ -86,28 +89,28 @@ sure AS (SELECT *, round(least(1.0::DOUBLE, 0.3 + CASE WHEN coalesce(arxiv_id, d
 _FIELD_NAMES = ("arxiv_id", "doi", "pmid", "ssrn_id", "year", "title", "venue", "confidence")
 
 
-@query(f"""WITH RECURSIVE f AS ({_BIB}), {_entries_sql('f')}, {_FIELDS_SQL}
-SELECT paper, number, {', '.join(_FIELD_NAMES)}, array_to_string(authors, '|') AS authors FROM sure""")
+@query(duck(f"""WITH RECURSIVE f AS ({_BIB}), {_entries_sql('f')}, {_FIELDS_SQL}
+SELECT paper, number, {', '.join(_FIELD_NAMES)}, array_to_string(authors, '|') AS authors FROM sure"""))
 def biblio_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.sql(_BIB).select(F.col("id").alias("paper"), F.explode(B.entries(F.col("text"))).alias("e")).select("paper", "e.number", B.fields(F.col("e.raw")).alias("f"))
+    e = derived(spark, sf_dir, _BIB).select(F.col("id").alias("paper"), F.explode(B.entries(F.col("text"))).alias("e")).select("paper", "e.number", B.fields(F.col("e.raw")).alias("f"))
     return e.select("paper", "number", *[f"f.{n}" for n in _FIELD_NAMES], F.array_join("f.authors", "|").alias("authors"))
 
 
-_CITED = "SELECT * FROM (VALUES ('p1', 'As shown in [1] and [3, 2], but see [9].'), ('p2', 'Only [2].'), ('p3', 'None here [x].')) AS v(paper, body)"
+_CITED = "SELECT 'd' || doc_id AS paper, replace(t, '#', PLAIN(text)) AS body FROM documents JOIN (VALUES (1, 'As shown in [1] and [3, 2], but see [9]. #'), (2, '# Only [2].'), (3, 'None here [x]. #')) AS v(k, t) ON k = doc_id % 3 + 1"
 
 
-@query(rf"""WITH RECURSIVE f AS ({_BIB}), {_entries_sql('f')}, cited AS (SELECT paper, trim(unnest(flatten(list_transform(regexp_extract_all(body, '\[(\d+(?:\s*,\s*\d+)*)\]', 1), lambda x: string_split(x, ','))))) AS number FROM ({_CITED}))
-SELECT c.paper, c.number, e.raw IS NOT NULL AS found FROM cited c LEFT JOIN entry e ON e.paper = c.paper AND e.number = c.number""")
+@query(duck(rf"""WITH RECURSIVE f AS ({_BIB}), {_entries_sql('f')}, cited AS (SELECT paper, trim(unnest(flatten(list_transform(regexp_extract_all(body, '\[(\d+(?:\s*,\s*\d+)*)\]', 1), lambda x: string_split(x, ','))))) AS number FROM ({_CITED}))
+SELECT c.paper, c.number, e.raw IS NOT NULL AS found FROM cited c LEFT JOIN entry e ON e.paper = c.paper AND e.number = c.number"""))
 def cite_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cited = spark.sql(_CITED).select("paper", F.explode(B.in_text(F.col("body"))).alias("number"))
-    entries = spark.sql(_BIB).select(F.col("id").alias("paper"), F.explode(B.entries(F.col("text"))).alias("e")).select("paper", "e.number", "e.raw")
+    cited = derived(spark, sf_dir, _CITED).select("paper", F.explode(B.in_text(F.col("body"))).alias("number"))
+    entries = derived(spark, sf_dir, _BIB).select(F.col("id").alias("paper"), F.explode(B.entries(F.col("text"))).alias("e")).select("paper", "e.number", "e.raw")
     return S.resolve_citations(cited, entries).select("paper", "number", F.col("raw").isNotNull().alias("found"))
 
 
-_SECTIONS = """SELECT id, replace(t, '~', chr(10)) AS text FROM (VALUES ('a', 'Body text.~References~[1] One entry that is long enough to be counted here.~~Appendix follows'), ('b', 'No such part'), ('c', 'References short'),
-('d', 'Text.~Works Cited~[1] Alpha, A. "A title that is long enough" In Some Long Venue Name, 2001.~[2] short one~[3] Beta, B. Another study of things and their many uses. Nature 1999. doi: 10.1000/xyz'),
-('e', 'Bibliography: a heading whose rest goes on until the end of the text, with 2003 in it'), ('f', repeat('word ', 30) || '~[1] ' || repeat('first entry text ', 8) || '~[2] ' || repeat('second entry text ', 8)),
-('g', repeat('x ', 20) || '~Adams, 1990 one~Brown, 1991 two~Clark, 1992 three~Davis et al., 1993 four~Evans, 1994 five~tail')) AS v(id, t)"""
+_SECTIONS = """SELECT 'd' || doc_id AS id, replace(replace(t, '~', chr(10)), '#', PLAIN(text)) AS text FROM documents JOIN (VALUES (1, '# Body text.~References~[1] One entry that is long enough to be counted here.~~Appendix follows'), (2, 'No such part #'), (3, '# ~~References short'),
+(4, '# Text.~Works Cited~[1] Alpha, A. "A title that is long enough" In Some Long Venue Name, 2001.~[2] short one~[3] Beta, B. Another study of things and their many uses. Nature 1999. doi: 10.1000/xyz'),
+(5, '#~Bibliography: a heading whose rest goes on until the end of the text, with 2003 in it'), (6, '#' || repeat('word ', 30) || '~[1] ' || repeat('first entry text ', 8) || '~[2] ' || repeat('second entry text ', 8)),
+(7, '# ' || repeat('x ', 20) || '~Adams, 1990 one~Brown, 1991 two~Clark, 1992 three~Davis et al., 1993 four~Evans, 1994 five~tail')) AS v(k, t) ON k = doc_id % 7 + 1"""
 
 #: The section by its headings (a look-ahead at the next paragraph is a match that is cut off again), then by its numbers, then by authors and years.
 _SECTION_SQL = r"""try1 AS (SELECT id, text, regexp_replace(regexp_extract(text, '(?is)\b(References|Bibliography|Works Cited|Literature Cited)\b.*?(\n\n[a-z][a-z]+|\z)', 0), '(?s)\n\n[A-Za-z]{2,}$', '') AS s1, regexp_replace(regexp_extract(text, '(?is)\b(References|Bibliography)\b(.*?)(\n\n|\z)', 0), '(?s)\n\n$', '') AS s2,
@@ -115,35 +118,35 @@ regexp_replace(regexp_extract(right(text, 8000), '(?s)\[\d+\].*?(\n\n[A-Z][a-z]+
 section AS (SELECT id, CASE WHEN length(s1) > 50 THEN s1 WHEN length(s2) > 50 THEN s2 WHEN length(s3) > 200 THEN s3 ELSE nullif(s4, '') END AS section FROM try1)"""
 
 
-@query(f"WITH papers AS ({_SECTIONS}), {_SECTION_SQL} SELECT id, section FROM section")
+@query(duck(f"WITH papers AS ({_SECTIONS}), {_SECTION_SQL} SELECT id, section FROM section"))
 def biblio_section(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_SECTIONS).select("id", B.section(F.col("text")).alias("section"))
+    return derived(spark, sf_dir, _SECTIONS).select("id", B.section(F.col("text")).alias("section"))
 
 
-@query(f"""WITH RECURSIVE papers AS ({_SECTIONS}), {_SECTION_SQL}, headed AS (SELECT id, coalesce(section, '') AS text FROM section), {_entries_sql('headed')}, {_FIELDS_SQL}
-SELECT paper, number, {', '.join(_FIELD_NAMES)} FROM sure""")
+@query(duck(f"""WITH RECURSIVE papers AS ({_SECTIONS}), {_SECTION_SQL}, headed AS (SELECT id, coalesce(section, '') AS text FROM section), {_entries_sql('headed')}, {_FIELDS_SQL}
+SELECT paper, number, {', '.join(_FIELD_NAMES)} FROM sure"""))
 def biblio_of_paper(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section, entries and fields of each paper, one after the other."""
-    e = spark.sql(_SECTIONS).select(F.col("id").alias("paper"), F.explode(B.of_paper(F.col("text"))).alias("e"))
+    e = derived(spark, sf_dir, _SECTIONS).select(F.col("id").alias("paper"), F.explode(B.of_paper(F.col("text"))).alias("e"))
     return e.select("paper", "e.number", *[f"e.fields.{n}" for n in _FIELD_NAMES])
 
 
-_CODE = """SELECT path, replace(t, '~', chr(10)) AS content FROM (VALUES ('a/x.py', 'import os~from a import b~~class A:~    def f(self):~        pass~def g():~    return 1~'),
-('b/y.ts', 'import x from "y"~function a() { return (z) => z }~class B { }'), ('C.java', 'import java.util.List;~public class C { class D { } }~class E~{ }'), ('noext', 'plain'), ('e.py', ''),
-('d/z.JS', '  class X {~const f = require("f"); let import = 1~subclass Y~'), ('f.py', 'x = \"\"\"doc\"\"\"~  importing~  import z'), ('g.cs', 'class Z { }'), ('.env', 'A=1'), ('k/m.env', 'A=1~~'), ('q.jl', 'import X')) AS v(path, t)"""
+_CODE = """SELECT 'p' || doc_id || '/' || path AS path, replace(replace(t, '~', chr(10)), '#', PLAIN(text)) AS content FROM documents JOIN (VALUES (0, 'a/x.py', 'import os~from a import b~~class A:~    def f(self):~        pass~def g():~    return "#"~'),
+(1, 'b/y.ts', 'import x from "y"~function a() { return (z) => z }~class B { } // #'), (2, 'C.java', 'import java.util.List;~public class C { class D { } } /* # */~class E~{ }'), (3, 'noext', '# plain'), (4, 'e.py', ''),
+(5, 'd/z.JS', '  class X {~const f = require("f"); let import = 1~subclass Y~'), (6, 'f.py', 'x = \"\"\"doc #\"\"\"~  importing~  import z'), (7, 'g.cs', 'class Z { }'), (8, '.env', 'A=1'), (9, 'k/m.env', 'A=#~~'), (10, 'q.jl', 'import X #')) AS v(k, path, t) ON k = doc_id % 11"""
 
 
-@query(rf"""WITH c AS (SELECT path, content, lower(regexp_extract(path, '[^/]\.([^./]+)$', 1)) AS x, CASE WHEN content = '' THEN [] ELSE string_split(regexp_replace(content, '\n$', ''), chr(10)) END AS l FROM ({_CODE})),
+@query(duck(rf"""WITH c AS (SELECT path, content, lower(regexp_extract(path, '[^/]\.([^./]+)$', 1)) AS x, CASE WHEN content = '' THEN [] ELSE string_split(regexp_replace(content, '\n$', ''), chr(10)) END AS l FROM ({_CODE})),
 k AS (SELECT *, x IN ('js', 'jsx', 'ts', 'tsx') AS script FROM c)
 SELECT path, [{', '.join(f"'{v}'" for v in K.LANGUAGES.values())}][list_position([{', '.join(f"'{v}'" for v in K.LANGUAGES)}], x)] AS language, len(l)::INT AS lines, length(content)::INT AS chars,
 CASE WHEN x = 'py' THEN len(list_filter(l, lambda y: regexp_matches(y, '^\s*(import|from) '))) WHEN script THEN len(list_filter(l, lambda y: contains(y, 'import ') OR contains(y, 'require('))) WHEN x = 'java' THEN len(list_filter(l, lambda y: regexp_matches(y, '^\s*import '))) ELSE 0 END::INT AS imports,
 CASE WHEN x = 'py' THEN len(list_filter(l, lambda y: regexp_matches(y, '^\s*def '))) WHEN script THEN len(regexp_extract_all(content, 'function ')) + len(regexp_extract_all(content, '=>')) ELSE 0 END::INT AS functions,
 CASE WHEN x = 'py' OR script THEN len(list_filter(l, lambda y: regexp_matches(y, '^\s*class '))) WHEN x = 'java' THEN len(list_filter(l, lambda y: contains(y, 'class ') AND contains(y, '{{'))) ELSE 0 END::INT AS classes,
-x = 'py' AND (contains(content, repeat(chr(34), 3)) OR contains(content, repeat(chr(39), 3))) AS has_docstring FROM k""")
+x = 'py' AND (contains(content, repeat(chr(34), 3)) OR contains(content, repeat(chr(39), 3))) AS has_docstring FROM k"""))
 def code_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_CODE).select("path", K.metadata(F.col("path"), F.col("content")).alias("m")).select("path", "m.*")
+    return derived(spark, sf_dir, _CODE).select("path", K.metadata(F.col("path"), F.col("content")).alias("m")).select("path", "m.*")
 
 
-@query(r"""WITH w AS (SELECT path, regexp_extract_all(content, '\b([A-Za-z_][A-Za-z0-9_]{2,})\b', 1) AS k FROM (""" + _CODE + r""")) SELECT path, array_to_string(list_filter(k, lambda x, i: list_position(k, x) = i)[1:100], '|') AS names FROM w""")
+@query(duck(r"""WITH w AS (SELECT path, regexp_extract_all(content, '\b([A-Za-z_][A-Za-z0-9_]{2,})\b', 1) AS k FROM (""" + _CODE + r""")) SELECT path, array_to_string(list_filter(k, lambda x, i: list_position(k, x) = i)[1:100], '|') AS names FROM w"""))
 def code_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_CODE).select("path", F.array_join(K.identifiers(F.col("content")), "|").alias("names"))
+    return derived(spark, sf_dir, _CODE).select("path", F.array_join(K.identifiers(F.col("content")), "|").alias("names"))

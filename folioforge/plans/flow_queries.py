@@ -54,11 +54,11 @@ def heartbeat_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guards.guarded(e.select(F.col("user_id").cast("string").alias("agent"), micros.cast("long").alias("at"), F.col("event_id").alias("seq"), (F.col("event_type") != "signup").alias("heartbeat")))
 
 
-@query("""WITH g AS (SELECT l_shipmode AS series, l_orderkey, l_linenumber, ln(l_extendedprice::DOUBLE) AS y, ln(l_quantity::DOUBLE) AS x FROM lineitem WHERE l_extendedprice > 0 AND l_quantity > 0),
+@query("""WITH g AS (SELECT l_suppkey AS series, l_orderkey, l_linenumber, ln(l_extendedprice::DOUBLE) AS y, ln(l_quantity::DOUBLE) AS x FROM lineitem WHERE l_extendedprice > 0 AND l_quantity > 0),
 s AS (SELECT *, y - lag(y) OVER w AS dy, x - lag(x) OVER w AS dx FROM g WINDOW w AS (PARTITION BY series ORDER BY l_orderkey, l_linenumber, y, x)), t AS (SELECT *, CASE WHEN dx <> 0 THEN dy / dx END AS slope FROM s)
 SELECT series, count(*) AS points, count(slope) AS pairs, round(avg(slope), 6) AS by_pairs, round(regr_slope(y, x), 6) AS by_regression FROM t GROUP BY series""")
 def context_exponents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exponent of price by quantity for each way of shipping, by pairs and by regression."""
+    """The exponent of price by quantity for each supplier, by pairs and by regression."""
     lines = table(spark, sf_dir, "lineitem")
-    out = metrics.exponents(lines, "l_shipmode", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"], "l_extendedprice", "l_quantity")
-    return out.select(F.col("l_shipmode").alias("series"), "points", "pairs", F.round("by_pairs", 6).alias("by_pairs"), F.round("by_regression", 6).alias("by_regression"))
+    out = metrics.exponents(lines, "l_suppkey", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"], "l_extendedprice", "l_quantity")
+    return out.select(F.col("l_suppkey").alias("series"), "points", "pairs", F.round("by_pairs", 6).alias("by_pairs"), F.round("by_regression", 6).alias("by_regression"))
