@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import chunks as C
-from .registry import query, table
+from .registry import derived, duck, query, table
 
 _TOKENS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"
 _CHUNK = "doc_id, chunk_index::INT AS chunk_index, CASE WHEN s > 0 THEN length(array_to_string(t[1:s], ' ')) + 1 ELSE 0 END::INT AS start_char, s::INT AS first_token, least(s + {w}, n)::INT AS end_token, md5(array_to_string(t[s + 1:s + {w}], ' ')) AS digest"
@@ -93,13 +93,14 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.size(s).alias("n"), F.md5(F.array_join(s, "\x02")).alias("digest"))
 
 
-_PARAGRAPHS = "SELECT id, replace(t, '~', chr(10)) AS text FROM (VALUES (1, 'one~~two~~~~three'), (2, 'single'), (3, ''), (4, '~~a b ~~  ~~c~d')) AS v(id, t)"
+#: Every document with line ends in its text and a frame around it; ~ is a line end, # the letters of the text.
+_PARAGRAPHS = "SELECT doc_id AS id, replace(replace(t, '#', replace(PLAIN(text), ' e', '~~ e')), '~', chr(10)) AS text FROM documents JOIN (VALUES (1, 'one~~#~~~~three'), (2, '#'), (3, ''), (4, '~~a b ~~  ~~#~d')) AS v(k, t) ON k = doc_id % 4 + 1"
 
 
-@query(rf"""WITH p AS (SELECT id, list_filter(list_transform(regexp_split_to_array(text, '\n\n+'), lambda x: trim(x, chr(32) || chr(10))), lambda x: x <> '') AS p FROM ({_PARAGRAPHS}))
-SELECT id, i::INT AS pos, p[i + 1] AS paragraph FROM (SELECT id, p, unnest(generate_series(0, len(p) - 1)) AS i FROM p WHERE len(p) > 0)""")
+@query(duck(rf"""WITH p AS (SELECT id, list_filter(list_transform(regexp_split_to_array(text, '\n\n+'), lambda x: trim(x, chr(32) || chr(10))), lambda x: x <> '') AS p FROM ({_PARAGRAPHS}))
+SELECT id, i::INT AS pos, p[i + 1] AS paragraph FROM (SELECT id, p, unnest(generate_series(0, len(p) - 1)) AS i FROM p WHERE len(p) > 0)"""))
 def paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_PARAGRAPHS).select("id", F.posexplode(X.paragraphs(F.col("text"))).alias("pos", "paragraph"))
+    return derived(spark, sf_dir, _PARAGRAPHS).select("id", F.posexplode(X.paragraphs(F.col("text"))).alias("pos", "paragraph"))
 
 
 @query(r"SELECT doc_id, md5(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS digest FROM documents")
@@ -112,7 +113,8 @@ def page_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", X.store_key(F.col("url")).alias("key"), X.id_of_url(F.col("url")).alias("segment"))
 
 
-_IDS = "SELECT * FROM (VALUES ('2301.00303'), ('2301.00303v2'), ('cs/0601001'), ('math.GT/0309136v1'), ('cs.AI/0601001'), ('bad id'), ('2301.123'), ('hep-th/9901001v3'), ('a.b/1234567'), ('2301.00303v1v2')) AS v(id)"
+#: An identifier for every document, of one of several forms.
+_IDS = "SELECT replace(t, '#', lpad('' || doc_id % 1000000, 7, '0')) AS id FROM documents JOIN (VALUES (0, '2301.#'), (1, '#01.00303v2'), (2, 'cs/#'), (3, 'math.GT/#v1'), (4, 'cs.AI/#'), (5, 'bad #'), (6, '2301.123'), (7, 'hep-th/#v3'), (8, 'a.b/#'), (9, '2301.00303v#v2'), (10, '2301.00#')) AS v(k, t) ON k = doc_id % 11"
 
 
 @query(rf"""SELECT id, CASE WHEN regexp_extract(id, '(v\d+)$', 1) = '' THEN 'v1' ELSE regexp_extract(id, '(v\d+)$', 1) END AS version, regexp_replace(id, 'v\d+$', '') AS base,
@@ -124,4 +126,4 @@ nullif(regexp_extract(id, '^([a-z-]+(\.[A-Z]{{2}})?)/\d{{7}}(v\d+)?$', 1), '') A
 regexp_matches(regexp_replace(id, 'v\d+$', ''), '^(\d{{4}}\.\d{{4,5}}|[a-z.-]+/\d{{7}})(v\d+)?$') AS valid_path FROM ({_IDS})""")
 def id_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("id")
-    return spark.sql(_IDS).select("id", X.id_parts(c)["version"].alias("version"), X.id_parts(c)["base"].alias("base"), X.valid_id(c).alias("valid"), X.month_folder(c).alias("folder"), X.id_parts(c)["yymm"].alias("yymm"), X.id_parts(c)["number"].alias("number"), X.id_parts(c)["category"].alias("category"), X.valid_path_id(c).alias("valid_path"))
+    return derived(spark, sf_dir, _IDS).select("id", X.id_parts(c)["version"].alias("version"), X.id_parts(c)["base"].alias("base"), X.valid_id(c).alias("valid"), X.month_folder(c).alias("folder"), X.id_parts(c)["yymm"].alias("yymm"), X.id_parts(c)["number"].alias("number"), X.id_parts(c)["category"].alias("category"), X.valid_path_id(c).alias("valid_path"))

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from ..operators import corpus as C
 from ..operators import graph as G
-from .registry import query, table
+from .registry import derived, duck, query, table
 
-_LINES = """SELECT * FROM (VALUES
-('{"id":"2301.00001","title":"A","abstract":"Some text","authors":"Ann B.; Cy D, Ed F","categories":"cs.AI cs.LG","update_date":"2023-01-01"}'),
-('{"id":"cs/0601001","title":null,"abstract":"Other","authors":["X Y","Z"],"categories":["cs.CL"],"update_date":"2006-01-02"}'),
-('{"id":"2301.00002","title":"No abstract","abstract":""}'),
-('{"id":"2301.00003","title":"Null abstract","abstract":null}'),
-('not json at all'),
-('{"id":"2301.00004","title":"Bare","abstract":"Third one"}')) AS v(value)"""
+#: A line of metadata for every document, in one of several forms; # stands for the letters of its text, ^ for its number.
+_LINES = """SELECT replace(replace(t, '#', PLAIN(text)), '^', '' || doc_id) AS value FROM documents JOIN (VALUES
+(0, '{"id":"2301.^","title":"A #","abstract":"Some # text","authors":"Ann B.; Cy D, Ed F","categories":"cs.AI cs.LG","update_date":"2023-01-01"}'),
+(1, '{"id":"cs/^","title":null,"abstract":"Other #","authors":["X Y","Z"],"categories":["cs.CL"],"update_date":"2006-01-02"}'),
+(2, '{"id":"2301.^","title":"No abstract","abstract":""}'),
+(3, '{"id":"2301.^","title":"Null abstract","abstract":null}'),
+(4, 'not json at all #'),
+(5, '{"id":"2301.^","title":"Bare","abstract":"#"}')) AS v(k, t) ON k = doc_id % 6"""
 
 
 _FROM_JSON = """j AS (SELECT CASE WHEN json_valid(value) THEN value::JSON END AS j FROM ({lines})),
@@ -25,9 +26,9 @@ CASE WHEN many THEN array_to_string(from_json(a, '["VARCHAR"]'), '|') WHEN a1 IS
 CASE WHEN several THEN array_to_string(from_json(c, '["VARCHAR"]'), '|') WHEN c1 IS NULL THEN '' ELSE array_to_string(list_filter(regexp_split_to_array(c1, '\\s+'), lambda x: x <> ''), '|') END AS categories, update_date FROM r WHERE id IS NOT NULL AND coalesce(abstract, '') <> '')"""
 
 
-@query(f"WITH {_FROM_JSON.format(lines=_LINES)} SELECT * FROM m")
+@query(duck(f"WITH {_FROM_JSON.format(lines=_LINES)} SELECT * FROM m"))
 def normalize_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = C.metadata_rows(spark.sql(_LINES))
+    m = C.metadata_rows(derived(spark, sf_dir, _LINES))
     return m.select("_key", "arxiv_id", "title", "abstract_length", F.array_join("authors", "|").alias("authors"), F.array_join("categories", "|").alias("categories"), "update_date")
 
 
@@ -89,21 +90,21 @@ def bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_BATCHES = "SELECT * FROM (VALUES (1,'p1','1','old'),(1,'p1','2','kept'),(2,'p1','1','new'),(2,'p2',NULL,'first'),(3,'p2',NULL,'second'),(3,'p3','1','a'),(3,'p3','1','b')) AS v(batch, paper, entry, val)"
+_BATCHES = "SELECT CAST(floor(event_id / 100) AS INT) AS batch, 'p' || user_id AS paper, CASE WHEN event_id % 3 > 0 THEN event_type END AS entry, props AS val FROM events"
 
 
 @query(f"SELECT batch, paper, entry, val FROM (SELECT *, row_number() OVER (PARTITION BY paper, entry ORDER BY batch DESC, val DESC) AS r FROM ({_BATCHES})) WHERE r = 1")
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.latest_per_key(spark.sql(_BATCHES), ["paper", "entry"], [F.desc("batch"), F.desc("val")])
+    return C.latest_per_key(derived(spark, sf_dir, _BATCHES), ["paper", "entry"], [F.desc("batch"), F.desc("val")])
 
 
-_A = "SELECT * FROM (VALUES (1,'a'),(2,'b'),(3,'a'),(4,'c'),(5,NULL),(6,'d'),(7,'d')) AS v(pos, k)"
-_B = "SELECT * FROM (VALUES ('a'),(NULL),('z')) AS v(k)"
+_A = "SELECT event_id AS pos, CASE WHEN event_id % 7 > 0 THEN 'u' || user_id END AS k FROM events"
+_B = "SELECT CASE WHEN user_id % 2 > 0 THEN 'u' || user_id END AS k FROM events WHERE value > 60"
 
 
 @query(f"SELECT pos, k FROM ({_A}) a WHERE NOT EXISTS (SELECT 1 FROM ({_B}) b WHERE b.k IS NOT DISTINCT FROM a.k)")
 def set_difference_keep_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.unprocessed(spark.sql(_A), spark.sql(_B), "k")
+    return C.unprocessed(derived(spark, sf_dir, _A), derived(spark, sf_dir, _B), "k")
 
 
 @query("WITH d AS (SELECT conv_id, role, min(turn) AS t FROM conversations GROUP BY conv_id, role) SELECT conv_id, string_agg(role, '>' ORDER BY t) AS roles FROM d GROUP BY conv_id")

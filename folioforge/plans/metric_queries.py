@@ -9,7 +9,7 @@ from ..functions import scores as S
 from ..operators import corpus as C
 from ..operators import metrics as M
 from ..operators import progress as P
-from .registry import query, table
+from .registry import derived, query, table
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -53,13 +53,12 @@ def dimension_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(M.dimension_scores(table(spark, sf_dir, "events"), "event_type", "user_id", seq="event_id"), "score")
 
 
-_TIMERS = """SELECT * FROM (VALUES ('a',1,'start',TIMESTAMP '2024-01-01 00:00:00'),('a',2,'end',TIMESTAMP '2024-01-01 00:00:05'),('a',3,'end',TIMESTAMP '2024-01-01 00:00:09'),('b',1,'end',TIMESTAMP '2024-01-01 00:00:00'),
-('c',1,'start',TIMESTAMP '2024-01-01 00:00:00'),('c',2,'start',TIMESTAMP '2024-01-01 00:00:02'),('c',3,'end',TIMESTAMP '2024-01-01 00:00:03')) AS v(timer, seq, kind, ts)"""
+_TIMERS = "SELECT 'u' || user_id AS timer, event_id AS seq, CASE WHEN event_type IN ('click', 'view') THEN 'start' ELSE 'end' END AS kind, ts FROM events"
 
 
 @query(f"""SELECT timer, seq, CASE WHEN k = 'start' THEN (epoch_us(ts) - epoch_us(t)) / 1e6 END AS seconds FROM (SELECT *, lag(kind) OVER w AS k, lag(ts) OVER w AS t FROM ({_TIMERS}) WINDOW w AS (PARTITION BY timer ORDER BY ts, seq)) WHERE kind = 'end'""")
 def timer_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.timers(spark.sql(_TIMERS), "timer", "kind").select("timer", "seq", "seconds")
+    return M.timers(derived(spark, sf_dir, _TIMERS), "timer", "kind").select("timer", "seq", "seconds")
 
 
 @query("SELECT event_type, time_bucket(INTERVAL 60 SECOND, ts) AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
@@ -79,17 +78,17 @@ def rate_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.rate_limited(table(spark, sf_dir, "events"), "user_id", "ts", 60, 3).select("event_id", "in_window", "limited")
 
 
-_STEPS = """SELECT * FROM (VALUES ('t1','a',10,10,0,0,'completed',TIMESTAMP '2024-01-01 00:00:00',TIMESTAMP '2024-01-01 00:00:10'),('t1','b',0,0,0,0,'completed',TIMESTAMP '2024-01-01 00:00:10',TIMESTAMP '2024-01-01 00:00:10'),
-('t2','a',100,20,5,5,'running',TIMESTAMP '2024-01-01 00:00:00',NULL),('t2','b',50,0,0,0,'pending',NULL,NULL),('t3','a',8,4,4,0,'failed',TIMESTAMP '2024-01-01 00:00:00',TIMESTAMP '2024-01-01 00:00:04'),
-('t3','b',8,0,0,0,'cancelled',TIMESTAMP '2024-01-01 00:00:00',TIMESTAMP '2024-01-01 00:00:01'),('t4','a',5,0,0,0,'running',TIMESTAMP '2024-01-01 00:00:50',NULL)) AS v(tracker, step, total, completed, failed, skipped, state, start_time, end_time)"""
-_CLOCK = "TIMESTAMP '2024-01-01 00:01:00'"
+_STEPS = """SELECT tracker, step, n + CASE WHEN user_id % 5 = 0 THEN 0 - n ELSE user_id % 3 END AS total, CASE WHEN user_id % 5 = 0 THEN 0 ELSE done END AS completed, bad AS failed, CAST(0 AS BIGINT) AS skipped,
+CASE user_id % 4 WHEN 0 THEN 'completed' WHEN 1 THEN 'running' WHEN 2 THEN 'failed' ELSE CASE WHEN step = 'click' THEN 'pending' ELSE 'cancelled' END END AS state, first_ts AS start_time, CASE WHEN user_id % 4 <> 1 THEN last_ts END AS end_time
+FROM (SELECT user_id, 'u' || user_id AS tracker, event_type AS step, count(*) AS n, CAST(sum(CASE WHEN value > 20 THEN 1 ELSE 0 END) AS BIGINT) AS done, CAST(sum(CASE WHEN value > 50 AND user_id % 4 = 2 THEN 1 ELSE 0 END) AS BIGINT) AS bad, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY user_id, event_type) AS g"""
+_CLOCK = "TIMESTAMP '2025-01-01 00:00:00'"
 
 
 @query(f"""WITH s AS (SELECT *, (epoch_us(coalesce(end_time, {_CLOCK})) - epoch_us(start_time)) / 1e6 AS sec, completed + failed + skipped AS p FROM ({_STEPS})), r AS (SELECT *, CASE WHEN sec > 0 THEN p / sec END AS rate FROM s)
 SELECT tracker, step, CASE WHEN total = 0 THEN 100.0 ELSE completed * 100.0 / total END::DOUBLE AS completion, CASE WHEN completed + failed = 0 THEN 100.0 ELSE completed * 100.0 / (completed + failed) END::DOUBLE AS success,
 round(rate, 6)::DOUBLE AS rate, CASE WHEN state = 'running' THEN round(CASE WHEN total - p <= 0 THEN 0 ELSE (total - p) / nullif(rate, 0) END, 6) END::DOUBLE AS seconds_left FROM r""")
 def progress_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = P.steps(spark.sql(_STEPS), F.expr(_CLOCK))
+    out = P.steps(derived(spark, sf_dir, _STEPS), F.expr(_CLOCK))
     return _rounded(out.select("tracker", "step", F.col("completion").cast("double"), F.col("success").cast("double"), "rate", "seconds_left"), "rate", "seconds_left")
 
 
@@ -97,10 +96,10 @@ def progress_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 round(sum(completed) * 100.0 / greatest(1, sum(completed) + sum(failed)), 6)::DOUBLE AS success,
 CASE WHEN NOT bool_and(state IN ('completed', 'failed', 'cancelled')) THEN 'running' WHEN bool_or(state = 'failed') THEN 'failed' WHEN bool_or(state = 'cancelled') THEN 'cancelled' ELSE 'completed' END AS state FROM ({_STEPS}) GROUP BY tracker""")
 def progress_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(P.overall(spark.sql(_STEPS), "tracker").select("tracker", "total", "completed", "steps_failed", "completion", "success", "state"), "completion", "success")
+    return _rounded(P.overall(derived(spark, sf_dir, _STEPS), "tracker").select("tracker", "total", "completed", "steps_failed", "completion", "success", "state"), "completion", "success")
 
 
-_EVENTS = "SELECT * FROM (VALUES ('a',1,'start'),('a',2,'pause'),('a',3,'complete'),('b',1,'pause'),('b',2,'start'),('b',3,'start'),('c',1,'start'),('c',2,'complete'),('c',3,'resume'),('d',1,'cancel'),('d',2,'fail'),('e',1,'resume')) AS v(step, seq, event)"
+_EVENTS = "SELECT 'u' || user_id AS step, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, CASE event_type WHEN 'click' THEN 'start' WHEN 'view' THEN 'pause' WHEN 'purchase' THEN 'resume' WHEN 'signup' THEN CASE WHEN event_id % 4 = 0 THEN 'complete' ELSE 'pause' END ELSE CASE WHEN event_id % 9 = 0 THEN 'fail' WHEN event_id % 9 = 1 THEN 'cancel' ELSE 'start' END END AS event FROM events"
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT * FROM ({_EVENTS})), r AS (SELECT DISTINCT step, 0 AS seq, 'pending' AS state FROM e UNION ALL
@@ -108,21 +107,21 @@ SELECT r.step, e.seq, CASE WHEN e.event = 'start' AND r.state = 'pending' THEN '
 WHEN e.event = 'complete' AND r.state IN ('running', 'paused') THEN 'completed' WHEN e.event = 'fail' THEN 'failed' WHEN e.event = 'cancel' THEN 'cancelled' ELSE r.state END FROM r JOIN e ON e.step = r.step AND e.seq = r.seq + 1)
 SELECT step, arg_max(state, seq) AS state, max(seq)::INT AS events FROM r GROUP BY step""")
 def progress_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.states(spark.sql(_EVENTS), ["step"], ["seq"])
+    return P.states(derived(spark, sf_dir, _EVENTS), ["step"], ["seq"])
 
 
-_LOADS = "SELECT * FROM (VALUES (1, 79.9, 85.0, 96.0), (2, 80.0, 84.9, 90.0), (3, 95.0, 95.0, 10.0), (4, 94.9, 94.9, 89.9), (5, 1.0, 2.0, NULL)) AS v(id, cpu, memory, gpu)"
+_LOADS = "SELECT event_id AS id, value AS cpu, user_id % 100 + 0.5 AS memory, CASE WHEN event_id % 5 > 0 THEN value / 2 END AS gpu FROM events"
 
 
 @query(f"""SELECT id, resource, CASE WHEN v >= c THEN 'critical' ELSE 'warning' END AS level, v::DOUBLE AS value FROM (SELECT id, 'cpu' AS resource, cpu AS v, 80 AS w, 95 AS c FROM ({_LOADS}) UNION ALL SELECT id, 'memory', memory, 85, 95 FROM ({_LOADS})
 UNION ALL SELECT id, 'gpu_memory', gpu, 90, 95 FROM ({_LOADS})) WHERE v >= w""")
 def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = spark.sql(_LOADS).select("id", F.explode(S.alerts({"cpu": F.col("cpu"), "memory": F.col("memory"), "gpu_memory": F.col("gpu")})).alias("a"))
+    out = derived(spark, sf_dir, _LOADS).select("id", F.explode(S.alerts({"cpu": F.col("cpu"), "memory": F.col("memory"), "gpu_memory": F.col("gpu")})).alias("a"))
     return out.select("id", "a.resource", "a.level", "a.value")
 
 
 _SCORES = """SELECT id, CAST(a AS DOUBLE) AS what, CAST(b AS DOUBLE) AS place, CAST(c AS DOUBLE) AS who, CAST(t AS DOUBLE) AS t, CAST(x AS DOUBLE) AS ctx, CAST(al AS DOUBLE) AS alpha
-FROM (VALUES (1,0.9,0.8,0.7,2,0.6,1.5),(2,0,0.8,0.7,2,0.6,1.5),(3,0.9,-1,0.7,2,0.6,2),(4,0.9,0.8,0.7,0,0.6,1.8),(5,0.9,0.8,0.7,2,0,1.8),(6,1,1,1,0.5,1,1.7)) AS v(id, a, b, c, t, x, al)"""
+FROM (SELECT event_id AS id, value / 100 AS a, user_id % 11 - 1 AS b, 0.7 AS c, event_id % 5 AS t, event_id % 7 AS x, 1.5 + event_id % 4 / 10.0 AS al FROM events) AS v"""
 
 
 @query(f"""SELECT id, round(CASE WHEN what <= 0 OR place <= 0 OR who <= 0 OR ctx <= 0 OR t <= 0 THEN 0 ELSE what * place * who * pow(ctx, alpha) / t END, 9) AS efficiency,
@@ -130,24 +129,24 @@ round(CASE WHEN what <= 0 OR place <= 0 OR who <= 0 OR ctx <= 0 THEN 0 ELSE what
 round(CASE WHEN what = 0 OR place = 0 OR who = 0 THEN 0 ELSE what * place * who / greatest(t, 1e-9) * pow(ctx, 1.7) END, 3) AS gated FROM ({_SCORES})""")
 def composite_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = {n: F.col(n) for n in ("what", "place", "who", "t", "ctx", "alpha")}
-    out = spark.sql(_SCORES).select(
+    out = derived(spark, sf_dir, _SCORES).select(
         "id", S.efficiency(c["what"], c["place"], c["who"], c["t"], c["ctx"], c["alpha"]).alias("efficiency"), S.capability(c["what"], c["place"], c["who"], c["ctx"], c["alpha"]).alias("capability"), S.gated(c["what"], c["place"], c["who"], c["t"], c["ctx"]).alias("gated")
     )
     return _rounded(_rounded(out, "efficiency", "capability", digits=9), "gated", digits=3)
 
 
-_UNITS = "SELECT * FROM (VALUES (1, 1500.0, 'ms'), (2, 2.5, 's'), (3, 10.0, 'us'), (4, 0.0, 's')) AS v(id, raw, unit)"
+_UNITS = "SELECT event_id AS id, value AS raw, CASE event_id % 3 WHEN 0 THEN 'ms' WHEN 1 THEN 's' ELSE 'us' END AS unit FROM events"
 
 
 @query(f"SELECT id, greatest(raw / CASE unit WHEN 's' THEN 1 WHEN 'ms' THEN 1000 ELSE 1000000 END, 1e-9)::DOUBLE AS seconds FROM ({_UNITS})")
 def unit_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_UNITS).select("id", S.seconds(F.col("raw").cast("double"), F.col("unit")).alias("seconds"))
+    return derived(spark, sf_dir, _UNITS).select("id", S.seconds(F.col("raw").cast("double"), F.col("unit")).alias("seconds"))
 
 
-_LINES = "SELECT * FROM (VALUES (1, '0, Card A, 2048, 49152, 37'), (2, '1, Card B, N/A, 49152, 5'), (3, 'broken line'), (4, '2,C,1024,2048')) AS v(id, line)"
+_LINES = "SELECT event_id AS id, CASE event_id % 7 WHEN 0 THEN 'broken ' || props WHEN 1 THEN event_id || ',C,' || user_id || ',2048' WHEN 2 THEN event_id || ', Card ' || event_type || ', N/A, 49152, 5' ELSE event_id || ', Card ' || event_type || ', ' || user_id * 10 || ', 49152, ' || user_id % 100 END AS line FROM events"
 
 
 @query(f"""WITH p AS (SELECT id, list_transform(string_split(line, ','), lambda x: trim(x)) AS p FROM ({_LINES})), n AS (SELECT id, p, len(p) >= 4 AS ok FROM p)
 SELECT id, CASE WHEN ok THEN try_cast(p[1] AS INT) END AS index, CASE WHEN ok THEN p[2] END AS name, CASE WHEN ok THEN try_cast(p[3] AS DOUBLE) / 1024 END AS used_gb, CASE WHEN ok THEN try_cast(p[4] AS DOUBLE) / 1024 END AS total_gb, CASE WHEN ok THEN try_cast(p[5] AS DOUBLE) END AS load FROM n""")
 def gpu_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_LINES).select("id", S.gpu_line(F.col("line")).alias("g")).select("id", "g.*")
+    return derived(spark, sf_dir, _LINES).select("id", S.gpu_line(F.col("line")).alias("g")).select("id", "g.*")

@@ -12,7 +12,7 @@ from ..operators import chunks as C
 from ..operators import corpus as P
 from ..operators import records as R
 from ..operators import search as Q
-from .registry import query, table
+from .registry import derived, query, table
 
 
 @query("""WITH RECURSIVE w AS (SELECT doc_id, text, length(text) AS n, 0 AS i, 0 AS s, NULL::BIGINT AS e FROM documents WHERE length(text) > 0),
@@ -53,15 +53,15 @@ def average_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.average_children(table(spark, sf_dir, "customer"), orders, "c_custkey").withColumn("average", F.round("average", 6))
 
 
-_PAPERS = """SELECT * FROM (VALUES ('2301.00001', 'Graphs', 'a b', TIMESTAMP '2023-01-05 10:00:00', 'Some \"quoted\" text.', true), ('2301.00002', NULL, NULL, NULL, 'Other text without more', false), ('cs/0601001', 'Old', '', TIMESTAMP '2006-01-02 03:04:05', '', true)) AS v(arxiv_id, title, abstract, published, full_text, has_pdf)"""
+_PAPERS = """SELECT 'e' || event_id AS arxiv_id, CASE WHEN event_id % 3 > 0 THEN event_type END AS title, CASE WHEN event_id % 4 > 1 THEN props WHEN event_id % 4 = 1 THEN '' END AS abstract, CASE WHEN event_id % 9 > 0 THEN ts END AS published, CASE WHEN event_id % 5 > 1 THEN 'Text of ' || props WHEN event_id % 5 = 1 THEN '' END AS full_text FROM events"""
 
 
 @query(f"""SELECT arxiv_id, coalesce(title, 'ArXiv Paper ' || arxiv_id) AS title, coalesce(abstract, '') AS abstract, strftime(published, '%Y-%m-%dT%H:%M:%S') AS published, coalesce(nullif(full_text, ''), nullif(abstract, ''), title, '') AS text, '' AS comments FROM ({_PAPERS})""")
 def paper_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defaults, ISO times and the first text that is not empty."""
-    p = R.with_defaults(spark.sql(_PAPERS), {"title": F.concat(F.lit("ArXiv Paper "), F.col("arxiv_id")), "comments": F.lit("")})
-    text = X.first_nonempty(F.col("full_text"), F.col("abstract"), F.col("title"))
-    return p.withColumns({"abstract": F.coalesce("abstract", F.lit("")), "published": F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss"), "text": text}).select("arxiv_id", "title", "abstract", "published", "text", "comments")
+    own = derived(spark, sf_dir, _PAPERS).withColumn("text", F.coalesce(X.first_nonempty(F.col("full_text"), F.col("abstract"), F.col("title")), F.lit("")))
+    p = R.with_defaults(own, {"title": F.concat(F.lit("ArXiv Paper "), F.col("arxiv_id")), "comments": F.lit("")})
+    return p.withColumns({"abstract": F.coalesce("abstract", F.lit("")), "published": F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss")}).select("arxiv_id", "title", "abstract", "published", "text", "comments")
 
 
 @query(r"""WITH d AS (SELECT doc_id, text, regexp_split_to_array(text, '\n\n+') AS p FROM documents), c AS (SELECT doc_id, len(list_filter(list_transform(p, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '')) AS n, len(regexp_extract_all(text, '\$([^$]{2,200})\$', 1)) > 0 AS e FROM d)
@@ -75,12 +75,12 @@ def processed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("j", parsed).select("doc_id", "chunk_count", "success", F.coalesce(F.get("errors", F.lit(0)), F.lit("")).alias("error"), "has_equations", F.size("j.chunks").cast("long").alias("in_payload"), F.col("j.success").alias("payload_success"))
 
 
-_RUNS = "SELECT * FROM (VALUES (1, TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-01 00:10:00', 9, 1), (2, TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-01 00:00:00', 0, 0), (3, TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-01 00:00:01.5', 0, 4)) AS v(run, start_time, end_time, items_processed, items_failed)"
+_RUNS = "SELECT user_id AS run, min(ts) AS start_time, max(ts) AS end_time, CAST(sum(CASE WHEN user_id % 6 > 0 AND event_type <> 'error' THEN 1 ELSE 0 END) AS BIGINT) AS items_processed, CAST(sum(CASE WHEN user_id % 6 > 0 AND event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS items_failed FROM events GROUP BY user_id"
 
 
 @query(f"SELECT run, (epoch_us(end_time) - epoch_us(start_time)) / 1e6 AS duration_seconds, CASE WHEN items_processed + items_failed = 0 THEN 0.0 ELSE items_processed * 100.0::DOUBLE / (items_processed + items_failed) END::DOUBLE AS success_rate FROM ({_RUNS})")
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.run_summary(spark.sql(_RUNS)).select("run", "duration_seconds", F.col("success_rate").cast("double"))
+    return R.run_summary(derived(spark, sf_dir, _RUNS)).select("run", "duration_seconds", F.col("success_rate").cast("double"))
 
 
 @query("""SELECT source AS batch, string_agg(CASE WHEN n_chars >= 655 THEN doc_id END, ',' ORDER BY doc_id) AS succeeded, coalesce(string_agg(CASE WHEN n_chars < 655 THEN doc_id END, ',' ORDER BY doc_id), '') AS failed, sum(CASE WHEN n_chars >= 655 THEN n_chars // 655 ELSE 0 END)::BIGINT AS chunks_created FROM documents GROUP BY source""")
@@ -89,14 +89,14 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.batch_summary(rows, "batch", "doc_id").withColumns({c: F.array_join(c, ",") for c in ("succeeded", "failed")})
 
 
-_TRACKERS = "SELECT * FROM (VALUES ('a', 100, 40, 5, 5, TIMESTAMP '2024-01-01 00:00:00'), ('b', 10, 10, 0, 0, TIMESTAMP '2024-01-01 00:00:00'), ('c', 5, 0, 0, 0, TIMESTAMP '2024-01-01 00:01:40'), ('d', 5, 1, 0, 0, NULL)) AS v(tracker, total, completed, failed, skipped, started)"
-_AS_OF = "2024-01-01 00:01:40"
+_TRACKERS = "SELECT 'u' || user_id AS tracker, count(*) + user_id % 3 * 10 AS total, CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS completed, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS failed, CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS skipped, CASE WHEN user_id % 7 > 0 THEN min(ts) END AS started FROM events GROUP BY user_id"
+_AS_OF = "2025-01-01 00:00:00"
 
 
 @query(f"""WITH t AS (SELECT *, completed + failed + skipped AS done, (epoch_us(TIMESTAMP '{_AS_OF}') - epoch_us(started)) / 1e6 AS s FROM ({_TRACKERS})), r AS (SELECT *, CASE WHEN s > 0 THEN done / s END AS rate FROM t)
 SELECT tracker, rate, CASE WHEN total > done AND rate > 0 THEN (total - done) / rate END AS seconds_left FROM r""")
 def tracker_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.with_eta(spark.sql(_TRACKERS), F.col("started"), F.lit(_AS_OF).cast("timestamp_ntz")).select("tracker", "rate", "seconds_left")
+    return R.with_eta(derived(spark, sf_dir, _TRACKERS), F.col("started"), F.lit(_AS_OF).cast("timestamp_ntz")).select("tracker", "rate", "seconds_left")
 
 
 @query("SELECT user_id, event_type AS first_type, n - 1 AS repeats FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE r = 1")
@@ -104,12 +104,12 @@ def first_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.registered(table(spark, sf_dir, "events"), "user_id", [F.col("ts"), F.col("event_id")]).select("user_id", F.col("event_type").alias("first_type"), "repeats")
 
 
-_ERRORS = "SELECT * FROM (VALUES ('loader', 'IOError', 'no file', TIMESTAMP '2024-01-01 00:00:01'), ('parser', 'ValueError', 'bad', TIMESTAMP '2024-01-01 00:00:02')) AS v(component, kind, message, ts)"
+_ERRORS = "SELECT 'u' || user_id AS component, 'E' || event_id % 5 AS kind, props AS message, ts FROM events WHERE event_type = 'error'"
 
 
 @query(f"SELECT component || '_errors' AS series, 1.0::DOUBLE AS value, kind AS error_type, NULL AS message FROM ({_ERRORS}) UNION ALL SELECT component || '_last_error', epoch_us(ts)::DOUBLE, kind, message FROM ({_ERRORS})")
 def error_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.error_points(spark.sql(_ERRORS)).select("series", "value", F.col("labels")["error_type"].alias("error_type"), F.try_element_at("labels", F.lit("message")).alias("message"))
+    return R.error_points(derived(spark, sf_dir, _ERRORS)).select("series", "value", F.col("labels")["error_type"].alias("error_type"), F.try_element_at("labels", F.lit("message")).alias("message"))
 
 
 @query("""SELECT user_id, arg_max(value, (ts, event_id)) FILTER (event_type = 'click' AND value IS NOT NULL) AS clicked, arg_max(value, (ts, event_id)) FILTER (event_type <> 'click' AND value IS NOT NULL) AS other FROM events GROUP BY user_id""")
@@ -152,7 +152,7 @@ def expired_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", R.expired(F.col("ts"), F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"), 86_400 * 30).alias("expired"))
 
 
-_MAPS = "SELECT * FROM (VALUES (1, 'a=1,b=2', 'b=9,c=3'), (2, 'a=1', NULL), (3, NULL, 'b=2'), (4, 'x=1', 'x=1')) AS v(id, x, y)"
+_MAPS = "SELECT event_id AS id, CASE WHEN event_id % 4 > 0 THEN 'a=' || user_id || ',' || event_type || '=1' END AS x, CASE WHEN event_id % 3 > 0 THEN event_type || '=' || event_id || ',c=3' END AS y FROM events"
 _DUCK_MAP = "coalesce(map_from_entries(list_transform(string_split({c}, ','), lambda e: (split_part(e, '=', 1), split_part(e, '=', 2)))), MAP {{}})"
 
 
@@ -160,10 +160,10 @@ _DUCK_MAP = "coalesce(map_from_entries(list_transform(string_split({c}, ','), la
 def merged_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda c: F.str_to_map(F.col(c), F.lit(","), F.lit("="))
     entries = F.array_sort(F.transform(F.map_entries(R.merged(of("x"), of("y"))), lambda e: F.concat_ws("=", e["key"], e["value"])))
-    return spark.sql(_MAPS).select("id", F.array_join(entries, ",").alias("merged"))
+    return derived(spark, sf_dir, _MAPS).select("id", F.array_join(entries, ",").alias("merged"))
 
 
-_CONFIGS = """SELECT * FROM (VALUES (1, '{"name":"x","size":3,"rate":0.5,"on":true,"list":[1,{"a":{"b":1}}],"more":{}}'), (2, '{"name":1,"size":true,"rate":true,"list":{}}'), (3, '{"size":1.5,"on":1,"more":[]}'), (4, 'no json'), (5, '{}'), (6, '{"name":null}')) AS v(id, config)"""
+_CONFIGS = """SELECT event_id AS id, replace(replace(t, '#', '' || event_id), '^', props) AS config FROM events JOIN (VALUES (0, '{"name":"x","size":#,"rate":0.5,"on":true,"list":[#,{"a":^}],"more":{}}'), (1, '{"name":1,"size":true,"rate":true,"list":^}'), (2, '{"size":1.5,"on":#,"more":[^]}'), (3, 'no json ^'), (4, '{}'), (5, '{"name":null,"x^":1}'), (6, '{"name":null,"more":^}')) AS v(k, t) ON k = event_id % 7"""
 _TYPES = {"name": "string", "size": "integer", "rate": "number", "on": "boolean", "list": "array", "more": "object", "other": "unknown"}
 _DUCK_TYPES = {"string": "'VARCHAR'", "integer": "'BIGINT', 'UBIGINT', 'BOOLEAN'", "number": "'BIGINT', 'UBIGINT', 'DOUBLE', 'BOOLEAN'", "boolean": "'BOOLEAN'", "array": "'ARRAY'", "object": "'OBJECT'"}
 
@@ -172,14 +172,14 @@ _DUCK_TYPES = {"string": "'VARCHAR'", "integer": "'BIGINT', 'UBIGINT', 'BOOLEAN'
 SELECT id, array_to_string(list_filter([{', '.join(f"CASE WHEN json_exists(j, '$.{n}') AND json_type(j, '$.{n}') NOT IN ({_DUCK_TYPES[t]}) THEN '{n}: expected {t}' END" for n, t in _TYPES.items() if t in _DUCK_TYPES)},
 CASE WHEN NOT coalesce(json_exists(j, '$.name'), false) THEN 'name: missing' END, CASE WHEN NOT coalesce(json_exists(j, '$.size'), false) THEN 'size: missing' END], lambda x: x IS NOT NULL), '|') AS errors FROM j""")
 def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_CONFIGS).select("id", F.array_join(R.schema_errors(F.col("config"), _TYPES, ["name", "size"]), "|").alias("errors"))
+    return derived(spark, sf_dir, _CONFIGS).select("id", F.array_join(R.schema_errors(F.col("config"), _TYPES, ["name", "size"]), "|").alias("errors"))
 
 
 @query(f"""WITH RECURSIVE f AS ({_CONFIGS}), j AS (SELECT id AS doc, config FROM f WHERE json_valid(config)), t AS (SELECT doc, t.id AS node, t.parent, t.type FROM j, json_tree(j.config) AS t),
 d AS (SELECT doc, node, type, 1 AS depth FROM t WHERE parent IS NULL UNION ALL SELECT t.doc, t.node, t.type, d.depth + 1 FROM d JOIN t ON t.doc = d.doc AND t.parent = d.node)
 SELECT id, CASE WHEN json_valid(config) THEN (SELECT count(*) FROM t JOIN t AS p ON p.doc = t.doc AND p.node = t.parent WHERE p.type = 'OBJECT' AND t.doc = f.id) END AS key_count, (SELECT max(depth) FROM d WHERE type IN ('OBJECT', 'ARRAY') AND doc = f.id)::BIGINT AS depth FROM f""")
 def json_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.json_shape(spark.sql(_CONFIGS), "config", ["id"])
+    return R.json_shape(derived(spark, sf_dir, _CONFIGS), "config", ["id"])
 
 
 @query("""WITH p AS (SELECT a.vec_id, a.embedding::DOUBLE[] AS x, b.embedding::DOUBLE[] AS y FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1)
@@ -198,15 +198,15 @@ def rate_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.cooled(e, "user_id", "at", seconds=86_400, most=3, cooldown=7_200).select("event_id", "in_window", "limited", "cooling")
 
 
-_METRICS = "SELECT * FROM (VALUES ('documents_processed_total'), ('GPU_utilization'), ('x_processing_latency_ms'), ('network_hops'), ('other'), ('text_extracted_phase_duration')) AS v(metric)"
+_METRICS = "SELECT DISTINCT replace(t, '#', event_type || '_' || user_id) AS metric FROM events JOIN (VALUES (0, 'documents_processed_#_total'), (1, 'GPU_utilization_#'), (2, '#_processing_latency_ms'), (3, 'network_hops_#'), (4, 'other_#'), (5, 'text_extracted_phase_duration_#')) AS v(k, t) ON k = event_id % 6"
 
 
 @query(f"""SELECT metric, CASE {' '.join(f"WHEN {' OR '.join(f'''contains(lower(metric), '{p}')''' for p in parts)} THEN '{name}'" for name, parts in S.DIMENSIONS.items())} ELSE 'unknown' END AS dimension FROM ({_METRICS})""")
 def metric_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_METRICS).select("metric", S.dimension_of(F.col("metric")).alias("dimension"))
+    return derived(spark, sf_dir, _METRICS).select("metric", S.dimension_of(F.col("metric")).alias("dimension"))
 
 
-_SCORES = "SELECT id, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(c AS DOUBLE) AS c, CAST(t AS DOUBLE) AS t, n, CAST(s AS DOUBLE) AS s FROM (VALUES (1, 0.5, 0.8, 0.9, 0.4, 10, 7200), (2, 0.5, 0.8, 0.9, 0, 0, 10), (3, 0, 1, 1, 1, 5, NULL), (4, 1, 1, 1, 1, 4, 3600)) AS v(id, a, b, c, t, n, s)"
+_SCORES = "SELECT id, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(c AS DOUBLE) AS c, CAST(t AS DOUBLE) AS t, n, CAST(s AS DOUBLE) AS s FROM (SELECT event_id AS id, value / 100 AS a, user_id % 10 / 10.0 AS b, 0.9 AS c, event_id % 4 / 4.0 AS t, user_id % 20 AS n, CASE WHEN event_id % 5 > 0 THEN event_id % 9000 END AS s FROM events) AS v"
 
 
 @query(f"""SELECT id, round(CASE WHEN t <= 0 THEN 0 ELSE a * b * c / t * pow(0.25 * (a + b + c + t), 1.8) END, 9) AS third, round(CASE WHEN s IS NULL THEN 0 ELSE a * (n / greatest(1, n + 1)) * ((n + 2) / greatest(1, 20)) / least(1.0, 3600.0 / greatest(1.0, s)) * pow(b, 1.8) END, 9) AS fourth,
@@ -214,7 +214,7 @@ round(0.4 * a + 0.6 * b, 9) AS context, round(CASE WHEN t > 0 THEN pow(a * b * c
 def score_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b, c, t, n, s = (F.col(x) for x in "abctns")
     half = F.lit(0.5)
-    return spark.sql(_SCORES).select(
+    return derived(spark, sf_dir, _SCORES).select(
         "id", F.round(S.from_dimensions(a, b, c, t), 9).alias("third"), F.round(S.from_progress(a, n, F.lit(1), F.lit(1), F.lit(20), s, b), 9).alias("fourth"), F.round(S.context([a, b], [0.4, 0.6]), 9).alias("context"),
         F.round(F.when(t > 0, S.monolithic(a, b, c, F.when(t > 0, t), half, 1.5)), 9).alias("monolithic"), F.round(F.when(a * b > 0, S.inverse_who(F.lit(2.0), F.when(a * b > 0, a), b, t, half, 1.5)), 9).alias("who"),
     )
