@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .memory import give_back, giving_back
 from .shared import Scratch, components, small
 from .words import mix, shingle_sets
 
@@ -125,7 +126,7 @@ def shingle_keys(docs: DataFrame, width: int, seed: int = 0, *, id_col: str = "d
             both = np.asarray(keys, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(both[:, 0], mask=none), pa.array(both[:, 1], mask=none)], names=["id", "n_shingles", "key", "proof"])
 
-    return _texts(docs, id_col, text_col).mapInArrow(each, "id long, n_shingles long, key long, proof long")
+    return _texts(docs, id_col, text_col).mapInArrow(giving_back(each), "id long, n_shingles long, key long, proof long")
 
 
 def set_key(values: np.ndarray, seed: int) -> tuple[np.uint64, np.uint64]:
@@ -173,7 +174,7 @@ def groups(docs: DataFrame, width: int, p: int, q: int, seed: int, buckets: int,
                 sig, probe = signatures(values, p, q, limits)
                 parts.append((sig & ~np.uint64(1) | probe, np.full(len(sig), key, np.uint64)))
                 size += len(sig)
-                if size > 400_000:
+                if size > 250_000:
                     yield rows()
                     parts, size = [], 0
         if parts:
@@ -223,8 +224,8 @@ def groups(docs: DataFrame, width: int, p: int, q: int, seed: int, buckets: int,
                 [pa.array(np.repeat(members[part], (ends - start)[part]).view(np.int64)), pa.array(np.concatenate([key[start[i] : ends[i]] for i in part]).view(np.int64))], names=["gid", "key"]
             )
 
-    sent = _texts(docs, id_col, text_col).where("id is not null").mapInArrow(send, "bucket int, sigs binary, keys binary")
-    return sent.repartition(buckets, "bucket").mapInArrow(meet, "gid long, key long").distinct()
+    sent = _texts(docs, id_col, text_col).where("id is not null").mapInArrow(giving_back(send), "bucket int, sigs binary, keys binary")
+    return sent.repartition(buckets, "bucket").mapInArrow(giving_back(meet), "gid long, key long").distinct()
 
 
 def sketch(values: np.ndarray) -> bytes:
@@ -297,7 +298,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> D
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    return _with_hubs(pairs, texts).select("hub", "part", "role", "key", "text").mapInArrow(each, "a long, b long")
+    return _with_hubs(pairs, texts).select("hub", "part", "role", "key", "text").mapInArrow(giving_back(each), "a long, b long")
 
 
 #: Groups of at most so many sets make their pairs; blocks of sets that are compared with one another.
@@ -366,6 +367,8 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q:
                     if x != y:
                         of[x] = y
                         out.append((int(key[a[i]]), int(key[b[j]])))
+        del sets
+        give_back()
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
     return rows.groupBy("family", "i", "j").applyInArrow(each, "a long, b long")
@@ -484,4 +487,4 @@ def _keyed(texts: DataFrame, width: int, seed: int) -> DataFrame:
             kept = batch.select(["key", "again", "text"]).filter(pa.array(own, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("key"), kept.column("again"), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), kept.column("text")], names=["key", "again", "n", "sketch", "text"])
 
-    return texts.select("key", "again", "text").mapInArrow(each, "key long, again boolean, n long, sketch binary, text string")
+    return texts.select("key", "again", "text").mapInArrow(giving_back(each), "key long, again boolean, n long, sketch binary, text string")

@@ -31,6 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import give_back
+
 #: The tokenizer's own split of a text, for lower-cased text of the first 256 characters (all of it is in normal form C).
 _LETTERS = "a-zªµº\xdf-\xf6\xf8-\xff"
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0{_LETTERS}0-9²³¹¼-¾]+")
@@ -51,10 +53,15 @@ def _hold() -> None:
         _RELEASE.pop().cancel()
 
 
+def _forget() -> None:
+    _STORES.clear()
+    give_back()
+
+
 def _let_go() -> None:
     """The stores are there for the next task; a worker that goes on to other work does without them."""
     _hold()
-    timer = threading.Timer(_IDLE, _STORES.clear)
+    timer = threading.Timer(_IDLE, _forget)
     timer.daemon = True
     _RELEASE.append(timer)
     timer.start()
