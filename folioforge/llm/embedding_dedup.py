@@ -21,7 +21,7 @@ in the same way, which is exact.  Groups are then completed: each packed block o
 a group's vectors meets each block from itself on, and only counts leave the
 task, so that long lists are not needed for exact link counts.
 
-Nulls and edges: null labels, null vectors, zero vectors and vectors with null
+Nulls and edges: ids are integers, labels of any type; null labels, null vectors, zero vectors and vectors with null
 or non-finite components link with nothing and are components of their own;
 vectors of other lengths are other labels; repeated rows count as vectors of
 their own (they link with one another); a null id never becomes a component's id.
@@ -297,12 +297,16 @@ def audit(nodes: DataFrame, linked: DataFrame, threshold: float, every: int = 10
     """One row (pairs, found): links of a fixed set of queries by brute force, in blocks, and how many of them were found.
 
     The queries are the nodes whose id is divisible by ``every``; a label's rows
-    are cut into blocks of which each meets the label's queries.
+    and its queries are cut into blocks, and each block of rows meets each block of
+    queries: a task holds two blocks, however many vectors a label has.
     """
-    spans = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / 4096).cast("int").alias("blocks"))
+    query = F.pmod(F.col("rep"), F.lit(every)) == 0
+    spans = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / 4096).cast("int").alias("blocks"), F.ceil(F.count_if(query) / 2048).cast("int").alias("asked"))
     rows = nodes.join(spans, ["label", "dim"])
-    queries = rows.where(F.pmod(F.col("rep"), F.lit(every)) == 0).select("label", "dim", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"), "node", "mult", "vec")
-    data = rows.select("label", "dim", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"), "node", "mult", "vec")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    queries = rows.where(query).withColumn("ask", own("asked")).select("label", "dim", "ask", all_of("blocks").alias("block"), F.lit(0).alias("side"), "node", "mult", "vec")
+    data = rows.where("asked > 0").withColumn("block", own("blocks")).select("label", "dim", all_of("asked").alias("ask"), "block", F.lit(1).alias("side"), "node", "mult", "vec")
 
     def each(keys: tuple, table: pa.Table) -> pa.Table:
         side = table["side"].to_numpy()
@@ -314,10 +318,17 @@ def audit(nodes: DataFrame, linked: DataFrame, threshold: float, every: int = 10
         links = (x[a] @ x[b].T >= threshold) & (node[a][:, None] != node[b][None, :])
         return pa.table({"node": node[a], "pairs": links @ mult[b]})
 
-    truth = queries.unionByName(data).groupBy("label", "dim", "block").applyInArrow(each, "node long, pairs long").groupBy("node").agg(F.sum("pairs").alias("pairs"))
+    truth = queries.unionByName(data).groupBy("label", "dim", "ask", "block").applyInArrow(each, "node long, pairs long").groupBy("node").agg(F.sum("pairs").alias("pairs"))
     return truth.join(linked, "node", "left").agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum(F.least("pairs", F.coalesce("links", F.lit(0)))), F.lit(0)).alias("found"))
 
 
+def _label(vectors: DataFrame, column: str) -> Column:
+    """A label as a number: integers as they are, any other type by a 64-bit hash of its text; null stays null."""
+    if dict(vectors.dtypes)[column] in ("tinyint", "smallint", "int", "bigint", "boolean"):
+        return F.col(column).cast("long")
+    return F.when(F.col(column).isNotNull(), F.xxhash64(F.col(column).cast("string")))
+
+
 def near_duplicates(vectors: DataFrame, scratch: Scratch, *, threshold: float = 0.93, k: int = 8, longest: int = 64, codes: int = 6, rounds: int = 3, settled: float = 0.002, seed: int = 11, recall: float | None = None, report: dict | None = None, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row for each vector: (id, n_links, component_id, kept).
 
@@ -329,7 +340,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, *, threshold: float =
     """
     report = {} if report is None else report
     kind = "float" if dict(vectors.dtypes)[vector_col] == "array<float>" else "double"
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), _label(vectors, label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
     good = rows.where(usable(F.col("vec")) & F.col("label").isNotNull()).withColumn("vec", F.transform("vec", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
     # 128 bits name a vector within its label, so that no later join moves or compares vectors
     good = good.withColumns({"h1": F.xxhash64("label", "vec"), "h2": F.xxhash64(F.lit("second"), "vec", "label")})

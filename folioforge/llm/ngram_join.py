@@ -51,7 +51,7 @@ from .words import mix, shingle_sets
 MEAN = 3.6
 
 #: Bytes of packed signatures that a bucket's task should hold, and what a signature takes.
-BUCKET_BYTES, SIGNATURE_BYTES = 64 << 20, 13
+BUCKET_BYTES, SIGNATURE_BYTES = 32 << 20, 13
 
 
 def most_different(a: int, b: int, p: int, q: int) -> int:
@@ -301,8 +301,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> D
     return _with_hubs(pairs, texts).select("hub", "part", "role", "key", "text").mapInArrow(giving_back(each), "a long, b long")
 
 
-#: Groups of at most so many sets make their pairs; blocks of sets that are compared with one another.
-FEW, BLOCK = 32, 1024
+#: Groups of at most so many sets make their pairs; sets of a block that is compared with others, and their shingles together.
+FEW, BLOCK, BLOCK_SHINGLES = 32, 1024, 1 << 20
 
 
 def _compare(open_: list[np.ndarray], others: list[np.ndarray], p: int, q: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -330,11 +330,12 @@ def _compare(open_: list[np.ndarray], others: list[np.ndarray], p: int, q: int)
 
 
 def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> DataFrame:
-    """Links (a, b) that connect the sets of each large group, from rows (family, component, key)."""
+    """Links (a, b) that connect the sets of each large group, from rows (family, component, key, n); n is the size of a set."""
     sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
     sided = members.join(small(main), "family").withColumn("open", F.col("component") != F.col("main"))
-    blocks = sided.groupBy("family").agg(F.ceil(F.count_if("open") / BLOCK).cast("int").alias("opens"), F.ceil(F.count_if(~F.col("open")) / BLOCK).cast("int").alias("mains"))
+    of = lambda mine: F.greatest(F.ceil(F.count_if(mine) / BLOCK), F.ceil(F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES)).cast("int")
+    blocks = sided.groupBy("family").agg(of(F.col("open")).alias("opens"), of(~F.col("open")).alias("mains"))
     placed = sided.join(small(blocks), "family").withColumn("at", F.pmod(F.xxhash64("key"), F.when(F.col("open"), F.col("opens")).otherwise(F.col("mains"))).cast("int"))
     # a pair of blocks (i, j): i of open sets; j of open sets from i on, or (after those) of the main component
     side = lambda i, j, role: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(role).alias("role"))
@@ -424,7 +425,7 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     leads = of_group.groupBy("key").agg(F.min("hub").alias("lead"))
     meet = of_group.join(leads, "key").where("hub <> lead").select(F.col("hub").alias("a"), F.col("lead").alias("b")).distinct()
     family = leads.join(components(meet, scratch).withColumnRenamed("node", "lead"), "lead", "left").select("key", F.coalesce("component", "lead").alias("family"))
-    members = scratch.cut(many.select("key", "component").distinct().join(family, "key"), "members")
+    members = scratch.cut(many.select("key", "component").distinct().join(family, "key").join(named.select("key", F.col("n")), "key"), "members")
     third = scratch.cut(_verify_blocks(members, texts, width, p, q), "links")
 
     linked = components(first.union(second).union(third), scratch)

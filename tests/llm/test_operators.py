@@ -146,6 +146,14 @@ def test_embedding_dedup_empty(spark):
     assert embedding_dedup.near_duplicates(vectors(spark, []), Scratch(spark, "t")).count() == 0
 
 
+def test_labels_of_any_type(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (3, [1.0, 0.0], "b"), (4, [1.0, 0.02], "b"), (5, [1.0, 0.0], None), (6, [1.0, 0.0], "1"), (7, [1.0, 0.0], "1.0")]
+    out = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string"), Scratch(spark, "t"), recall=0.98).collect()
+    assert {r.id: (r.n_links, r.component_id) for r in out} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (0, 6), 7: (0, 7)}
+    halves = spark.createDataFrame([(1, [1.0], 1.2), (2, [1.0], 1.5), (3, [1.0], 1.5)], "vec_id long, embedding array<float>, label double")
+    assert {r.id: r.n_links for r in embedding_dedup.near_duplicates(halves, Scratch(spark, "t")).collect()} == {1: 0, 2: 1, 3: 1}
+
+
 # 2 and 4
 
 
