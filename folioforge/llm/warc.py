@@ -66,26 +66,28 @@ def _uuid(id_: Column, digest: Column, ordinal: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def _ordinals(records: DataFrame) -> DataFrame:
+def _ordinals(records: DataFrame, heads: DataFrame) -> DataFrame:
     """``records`` with an ordinal that tells rows of one id and payload apart; it is 0 for one of them.
 
     Rows without an id are never named by others, so theirs is any number of their
     own.  Only rows that share both are shuffled, usually none.
     """
-    heads = records.where(F.col("id").isNotNull()).groupBy("id", "payload_digest").agg(F.count("*").alias("n")).where("n > 1")
+    heads = heads.where(F.col("id").isNotNull()).groupBy("id", "payload_digest").agg(F.count("*").alias("n")).where("n > 1")
+    number = F.when(F.col("id").isNull(), F.monotonically_increasing_id() + 1).otherwise(0).cast("long")
+    if not heads.limit(1).count():
+        return records.withColumn("ordinal", number)
     shared = small(heads.select(F.col("id").alias("_sid"), F.col("payload_digest").alias("_sdigest")))
     same = (F.col("id") == F.col("_sid")) & (F.col("payload_digest") == F.col("_sdigest"))
-    alone = records.join(shared, same, "left_anti").withColumn("ordinal", F.when(F.col("id").isNull(), F.monotonically_increasing_id() + 1).otherwise(0).cast("long"))
-    if not heads.limit(1).count():
-        return alone
+    alone = records.join(shared, same, "left_anti").withColumn("ordinal", number)
     place = F.row_number().over(Window.partitionBy("id", "payload_digest").orderBy("url"))
     return alone.unionByName(records.join(shared, same, "left_semi").withColumn("ordinal", (place - 1).cast("long")))
 
 
-def write(records: DataFrame, revisits: DataFrame, path: str, *, date: str = "2024-01-01T00:00:00Z") -> None:
+def write(records: DataFrame, revisits: DataFrame, path: str, *, heads: DataFrame | None = None, date: str = "2024-01-01T00:00:00Z") -> None:
     """Write the archive; revisits get a record without content that names the original.
 
-    The date is a parameter: a rerun writes the same bytes, but for the order of rows that Spark reads in another order.
+    heads: id, payload_digest and payload_bytes of the records, if they are written
+    down already.  The date is a parameter: a rerun writes the same bytes, but for the order of rows that Spark reads in another order.
     """
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     clean = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[\\r\\n]", " ")
@@ -104,11 +106,12 @@ def write(records: DataFrame, revisits: DataFrame, path: str, *, date: str = "20
         F.lit("\r\n"),
     )
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
-    records = _ordinals(records)
+    heads = records if heads is None else heads
+    records = _ordinals(records, heads)
     named = small(revisits.withColumnsRenamed({"id": "_rid", "payload_digest": "_digest"}))
     size = F.col("payload_bytes")
     of = F.coalesce(*[F.when(size <= bound, k) for k, bound in enumerate(CLASSES)], F.lit(len(CLASSES)))
-    most = {r["of"]: r["most"] for r in records.select(of.alias("of"), size.alias("n")).groupBy("of").agg(F.max("n").alias("most")).collect()}  # a row for each class
+    most = {r["of"]: r["most"] for r in heads.select(of.alias("of"), size.alias("n")).groupBy("of").agg(F.max("n").alias("most")).collect()}  # a row for each class
     for k in sorted(most) or [0]:
         joined = records.where(of == k).join(named, (F.col("id") == F.col("_rid")) & (F.col("payload_digest") == F.col("_digest")), "left")
         per_file = max(1, FILE_BYTES // max(1, CLASSES[k] if k < len(CLASSES) else most[k]))
@@ -193,7 +196,10 @@ def deduplicate(pages: DataFrame, path: str, *, least: int = 100, **columns) ->
     and digest are taken from the payload that was read.
     """
     records = headers(pages, **columns)
-    write(records, resolve(records, least=least), path)
+    folder = f"{path.rstrip('/')}-headers"  # read three times, and a hundredth of the payloads
+    records.select("id", "payload_digest", "payload_bytes").write.mode("overwrite").parquet(folder)
+    heads = pages.sparkSession.read.parquet(folder)
+    write(records, resolve(heads, least=least), path, heads=heads)
     back = read(pages.sparkSession, path).withColumn("of_payload", F.sha2(F.col("payload"), 256))
     back = back.select("page_id", "url", "record_type", "payload_digest", "refers_to", "content_length", F.when(F.col("record_type") == "response", F.col("of_payload")).otherwise(F.col("payload_digest")).alias("found_digest"))
     cited = back.where("refers_to is not null").select("found_digest").distinct()
