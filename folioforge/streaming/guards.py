@@ -170,6 +170,8 @@ def held(events: DataFrame, milliseconds: int) -> DataFrame:
     """Rows (agent, held, oldest) for each agent of a micro-batch: the entries (agent, seq) that are in its log, which have a time to live.
 
     The time is that of the clock: the state store drops an entry that long after it was written.
+    With the clock a query has always another batch to run, so one that is to end with
+    availableNow needs spark.sql.streaming.noDataMicroBatches.enabled set to false.
     """
     rows = events.select(F.col("agent").cast("string").alias("agent"), F.col("seq").cast("long").alias("seq"))
     return rows.groupBy("agent").transformWithStateInPandas(_Held(milliseconds), "agent string, held long, oldest long", "Update", "ProcessingTime")

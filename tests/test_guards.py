@@ -83,7 +83,9 @@ def test_log_forgets(rocks, tmp_path):
     assert found == [("a", 1, 60), ("a", 2, 90), ("b", 3, 70)]
 
 
-def test_time_to_live(rocks, tmp_path):
+def test_time_to_live(rocks, tmp_path, request):
+    rocks.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    request.addfinalizer(lambda: rocks.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled"))
     (tmp_path / "in").mkdir()
     schema, seen = "agent string, seq long", []
     stream = guards.held(rocks.readStream.schema(schema).parquet(str(tmp_path / "in")), 4_000)
