@@ -80,9 +80,10 @@ def group_counts(df: DataFrame, key: str) -> DataFrame:
     return n.withColumn("share", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 6)).orderBy(F.desc("n"), key)
 
 
-def stratified(df: DataFrame, strata: list[str], id_col: str, cap: int) -> DataFrame:
-    """At most ``cap`` rows of each stratum, by the MD5 of the id: the same rows each time."""
-    order = Window.partitionBy(*strata).orderBy(F.md5(F.col(id_col).cast("string")), id_col)
+def stratified(df: DataFrame, strata: list[str], id_col: str, cap: int, seed: int | None = None) -> DataFrame:
+    """At most ``cap`` rows of each stratum, by the MD5 of the id (with a seed before it): the same rows each time."""
+    name = F.col(id_col).cast("string")
+    order = Window.partitionBy(*strata).orderBy(F.md5(name if seed is None else F.concat(F.lit(f"{seed}:"), name)), id_col)
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= cap)
 
 
