@@ -16,12 +16,13 @@ _NEW, _OLD = r"^([0-9]{4})\.[0-9]{4,5}$", r"^[a-z-]+(\.[A-Z]{2})?/([0-9]{4})[0-9
 
 
 def coerced(value: Column) -> Column:
-    """struct<kind, json>: what a setting's text stands for (bool, int, float or str), and that as JSON."""
+    """struct<kind, json>: what a setting's text stands for (bool, int, float or str), and that as JSON; null is null."""
     low = F.lower(value)
     plain = F.regexp_replace(F.trim(value, F.lit(" \t\r\n")), "_", "")
     integer = F.regexp_replace(plain, "^\\+", "")
     return (
-        F.when(low.isin(*TRUE), F.struct(F.lit("bool").alias("kind"), F.lit("true").alias("json")))
+        F.when(value.isNull(), F.struct(F.lit(None).cast("string").alias("kind"), F.lit("null").alias("json")))
+        .when(low.isin(*TRUE), F.struct(F.lit("bool").alias("kind"), F.lit("true").alias("json")))
         .when(low.isin(*FALSE), F.struct(F.lit("bool").alias("kind"), F.lit("false").alias("json")))
         .when(value.rlike(_FLOAT), F.struct(F.lit("float").alias("kind"), plain.cast("double").cast("string").alias("json")))
         .when(value.rlike(_INT), F.struct(F.lit("int").alias("kind"), F.regexp_replace(integer, "^(-?)0+(?=[0-9])", "$1").alias("json")))
