@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import settings as E
 from ..operators import corpus as C
+from ..operators import score_log
 from ..operators import status as T
 from .registry import derived, query, table
 
@@ -115,3 +116,18 @@ def stratified_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overlap_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "events").select((F.col("user_id") % 9 + 1).alias("step"), (F.col("user_id") % 9 + 5).alias("size")).distinct()
     return s.withColumn("overlap", F.round(E.overlap_ratio(F.col("step"), F.col("size")), 9))
+
+
+_RESULTS = "SELECT event_id AS id, user_id, event_type, ts, value, '{\"' || event_type || '\": {\"stats\": {\"p50\": ' || event_id || ', \"name\": \"x\"}}}' AS result, CASE event_id % 3 WHEN 0 THEN 'ms' WHEN 1 THEN 's' ELSE 'us' END AS unit FROM events WHERE value IS NOT NULL"
+
+
+@query(f"""WITH r AS (SELECT *, greatest(id / CASE unit WHEN 's' THEN 1 WHEN 'ms' THEN 1000 ELSE 1000000 END, 1e-9)::DOUBLE AS s, 0.25 * (0.5 + value / 100 + 0.8 + user_id % 10 / 10.0::DOUBLE) AS ctx FROM ({_RESULTS})),
+c AS (SELECT *, CASE WHEN value <= 0 OR user_id % 4 = 0 OR ctx <= 0 THEN 0 ELSE value / 100 * (user_id % 4) * 0.7::DOUBLE * pow(ctx, 1.7) END AS cap FROM r)
+SELECT id, event_type AS label, id::DOUBLE AS time_value, s AS time_seconds, round(ctx, 9) AS context_score, round(cap, 9) AS capability, round(cap / s, 6) AS efficiency FROM c""")
+def score_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record for every event: its time read from a nested result, scaled, and scored."""
+    d = derived(spark, sf_dir, _RESULTS)
+    ctx = {"l": F.lit(0.5), "i": F.col("value") / 100, "a": F.lit(0.8), "g": (F.col("user_id") % 10) / 10.0}
+    out = score_log.records(d, result="result", path=[F.col("event_type"), F.lit("stats"), F.lit("p50")], unit=F.col("unit"), what=F.col("value") / 100, where=F.col("user_id") % 4, who=F.lit(0.7), context=ctx, alpha=F.lit(1.7), label=F.col("event_type"), at=F.col("ts"))
+    r = F.col("record")
+    return out.select("id", r["label"].alias("label"), r["time_value"].alias("time_value"), r["time_seconds"].alias("time_seconds"), F.round(r["context_score"], 9).alias("context_score"), F.round(r["capability"], 9).alias("capability"), F.round(r["efficiency"], 6).alias("efficiency"))

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioforge.functions import settings as E
@@ -56,3 +57,19 @@ def test_states_and_gates(spark):
     assert [r[0] for r in gates.select(T.gate_reasons(F.col("x"), F.col("t"), F.col("d"), F.col("c"))).collect()] == [[], ["text", "title", "dimension", "chunks"], ["text", "title", "dimension", "chunks"]]
     code = T.paper_document(spark.createDataFrame([(1, ["f"], "py"), (2, [], "py"), (3, None, None)], "id int, s array<string>, lang string"), "s", ["lang"]).orderBy("id").collect()
     assert code[0].code.lang == "py" and [r.has_symbols for r in code] == [True, False, False] and code[1].code is None
+
+
+def test_score_records(spark, tmp_path):
+    from folioforge.operators import score_log
+
+    df = spark.createDataFrame([(1, '{"b": {"stats": {"p50": 1500, "s": "x"}}}')], "id int, result string").withColumn("at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    make = lambda path=("b", "stats", "p50"), alpha=1.7, unit="ms": score_log.records(df, result="result", path=[F.lit(p) for p in path], unit=F.lit(unit), what=F.lit(1), where=F.lit(1), who=F.lit(1), context={"l": F.lit(0.5), "i": F.lit(1.0)}, alpha=F.lit(alpha), label=F.lit("run"), at=F.col("at"))
+    r = score_log.log(make(), str(tmp_path / "log"), dry_run=True).first()
+    assert (r.time_seconds, r.context_score, r.timestamp) == (1.5, 0.75, "2024-01-01T00:00:00.000000") and abs(r.efficiency - 0.75**1.7 / 1.5) < 1e-12
+    assert not (tmp_path / "log").exists()
+    for _ in range(2):
+        score_log.log(make(), str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
+    for bad, says in (({"path": ("b", "none", "p50")}, r"\$\.b\.none"), ({"path": ("b", "stats", "s")}, "no number"), ({"alpha": 1.4}, "alpha"), ({"unit": "h"}, "time unit")):
+        with pytest.raises(Exception, match=says):
+            make(**bad).collect()
