@@ -17,6 +17,14 @@ def stats(df: DataFrame, series: str, value: str = "value", ts: str = "ts", seq:
     return df.groupBy(series).agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"), F.sum(value).alias("total"), F.max_by(value, F.struct(ts, seq)).alias("latest"))
 
 
+def recent_stats(df: DataFrame, series: str, as_of: Column, seconds: int = 300, value: str = "value", ts: str = "ts") -> DataFrame:
+    """Per series: count, min, max and mean of all points, and of those of the last seconds before ``as_of``, in one pass."""
+    age = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col(ts).cast("timestamp"))) / 1e6
+    new = F.when((age >= 0) & (age <= seconds), F.col(value))
+    of = lambda c, name: [F.count(c).alias(f"n{name}"), F.min(c).alias(f"low{name}"), F.max(c).alias(f"high{name}"), F.avg(c).alias(f"mean{name}")]
+    return df.groupBy(series).agg(*of(F.col(value), ""), *of(new, "_recent"))
+
+
 def rate(df: DataFrame, series: str, value: str = "value", ts: str = "ts", seq: str = "event_id") -> DataFrame:
     """Change per second between the first and the last point; null for fewer than two points, no span or an end that is no number."""
     ends = df.groupBy(series).agg(F.count("*").alias("n"), F.min(F.struct(ts, seq, value)).alias("a"), F.max(F.struct(ts, seq, value)).alias("b"))

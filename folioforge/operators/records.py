@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sentences, tokens
 from ..functions.vectors import cosine
+from .lineage import totals_before
 
 
 def page(df: DataFrame, order: list[Column], limit: int, offset: int = 0) -> DataFrame:
@@ -54,8 +55,23 @@ def run_summary(runs: DataFrame) -> DataFrame:
     return runs.withColumns({"duration_seconds": span, "success_rate": F.when(total == 0, 0.0).otherwise(F.try_divide(F.col("items_processed") * 100.0, total))})
 
 
+def batch_parts(results: DataFrame, batch: str, item: str, size: int = 1000) -> DataFrame:
+    """Per batch and success: the items in order, in numbered parts of at most ``size``, with the batch's totals.
+
+    Items are numbered by ranges of the order, so that a batch may have any number
+    of them: no task and no row holds more than a part.
+    """
+    totals = results.groupBy(batch).agg(F.count_if("success").alias("items_succeeded"), F.count_if(~F.col("success")).alias("items_failed"), F.coalesce(F.sum(F.when(F.col("success"), F.col("num_chunks"))), F.lit(0)).alias("chunks_created"))
+    numbered = totals_before(results.select(batch, item, "success"), [batch, "success"], [F.col(item)], {"_number": F.lit(1)}).withColumn("part", F.floor(F.col("_number") / size).cast("int"))
+    parts = numbered.groupBy(batch, "success", "part").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return parts.join(totals, batch)
+
+
 def batch_summary(results: DataFrame, batch: str, item: str) -> DataFrame:
-    """Per batch: the items that succeeded and failed, in order, and the chunks that were made of those that succeeded."""
+    """Per batch: the items that succeeded and failed, in order, and the chunks that were made of those that succeeded.
+
+    For batches that fit a row each; ``batch_parts`` is for those that do not.
+    """
     named = lambda good: F.array_sort(F.collect_list(F.when(F.col("success") == good, F.col(item))))
     return results.groupBy(batch).agg(named(True).alias("succeeded"), named(False).alias("failed"), F.coalesce(F.sum(F.when(F.col("success"), F.col("num_chunks"))), F.lit(0)).alias("chunks_created"))
 

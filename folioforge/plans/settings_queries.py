@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import settings as E
 from ..operators import corpus as C
+from ..operators import metrics as M
+from ..operators import records as R
 from ..operators import score_log
 from ..operators import status as T
 from .registry import derived, query, table
@@ -131,3 +133,20 @@ def score_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_log.records(d, result="result", path=[F.col("event_type"), F.lit("stats"), F.lit("p50")], unit=F.col("unit"), what=F.col("value") / 100, where=F.col("user_id") % 4, who=F.lit(0.7), context=ctx, alpha=F.lit(1.7), label=F.col("event_type"), at=F.col("ts"))
     r = F.col("record")
     return out.select("id", r["label"].alias("label"), r["time_value"].alias("time_value"), r["time_seconds"].alias("time_seconds"), F.round(r["context_score"], 9).alias("context_score"), F.round(r["capability"], 9).alias("capability"), F.round(r["efficiency"], 6).alias("efficiency"))
+
+
+@query("""WITH r AS (SELECT source AS batch, doc_id, n_chars >= 655 AS success, n_chars // 655 AS chunks FROM documents), n AS (SELECT *, (row_number() OVER (PARTITION BY batch, success ORDER BY doc_id) - 1) // 20 AS part FROM r),
+t AS (SELECT batch, count(*) FILTER (success) AS items_succeeded, count(*) FILTER (NOT success) AS items_failed, coalesce(sum(chunks) FILTER (success), 0)::BIGINT AS chunks_created FROM r GROUP BY batch)
+SELECT n.batch, success, part::INT AS part, string_agg(doc_id, ',' ORDER BY doc_id) AS items, any_value(items_succeeded) AS items_succeeded, any_value(items_failed) AS items_failed, any_value(chunks_created) AS chunks_created FROM n JOIN t ON t.batch = n.batch GROUP BY n.batch, success, part""")
+def batch_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("batch"), "doc_id", (F.col("n_chars") >= 655).alias("success"), F.floor(F.col("n_chars") / 655).alias("num_chunks"))
+    return R.batch_parts(rows, "batch", "doc_id", 20).withColumn("items", F.array_join("items", ","))
+
+
+@query("""WITH c AS (SELECT max(ts) AS c FROM events) SELECT event_type, count(value) AS n, min(value) AS low, max(value) AS high, round(avg(value), 6) AS mean, count(value) FILTER (ts >= c - INTERVAL 1 DAY) AS n_recent, min(value) FILTER (ts >= c - INTERVAL 1 DAY) AS low_recent, max(value) FILTER (ts >= c - INTERVAL 1 DAY) AS high_recent, round(avg(value) FILTER (ts >= c - INTERVAL 1 DAY), 6) AS mean_recent FROM events, c GROUP BY event_type""")
+def recent_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of each series beside those of its last day."""
+    e = table(spark, sf_dir, "events")
+    as_of = F.lit(e.agg(F.max("ts")).first()[0])
+    out = M.recent_stats(e, "event_type", as_of, 86_400)
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "mean_recent")})
