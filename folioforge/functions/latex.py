@@ -44,11 +44,11 @@ def equations(c: Column) -> Column:
 
 
 def tables(c: Column) -> Column:
-    """array<struct<caption, label, latex, column_spec>>."""
+    """array<struct<caption, label, latex, column_spec, full_content>>; full_content is all that the environment holds."""
 
     def one(x: Column) -> Column:
         body = F.coalesce(_first(x, TABULAR, 0), _first(x, ARRAY, 0), x)
-        return F.struct(_first(x, CAPTION).alias("caption"), _first(x, LABEL).alias("label"), body.alias("latex"), _first(body, COLUMNS).alias("column_spec"))
+        return F.struct(_first(x, CAPTION).alias("caption"), _first(x, LABEL).alias("label"), body.alias("latex"), _first(body, COLUMNS).alias("column_spec"), x.alias("full_content"))
 
     return F.transform(_all(c, TABLE), one)
 

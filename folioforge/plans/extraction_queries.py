@@ -50,6 +50,20 @@ def latex_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, _TEX).select("id", F.posexplode(L.tables(F.col("tex"))).alias("pos", "t")).select("id", "pos", "t.caption", "t.label", "t.column_spec")
 
 
+@query(duck(rf"""WITH f AS ({_TEX}), a AS (SELECT id, regexp_extract_all(tex, '(?s)\\begin\{{table\*?\}}(.*?)\\end\{{table\*?\}}', 1) AS a FROM f), t AS (SELECT id, i - 1 AS pos, a[i] AS x FROM (SELECT id, a, unnest(generate_series(1, len(a))) AS i FROM a))
+SELECT id, pos::INT AS pos, md5(x) AS full_content, md5(coalesce(nullif(regexp_extract(x, '(?s)\\begin\{{tabular\}}(.*?)\\end\{{tabular\}}', 0), ''), nullif(regexp_extract(x, '(?s)\\begin\{{array\}}(.*?)\\end\{{array\}}', 0), ''), x)) AS latex FROM t"""))
+def latex_table_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = derived(spark, sf_dir, _TEX).select("id", F.posexplode(L.tables(F.col("tex"))).alias("pos", "t"))
+    return out.select("id", "pos", F.md5("t.full_content").alias("full_content"), F.md5("t.latex").alias("latex"))
+
+
+@query(duck(rf"""WITH f AS ({_TEX}) SELECT id, regexp_matches(tex, '(?s)\\begin\{{table\*?\}}.*?\\end\{{table\*?\}}') AS has_tables, regexp_matches(tex, '(?s)\\begin\{{(equation\*?|align\*?)\}}|\$[^$]{{2,200}}\$') AS has_equations FROM f"""))
+def content_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a document has tables and equations."""
+    out = derived(spark, sf_dir, _TEX)
+    return out.select("id", (F.size(L.tables(F.col("tex"))) > 0).alias("has_tables"), (F.size(L.equations(F.col("tex"))) > 0).alias("has_equations"))
+
+
 @query(r"SELECT doc_id, len(regexp_extract_all(text, '\$([^$]{2,200})\$', 1))::INT AS n, md5(array_to_string(regexp_extract_all(text, '\$([^$]{2,200})\$', 1)[1:100], '|')) AS digest FROM documents")
 def inline_math(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = F.regexp_extract_all("text", F.lit(L.INLINE), F.lit(1))
