@@ -73,3 +73,24 @@ def test_score_records(spark, tmp_path):
     for bad, says in (({"path": ("b", "none", "p50")}, r"\$\.b\.none"), ({"path": ("b", "stats", "s")}, "no number"), ({"alpha": 1.4}, "alpha"), ({"unit": "h"}, "time unit")):
         with pytest.raises(Exception, match=says):
             make(**bad).collect()
+
+
+def test_batch_parts(spark):
+    from folioforge.operators.records import batch_parts
+
+    rows = [("a", k, k % 3 > 0, 2) for k in range(50)] + [("b", 1, False, 1), (None, 2, True, 4)]
+    out = batch_parts(spark.createDataFrame(rows, "batch string, item int, success boolean, num_chunks int").repartition(5), "batch", "item", 7).collect()
+    good = [i for r in sorted(out, key=lambda r: r.part) if r.batch == "a" and r.success for i in r["items"]]
+    assert good == [k for k in range(50) if k % 3 > 0] and max(len(r["items"]) for r in out) == 7
+    assert {(r.items_succeeded, r.items_failed, r.chunks_created) for r in out if r.batch == "a"} == {(33, 17, 66)}
+    assert {(r.success, r.chunks_created) for r in out if r.batch == "b"} == {(False, 0)}
+
+
+def test_recent_stats(spark):
+    from folioforge.operators.metrics import recent_stats
+
+    rows = [("s", f"2024-01-01 00:0{k}:00", float(k)) for k in range(8)] + [("t", "2024-01-01 00:00:00", None)]
+    df = spark.createDataFrame(rows, "series string, at string, value double").withColumn("ts", F.col("at").cast("timestamp_ntz"))
+    out = {r.series: r for r in recent_stats(df, "series", F.lit("2024-01-01 00:06:00").cast("timestamp_ntz")).collect()}
+    assert (out["s"].n, out["s"].n_recent, out["s"].low_recent, out["s"].high_recent, out["s"].mean_recent) == (8, 6, 1.0, 6.0, 3.5)
+    assert (out["t"].n, out["t"].n_recent, out["t"].mean_recent) == (0, 0, None)
