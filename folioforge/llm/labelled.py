@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .memory import giving_back
 from .words import ROWS
 
 
@@ -58,7 +59,7 @@ def with_column(df: DataFrame, inputs: list[str], name: str, values: Callable[[p
             column = pa.array(np.concatenate(parts) if parts else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
-    return df.mapInArrow(each, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
+    return df.mapInArrow(giving_back(each), T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def lists(column: pa.ChunkedArray) -> list[np.ndarray]:

@@ -302,7 +302,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> D
 
 
 #: Groups of at most so many sets make their pairs; sets of a block that is compared with others, and their shingles together.
-FEW, BLOCK, BLOCK_SHINGLES = 32, 1024, 1 << 20
+FEW, BLOCK, BLOCK_SHINGLES = 32, 512, 1 << 19
 
 
 def _compare(open_: list[np.ndarray], others: list[np.ndarray], p: int, q: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -317,7 +317,7 @@ def _compare(open_: list[np.ndarray], others: list[np.ndarray], p: int, q: int)
     name = np.cumsum(~same[:-1][twice]) - 1
     own, n = own[twice], len(open_)
     common = np.zeros((n, len(others)), np.float32)
-    step = 4096
+    step = 2048
     for lo in range(0, int(name[-1]) + 1 if len(name) else 0, step):
         a, b = np.searchsorted(name, [lo, lo + step])
         table = np.zeros((len(sets), step), np.float32)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .memory import give_back
+from .memory import give_back, giving_back
 
 #: The tokenizer's own split of a text, for lower-cased text of the first 256 characters (all of it is in normal form C).
 _LETTERS = "a-zªµº\xdf-\xf6\xf8-\xff"
@@ -270,4 +270,4 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
             yield placed(packer.pack(wait, True)[0])
         _let_go()
 
-    return rows.mapInArrow(each, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", token_bytes binary" if with_bytes else ""))
+    return rows.mapInArrow(giving_back(each), f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", token_bytes binary" if with_bytes else ""))

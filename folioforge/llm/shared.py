@@ -33,6 +33,17 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes of a batch that a task hands to Python, and Spark's own bound.
+BATCH_BYTES, _SPARKS = "8m", "67108864b"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the session, unless it has a bound of its own: JVM and Python hold a batch several times over."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, _SPARKS) == _SPARKS:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,6 +61,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        bounded_batches(spark)
         self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
         self.seed = 0  # of hashes that a step had to draw anew
