@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm import mixing, ngram_join, packing, quality, toxicity
 from folioforge.llm.queries import TOKENIZER
-from folioforge.llm.shared import Scratch
+from folioforge.llm.shared import Scratch, bounded_batches
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,12 +22,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Null and empty texts are scored like any other; null ids stay out of the fit
     only; rows with equal ids are scored each by its own text.
     """
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.classify(docs, labels).where("predicted = 1").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not predict as toxic; odd rows as in ``keep_quality``."""
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.classify(docs, labels).where("predicted = 0").select(*docs.columns)
 
@@ -52,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences; a null or empty text is its end token."""
+    bounded_batches(spark)
     out = packing.pack(docs, TOKENIZER, with_bytes=False)
     return out.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
