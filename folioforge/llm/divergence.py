@@ -40,7 +40,7 @@ from .words import column_bytes
 #: Bytes of terms: ASCII letters, lower-cased, and all of other characters; anything else ends a term.
 _TERM = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 #: Counts that a task holds before it gives them out.
-_HELD = 400_000
+_HELD = 200_000
 #: Bits of a histogram, and of a value.
 BITS, WIDTH = 8, 32
 _COUNTS = "lang string, source string, term string, n long, docs long"
