@@ -7,7 +7,6 @@ logged and stops nothing.
 
 from __future__ import annotations
 
-import json
 import logging
 from collections import defaultdict
 from collections.abc import Callable
@@ -89,7 +88,3 @@ class Tracker(StreamingQueryListener):
         if event.exception:
             own["error"] = str(event.exception).splitlines()[0][:500]
         self._enter(str(event.runId), "failed" if event.exception else "completed")
-
-
-def as_json(state: dict) -> str:
-    return json.dumps(state, sort_keys=True)
