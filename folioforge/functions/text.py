@@ -43,6 +43,11 @@ def clean(c: Column) -> Column:
     return F.trim(F.replace(F.regexp_replace(c, WS, " "), F.lit("\x00"), F.lit("")))
 
 
+def clean_tokens(c: Column) -> Column:
+    """The tokens of a clean text, whose only white space is the space."""
+    return _nonempty(F.split(c, " "))
+
+
 def sentences(c: Column) -> Column:
     """Split behind . ! or ? and white space; blank parts are dropped."""
     return _nonempty(F.transform(F.split(c, r"(?<=[.!?])" + WS), strip))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, sentences, tokens
+from ..functions.text import clean, clean_tokens, sentences, tokens
 
 
 def _joined(t: Column, start: Column, n) -> Column:
@@ -114,8 +114,9 @@ def sentence_packs(df: DataFrame, *, most: int = 1500, respect_sentences: bool =
     ``respect_sentences`` the tokens are cut into runs of ``most``.
     """
     keep = keep or ["doc_id"]
-    df = df.select(*keep, clean(F.coalesce(F.col(text_col), F.lit(""))).alias("_c")).withColumn("_n", F.size(tokens(F.col("_c"))))
+    df = df.select(*keep, clean(F.coalesce(F.col(text_col), F.lit(""))).alias("_c"))
     if respect_sentences:
+        df = df.withColumn("_n", F.size(tokens(F.col("_c"))))
         # the fold goes over numbers of tokens and keeps where chunks begin; texts are joined once
         df = df.withColumn("_s", F.when(F.col("_n") > most, sentences(F.col("_c"))).otherwise(F.array().cast("array<string>")))
         df = df.withColumn("_k", F.transform("_s", lambda s, i: F.struct(i.alias("i"), F.size(tokens(s)).alias("n"))))
@@ -128,8 +129,9 @@ def sentence_packs(df: DataFrame, *, most: int = 1500, respect_sentences: bool =
         df = df.withColumn("_a", F.aggregate("_k", start, add, lambda acc: acc["at"]))
         long = F.transform("_a", lambda a, i: F.array_join(F.slice("_s", a + 1, F.coalesce(F.get(F.col("_a"), i + 1), F.size("_s")) - a), " "))
     else:
-        t = tokens(F.col("_c"))
-        long = F.transform(F.sequence(F.lit(0), F.greatest(F.col("_n") - 1, F.lit(0)), F.lit(most)), lambda s: _joined(t, s, most))
+        # the tokens are a column: as an expression inside the lambda the whole text would be split again for each chunk
+        df = df.withColumn("_t", clean_tokens(F.col("_c"))).select(*keep, "_c", "_t", F.size("_t").alias("_n"))
+        long = F.transform(F.sequence(F.lit(0), F.greatest(F.col("_n") - 1, F.lit(0)), F.lit(most)), lambda s: _joined(F.col("_t"), s, most))
     texts = F.when(F.col("_n") == 0, F.array().cast("array<string>")).when(F.col("_n") <= most, F.array("_c")).otherwise(long)
     out = df.select(*keep, F.posexplode(texts).alias("chunk_index", "text"))
     return out.withColumn("token_count", F.size(tokens(F.col("text"))))

@@ -72,6 +72,18 @@ def test_long_sentence_is_a_chunk(spark):
     assert [r.token_count for r in out] == [2, 9, 2]
 
 
+def test_runs_split_a_text_once(spark):
+    values = [" ".join(f"w{i}" for i in range(101)), "a\x00b \x00 c\u2003d\x1ce  f g", "one", None, " \x00 "]
+    out = C.sentence_packs(texts(spark, *values), most=4, respect_sentences=False).select("doc_id", "chunk_index", "text")
+    want = []
+    for i, t in enumerate(values):
+        c = " ".join((t or "").split()).replace("\x00", "").strip(" ")
+        w = c.split()
+        want += [(i, 0, c)] if 0 < len(w) <= 4 else [(i, a // 4, " ".join(w[a : a + 4])) for a in range(0, len(w), 4)]
+    assert sorted(tuple(r) for r in out.collect()) == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 def test_pooled_windows_skip_special(spark):
     rows = [(1, p, p * 3, p * 3 + 2, int(p in (0, 5)), [float(p), 1.0]) for p in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, pos long, start long, end long, special int, vec array<double>")
