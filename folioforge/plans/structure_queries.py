@@ -12,15 +12,20 @@ from .registry import query, table
 _NAMES = r"(?:^|\. )([A-Za-z]+)"
 
 
-def _python(text: Column) -> Column:
+def _python(text: Column, names: Column) -> Column:
     """Python source of a document: an import, a class named by its first word, its text as docstring, and a method for each first word of a sentence."""
-    names = F.regexp_extract_all(text, F.lit(_NAMES), F.lit(1))
     safe = F.replace(F.replace(text, F.lit("\\"), F.lit("/")), F.lit('"'), F.lit("'"))
     methods = F.transform(names, lambda n, i: F.concat(F.lit("    def m_"), n, F.lit("(self, a: int, b=1):\n        # if x: for y: while z\n        if a:\n            return 'else: def f'\n        else:\n            for c in b:\n                pass\n\n")))
     first = F.coalesce(F.try_element_at(names, F.lit(1)), F.lit("x"))
     return F.concat(F.lit("import os\nfrom a import (b,\n    c)\n\nclass C_"), first, F.lit('(Base, metaclass=M):\n    """'), safe, F.lit('"""\n'), F.array_join(methods, ""), F.lit("LIMIT = 1\n"))
 
 
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Python source made of each whole document."""
+    named = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text", F.regexp_extract_all("text", F.lit(_NAMES), F.lit(1)).alias("names"))
+    return named.select("doc_id", _python(F.col("text"), F.col("names")).alias("content"), F.lit("python").alias("language"))
+
+
 @query(rf"""WITH d AS (SELECT doc_id, text, regexp_extract_all(text, '{_NAMES}', 1) AS w, len(regexp_extract_all(text, chr(10))) AS n FROM documents WHERE text IS NOT NULL),
 s AS (SELECT doc_id, 1 AS line, 1 AS end_line, 'import' AS kind, NULL AS name, 'module' AS scope FROM d UNION ALL SELECT doc_id, 2, 2, 'import', NULL, 'module' FROM d
 UNION ALL SELECT doc_id, 5, 5 + n + 1 + 8 * len(w) - CASE WHEN len(w) > 0 THEN 1 ELSE 0 END, 'class', 'C_' || coalesce(w[1], 'x'), 'module' FROM d
@@ -29,16 +34,15 @@ UNION ALL SELECT doc_id, 7 + n + 8 * len(w), 7 + n + 8 * len(w), 'constant', 'LI
 SELECT doc_id, line::INT AS line, end_line::INT AS end_line, kind, name, scope FROM s""")
 def code_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbols of Python source made of each whole document: names, lines and scopes."""
-    source = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", _python(F.col("text")).alias("content"), F.lit("python").alias("language"))
-    return symbols.extract(source, "content", "language").select("doc_id", F.explode("code.symbols").alias("s")).select("doc_id", "s.line", "s.end_line", "s.kind", "s.name", "s.scope")
+    code = symbols.extract(_sources(spark, sf_dir), "content", "language", fields=["symbols"], symbol_fields=["line", "end_line", "kind", "name", "scope"], keep=["doc_id"])
+    return code.select("doc_id", F.explode("code.symbols").alias("s")).select("doc_id", "s.line", "s.end_line", "s.kind", "s.name", "s.scope")
 
 
 @query(rf"""WITH d AS (SELECT doc_id, len(regexp_extract_all(text, '{_NAMES}', 1)) AS w, len(regexp_extract_all(text, chr(10))) AS n FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, (n + 8 * w + 8)::INT AS lines_of_code, (1 + 3 * w)::INT AS complexity, CASE WHEN w > 0 THEN 4 ELSE 1 END AS max_depth, (23 + 26 * w)::INT AS node_count, 1 AS top_level FROM d""")
 def code_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, complexity, depth and tokens of the same source: what strings and comments say does not count."""
-    source = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", _python(F.col("text")).alias("content"), F.lit("python").alias("language"))
-    code = symbols.extract(source, "content", "language").select("doc_id", "code.*")
+    code = symbols.extract(_sources(spark, sf_dir), "content", "language").select("doc_id", "code.*")
     return code.select("doc_id", "lines_of_code", "complexity", "max_depth", "node_count", F.size("top_level").alias("top_level"))
 
 
@@ -48,7 +52,7 @@ SELECT page_id, (length(js) - length(replace(js, chr(10), '')) + 1)::INT AS line
 def script_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of every script of the pages (SQL blanks strings and comments first)."""
     scripts = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r"(?is)<script\b[^>]*>(.*?)</script\s*>"), F.lit(1))).alias("js"), F.lit("javascript").alias("language"))
-    return symbols.extract(scripts, "js", "language").select("page_id", "code.lines_of_code", "code.complexity", "code.node_count")
+    return symbols.extract(scripts, "js", "language", fields=["lines_of_code", "complexity", "node_count"], keep=["page_id"]).select("page_id", "code.lines_of_code", "code.complexity", "code.node_count")
 
 
 _HEAD = r"(?is)<h([1-6])\b[^>]*>(.*?)</h[1-6]\s*>"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.lexer import FAMILY, tokens
 from folioforge.functions.shapes import SHAPES, of_value, of_yaml
-from folioforge.operators import layers, structure
+from folioforge.operators import layers, structure, symbols
 from folioforge.operators.symbols import analyse, extract
 
 HERE = Path(__file__).resolve().parent.parent
@@ -110,6 +110,29 @@ def test_never_an_error_and_linear():
             assert time.perf_counter() - began < 8
 
 
+def test_equal_lines_are_read_once():
+    """Methods of the same lines: what a line says is worked out once, wherever it stands."""
+    method = "    def m(self, a: int, b=1):\n        # if x: for y\n        if a:\n            return 'else: def f'\n        x = \"\"\"if\n  def no():\"\"\"\n        y = (a,\n    b)\n\n"
+    text = "import os\nclass C(B):\n" + method * 3_000
+    symbols._line.cache_clear()
+    began = symbols._line.cache_info().misses
+    found = analyse(text, "python")
+    assert symbols._line.cache_info().misses - began <= 12
+    assert [(s["line"], s["end_line"], s["scope"]) for s in found["symbols"][2:]] == [(3 + 9 * i, 10 + 9 * i, "module.C") for i in range(3_000)]
+    assert (found["complexity"], found["node_count"], found["max_depth"]) == (1 + 3_000, 2 + 6 + 27 * 3_000, 3)
+
+
+def test_extract_of_some_fields(spark):
+    rows = [(1, "def f(a): pass\nclass C: x = 1", "python"), (2, None, "python"), (3, "", "go")]
+    df = extract(spark.createDataFrame(rows, "id int, content string, language string"), "content", "language", fields=["symbols", "top_level"], keep=["id"])
+    assert df.columns == ["id", "code"] and df.schema["code"].dataType.names == ["symbols", "top_level"]
+    out = {r["id"]: r["code"] for r in df.collect()}
+    assert [s["name"] for s in out[1]["symbols"]] == ["f", "C"] and out[1]["symbols"][0]["docstring"] is None and out[1]["top_level"][1]["line"] == 2
+    assert out[2] is None and out[3]["symbols"] == [] and out[3]["top_level"] == []
+    few = extract(df.select(F.lit("def f(a): pass").alias("content"), F.lit("python").alias("language")), "content", "language", fields=["symbols"], symbol_fields=["line", "name"], keep=[])
+    assert [tuple(x) for x in few.first()["code"]["symbols"]] == [(1, "f")]
+
+
 def test_extract(spark):
     rows = [(1, "def f(a): pass", "python", "x"), (2, None, "python", "x"), (3, "", "go", "x"), (4, "x", "cobol", "x"), (5, "y", None, "x")]
     df = extract(spark.createDataFrame(rows, "id int, content string, language string, code string"), "content", "language")
