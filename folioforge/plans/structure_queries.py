@@ -42,7 +42,7 @@ def code_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, (n + 8 * w + 8)::INT AS lines_of_code, (1 + 3 * w)::INT AS complexity, CASE WHEN w > 0 THEN 4 ELSE 1 END AS max_depth, (23 + 26 * w)::INT AS node_count, 1 AS top_level FROM d""")
 def code_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines, complexity, depth and tokens of the same source: what strings and comments say does not count."""
-    code = symbols.extract(_sources(spark, sf_dir), "content", "language").select("doc_id", "code.*")
+    code = symbols.extract(_sources(spark, sf_dir), "content", "language", fields=["lines_of_code", "complexity", "max_depth", "node_count", "top_level"], keep=["doc_id"]).select("doc_id", "code.*")
     return code.select("doc_id", "lines_of_code", "complexity", "max_depth", "node_count", F.size("top_level").alias("top_level"))
 
 
