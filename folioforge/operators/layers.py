@@ -17,9 +17,12 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Leaves and merged objects as text.
+_text = json.JSONEncoder(ensure_ascii=False, sort_keys=True).encode
+
 
 def leaves(df: DataFrame, key: str, layer: str, text: str) -> DataFrame:
     """Rows (key, layer, path, leaf) of the JSON objects in ``text``: path is an array of names, leaf JSON; what is no object has no rows."""
@@ -31,7 +34,7 @@ def leaves(df: DataFrame, key: str, layer: str, text: str) -> DataFrame:
             if isinstance(here, dict) and here:
                 open_.extend(([*path, k], v) for k, v in here.items())
             else:
-                yield path, json.dumps(here, ensure_ascii=False, sort_keys=True)
+                yield path, _text(here)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,25 +56,37 @@ def leaves(df: DataFrame, key: str, layer: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.col(layer).alias("layer"), F.col(text).cast("string").alias("text")).mapInArrow(each, f"key {kinds[key]}, layer {kinds[layer]}, path array<string>, leaf string")
 
 
-def _above(rows: DataFrame) -> DataFrame:
-    """``rows`` once for each path above theirs, as ``above``."""
-    return rows.where(F.size("path") > 1).withColumn("above", F.explode(F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda n: F.slice("path", F.lit(1), n))))
+def _above(path: Column) -> Column:
+    """The paths above a path."""
+    return F.when(F.size(path) > 1, F.transform(F.sequence(F.lit(1), F.size(path) - 1), lambda n: F.slice(path, F.lit(1), n))).otherwise(F.array().cast("array<array<string>>"))
 
 
 def settle(rows: DataFrame) -> DataFrame:
     """The leaves (key, path, leaf) that no higher layer is in conflict with; of equal layers the greater leaf counts.
 
     An empty object is an object like one with leaves: it replaces a lower scalar and leaves what is below it.
+    The rows are read once: each path sends its layer to the paths above it, and then asks them for theirs.
+    Layers are compared as structs, in which null is the lowest.
     """
-    best = rows.groupBy("key", "path", (F.col("leaf") == "{}").alias("empty")).agg(F.max(F.struct("layer", "leaf")).alias("top")).select("key", "path", "empty", "top.layer", "top.leaf")
-    scalars, empties = best.where("NOT empty"), best.where("empty")
-    objects = _above(best).select("key", F.col("above").alias("path"), "layer").unionByName(empties.select("key", "path", "layer")).groupBy("key", "path").agg(F.max("layer").alias("object_layer"))
-    live = scalars.join(objects, ["key", "path"], "left").where("object_layer IS NULL OR layer >= object_layer")
-    held = scalars.select("key", "path", F.col("layer").alias("scalar_layer"))
-    bare = empties.join(held, ["key", "path"], "left").where("scalar_layer IS NULL OR layer > scalar_layer")
-    candidates = live.select("key", "path", "layer", "leaf").unionByName(bare.select("key", "path", "layer", "leaf"))
-    dead = _above(candidates).join(held.withColumnRenamed("path", "above"), ["key", "above"]).where("scalar_layer > layer").select("key", "path").distinct()
-    return candidates.join(dead, ["key", "path"], "left_anti").select("key", "path", "leaf")
+    path, empty, top = F.col("path"), F.col("empty"), F.col("top")
+    best = rows.groupBy("key", "path", (F.col("leaf") == "{}").alias("empty")).agg(F.max(F.struct("layer", "leaf")).alias("top"))
+    layer = F.struct(F.col("top.layer").alias("layer"))
+    none = F.when(F.lit(False), layer)
+    own = F.struct(path.alias("path"), F.when(~empty, top).alias("scalar"), F.when(empty, layer).alias("empty"), none.alias("below"))
+    over = F.transform(_above(path), lambda p: F.struct(p.alias("path"), F.when(F.lit(False), top).alias("scalar"), none.alias("empty"), layer.alias("below")))
+    nodes = best.select("key", F.explode(F.concat(F.array(own), over)).alias("n")).groupBy("key", F.col("n.path").alias("path")).agg(*[F.max(f"n.{c}").alias(c) for c in ("scalar", "empty", "below")])
+
+    scalar, empty = F.col("scalar"), F.col("empty")
+    held, object_ = F.when(scalar.isNotNull(), F.struct(F.col("scalar.layer").alias("layer"))), F.greatest("empty", "below")
+    live = scalar.isNotNull() & (object_.isNull() | (held >= object_))
+    bare = empty.isNotNull() & (scalar.isNull() | (empty > held))
+    candidates = nodes.select("key", "path", held.alias("held"), F.when(live, scalar).when(bare, F.struct(F.col("empty.layer").alias("layer"), F.lit("{}").alias("leaf"))).alias("own"))
+    mine = F.struct(path.alias("at"), F.lit(True).alias("mine"), F.col("held").alias("held"))
+    asks = F.when(F.col("own").isNotNull(), F.transform(_above(path), lambda p: F.struct(p.alias("at"), F.lit(False).alias("mine"), F.when(F.lit(False), F.col("held")).alias("held"))))
+    asked = candidates.select("key", "path", "own", F.explode(F.concat(F.array(mine), F.coalesce(asks, F.array().cast(dict(candidates.select(F.array(mine).alias("a")).dtypes)["a"])))).alias("q"))
+    told = asked.withColumn("over", F.max("q.held").over(Window.partitionBy("key", "q.at"))).where("own IS NOT NULL")
+    dead = ~F.col("q.mine") & F.coalesce(F.col("over") > F.struct(F.col("own.layer").alias("layer")), F.lit(False))
+    return told.groupBy("key", "path").agg(F.max("own.leaf").alias("leaf"), F.max(dead).alias("dead")).where("NOT dead").select("key", "path", "leaf")
 
 
 def build(rows: DataFrame) -> DataFrame:
@@ -93,7 +108,7 @@ def build(rows: DataFrame) -> DataFrame:
                             here[e["path"][-1]] = value
                         else:
                             here.setdefault(e["path"][-1], value)
-                out.append(json.dumps(top, ensure_ascii=False, sort_keys=True))
+                out.append(_text(top))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["key", "merged"])
 
     return rows.groupBy("key").agg(F.collect_list(F.struct("path", "leaf")).alias("entries")).mapInArrow(each, f"key {kinds['key']}, merged string")

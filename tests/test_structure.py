@@ -230,6 +230,22 @@ def test_deep_merge(spark):
     assert layers.deep_merge(df.where("layer > 90"), "who", "layer", "text").count() == 0
 
 
+def test_layers_are_read_once(spark):
+    """Every task that takes objects apart counts its rows: none is read twice, and a null layer is the lowest."""
+    rows = [(1, None, '{"a": {"b": 1}, "c": 1}'), (1, 1, '{"a": 5}'), (2, None, '{"a": {"b": {}}}'), (3, 1, '{"a": {"b": 1}}'), (3, 2, "{}")]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame(rows, "who long, layer int, text string").mapInArrow(counted, "who long, layer int, text string")
+    found = {x["who"]: json.loads(x["merged"]) for x in layers.deep_merge(df, "who", "layer", "text").collect()}
+    assert found == {1: {"a": 5, "c": 1}, 2: {"a": {"b": {}}}, 3: {"a": {"b": 1}}}
+    assert read.value == len(rows)
+
+
 def test_headings(spark):
     page = "<H1 id=a>One <b>two</b>\n three</H1><p>x</p><h3>Deep</h3><h2></h2><h2>Open"
     rows = spark.createDataFrame([(page,), (None,), ("",)], "html string").select(F.explode_outer(structure.headings(F.col("html"))).alias("h"))
