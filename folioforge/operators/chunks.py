@@ -1,7 +1,7 @@
 """Chunkers: DataFrame in, one row for each chunk out.
 
-All of them cut inside the row that holds the text (higher-order functions, no
-shuffle); chunks are exploded as small structs, so that the tokens of a text are
+All of them cut inside the row that holds the text (higher-order functions or Arrow
+tasks, no shuffle); chunks are exploded as small structs, so that the tokens of a text are
 not copied for each chunk.  A null or blank text has no chunks.
 """
 
@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions.text import clean, clean_tokens, sentences, tokens
 
@@ -59,13 +61,38 @@ def _windows(df: DataFrame, starts: Column, size: int, step: int, text_col: str,
 def token_offsets(df: DataFrame, *, text_col: str = "text", keep: list[str] | None = None, block: int = 256) -> DataFrame:
     """Where every token begins among the tokens joined by single spaces.
 
-    Running sums are taken over blocks of tokens and within a block, so that the
-    work does not grow with the square of a text's length.
+    A task goes through each text once, ``block`` texts at a time; what it gives
+    out at a time is bounded by tokens too, but for a longer text.
     """
     keep = keep or ["doc_id"]
-    sizes = F.transform(tokens(F.col(text_col)), lambda t: F.length(t).cast("long") + 1)
-    df = df.select(*keep, sizes.alias("_n")).where(F.size("_n") > 0)
-    return df.select(*keep, F.posexplode(_before(F.col("_n"), block)).alias("pos", "start_char"))
+    schema = StructType([*df.select(*keep).schema, StructField("pos", IntegerType()), StructField("start_char", LongType())])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, texts = batch.columns[:-1], batch.columns[-1]
+
+            def made() -> pa.RecordBatch:
+                counts = np.array([len(s) for s in starts])
+                at = pa.array(np.repeat(np.array(rows), counts))
+                pos = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
+                return pa.RecordBatch.from_arrays([*(c.take(at) for c in own), pa.array(pos), pa.array(np.concatenate(starts))], names=schema.names)
+
+            for a in range(0, len(batch), block):
+                rows, starts, held = [], [], 0
+                for i, text in enumerate(texts.slice(a, block).to_pylist(), a):
+                    # what str.split takes for white space is WS
+                    sizes = np.fromiter(map(len, (text or "").split()), np.int64)
+                    if len(sizes):
+                        rows.append(i)
+                        starts.append(np.cumsum(sizes + 1) - sizes - 1)
+                        held += len(sizes)
+                    if held > 500_000:
+                        yield made()
+                        rows, starts, held = [], [], 0
+                if rows:
+                    yield made()
+
+    return df.select(*keep, F.make_valid_utf8(F.col(text_col)).alias("_text")).mapInArrow(each, schema)
 
 
 def token_windows(df: DataFrame, *, size: int = 1000, overlap: int = 200, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
