@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,19 +26,24 @@ PMID = r"(?i)PMID:?\s*(\d+)"
 SSRN = r"(?i)SSRN[:\s]*(\d+)"
 YEAR = r"\b((?:19|20)\d{2})\b"
 TITLES = (r'["]([^"]{15,200})["]', r"_([^_]{15,200})_", r"\*([^*]{15,200})\*", r"(?:^|\. )([A-Z][^.]{15,150})\.")
-AUTHORS = (r"^([^.]+(?:[A-Z]\.[^.]*\.)+)", r"^([A-Z][a-z]+(?:\s+[A-Z]\.[^,]*,\s*)*[A-Z][a-z]+)", r"([A-Z][a-z]+\s+et\s+al\.?)")
-VENUES = (r"In\s+([A-Z][^,\n]{10,50})", r"([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\s+\d{4}", r"Proceedings\s+of\s+([^,\n]{10,50})")
+AUTHORS = (r"^([^.]+(?:[A-Z]\.[^.]*+\.)++)", r"^([A-Z][a-z]+(?:\s+[A-Z]\.[^,]*,\s*)*[A-Z][a-z]+)", r"([A-Z][a-z]+\s+et\s+al\.?)")
+#: Possessive, which changes no match: a run of very many names would be a recursion of the engine for each of them.
+VENUES = (r"In\s+([A-Z][^,\n]{10,50})", r"([A-Z][a-z]++(?:\s++[A-Z][a-z]++)*+)\s++\d{4}", r"Proceedings\s+of\s+([^,\n]{10,50})")
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _found(c: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+    return _once(F.regexp_extract(c, pattern, group), lambda x: F.when(x != "", x))
 
 
 def section(text: Column) -> Column:
     """The references section of a paper, null if there is none."""
-    headed = [F.when(F.length(_found(text, p, 0)) > 50, _found(text, p, 0)) for p in SECTIONS]
-    numbered = _found(F.right(text, F.lit(8000)), NUMBERED_TAIL, 0)
-    return F.coalesce(*headed, F.when(F.length(numbered) > 200, numbered), _found(F.right(text, F.lit(5000)), AUTHOR_YEAR_TAIL, 0))
+    longer = lambda c, pattern, n: _once(F.regexp_extract(c, pattern, 0), lambda x: F.when(F.length(x) > n, x))
+    return F.coalesce(*[longer(text, p, 50) for p in SECTIONS], longer(F.right(text, F.lit(8000)), NUMBERED_TAIL, 200), _found(F.right(text, F.lit(5000)), AUTHOR_YEAR_TAIL, 0))
 
 
 def _grouped_lines(body: Column) -> Column:
@@ -53,26 +60,42 @@ def _grouped_lines(body: Column) -> Column:
 
 def entries(text: Column) -> Column:
     """array<struct<number, raw>>: numbered entries, else paragraphs, else grouped lines; short ones are left out."""
-    body = F.regexp_replace(text, HEADER, "")
-    numbers, texts = F.regexp_extract_all(body, F.lit(ENTRY), F.lit(1)), F.regexp_extract_all(body, F.lit(ENTRY), F.lit(2))
-    numbered = F.filter(F.transform(F.arrays_zip(numbers.alias("n"), texts.alias("t")), lambda x: F.struct(x["n"].alias("number"), strip(x["t"]).alias("raw"))), lambda x: F.length(x["raw"]) > 20)
     count = lambda parts: F.transform(parts, lambda x, i: F.struct((i + 1).cast("string").alias("number"), x.alias("raw")))
-    blocks = count(F.filter(F.transform(F.split(body, "\n\n"), strip), lambda x: F.length(x) > 30))
-    lines = F.filter(count(_grouped_lines(body)), lambda x: F.length(strip(x["raw"])) >= 20)
-    return F.when(F.size(numbers) > 0, numbered).when(F.size(blocks) > 0, blocks).otherwise(lines)
+
+    def numbered(body: Column, numbers: Column) -> Column:
+        texts = F.regexp_extract_all(body, F.lit(ENTRY), F.lit(2))
+        return F.filter(F.transform(F.arrays_zip(numbers.alias("n"), texts.alias("t")), lambda x: F.struct(x["n"].alias("number"), strip(x["t"]).alias("raw"))), lambda x: F.length(x["raw"]) > 20)
+
+    def lines(body: Column) -> Column:
+        return F.filter(count(_grouped_lines(body)), lambda x: F.length(strip(x["raw"])) >= 20)
+
+    def plain(body: Column) -> Column:
+        blocks = count(F.filter(F.transform(F.split(body, "\n\n"), strip), lambda x: F.length(x) > 30))
+        return _once(blocks, lambda b: F.when(F.size(b) > 0, b).otherwise(lines(body)))
+
+    def of_body(body: Column) -> Column:
+        return _once(F.regexp_extract_all(body, F.lit(ENTRY), F.lit(1)), lambda n: F.when(F.size(n) > 0, numbered(body, n)).otherwise(plain(body)))
+
+    return _once(F.regexp_replace(text, HEADER, ""), of_body)
 
 
 def fields(raw: Column) -> Column:
-    """struct of an entry's identifiers, year, title, authors, venue and confidence."""
-    title = strip(F.coalesce(*[_found(raw, p) for p in TITLES]))
-    names = F.coalesce(*[_found(raw, p) for p in AUTHORS])
-    authors = F.coalesce(F.slice(F.filter(F.transform(F.split(names, ","), strip), lambda a: (F.length(a) > 2) & ~a.rlike(r"^\d+$")), 1, 5), F.array().cast("array<string>"))
-    venue = strip(F.coalesce(*[_found(raw, p) for p in VENUES]))
-    ids = {"arxiv_id": _found(raw, ARXIV), "doi": _found(raw, DOI), "pmid": _found(raw, PMID), "ssrn_id": _found(raw, SSRN)}
-    year = _found(raw, YEAR).cast("int")
+    """struct of an entry's identifiers, year, title, authors, venue and confidence; each pattern goes over the entry once at most."""
+    found = {
+        **{n: _found(raw, p) for n, p in (("arxiv_id", ARXIV), ("doi", DOI), ("pmid", PMID), ("ssrn_id", SSRN))},
+        "year": _found(raw, YEAR).cast("int"),
+        "title": strip(F.coalesce(*[_found(raw, p) for p in TITLES])),
+        "names": F.coalesce(*[_found(raw, p) for p in AUTHORS]),
+        "venue": strip(F.coalesce(*[_found(raw, p) for p in VENUES])),
+    }
     has = lambda c, w: F.when(c, F.lit(w)).otherwise(F.lit(0.0))
-    sure = 0.3 + has(F.coalesce(*ids.values()).isNotNull(), 0.4) + has(F.length(title) > 10, 0.2) + has(F.size(authors) > 0, 0.2) + has(year.isNotNull(), 0.1) + has(venue.isNotNull(), 0.1)
-    return F.struct(*[c.alias(n) for n, c in ids.items()], year.alias("year"), title.alias("title"), authors.alias("authors"), venue.alias("venue"), F.round(F.least(F.lit(1.0), sure), 2).alias("confidence"))
+
+    def rated(x: Column) -> Column:
+        authors = F.coalesce(F.slice(F.filter(F.transform(F.split(x["names"], ","), strip), lambda a: (F.length(a) > 2) & ~a.rlike(r"^\d+$")), 1, 5), F.array().cast("array<string>"))
+        sure = 0.3 + has(F.coalesce(*[x[n] for n in ("arxiv_id", "doi", "pmid", "ssrn_id")]).isNotNull(), 0.4) + has(F.length(x["title"]) > 10, 0.2) + has(F.size(authors) > 0, 0.2) + has(x["year"].isNotNull(), 0.1) + has(x["venue"].isNotNull(), 0.1)
+        return F.struct(*[x[n].alias(n) for n in ("arxiv_id", "doi", "pmid", "ssrn_id", "year", "title")], authors.alias("authors"), x["venue"].alias("venue"), F.round(F.least(F.lit(1.0), sure), 2).alias("confidence"))
+
+    return _once(F.struct(*[c.alias(n) for n, c in found.items()]), rated)
 
 
 def of_paper(text: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the code points that count as white space in the texts' own language (Unicode, and \x1c-\x1f).
 WS = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+#: Fixed value: the same code points one by one.
+SPACES = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 #: arXiv identifiers, new style and old style.
 NEW_ID = r"^\d{4}\.\d{4,5}(v\d+)?$"
@@ -21,7 +23,7 @@ def _nonempty(parts: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim white space of any kind, not only spaces."""
-    return F.regexp_replace(F.regexp_replace(c, f"^{WS}", ""), f"{WS}$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def tokens(c: Column) -> Column:
