@@ -23,10 +23,14 @@ compared exactly for the others only.  Where many sets share a signature, not al
 pairs are made: first each group's hub (its smallest key) is compared with the
 others, and groups whose members are one
 component afterwards are done.  Small groups that are left make their pairs.
-Large ones that overlap are joined to one, in which every set outside its main
-component is compared with all others, block by block: a task counts the common
-shingles of two blocks by a matrix product and returns only links that connect
-something new, so that no list of pairs is ever made.
+In large ones the sketches are compared, block by block, and a task returns only
+pairs that connect something new.  What they connect is a family: only between
+its sets are links left to find.  Every set outside a family's main component is
+compared with all others of the family, block by block again: a task counts the
+common shingles of two blocks by a matrix product and returns only links that
+connect something new, so that no list of pairs is ever made.  Groups that merely
+overlap are no family: a few common passages would make one of most of the
+corpus, whose texts move as often as it has blocks.
 
 Nulls and edges: null, empty and blank texts have no shingle and link with
 nothing; a null id links with nothing; rows with equal ids are told apart by
@@ -44,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .memory import give_back, giving_back
-from .shared import Scratch, components, small
+from .shared import Scratch, components, release, small
 from .words import mix, shingle_sets
 
 #: Mean size of a segment; a set with n shingles has about n * (1 - e^-MEAN) / MEAN segments that are not empty.
@@ -329,8 +333,86 @@ def _compare(open_: list[np.ndarray], others: list[np.ndarray], p: int, q: int)
         yield int(i), np.flatnonzero(linked[i])
 
 
+#: Sets of a block whose sketches are compared with those of another one, and pairs of them at once.
+SKETCHES, AT_ONCE = 2048, 1 << 20
+
+
+def _by_length(sketches: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places, rows of 64-bit words) for each length of sketches."""
+    lengths = np.array([len(x) for x in sketches], int)
+    places = [np.flatnonzero(lengths == size) for size in np.unique(lengths)]
+    return [(at, np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(len(at), -1)) for at in places]
+
+
+def _folded(rows: np.ndarray, words: int) -> np.ndarray:
+    while rows.shape[1] > words:
+        rows = rows[:, : rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2 :]
+    return rows
+
+
+def _may_link_all(ones: list[bytes], n: np.ndarray, others: list[bytes], m: np.ndarray, p: int, q: int) -> Iterator[tuple[int, np.ndarray]]:
+    """``may_link`` for all of ``ones`` with all of ``others``: (i, js), at most once for each i and length of the others' sketches."""
+    far = _by_length(others)
+    for mine, own in _by_length(ones):
+        for theirs, other in far:
+            top = m[theirs].astype(np.int64)
+            if int(n[mine].max()) * q < int(top.min()) * p or int(top.max()) * q < int(n[mine].min()) * p:
+                continue
+            words = min(own.shape[1], other.shape[1])
+            x, y = _folded(own, words), np.ascontiguousarray(_folded(other, words).T)
+            step = max(1, AT_ONCE // len(theirs))
+            for lo in range(0, len(mine), step):
+                part, size = x[lo : lo + step], n[mine[lo : lo + step]].astype(np.int64)[:, None]
+                bits = np.zeros((len(part), len(theirs)), np.int32)
+                for w in range(words):
+                    bits += np.bitwise_count(part[:, w, None] ^ y[w])
+                near = (bits <= (size + top) * (q - p) // (q + p)) & (np.minimum(size, top) * q >= np.maximum(size, top) * p)
+                for i in np.flatnonzero(near.any(1)):
+                    yield int(mine[lo + i]), theirs[near[i]]
+
+
+def _likely_blocks(many: DataFrame, sketches: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs (a, b) that connect what sketches do not rule out, from rows (gid, key, component, n); n is the number of the group's sets.
+
+    Two sets of a group that are in different components and may link are
+    connected by these pairs, and each set that has such another one is in a pair.
+    """
+    side = lambda i, j, role: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(role).alias("role"))
+    placed = many.withColumn("blocks", F.ceil(F.col("n") / SKETCHES).cast("int")).withColumn("at", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j)
+    first = F.transform(F.filter(every, lambda j: j >= F.col("at")), lambda j: side(F.col("at"), j, 0))
+    second = F.transform(F.filter(every, lambda i: i < F.col("at")), lambda i: side(i, F.col("at"), 1))
+    rows = placed.select("gid", "key", "component", F.explode(F.concat(first, second)).alias("to")).select("gid", "to.*", "key", "component")
+    rows = rows.join(sketches.select("key", F.col("n").alias("size"), "sketch"), "key")
+
+    def each(keys: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        role, key, component, size = (table[c].to_numpy() for c in ("role", "key", "component", "size"))
+        sketch = table["sketch"].to_pylist()
+        label = np.arange(len(key))
+        found, counted = np.unique(component, return_counts=True)
+        main = component == found[counted.argmax()]
+        a, b = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        sides = [(a[~main[a]], a)] if keys[1] == keys[2] else [(a[~main[a]], b), (a[main[a]], b[~main[b]])]
+        out: list[np.ndarray] = []
+        for one, other in sides:
+            if not (len(one) and len(other)):
+                continue
+            for i, js in _may_link_all([sketch[x] for x in one], size[one], [sketch[x] for x in other], size[other], p, q):
+                x, ys = one[i], other[js]
+                ys = ys[(component[ys] != component[x]) & (label[ys] != label[x])]
+                if len(ys):
+                    ys = ys[np.unique(label[ys], return_index=True)[1]]
+                    out.append(np.stack([np.full(len(ys), key[x]), key[ys]]))
+                    label[np.isin(label, label[ys])] = label[x]
+        pairs = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+    return rows.groupBy("gid", "i", "j").applyInArrow(each, "a long, b long")
+
+
 def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q: int) -> DataFrame:
-    """Links (a, b) that connect the sets of each large group, from rows (family, component, key, n); n is the size of a set."""
+    """Links (a, b) that connect the sets of each family, from rows (family, component, key, n); n is the size of a set."""
     sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
     sided = members.join(small(main), "family").withColumn("open", F.col("component") != F.col("main"))
@@ -369,7 +451,8 @@ def _verify_blocks(members: DataFrame, texts: DataFrame, width: int, p: int, q:
                         of[x] = y
                         out.append((int(key[a[i]]), int(key[b[j]])))
         del sets
-        give_back()
+        if len(key) > BLOCK // 4:  # most families are small
+            give_back()
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
     return rows.groupBy("family", "i", "j").applyInArrow(each, "a long, b long")
@@ -399,15 +482,19 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
         shingled = named.agg(F.sum("n")).first()[0] or 0
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shingled * SIGNATURE_BYTES // BUCKET_BYTES))
     found = scratch.cut(groups(docs, width, p, q, seed, buckets, id_col=id_col, text_col=text_col), "groups")
+    release(spark)  # the messages are the largest shuffle, texts the next
     wanted = small(scratch.cut(named.join(found.select("key").distinct(), "key").select("key", F.col("least").alias("id"), (F.col("rows") > 1).alias("again")), "wanted"))
     # one text for each set that shares a signature (rows with equal ids and other texts are told apart by their key)
     keyed = scratch.cut(_keyed(_texts(docs, id_col, text_col).join(wanted, "id"), width, seed), "keyed")
+    release(spark)
     once = keyed.where("again").dropDuplicates(["key"])  # only ids that repeat with their text have more than one
     sketches = keyed.where("not again").select("key", "n", "sketch").union(once.select("key", "n", "sketch"))
     texts = keyed.where("not again").select("key", "text").union(once.select("key", "text"))
 
     def links(pairs: DataFrame) -> DataFrame:
-        return scratch.cut(_verify(scratch.cut(_likely(scratch.cut(pairs, "pairs"), sketches, p, q), "likely"), texts, width, p, q), "links")
+        out = scratch.cut(_verify(scratch.cut(_likely(scratch.cut(pairs, "pairs"), sketches, p, q), "likely"), texts, width, p, q), "links")
+        release(spark)
+        return out
 
     hubs = found.groupBy("gid").agg(F.min("key").alias("hub"), F.count("*").alias("n"))
     first = links(found.join(hubs, "gid").where("key <> hub").select("hub", "key").distinct())
@@ -420,13 +507,13 @@ def join(docs: DataFrame, scratch: Scratch, *, width: int = 5, similarity: tuple
     one, other = few.select("gid", F.col("key").alias("hub"), F.col("component").alias("c")), few.select("gid", "key", "component")
     second = links(one.join(other, "gid").where("hub < key and c <> component").select("hub", "key").distinct())
     many = left.where(F.col("n") > FEW)
-    # large groups that overlap are one family: each set leads to the smallest hub of its groups, so that only hubs are nodes
-    of_group = scratch.cut(many.join(many.groupBy("gid").agg(F.min("key").alias("hub")), "gid").select("hub", "key").distinct(), "hubs")
-    leads = of_group.groupBy("key").agg(F.min("hub").alias("lead"))
-    meet = of_group.join(leads, "key").where("hub <> lead").select(F.col("hub").alias("a"), F.col("lead").alias("b")).distinct()
-    family = leads.join(components(meet, scratch).withColumnRenamed("node", "lead"), "lead", "left").select("key", F.coalesce("component", "lead").alias("family"))
+    # a family is what sketches leave: overlapping groups alone would join most sets of a large corpus to one
+    family = components(scratch.cut(_likely_blocks(many, sketches, p, q), "near"), scratch).select(F.col("node").alias("key"), F.col("component").alias("family"))
+    release(spark)
     members = scratch.cut(many.select("key", "component").distinct().join(family, "key").join(named.select("key", F.col("n")), "key"), "members")
     third = scratch.cut(_verify_blocks(members, texts, width, p, q), "links")
+    scratch.drop(keyed)
+    release(spark)
 
     linked = components(first.union(second).union(third), scratch)
     of_key = named.select("key", "least").join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))

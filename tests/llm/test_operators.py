@@ -593,6 +593,51 @@ def test_ngram_join(spark, monkeypatch, few, block):
     assert got == brute_join(rows, 80, 100)
 
 
+def test_overlapping_groups_are_no_family(spark, monkeypatch):
+    """Texts that only share passages are not moved to be compared, however many large groups they overlap in."""
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    moved, verify = [], ngram_join._verify_blocks
+    monkeypatch.setattr(ngram_join, "_verify_blocks", lambda members, *rest: (moved.append(members.count()), verify(members, *rest))[1])
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [some(60) for _ in range(3)]
+    texts = [" ".join(passages[k % 3] + some(20) + passages[(k + 1) % 3][:30] + some(20)) for k in range(36)]
+    docs = documents(spark, *texts)
+    found = ngram_join.groups(docs, 5, 80, 100, 0, 7, id_col="doc_id", text_col="text").groupBy("gid").count().where("count > 2")
+    assert found.count() > 3
+    got = sorted(((r.id, r.n_shingles, r.component_id) for r in ngram_join.join(docs, Scratch(spark, "t"), buckets=7).collect()), key=str)
+    assert got == brute_join(list(enumerate(texts)), 80, 100)
+    assert moved == [0]
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_likely_blocks(spark, monkeypatch, block):
+    """They connect the sets that brute force over the sketches of each group connects."""
+    monkeypatch.setattr(ngram_join, "SKETCHES", block)
+    rng, sets = np.random.default_rng(5), []
+    for size in (1, 3, 40, 60, 66, 130, 300):
+        base = rng.integers(0, 1 << 62, size, dtype=np.uint64)
+        for _ in range(6):
+            changed = int(rng.integers(0, size // 5 + 1))
+            sets.append(np.unique(np.r_[base[changed:], rng.integers(0, 1 << 62, changed + size // 12, dtype=np.uint64)]))
+    rows = [(k, len(x), bytearray(ngram_join.sketch(x))) for k, x in enumerate(sets)]
+    of = [int(c) for c in rng.integers(0, 9, len(sets))]
+    groups_ = [sorted({int(x) for x in rng.integers(0, len(sets), 25)}) for _ in range(4)] + [list(range(12, 36))]
+    many = spark.createDataFrame([(g, k, of[k], len(ks)) for g, ks in enumerate(groups_) for k in ks], "gid long, key long, component long, n long")
+    got = ngram_join._likely_blocks(many, spark.createDataFrame(rows, "key long, n long, sketch binary"), 80, 100).collect()
+
+    def parts(pairs):
+        label = list(range(len(sets)))
+        for a, b in pairs:
+            label = [label[a] if x == label[b] else x for x in label]
+        return label
+
+    every = {(a, b) for ks in groups_ for a in ks for b in ks if a < b and of[a] != of[b] and ngram_join.may_link(bytes(rows[a][2]), rows[a][1], bytes(rows[b][2]), rows[b][1], 80, 100)}
+    pairs = {(min(r), max(r)) for r in got}
+    assert 10 < len(every) and pairs <= every and {frozenset(i for i, x in enumerate(parts(pairs)) if x == y) for y in parts(pairs)} == {frozenset(i for i, x in enumerate(parts(every)) if x == y) for y in parts(every)}
+    assert {x for pair in pairs for x in pair} == {x for pair in every for x in pair}
+
+
 def test_pigeonhole():
     """Two sets at the threshold always share a signature that one of them probes by."""
     rng, limits = np.random.default_rng(0), ngram_join.bands(80, 100, 1 << 40)
