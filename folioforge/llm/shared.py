@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .memory import give_back
+
 #: Word characters of the digest contracts: everything but space and \t..\r.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -94,8 +95,9 @@ def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished jobs: Spark deletes them when the driver has collected what stood for them.
 
     The session's listeners hold the last query until another one ends, so a small one is run first.
+    The driver's own memory goes back to the system too, what its Python has kept as well.
     """
-    gc.collect()
+    give_back()
     spark.range(1).count()
     spark.sparkContext._jvm.System.gc()
 

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from folioforge.llm import embedding_dedup, extraction, fingerprint, mixing, ngram_join, packing, quality, sharding, toxicity, warc
+from folioforge.llm import embedding_dedup, extraction, fingerprint, mixing, ngram_join, packing, quality, shared, sharding, toxicity, warc
 from folioforge.llm import words as W
 from folioforge.llm.labelled import training_sample
 from folioforge.llm.shared import Scratch, running
@@ -610,6 +610,17 @@ def test_overlapping_groups_are_no_family(spark, monkeypatch):
     assert moved == [0]
 
 
+def test_release_gives_memory_back(spark, monkeypatch):
+    """Shuffle files and the driver's memory go, its Python's too; near duplicates let go after every large step."""
+    given, steps = [], []
+    monkeypatch.setattr(shared, "give_back", lambda: given.append(1))
+    shared.release(spark)
+    assert given == [1]
+    monkeypatch.setattr(ngram_join, "release", steps.append)
+    ngram_join.join(documents(spark, "one two three four five six", "one two three four five six seven"), Scratch(spark, "t"), buckets=3)
+    assert len(steps) >= 5
+
+
 @pytest.mark.parametrize("block", [3, 2048])
 def test_likely_blocks(spark, monkeypatch, block):
     """They connect the sets that brute force over the sketches of each group connects."""
